@@ -1,0 +1 @@
+"""Empty on purpose: the work is batch only; series are complete when they are opened."""
