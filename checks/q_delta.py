@@ -1 +1,511 @@
-"""To come."""
+"""Delta method, regridding and precipitation correction."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks import cube
+from checks.registry import R, R6, bilinear_sql, fine_place, query, r6
+from climgrid.functions import values
+from climgrid.operators import climate, gaps, neighbors, precip, regrid, select
+from climgrid.plans import delta, policy
+from climgrid.storage import cut_lineage
+
+YMRC = ("year", "month", "row", "col")
+
+
+def out(df, *names, value="value"):
+    """The time and cell columns with the value to six decimals."""
+    return df.select(*names, *YMRC, r6(value).alias("value"))
+
+
+# ---- climatology and anomalies -------------------------------------------------
+
+
+def clim_of(spark, sf, variable="tas"):
+    c = cube.cells(spark, sf, variable)
+    return climate.climatology(c, cube.BEGIN, cube.END, by=["row", "col"])
+
+
+@query("concat_series", "SELECT scenario, year, month, row, col, value FROM cells_tas")
+def concat_series(spark, sf):
+    c = cube.cells(spark, sf)
+    past, later = c.where(F.col("scenario") == "historical"), c.where(F.col("scenario") != "historical")
+    return climate.concat_series(past, later).select("scenario", *YMRC, "value")
+
+
+@query("climatology", f"SELECT row, col, month, {R6('clim')} AS clim FROM clim_tas")
+def climatology(spark, sf):
+    return clim_of(spark, sf).select("row", "col", "month", r6("clim").alias("clim"))
+
+
+ANOM = "SELECT scenario, year, month, row, col, c.value - m.clim AS value FROM cells_tas c JOIN clim_tas m USING (row, col, month)"
+RATIO = (
+    "SELECT scenario, year, month, row, col, CASE WHEN m.clim <> 0 THEN c.value / m.clim END AS value "
+    "FROM cells_pr c JOIN clim_pr m USING (row, col, month)"
+)
+
+
+@query("anomaly_add", f"SELECT scenario, year, month, row, col, {R6('value')} AS value FROM ({ANOM})")
+def anomaly_add(spark, sf):
+    return out(climate.anomaly(cube.cells(spark, sf), clim_of(spark, sf), "add"), "scenario")
+
+
+@query("anomaly_mult", f"SELECT scenario, year, month, row, col, {R6('value')} AS value FROM ({RATIO})")
+def anomaly_mult(spark, sf):
+    return out(climate.anomaly(cube.cells(spark, sf, "pr"), clim_of(spark, sf, "pr"), "mult"), "scenario")
+
+
+@query("anomaly_restrict", f"SELECT scenario, year, month, row, col, {R6('value')} AS value FROM ({ANOM}) WHERE scenario = 'rcp60'")
+def anomaly_restrict(spark, sf):
+    c = cube.cells(spark, sf)
+    future = c.where(F.col("scenario") == "rcp60")
+    return out(climate.restrict_times(climate.anomaly(c, clim_of(spark, sf), "add"), future), "scenario")
+
+
+def _split(spark, sf, variable="tas"):
+    c = cube.cells(spark, sf, variable)
+    return c.where(F.col("scenario") == "historical"), c.where(F.col("scenario") == "rcp60")
+
+
+@query("anomaly_farfuture", f"SELECT year, month, row, col, {R6('value')} AS value FROM ({ANOM}) WHERE scenario = 'rcp60'")
+def anomaly_farfuture(spark, sf):
+    past, later = _split(spark, sf)
+    return out(delta.anomaly_farfuture(past, later, cube.BEGIN, cube.END, "add"))
+
+
+@query(
+    "anomaly_lowres_export",
+    f"SELECT 'tas' AS variable, year, month, row, col, {R6('value')} AS value FROM ({ANOM}) "
+    f"UNION ALL SELECT 'pr', year, month, row, col, {R6('value')} FROM ({RATIO})",
+)
+def anomaly_lowres_export(spark, sf):
+    c = cube.cells(spark, sf, ["tas", "pr"]).drop("scenario")
+    return out(climate.lowres_anomalies(c, cube.BEGIN, cube.END), "variable")
+
+
+@query("delta_minmax", "SELECT year, month, row, col, a.value - b.value AS value FROM cells_tasmax a JOIN cells_tas b USING (year, month, row, col)")
+def delta_minmax(spark, sf):
+    return climate.delta_to_mean(cube.cells(spark, sf, "tasmax"), cube.cells(spark, sf)).select(*YMRC, "value")
+
+
+@query("semi_future_times", "SELECT year, month, row, col, value FROM cells_tas WHERE year >= 2000")
+def semi_future_times(spark, sf):
+    later = _split(spark, sf)[1].select("year", "month")
+    return climate.restrict_times(cube.cells(spark, sf), later).select(*YMRC, "value")
+
+
+# ---- recombination ----------------------------------------------------------------
+
+SAME_CELL = "SELECT c.year, c.month, c.row, c.col, {} AS value FROM cells_{} c JOIN base_{} b USING (row, col, month)"
+
+
+@query("join_baseline_month", SAME_CELL.format("b.value", "tas", "tas"))
+def join_baseline_month(spark, sf):
+    """The corner of the fine grid that has the coarse grid's indices."""
+    base = cube.baseline(spark, sf).withColumnRenamed("value", "base")
+    return cube.cells(spark, sf).join(base, ["row", "col", "month"]).select(*YMRC, F.col("base").alias("value"))
+
+
+@query(
+    "join_baseline_time",
+    "SELECT year, month, row, col, a.value AS extreme, b.value AS mean FROM cells_tasmin a JOIN cells_tas b USING (year, month, row, col)",
+)
+def join_baseline_time(spark, sf):
+    j = climate.join_variables(cube.cells(spark, sf, "tasmin"), cube.cells(spark, sf), ("extreme", "mean"))
+    return j.select(*YMRC, "extreme", "mean")
+
+
+@query("apply_delta_add", SAME_CELL.format("b.value + c.value", "tas", "tas"))
+def apply_delta_add(spark, sf):
+    return climate.apply_delta(cube.cells(spark, sf), cube.baseline(spark, sf), "add").select(*YMRC, "value")
+
+
+@query("apply_delta_mult", SAME_CELL.format("b.value * c.value", "pr", "pr"))
+def apply_delta_mult(spark, sf):
+    return climate.apply_delta(cube.cells(spark, sf, "pr"), cube.baseline(spark, sf, "pr"), "mult").select(*YMRC, "value")
+
+
+@query(
+    "apply_delta_minmax",
+    "SELECT year, month, row, col, m.value + (x.value - m.value) AS value FROM cells_tasmax x JOIN cells_tas m USING (year, month, row, col)",
+)
+def apply_delta_minmax(spark, sf):
+    mean = cube.cells(spark, sf).drop("variable")
+    deltas = climate.delta_to_mean(cube.cells(spark, sf, "tasmax"), mean)
+    return climate.apply_delta(deltas, mean, "add").select(*YMRC, "value")
+
+
+@query("inf_to_nodata", "SELECT year, month, row, col, CASE WHEN value <> 0 THEN 1 / value END AS value FROM cells_pr")
+def inf_to_nodata(spark, sf):
+    """Dry cells have an infinite reciprocal."""
+    v = F.when(F.col("value") != 0, 1 / F.col("value")).otherwise(float("inf"))
+    return cube.cells(spark, sf, "pr").select(*YMRC, values.inf_to_null(v).alias("value"))
+
+
+@query("post_function", "SELECT year, month, row, col, greatest(value, 0) AS value FROM cells_tas")
+def post_function(spark, sf):
+    positive = lambda x: F.greatest(x, F.lit(0.0))
+    return climate.post_function(cube.cells(spark, sf), positive).select(*YMRC, "value")
+
+
+def _clamp(name, expr, fn):
+    @query(name, f"SELECT year, month, row, col, CAST({expr} AS DOUBLE) AS value FROM cells_hur")
+    def run(spark, sf):
+        return cube.cells(spark, sf, "hur").select(*YMRC, fn(F.col("value")).alias("value"))
+
+
+_clamp("clamp_humidity", "CASE WHEN value < 0 THEN 0 WHEN value > 100 THEN 95 ELSE value END", values.clamp_humidity)
+_clamp("clamp_cloud", "least(greatest(value, 0), 100)", values.clamp_cloud)
+_clamp("clamp_legacy", "CASE WHEN value > 100 AND value < 500 THEN 95 ELSE value END", values.clamp_legacy)
+
+
+@query(
+    "variable_policy",
+    "SELECT 'tas' AS variable, 'add' AS operation, year, month, row, col, round_even(value * 1e1, 0) / 1e1 + 0e0 AS value FROM cells_tas "
+    "UNION ALL SELECT 'pr', 'mult', year, month, row, col, round_even(value, 0) + 0e0 FROM cells_pr "
+    "UNION ALL SELECT 'hur', 'mult', year, month, row, col, round_even((CASE WHEN value < 0 THEN 0 WHEN value > 100 THEN 95 ELSE value END) * 1e1, 0) / 1e1 + 0e0 FROM cells_hur",
+)
+def variable_policy(spark, sf):
+    """Mixed variables meet their policy by join; each clamp and rounding follows it."""
+    c = cube.cells(spark, sf, ["tas", "pr", "hur"]).join(policy.policy_table(spark), "variable")
+    v = F.when(F.col("clamp") == "humidity", values.clamp_humidity(F.col("value"))).otherwise(F.col("value"))
+    v = F.when(F.col("places") == 0, values.rint_places(v, 0)).otherwise(values.rint_places(v, 1))
+    return c.select("variable", "operation", *YMRC, (v + 0.0).alias("value"))
+
+
+# ---- regridding ----------------------------------------------------------------------
+
+
+def _target(spark, sf):
+    return cube.fine_cells(spark, sf).select("row", "col")
+
+
+@query(
+    "regrid_nearest",
+    f"SELECT c.year, c.month, f.row, f.col, c.value FROM (SELECT row, col, floor(fy + 0.5e0) AS r0, floor(fx + 0.5e0) AS c0 "
+    f"FROM (SELECT *, {fine_place()} FROM fine)) f JOIN cells_tas c ON c.row = f.r0 AND c.col = f.c0",
+)
+def regrid_nearest(spark, sf):
+    coarse, fine = cube.grids(spark, sf)
+    return regrid.regrid(cube.cells(spark, sf), _target(spark, sf), coarse, fine, "nearest").select(*YMRC, "value")
+
+
+@query("regrid_bilinear", f"SELECT year, month, row, col, {R6('rv')} AS value FROM ({bilinear_sql('gappy_tas')})")
+def regrid_bilinear(spark, sf):
+    """With missing source cells: the weights of those present are scaled up."""
+    coarse, fine = cube.grids(spark, sf)
+    return out(regrid.regrid(cube.gappy(spark, sf), _target(spark, sf), coarse, fine, "bilinear"))
+
+
+PI = "3.141592653589793e0"
+KERNELS = {
+    "cubic": ((-1, 2), "CASE WHEN {d} <= 1 THEN (1.5e0 * {d} - 2.5e0) * {d} * {d} + 1 WHEN {d} < 2 THEN ((-0.5e0 * {d} + 2.5e0) * {d} - 4) * {d} + 2 ELSE 0 END"),
+    "cubic_spline": ((-1, 2), "CASE WHEN {d} <= 1 THEN (0.5e0 * {d} - 1) * {d} * {d} + 2e0 / 3 WHEN {d} < 2 THEN (2 - {d}) ** 3 / 6 ELSE 0 END"),
+    "lanczos": ((-2, 3), f"CASE WHEN {{d}} < 1e-9 THEN 1 WHEN {{d}} < 3 THEN 3 * sin({PI} * {{d}}) * sin({PI} * {{d}} / 3) / ({PI} * {PI} * {{d}} * {{d}}) ELSE 0 END"),
+}
+
+
+def kernel_sql(method: str) -> str:
+    """Weighted mean over the kernel's source cells, one joined row per cell of it."""
+    (lo, hi), w = KERNELS[method]
+    return (
+        f"SELECT year, month, row, col, CASE WHEN abs(sum(w)) > 1e-9 THEN {R6('sum(w * value) / sum(w)')} END AS value FROM "
+        f"(SELECT c.year, c.month, f.row, f.col, {w.format(d='abs(ty - i)')} * {w.format(d='abs(tx - j)')} AS w, c.value FROM "
+        "(SELECT row, col, nx, floor(fy) AS r0, floor(fx) AS c0, round_even((fy - floor(fy)) * 1e9, 0) / 1e9 AS ty, "
+        f"round_even((fx - floor(fx)) * 1e9, 0) / 1e9 AS tx FROM (SELECT *, {fine_place()} FROM fine)) f "
+        f"CROSS JOIN range({lo}, {hi + 1}) a(i) CROSS JOIN range({lo}, {hi + 1}) b(j) "
+        "JOIN gappy_tas c ON c.row = r0 + i AND c.col = (c0 + j + nx) % nx WHERE c.value IS NOT NULL) "
+        "GROUP BY year, month, row, col"
+    )
+
+
+def _kernel(method):
+    @query(f"regrid_{method}", kernel_sql(method))
+    def run(spark, sf):
+        coarse, fine = cube.grids(spark, sf)
+        return out(regrid.regrid(cube.gappy(spark, sf), _target(spark, sf), coarse, fine, method))
+
+
+for _m in KERNELS:
+    _kernel(_m)
+
+
+def _fine_field(spark, sf):
+    """The fine baseline as a series of twelve months."""
+    return cube.baseline(spark, sf)
+
+
+PARENT = (
+    "SELECT month, CAST(floor((0e0 + row + 0.5e0) / 5) AS INTEGER) AS row, CAST(floor((0e0 + col + 0.5e0) / 4) AS INTEGER) AS col, value FROM base_tas"
+)
+
+
+def _coarse_target(spark, sf):
+    return cube.mask(spark, sf).select("row", "col")
+
+
+@query("regrid_average", f"SELECT month, row, col, {R6('avg(value)')} AS value FROM ({PARENT}) JOIN sup USING (row, col) GROUP BY month, row, col")
+def regrid_average(spark, sf):
+    coarse, fine = cube.grids(spark, sf)
+    r = regrid.regrid(_fine_field(spark, sf), _coarse_target(spark, sf), fine, coarse, "average")
+    return r.select("month", "row", "col", r6("value").alias("value"))
+
+
+@query(
+    "regrid_mode",
+    "SELECT month, row, col, max_by(value, n * 1e6 - value) AS value FROM "
+    f"(SELECT month, row, col, value, count(*) AS n FROM ({PARENT}) GROUP BY ALL) JOIN sup USING (row, col) GROUP BY month, row, col",
+)
+def regrid_mode(spark, sf):
+    coarse, fine = cube.grids(spark, sf)
+    r = regrid.regrid(_fine_field(spark, sf), _coarse_target(spark, sf), fine, coarse, "mode")
+    return r.select("month", "row", "col", "value")
+
+
+FILL = """
+WITH dense AS ({src}),
+x AS (SELECT *, lag_v, lag_p, lead_v, lead_p FROM (SELECT *,
+  last_value(value IGNORE NULLS) OVER bx AS lag_v, last_value(CASE WHEN value IS NOT NULL THEN col END IGNORE NULLS) OVER bx AS lag_p,
+  first_value(value IGNORE NULLS) OVER fx AS lead_v, first_value(CASE WHEN value IS NOT NULL THEN col END IGNORE NULLS) OVER fx AS lead_p,
+  last_value(value IGNORE NULLS) OVER by_ AS up_v, last_value(CASE WHEN value IS NOT NULL THEN row END IGNORE NULLS) OVER by_ AS up_p,
+  first_value(value IGNORE NULLS) OVER fy AS dn_v, first_value(CASE WHEN value IS NOT NULL THEN row END IGNORE NULLS) OVER fy AS dn_p
+  FROM dense WINDOW bx AS (PARTITION BY year, month, row ORDER BY col ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+  fx AS (PARTITION BY year, month, row ORDER BY col ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING),
+  by_ AS (PARTITION BY year, month, col ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+  fy AS (PARTITION BY year, month, col ORDER BY row ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))),
+e AS (SELECT *, lag_v + (lead_v - lag_v) * (col - lag_p) / (lead_p - lag_p) AS ex, 1e0 / (lead_p - lag_p) AS wx,
+  up_v + (dn_v - up_v) * (row - up_p) / (dn_p - up_p) AS ey, 1e0 / (dn_p - up_p) AS wy FROM x),
+filled AS (SELECT year, month, row, col, coalesce(value, (ex * wx + ey * wy) / (wx + wy), ex, ey) AS value FROM e)
+"""
+
+
+@query("fill_gaps_linear", FILL.format(src="SELECT * FROM gappy_tas") + f"SELECT year, month, row, col, {R6('value')} AS value FROM filled")
+def fill_gaps_linear(spark, sf):
+    return out(gaps.fill_gaps_linear(cube.gappy(spark, sf).drop("scenario", "variable")))
+
+
+@query(
+    "regrid_points",
+    FILL.format(
+        src="SELECT year, month, CAST(r AS INTEGER) AS row, CAST(c AS INTEGER) AS col, value FROM "
+        "(SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders WHERE o_orderstatus = 'F') "
+        "CROSS JOIN range(0, 8) t(r) CROSS JOIN range(0, 10) u(c) LEFT JOIN (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, "
+        "o_custkey % 8 AS r, o_custkey // 8 % 10 AS c, avg(round(o_totalprice)) AS value FROM orders "
+        "WHERE o_orderstatus = 'F' GROUP BY ALL) USING (year, month, r, c)"
+    )
+    + f"SELECT year, month, row, col, {R6('value')} AS value FROM filled",
+)
+def regrid_points(spark, sf):
+    """Closed orders as scattered points: place from the customer, value from the price."""
+    from climgrid.grid import Grid
+
+    grid = Grid(10, 8, 0.0, 80.0, 1.0, 1.0)
+    o = cube.table(spark, sf, "orders")
+    k = F.col("o_custkey")
+    when = {"year": F.year("o_orderdate"), "month": F.month("o_orderdate")}
+    pts = o.where(F.col("o_orderstatus") == "F").withColumns(when).select(
+        "year", "month", (F.lit(79.5) - k % 8).alias("lat"), (F.floor(k / 8) % 10 + 0.5).alias("lon"),
+        F.round("o_totalprice").alias("value"),
+    )
+    return gaps.regrid_points(pts, grid).select(*YMRC, r6("value").alias("value"))
+
+
+# ---- pipelines ----------------------------------------------------------------------
+
+
+def _anoms(variable, expr):
+    return (
+        f"anoms AS (SELECT year, month, row, col, {expr} AS value FROM cells_{variable} c JOIN clim_{variable} m USING (row, col, month) {{where}})"
+    )
+
+
+def refine_sql(anoms: str, variable: str, combined: str, where: str = "") -> str:
+    """Bilinear anomalies on the fine cells, joined with the monthly baseline."""
+    body = bilinear_sql("anoms").replace("SELECT DISTINCT year, month FROM anoms", f"SELECT DISTINCT year, month FROM anoms {where}")
+    return (
+        f"WITH {anoms} SELECT r.year, r.month, r.row, r.col, {combined} AS value FROM ({body}) r "
+        f"JOIN base_{variable} b ON b.row = r.row AND b.col = r.col AND b.month = r.month"
+    )
+
+
+TAS_ANOMS = _anoms("tas", "c.value - m.clim").format(where="WHERE year >= 2000")
+
+
+@query("delta_pipeline", refine_sql(TAS_ANOMS, "tas", f"CASE WHEN b.inside = 1 THEN {R('b.value + rv', 1)} + 0e0 END"))
+def delta_pipeline(spark, sf):
+    """Temperature: climatology 1995-1999, additive anomalies of the later years on the
+    fine baseline, rounded to one decimal, masked."""
+    coarse, fine = cube.grids(spark, sf)
+    past, later = _split(spark, sf)
+    refined = delta.delta_pipeline(
+        past.drop("variable"), cube.baseline(spark, sf), coarse, fine, future=later.drop("variable"),
+        begin=cube.BEGIN, end=cube.END, post=policy.variable_policy("tas").post(), mask=cube.fine_mask(spark, sf),
+    )
+    return refined.select(*YMRC, (F.col("value") + 0.0).alias("value"))
+
+
+CLT_ANOMS = _anoms("clt", "CASE WHEN m.clim <> 0 THEN c.value / m.clim END").format(where="")
+
+
+@query(
+    "delta_pipeline_mult",
+    refine_sql(CLT_ANOMS, "clt", f"{R6('CASE WHEN b.value * rv < 0 THEN 0 WHEN b.value * rv > 100 THEN 100 ELSE b.value * rv END')}"),
+)
+def delta_pipeline_mult(spark, sf):
+    """Cloud over all years: ratios on the fine baseline, kept in 0..100."""
+    coarse, fine = cube.grids(spark, sf)
+    c = cube.cells(spark, sf, "clt").drop("variable", "scenario")
+    refined = delta.delta_pipeline(
+        c, cube.baseline(spark, sf, "clt"), coarse, fine, begin=cube.BEGIN, end=cube.END, operation="mult",
+        post=values.clamp_cloud,
+    )
+    return out(refined)
+
+
+MINMAX_ANOMS = (
+    "anoms AS (SELECT year, month, row, col, x.value - m.value AS value FROM cells_tasmax x JOIN cells_tas m USING (year, month, row, col) WHERE year >= 2000), "
+    "mean AS (SELECT year, month, row, col, c.value - m.clim AS value FROM cells_tas c JOIN clim_tas m USING (row, col, month) WHERE year >= 2000)"
+)
+
+
+@query(
+    "delta_pipeline_minmax",
+    f"WITH {MINMAX_ANOMS} SELECT d.year, d.month, d.row, d.col, {R6('b.value + m.rv + d.rv')} AS value "
+    f"FROM ({bilinear_sql('anoms')}) d JOIN ({bilinear_sql('mean')}) m USING (year, month, row, col) "
+    "JOIN base_tas b ON b.row = d.row AND b.col = d.col AND b.month = d.month",
+)
+def delta_pipeline_minmax(spark, sf):
+    """Maximum temperature on the refined mean series of the later years."""
+    coarse, fine = cube.grids(spark, sf)
+    past, later = _split(spark, sf)
+    mean = delta.delta_pipeline(
+        past.drop("variable"), cube.baseline(spark, sf), coarse, fine, future=later.drop("variable"),
+        begin=cube.BEGIN, end=cube.END,
+    )
+    extreme = cube.cells(spark, sf, "tasmax").where(F.col("year") >= 2000)
+    return out(delta.delta_pipeline_minmax(extreme, later, mean, coarse, fine))
+
+
+@query("delta_pipeline_farfuture", refine_sql(TAS_ANOMS, "tas", R6("b.value + rv")))
+def delta_pipeline_farfuture(spark, sf):
+    coarse, fine = cube.grids(spark, sf)
+    past, later = (d.drop("scenario") for d in _split(spark, sf))
+    refined = delta.delta_pipeline_farfuture(
+        past, later, cube.baseline(spark, sf), coarse, fine, begin=cube.BEGIN, end=cube.END
+    )
+    return out(refined)
+
+
+# ---- precipitation -----------------------------------------------------------------
+
+P95 = (
+    "p AS (SELECT year, month, quantile_cont(value, 0.95) AS p FROM {src} JOIN sup USING (row, col) WHERE inside = 1 AND value IS NOT NULL GROUP BY year, month), "
+    "cap AS (SELECT c.year, c.month, any_value(p.p) AS p, arg_min(c.value, abs(c.value - p.p) * 1e6 + c.value * 1e-3) AS cap "
+    "FROM {src} c JOIN sup USING (row, col) JOIN p ON p.year = c.year AND p.month = c.month WHERE inside = 1 AND c.value IS NOT NULL GROUP BY c.year, c.month)"
+)
+
+
+@query("aoi_p95", f"WITH {P95.format(src='cells_pr')} SELECT year, month, {R6('p')} AS quantile, cap AS nearest FROM cap")
+def aoi_p95(spark, sf):
+    c = cube.cells(spark, sf, "pr").drop("scenario", "variable")
+    return precip.aoi_p95(c, cube.mask(spark, sf)).select("year", "month", r6("quantile").alias("quantile"), "nearest")
+
+
+def _pr(spark, sf):
+    return cube.cells(spark, sf, "pr").drop("scenario", "variable")
+
+
+CORRECT = "CASE WHEN c.value < 0.5 THEN {low} WHEN c.value > cap THEN cap ELSE c.value END"
+
+
+@query(
+    "correct_values",
+    f"WITH {P95.format(src='cells_pr')} SELECT c.year, c.month, row, col, {CORRECT.format(low='NULL')} AS value "
+    "FROM cells_pr c JOIN cap USING (year, month)",
+)
+def correct_values(spark, sf):
+    return precip.correct_values(_pr(spark, sf), cube.mask(spark, sf)).select(*YMRC, "value")
+
+
+@query(
+    "correct_unmasked",
+    "WITH cap AS (SELECT year, month, quantile_cont(value, 0.95) AS cap FROM cells_pr GROUP BY year, month) "
+    f"SELECT c.year, c.month, row, col, {R6(CORRECT.format(low='NULL'))} AS value FROM cells_pr c JOIN cap USING (year, month)",
+)
+def correct_unmasked(spark, sf):
+    return out(precip.correct_unmasked(_pr(spark, sf)))
+
+
+BOUND = (
+    "bound AS (SELECT a.row, a.col FROM (SELECT row, col FROM gappy_pr WHERE year = 1995 AND month = 1 AND value IS NOT NULL) a, g "
+    "LEFT JOIN (SELECT row, col FROM gappy_pr WHERE year = 1995 AND month = 1 AND value IS NOT NULL) b "
+    "ON abs(a.row - b.row) + abs(a.col - b.col) = 1 GROUP BY a.row, a.col, nx, ny "
+    "HAVING count(b.row) < CASE WHEN a.row > 0 THEN 1 ELSE 0 END + CASE WHEN a.row < ny - 1 THEN 1 ELSE 0 END "
+    "+ CASE WHEN a.col > 0 THEN 1 ELSE 0 END + CASE WHEN a.col < nx - 1 THEN 1 ELSE 0 END)"
+)
+
+
+def _gappy_pr(spark, sf):
+    return cube.gappy(spark, sf, "pr").drop("scenario", "variable")
+
+
+def _boundary(spark, sf):
+    coarse, _ = cube.grids(spark, sf)
+    return neighbors.find_boundary(_gappy_pr(spark, sf), coarse)
+
+
+@query("find_boundary", f"WITH {BOUND} SELECT row, col FROM bound")
+def find_boundary(spark, sf):
+    return _boundary(spark, sf).select("row", "col")
+
+
+EDGE = (
+    f"edge AS (SELECT c.year, c.month, c.row, c.col, b.row IS NOT NULL AS is_boundary, CASE WHEN b.row IS NULL THEN c.value "
+    f"ELSE {CORRECT.format(low='0.5')} END AS value FROM gappy_pr c JOIN cap USING (year, month) LEFT JOIN bound b ON b.row = c.row AND b.col = c.col)"
+)
+
+
+@query("correct_boundary", f"WITH {BOUND}, {P95.format(src='gappy_pr')}, {EDGE} SELECT year, month, row, col, value FROM edge")
+def correct_boundary(spark, sf):
+    flagged = precip.with_boundary(_gappy_pr(spark, sf), _boundary(spark, sf))
+    return precip.correct_boundary(flagged, cube.mask(spark, sf)).select(*YMRC, "value")
+
+
+P95_2 = P95.format(src="edge").replace("p AS (", "p2 AS (", 1).replace("cap AS (SELECT", "cap2 AS (SELECT").replace("JOIN p ON", "JOIN p2 p ON")
+
+
+@query(
+    "correct_inner",
+    f"WITH {BOUND}, {P95.format(src='gappy_pr')}, {EDGE}, {P95_2} SELECT c.year, c.month, row, col, "
+    f"CASE WHEN is_boundary THEN c.value ELSE {CORRECT.format(low='NULL')} END AS value FROM edge c JOIN cap2 USING (year, month)",
+)
+def correct_inner(spark, sf):
+    flagged = precip.with_boundary(_gappy_pr(spark, sf), _boundary(spark, sf))
+    m = cube.mask(spark, sf)
+    edge = cut_lineage(precip.correct_boundary(flagged, m))
+    return precip.correct_inner(edge, m).select(*YMRC, "value")
+
+
+@query("floor_half", "SELECT year, month, row, col, CASE WHEN value < 0.5 THEN 0.5e0 ELSE value END AS value FROM gappy_pr")
+def floor_half(spark, sf):
+    return precip.floor_half(_gappy_pr(spark, sf)).select(*YMRC, "value")
+
+
+@query("fix_precip", FILL.format(
+    src="SELECT c.year, c.month, c.row, c.col, " + CORRECT.format(low="NULL") + " AS value FROM cells_pr c JOIN cap USING (year, month)"
+).replace("WITH dense", f"WITH {P95.format(src='cells_pr')}, dense", 1)
+    + f"SELECT year, month, row, col, {R6('CASE WHEN value < 0.5 THEN 0.5e0 ELSE value END')} AS value FROM filled")
+def fix_precip(spark, sf):
+    """The corrected series; the climatology goes through the same steps."""
+    coarse, _ = cube.grids(spark, sf)
+    series, _ = precip.fix_precip(_pr(spark, sf), coarse, cube.BEGIN, cube.END, cube.mask(spark, sf))
+    return out(series)
+
+
+@query("fix_precip_climatology")
+def fix_precip_climatology(spark, sf):
+    """The corrected climatology, with the boundary treated apart."""
+    coarse, _ = cube.grids(spark, sf)
+    _, clim = precip.fix_precip(_gappy_pr(spark, sf), coarse, cube.BEGIN, cube.END, cube.mask(spark, sf), find_bounds=True)
+    return clim.select("month", "row", "col", r6("clim").alias("value"))

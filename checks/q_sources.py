@@ -10,6 +10,7 @@ from climgrid.functions import calendar, values
 from climgrid.operators import aggregate, select
 from climgrid.schema import CELLS_DDL
 from climgrid.sources import catalog, series, sinks, text
+from climgrid.storage import work_folder
 
 V = ("scenario", "year", "month", "row", "col", "value")
 CELLS = "SELECT scenario, year, month, row, col, value FROM cells_tas"
@@ -18,7 +19,7 @@ CELLS = "SELECT scenario, year, month, row, col, value FROM cells_tas"
 @query("scan_series", CELLS + " WHERE year BETWEEN 1996 AND 1998")
 def scan_series(spark, sf):
     """Cells stored in the partitioned layout and read back with pushed filters."""
-    path = sinks.work_folder(spark, "series")
+    path = work_folder(spark, "series")
     sinks.sink_grid(series.with_identity(cube.cells(spark, sf), model="obs"), path)
     return series.scan_series(spark, path, variable="tas", model="obs", begin=1996, end=1998).select(*V)
 
@@ -32,7 +33,7 @@ def scan_multi(spark, sf):
 
 @query("scan_baseline", "SELECT row, col, month, value FROM base_tas")
 def scan_baseline(spark, sf):
-    path = sinks.work_folder(spark, "baseline")
+    path = work_folder(spark, "baseline")
     cube.baseline(spark, sf).write.parquet(path)
     return series.scan_baseline(spark, path)
 
@@ -67,7 +68,7 @@ def point_lines(spark, sf, cv: bool = True):
 @query("scan_point_climatology", POINTS)
 def scan_point_climatology(spark, sf):
     """Gzipped text with latitude, longitude, twelve months and twelve columns to drop."""
-    path = sinks.work_folder(spark, "points")
+    path = work_folder(spark, "points")
     point_lines(spark, sf).write.option("compression", "gzip").text(path)
     return text.scan_point_climatology(spark, path)
 
@@ -211,14 +212,14 @@ def anti_derived(spark, sf):
 
 @query("sink_grid", CELLS)
 def sink_grid(spark, sf):
-    path = sinks.work_folder(spark, "grid")
+    path = work_folder(spark, "grid")
     sinks.sink_grid(cube.cells(spark, sf), path)
     return spark.read.parquet(path).select(*V)
 
 
 @query("sink_prepped", CELLS)
 def sink_prepped(spark, sf):
-    path = sinks.work_folder(spark, "prepped")
+    path = work_folder(spark, "prepped")
     sinks.sink_prepped(cube.cells(spark, sf), path)
     return spark.read.parquet(path).select(*V)
 
@@ -234,7 +235,7 @@ def sink_anomaly(spark, sf):
     clim = climate.climatology(c, cube.BEGIN, cube.END, by=["row", "col"])
     anom = climate.anomaly(c, clim, "add").withColumnRenamed("value", "anomaly")
     both = anom.withColumn("value", F.col("anomaly") * 2)
-    out, side = sinks.work_folder(spark, "out"), sinks.work_folder(spark, "anom")
+    out, side = work_folder(spark, "out"), work_folder(spark, "anom")
     sinks.sink_with_anomaly(both, out, side)
     return spark.read.parquet(side).select("year", "month", "row", "col", r6("value").alias("anomaly"))
 
@@ -251,7 +252,7 @@ def zonal_table(spark, sf, variable="tas"):
 
 @query("sink_summary_json", f"SELECT zone_id, month, {R6('mean')} AS mean, min, max FROM ({ZONAL})")
 def sink_summary_json(spark, sf):
-    path = sinks.work_folder(spark, "summary")
+    path = work_folder(spark, "summary")
     sinks.sink_summary_json(zonal_table(spark, sf), path, ["zone_id"], ["mean", "min", "max"])
     schema = "zone_id int, months map<string, struct<mean: double, min: double, max: double>>"
     back = spark.read.schema(schema).json(path)
@@ -266,7 +267,7 @@ def _wide(metric, v):
 
 @query("sink_summary_csv", f"SELECT zone_id, {_wide('max', 'max')} FROM ({ZONAL}) GROUP BY zone_id")
 def sink_summary_csv(spark, sf):
-    path = sinks.work_folder(spark, "summary")
+    path = work_folder(spark, "summary")
     sinks.sink_summary_csv(zonal_table(spark, sf), path, ["zone_id"], ["max"])
     schema = "zone_id int, " + ", ".join(f"`{m:02d}` string" for m in range(1, 13))
     return spark.read.schema(schema).csv(f"{path}/max", header=True)

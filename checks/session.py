@@ -19,6 +19,8 @@ def session(cpus: str | int = "*") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # a method over 8000 bytes is never JIT-compiled: let such stages use smaller ones
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="climgrid-checkpoint-"))
     )
     spark = builder.getOrCreate()

@@ -7,7 +7,7 @@ mid-months.  Which crossings count depends on how many there are.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Days used when a thaw or freeze is known but not seen in the year.
 EARLY_THAW, LATE_FREEZE, NEVER = 15, 350, 365
@@ -41,38 +41,51 @@ def freeze_day(x: Column, i: Column) -> Column:
     return F.lit(350) - (F.lit(10) - i) * 30 - _share(x, i + 1, i)
 
 
-def _pick_pair(idx: Column) -> tuple[Column, Column]:
-    """With more than two crossings: the crossings that close the two longest
-    spells (the last one wins a tie), with the spell positions counted as if the
-    longest had been taken out before the second search."""
-    p = F.concat(F.array(F.lit(0)), F.transform(idx, lambda i: i + 1))
-    n = F.size(idx)
-    gaps = F.transform(F.sequence(F.lit(1), n), lambda k: F.get(p, k) - F.get(p, k - 1))
+def spells(idx: Column) -> Column:
+    """Months where a spell begins: January and the month after each crossing."""
+    return F.concat(F.array(F.lit(0)), F.transform(idx, lambda i: i + 1))
 
-    def last_max(a: Column) -> Column:
-        return F.size(a) - F.array_position(F.reverse(a), F.array_max(a)).cast("int") + 1
 
-    m1 = last_max(gaps)
-    rest = F.filter(gaps, lambda g, k: k != m1 - 1)
-    m2 = last_max(rest)
-    m2 = F.when(m1 == m2, m2 - 1).otherwise(m2)
-    lo, hi = F.least(m1, m2), F.greatest(m1, m2)
-    return F.get(p, lo) - 1, F.get(p, hi) - 1
+def spell_lengths(starts: Column) -> Column:
+    """Lengths of the spells that end in a crossing."""
+    return F.transform(F.sequence(F.lit(1), F.size(starts) - 1), lambda k: F.get(starts, k) - F.get(starts, k - 1))
 
 
-def freeze_thaw_days(months: Column, r_compat: bool = False) -> Column:
-    """STRUCT<dof, dot, grow, kase> of a 12-vector.
+def last_longest(lengths: Column) -> Column:
+    """1-based position of the greatest length, the last one of a tie."""
+    back = F.array_position(F.reverse(lengths), F.array_max(lengths)).cast("int")
+    return F.size(lengths) - back + 1
 
-    ``r_compat`` moves the split between a spurious early freeze and a spurious
-    late thaw one month earlier.
-    """
-    x = zero_as_frozen(months)
-    idx = sign_transitions(x)
-    n = F.size(idx)
-    first, i0, i1 = F.get(x, F.lit(0)), F.get(idx, F.lit(0)), F.get(idx, F.lit(1))
-    q0, q1 = _pick_pair(idx)
-    late = i0 >= (6 if r_compat else 7)
 
+def without(lengths: Column, position: Column) -> Column:
+    return F.filter(lengths, lambda _, k: k != position - 1)
+
+
+def with_freeze_thaw(df: DataFrame, months: str = "months", r_compat: bool = False) -> DataFrame:
+    """Add dof, dot, grow and kase from an ARRAY column of twelve monthly means.
+
+    With more than two crossings, the ones that close the two longest spells count;
+    the second is searched with the first taken out and keeps its position in that
+    shorter list, one less if both are then equal.  ``r_compat`` moves the split
+    between a spurious early freeze and a spurious late thaw one month earlier.
+
+    The steps are separate projections, so that each intermediate array is computed
+    once per row instead of once per mention.
+    """
+    x, idx, n, first = F.col("_x"), F.col("_idx"), F.col("_n"), F.get("_x", F.lit(0))
+    i0, i1 = F.get(idx, F.lit(0)), F.get(idx, F.lit(1))
+    m1, m2, p = F.col("_m1"), F.col("_m2"), F.col("_p")
+    many = lambda c: F.when(n > 2, c)
+    out = df.withColumn("_x", zero_as_frozen(F.col(months)))
+    out = out.withColumn("_idx", sign_transitions(x))
+    out = out.withColumns({"_n": F.size(idx), "_i0": i0, "_i1": i1, "_p": F.when(F.size(idx) > 2, spells(idx))})
+    out = out.withColumn("_g", many(spell_lengths(p)))
+    out = out.withColumn("_m1", last_longest(F.col("_g")))
+    out = out.withColumn("_m2", last_longest(without(F.col("_g"), m1)))
+    out = out.withColumn("_m2", F.when(m1 == m2, m2 - 1).otherwise(m2))
+    out = out.withColumns({"_q0": F.get(p, F.least(m1, m2)) - 1, "_q1": F.get(p, F.greatest(m1, m2)) - 1})
+
+    late = F.col("_i0") >= (6 if r_compat else 7)
     kase = (
         F.when(F.exists(x, lambda v: v.isNull()), 1)
         .when((n == 0) & (first > 0), 2)
@@ -84,22 +97,28 @@ def freeze_thaw_days(months: Column, r_compat: bool = False) -> Column:
         .when(n == 2, 7)
         .otherwise(8)
     )
+    out = out.withColumn("kase", kase)
+    # the crossing that gives each day, if the case has one
+    k = F.col("kase")
+    out = out.withColumns(
+        {
+            "_t": F.when(k.isin(0, 4), F.col("_i0")).when(k == 7, F.col("_i1")).when(k == 8, F.col("_q0")),
+            "_f": F.when(k.isin(5, 6), F.col("_i0")).when(k == 0, F.col("_i1")).when(k == 8, F.col("_q1")),
+        }
+    )
     never = F.lit(float(NEVER))
     dot = (
-        F.when(kase == 2, 0.0)
-        .when(kase == 3, never)
-        .when(kase.isin(0, 4), thaw_day(x, i0))
-        .when(kase.isin(5, 6), F.lit(float(EARLY_THAW)))
-        .when(kase == 7, thaw_day(x, i1))
-        .when(kase == 8, thaw_day(x, q0))
+        F.when(k == 2, 0.0)
+        .when(k == 3, never)
+        .when(k.isin(5, 6), F.lit(float(EARLY_THAW)))
+        .when(k != 1, thaw_day(x, F.col("_t")))
     )
     dof = (
-        F.when(kase == 2, never)
-        .when(kase == 3, 0.0)
-        .when(kase.isin(4, 7), F.lit(float(LATE_FREEZE)))
-        .when(kase.isin(5, 6), freeze_day(x, i0))
-        .when(kase == 0, freeze_day(x, i1))
-        .when(kase == 8, freeze_day(x, q1))
+        F.when(k == 2, never)
+        .when(k == 3, 0.0)
+        .when(k.isin(4, 7), F.lit(float(LATE_FREEZE)))
+        .when(k != 1, freeze_day(x, F.col("_f")))
     )
-    grow = F.when(kase == 3, 0.0).otherwise(dof - dot)
-    return F.struct(dof.alias("dof"), dot.alias("dot"), grow.alias("grow"), kase.alias("kase"))
+    out = out.withColumns({"dof": dof, "dot": dot})
+    out = out.withColumn("grow", F.when(k == 3, 0.0).otherwise(F.col("dof") - F.col("dot")))
+    return out.select(*df.columns, "kase", "dof", "dot", "grow")

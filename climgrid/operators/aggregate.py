@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from climgrid.functions import calendar
+from climgrid.functions.values import rint_places
 from climgrid.schema import cell_cols, month_index, present, series_cols, SERIES, TIME
 
 ENSEMBLE = "5ModelAvg"  # fixed value: name of the five-model mean
@@ -132,7 +133,7 @@ def _decade_mean(df: DataFrame, year: str, members: int, extra: list[str] = [])
     )
 
 
-def summer_warmth(df: DataFrame, months=(5, 6, 7, 8, 9)) -> DataFrame:
+def summer_warmth(df: DataFrame, months=(5, 6, 7, 8, 9), places: int | None = 1) -> DataFrame:
     """Sum of the above-zero monthly means of May-September per year (or decade) and
     cell; NULL unless all five months have a value."""
     by = [c for c in ("year", "decade") if c in df.columns]
@@ -141,7 +142,7 @@ def summer_warmth(df: DataFrame, months=(5, 6, 7, 8, 9)) -> DataFrame:
         df.where(F.col("month").isin(*months))
         .groupBy(*series_cols(df), *by, *cell_cols(df))
         .agg(F.sum(F.when(F.col("value").isNotNull(), warm)).alias("_s"), F.count("value").alias("_n"))
-        .withColumn("value", F.when(F.col("_n") == len(months), F.rint(F.col("_s") * 10.0) / 10.0))
+        .withColumn("value", F.when(F.col("_n") == len(months), F.col("_s") if places is None else rint_places(F.col("_s"), places)))
         .drop("_s", "_n")
     )
 

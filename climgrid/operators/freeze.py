@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from climgrid.functions.freeze_thaw import freeze_thaw_days
+from climgrid.functions.freeze_thaw import with_freeze_thaw
 from climgrid.operators.aggregate import decadal_monthly_any, month_vector
 from climgrid.schema import SERIES, TIME, cell_cols, present, series_cols
 
@@ -12,8 +12,7 @@ from climgrid.schema import SERIES, TIME, cell_cols, present, series_cols
 def freeze_thaw(df: DataFrame, r_compat: bool = False) -> DataFrame:
     """dof, dot, grow and kase per series, year (or decade) and cell."""
     by = series_cols(df) + [c for c in ("year", "decade") if c in df.columns] + cell_cols(df)
-    v = month_vector(df, by)
-    return v.select(*by, freeze_thaw_days(F.col("months"), r_compat).alias("_f")).select(*by, "_f.*")
+    return with_freeze_thaw(month_vector(df, by), "months", r_compat).drop("months")
 
 
 def freeze_thaw_decadal(df: DataFrame) -> DataFrame:

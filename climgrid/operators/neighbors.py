@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from climgrid.grid import Grid
 from climgrid.schema import SERIES, TIME, present, shared
+from climgrid.storage import cut_lineage
 
 ROOK = ((-1, 0), (0, -1), (0, 1), (1, 0))
 QUEEN = ROOK + ((-1, -1), (-1, 1), (1, -1), (1, 1))
@@ -82,7 +83,7 @@ def fill_mask_iterative(df: DataFrame, mask: DataFrame, max_rounds: int = 100) -
     keys = shared(df, mask, ("grid_id", "row", "col"))
     names = df.columns
     now = df.join(mask.select(*keys, "inside"), keys, "left")
-    now = now.withColumn("value", F.when(F.col("inside") == 1, F.col("value"))).checkpoint()
+    now = cut_lineage(now.withColumn("value", F.when(F.col("inside") == 1, F.col("value"))))
     hole = (F.col("inside") == 1) & F.col("value").isNull()
     left = now.where(hole).count()
     for _ in range(max_rounds):
@@ -90,12 +91,8 @@ def fill_mask_iterative(df: DataFrame, mask: DataFrame, max_rounds: int = 100) -
             break
         fills = neighbor_mean(now, now.where(hole))
         whole = F.when(F.col("fill") < 0, F.ceil("fill")).otherwise(F.floor("fill")).cast("double")
-        now = (
-            now.join(fills, by + ["row", "col"], "left")
-            .withColumn("value", F.coalesce(F.col("value"), whole))
-            .drop("fill")
-            .checkpoint()
-        )
+        filled = now.join(fills, by + ["row", "col"], "left")
+        now = cut_lineage(filled.withColumn("value", F.coalesce(F.col("value"), whole)).drop("fill"))
         before, left = left, now.where(hole).count()
         if left == before:
             break

@@ -9,6 +9,7 @@ from climgrid.operators.climate import climatology
 from climgrid.operators.gaps import fill_gaps_linear
 from climgrid.operators.neighbors import boundary_of, find_boundary
 from climgrid.schema import SERIES, TIME, present, shared
+from climgrid.storage import cut_lineage
 
 FLOOR = 0.5  # fixed value: least amount that counts as precipitation
 
@@ -17,22 +18,21 @@ def slice_quantile(df: DataFrame, by: list[str], q: float, bins: int = 1024) ->
     """Exact quantile per slice with linear interpolation: ``quantile`` and
     ``nearest``, the actual value closest to it (the smaller one of a tie).
 
-    A slice may be a very large grid, so it is never sorted in one task.  Counts per
+    A slice may be a very large grid, so it is never sorted or held in one task.  Equal
+    values fold first; every later step starts from that one exchange.  Counts per
     equal-width bin (at most ``bins`` rows per slice) tell which one or two bins hold
-    the wanted ranks; only their distinct values are ranked.  The value closest to an
-    interpolated quantile is always one of the two order statistics around it.
+    the wanted ranks, and only the values of those are ranked.  The value closest to
+    an interpolated quantile is one of the two order statistics around it.
     """
     v = F.col("value")
-    data = df.where(v.isNotNull()).select(*by, "value")
-    stats = data.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+    values = df.where(v.isNotNull()).groupBy(*by, "value").agg(F.count(F.lit(1)).alias("_c"))
+    stats = values.groupBy(*by).agg(F.sum("_c").alias("_n"), F.min("value").alias("_lo"), F.max("value").alias("_hi"))
     share = F.try_divide(v - F.col("_lo"), F.col("_hi") - F.col("_lo"))
     bin_ = F.least(F.lit(bins - 1), F.floor(F.coalesce(share, F.lit(0.0)) * bins)).cast("int")
-    binned = data.join(stats, by).withColumn("_bin", bin_)
+    binned = values.join(stats, by).withColumn("_bin", bin_)
 
     pos = (F.col("_n") - 1) * F.lit(float(q))
-    counts = binned.groupBy(*by, "_bin").agg(
-        F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n")
-    )
+    counts = binned.groupBy(*by, "_bin").agg(F.sum("_c").alias("_c"), F.first("_n").alias("_n"))
     upto = F.sum("_c").over(Window.partitionBy(*by).orderBy("_bin"))
     counts = counts.withColumns({"_before": upto - F.col("_c"), "_pos": pos})
     # ranks are 0-based: a bin holds ranks _before .. _before + _c - 1
@@ -40,9 +40,7 @@ def slice_quantile(df: DataFrame, by: list[str], q: float, bins: int = 1024) ->
     holds = lambda k: (k >= F.col("_before")) & (k < F.col("_before") + F.col("_c"))
     wanted = counts.where(holds(k0) | holds(k1)).select(*by, "_bin", "_before", "_pos")
 
-    # the bins asked for: distinct values with their counts, ranked inside the bin
-    values = binned.groupBy(*by, "_bin", "value").agg(F.count(F.lit(1)).alias("_c"))
-    near = values.join(wanted, by + ["_bin"])
+    near = binned.select(*by, "_bin", "value", "_c").join(wanted, by + ["_bin"])
     run = F.sum("_c").over(Window.partitionBy(*by, "_bin").orderBy("value"))
     near = near.withColumn("_last", F.col("_before") + run - 1)
     at = lambda k: F.min(F.when(F.col("_last") >= k, v))
@@ -121,8 +119,9 @@ def floor_half(df: DataFrame) -> DataFrame:
 def _correct(df: DataFrame, mask, boundary: DataFrame | None) -> DataFrame:
     if boundary is None:
         return correct_values(df, mask)
-    flagged = with_boundary(df, boundary)
-    return correct_inner(correct_boundary(flagged, mask), mask).drop("is_boundary")
+    # the second percentile is taken after the first step: that step is computed once
+    edge = cut_lineage(correct_boundary(with_boundary(df, boundary), mask))
+    return correct_inner(edge, mask).drop("is_boundary")
 
 
 def fix_precip(
@@ -137,8 +136,10 @@ def fix_precip(
 
     Both are limited, gap-filled and floored, the climatology first.  With
     ``find_bounds`` the boundary comes from the first timestep (January for the
-    climatology).
+    climatology).  Runs at once: inputs that several steps read are stored in the
+    checkpoint folder.
     """
+    df = cut_lineage(df)  # read by the climatology, the percentiles and the correction
     clim = climatology(df, begin, end).withColumnRenamed("clim", "value")
     bound = clim_bound = None
     if find_bounds:

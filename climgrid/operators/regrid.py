@@ -10,8 +10,6 @@ size nor aggregated.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from climgrid.grid import Grid, snap
@@ -21,27 +19,25 @@ REGRID_METHODS = ("nearest", "bilinear", "cubic", "cubic_spline", "lanczos", "av
 _SPAN = {"bilinear": (0, 1), "cubic": (-1, 2), "cubic_spline": (-1, 2), "lanczos": (-2, 3)}
 
 
-def _weight(method: str, t: Column, k: int) -> Column:
-    """Weight of the source cell ``k`` cells after the anchor, for a target ``t``
-    (0..1) of a cell past the anchor."""
+def _weight(method: str, t: str, k: int) -> str:
+    """SQL of the weight of the source cell ``k`` cells after the anchor, for a target
+    ``t`` (0..1) of a cell past the anchor."""
     if method == "bilinear":
-        return F.lit(1.0) - t if k == 0 else t
-    d = F.abs(t - float(k))
+        return f"1D - {t}" if k == 0 else t
+    d = f"abs({t} - {k}D)"
     if method == "cubic":
-        near = (d * 1.5 - 2.5) * d * d + 1.0
-        far = ((d * -0.5 + 2.5) * d - 4.0) * d + 2.0
+        near, far = f"(1.5D * {d} - 2.5D) * {d} * {d} + 1D", f"((2.5D - 0.5D * {d}) * {d} - 4D) * {d} + 2D"
     elif method == "cubic_spline":
-        near = (d * 0.5 - 1.0) * d * d + 2.0 / 3.0
-        far = (F.lit(2.0) - d) * (F.lit(2.0) - d) * (F.lit(2.0) - d) / 6.0
+        near, far = f"(0.5D * {d} - 1D) * {d} * {d} + 2D / 3D", f"(2D - {d}) * (2D - {d}) * (2D - {d}) / 6D"
     else:
-        p = d * math.pi
-        sinc = F.sin(p) * F.sin(p / 3.0) * 3.0 / (p * p)
-        return F.when(d < 1e-9, F.lit(1.0)).when(d < 3.0, sinc).otherwise(F.lit(0.0))
-    return F.when(d <= 1.0, near).when(d < 2.0, far).otherwise(F.lit(0.0))
+        sinc = f"3D * sin(pi() * {d}) * sin(pi() * {d} / 3D) / (pi() * pi() * {d} * {d})"
+        return f"CASE WHEN {d} < 1e-9D THEN 1D WHEN {d} < 3D THEN {sinc} ELSE 0D END"
+    return f"CASE WHEN {d} <= 1D THEN {near} WHEN {d} < 2D THEN {far} ELSE 0D END"
 
 
 def stencils(src: DataFrame, grid: Grid, method: str) -> DataFrame:
-    """One row per (series, time, anchor) with the values around the anchor.
+    """One row per (series, time, anchor) with the values around the anchor, 0 where
+    there is none, and the bits of ``_seen`` telling which are there.
 
     A source cell is sent to each anchor it can serve, and a conditional ``max``
     places it: at most one source value exists per place, so rows combine
@@ -60,26 +56,28 @@ def stencils(src: DataFrame, grid: Grid, method: str) -> DataFrame:
         F.col("o.j").alias("j"),
         "value",
     )
-    return sent.groupBy(*keys, "r0", "c0").agg(
-        *[F.max(F.when((F.col("i") == i) & (F.col("j") == j), F.col("value"))).alias(_place(i, j)) for i, j in places]
+    gathered = sent.groupBy(*keys, "r0", "c0").agg(
+        *[F.expr(f"max(CASE WHEN i = {i} AND j = {j} THEN value END) AS {_place(i, j)}") for i, j in places]
     )
+    seen = " + ".join(f"CASE WHEN {_place(i, j)} IS NOT NULL THEN {1 << k}L ELSE 0L END" for k, (i, j) in enumerate(places))
+    filled = [f"coalesce({_place(i, j)}, 0D) AS {_place(i, j)}" for i, j in places]
+    return gathered.selectExpr(*keys, "r0", "c0", f"{seen} AS _seen", *filled)
 
 
 def _place(i: int, j: int) -> str:
-    return f"v_{i - -2}_{j - -2}"
+    return f"_v{i + 2}{j + 2}"
 
 
-def _weighted_mean(method: str, tx: Column, ty: Column) -> Column:
-    """Sum of w*v over sum of w, over the source values that are there."""
-    lo, hi = _SPAN[method]
-    num, den = F.lit(0.0), F.lit(0.0)
-    for i in range(lo, hi + 1):
-        for j in range(lo, hi + 1):
-            v = F.col(_place(i, j))
-            w = _weight(method, ty, i) * _weight(method, tx, j)
-            num = num + F.coalesce(w * v, F.lit(0.0))
-            den = den + F.when(v.isNotNull(), w).otherwise(F.lit(0.0))
-    return F.when(F.abs(den) > 1e-9, num / den)
+def _weighted_mean(places: list[tuple[int, int]], lo: int) -> Column:
+    """Sum of w*v over sum of w, over the source values that are there.
+
+    All inputs are non-NULL columns (absent values are 0 and marked in ``_seen``), so
+    the generated code is short arithmetic even for 36 places.
+    """
+    w = [f"_wy{i - lo} * _wx{j - lo}" for i, j in places]
+    num = " + ".join(f"{w[k]} * {_place(i, j)}" for k, (i, j) in enumerate(places))
+    den = " + ".join(f"{w[k]} * CAST((shiftright(_seen, {k}) & 1) AS DOUBLE)" for k in range(len(places)))
+    return F.expr(f"CASE WHEN abs({den}) > 1e-9D THEN ({num}) / ({den}) END")
 
 
 def regrid(
@@ -94,8 +92,9 @@ def regrid(
 
     ``target`` holds ``row``, ``col`` of the target grid and any other columns,
     which are kept; ``on`` names further equi-join keys (``("month",)`` joins a
-    monthly baseline in the same step).  A target cell whose kernel finds no source
-    value is not returned.  Both sides may be large: Spark picks broadcast or
+    monthly baseline in the same step).  A target cell with no source value around it
+    is not returned; one whose source values all have weight zero is NULL.  (Filtering
+    those would make Spark evaluate the kernel a second time, in the join.)  Both sides may be large: Spark picks broadcast or
     shuffle by size, and the number of target cells per anchor is fixed by the
     ratio of the grids, so anchors carry even loads.
     """
@@ -113,20 +112,16 @@ def regrid(
             *present(src, SERIES + TIME), F.col("row").alias("r0"), F.col("col").alias("c0"), "value"
         )
         return here.join(placed, keys).drop("r0", "c0")
-    placed = target.withColumns(
-        {
-            "r0": F.floor(fy).cast("int"),
-            "c0": src_grid.wrap(F.floor(fx).cast("int")),
-            "_ty": snap(fy - F.floor(fy)),
-            "_tx": snap(fx - F.floor(fx)),
-        }
-    )
-    around = stencils(src, src_grid, method)
-    joined = around.join(placed, keys)
+    # the weights are columns of the target, made before it is joined with the time axis
     lo, hi = _SPAN[method]
-    parts = [_place(i, j) for i in range(lo, hi + 1) for j in range(lo, hi + 1)]
-    out = joined.withColumn("value", _weighted_mean(method, F.col("_tx"), F.col("_ty")))
-    return out.drop("r0", "c0", "_tx", "_ty", *parts).where(F.col("value").isNotNull())
+    places = [(i, j) for i in range(lo, hi + 1) for j in range(lo, hi + 1)]
+    weights = {f"_w{t}{k - lo}": F.expr(_weight(method, f"_t{t}", k)) for t in "yx" for k in range(lo, hi + 1)}
+    anchor = {"r0": F.floor(fy).cast("int"), "c0": src_grid.wrap(F.floor(fx).cast("int"))}
+    placed = target.withColumns(anchor | {"_ty": snap(fy - F.floor(fy)), "_tx": snap(fx - F.floor(fx))})
+    placed = placed.withColumns(weights).drop("_ty", "_tx")
+    joined = stencils(src, src_grid, method).join(placed, keys)
+    out = joined.withColumn("value", _weighted_mean(places, lo))
+    return out.drop("r0", "c0", "_seen", *weights, *[_place(i, j) for i, j in places])
 
 
 def to_parent(df: DataFrame, src_grid: Grid, dst_grid: Grid) -> DataFrame:

@@ -2,28 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from climgrid.functions.values import rint_places
 from climgrid.schema import present
+from climgrid.storage import work_folder
 
 LAYOUT = ("variable", "model", "scenario", "year")
 
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's shared ``spark.checkpoint.dir``.  Only a local
-    session, which has a single machine, may go without that setting."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="climgrid-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def sink_grid(df: DataFrame, path: str, mode: str = "overwrite", layout=LAYOUT) -> None:
     """Partitioned Parquet.  ``rebalance`` lets AQE size the files: small partitions are
     merged and a partition that holds most of the rows is split over many tasks."""
