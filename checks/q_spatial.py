@@ -162,8 +162,8 @@ SERIES = ["M0_historical_tas", "M0_rcp60_tas", "M1_historical_tas", "M1_rcp60_ta
     "point_profile",
     "SELECT name, year, month, "
     + ", ".join(f"max(CASE WHEN model || '_' || scenario || '_tas' = '{s}' THEN value END) AS \"{s}\"" for s in SERIES)
-    + " FROM (SELECT c_name AS name, CAST(floor((90 - (89.7e0 - fmod(c_custkey * 7.3e0, 170))) / (180e0 / ny)) AS INTEGER) AS row, "
-    "CAST(floor((fmod(c_custkey * 11.9e0, 359) + 0.3e0) / (360e0 / nx)) AS INTEGER) AS col FROM customer, g) "
+    + " FROM (SELECT c_name AS name, CAST(floor(round_even(((90 - (89.7e0 - fmod(c_custkey * 7.3e0, 170))) / (180e0 / ny) - 0.5e0) * 1e9, 0) / 1e9 + 0.5e0) AS INTEGER) AS row, "
+    "CAST(floor(round_even(((fmod(c_custkey * 11.9e0, 359) + 0.3e0) / (360e0 / nx) - 0.5e0) * 1e9, 0) / 1e9 + 0.5e0) AS INTEGER) AS col FROM customer, g) "
     "JOIN model_tas USING (row, col) GROUP BY ALL",
 )
 def point_profile(spark, sf):
