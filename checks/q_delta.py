@@ -210,7 +210,7 @@ def kernel_sql(method: str) -> str:
     """Weighted mean over the kernel's source cells, one joined row per cell of it."""
     (lo, hi), w = KERNELS[method]
     return (
-        f"SELECT year, month, row, col, CASE WHEN abs(sum(w)) > 1e-9 THEN {R6('sum(w * value) / sum(w)')} END AS value FROM "
+        f"SELECT year, month, row, col, CASE WHEN sum(w) > 1e-6 THEN {R6('sum(w * value) / sum(w)')} END AS value FROM "
         f"(SELECT c.year, c.month, f.row, f.col, {w.format(d='abs(ty - i)')} * {w.format(d='abs(tx - j)')} AS w, c.value FROM "
         "(SELECT row, col, nx, floor(fy) AS r0, floor(fx) AS c0, round_even((fy - floor(fy)) * 1e9, 0) / 1e9 AS ty, "
         f"round_even((fx - floor(fx)) * 1e9, 0) / 1e9 AS tx FROM (SELECT *, {fine_place()} FROM fine)) f "

@@ -146,7 +146,7 @@ def bilinear_sql(anoms: str, target: str = "fine", cols: str = "", on: str = "")
         for j in (0, 1)
     )
     return (
-        f"SELECT * FROM (SELECT p.* EXCLUDE (tx, ty, r0, c0, nx), coalesce(v00, v01, v10, v11) IS NOT NULL AS around, CASE WHEN abs({den}) > 1e-9 THEN ({num}) / ({den}) END AS rv FROM "
+        f"SELECT * FROM (SELECT p.* EXCLUDE (tx, ty, r0, c0, nx), coalesce(v00, v01, v10, v11) IS NOT NULL AS around, CASE WHEN {den} > 1e-6 THEN ({num}) / ({den}) END AS rv FROM "
         f"(SELECT t.year, t.month, f.row, f.col{keep}, f.nx, CAST(floor(fy) AS INTEGER) AS r0, "
         f"CAST((floor(fx) + f.nx) % f.nx AS INTEGER) AS c0, {snap('fx - floor(fx)')} AS tx, {snap('fy - floor(fy)')} AS ty "
         f"FROM (SELECT *, {fine_place()} FROM {target}) f JOIN (SELECT DISTINCT year, month FROM {anoms}) t ON true {cond}) p {joins}) "

@@ -77,7 +77,7 @@ def _weighted_mean(places: list[tuple[int, int]], lo: int) -> Column:
     w = [f"_wy{i - lo} * _wx{j - lo}" for i, j in places]
     num = " + ".join(f"{w[k]} * {_place(i, j)}" for k, (i, j) in enumerate(places))
     den = " + ".join(f"{w[k]} * CAST((shiftright(_seen, {k}) & 1) AS DOUBLE)" for k in range(len(places)))
-    return F.expr(f"CASE WHEN abs({den}) > 1e-9D THEN ({num}) / ({den}) END")
+    return F.expr(f"CASE WHEN {den} > 1e-6D THEN ({num}) / ({den}) END")
 
 
 def regrid(
@@ -93,7 +93,7 @@ def regrid(
     ``target`` holds ``row``, ``col`` of the target grid and any other columns,
     which are kept; ``on`` names further equi-join keys (``("month",)`` joins a
     monthly baseline in the same step).  A target cell with no source value around it
-    is not returned; one whose source values all have weight zero is NULL.  (Filtering
+    is not returned; one whose values there weigh (almost) nothing together is NULL.  (Filtering
     those would make Spark evaluate the kernel a second time, in the join.)  Both sides may be large: Spark picks broadcast or
     shuffle by size, and the number of target cells per anchor is fixed by the
     ratio of the grids, so anchors carry even loads.

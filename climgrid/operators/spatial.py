@@ -125,13 +125,12 @@ def crop_to_bounds(
 
 
 def crop_to_polygon(df: DataFrame, edges: DataFrame, grid: Grid, all_touched: bool = False) -> DataFrame:
-    """Cells inside a polygon, counted from the corner of its bounding box.  The box is
-    one row that Spark attaches to the mask; no data reaches the driver."""
-    mask = rasterize_polygon(edges, grid, all_touched).withColumn("_one", F.lit(1))
-    box = mask.groupBy("_one").agg(F.min("row").alias("_r0"), F.min("col").alias("_c0"))
-    placed = mask.join(box, "_one").select("row", "col", "_r0", "_c0")
-    out = df.join(placed, ["row", "col"])
-    return out.withColumns({"row": F.col("row") - F.col("_r0"), "col": F.col("col") - F.col("_c0")}).drop("_r0", "_c0")
+    """Cells inside a polygon, counted from the corner of its bounding box.  The corner
+    is a scalar subquery; no data reaches the driver."""
+    mask = rasterize_polygon(edges, grid, all_touched).drop("inside")
+    r0, c0 = mask.select(F.min("row")).scalar(), mask.select(F.min("col")).scalar()
+    out = df.join(mask, ["row", "col"], "left_semi")
+    return out.withColumns({"row": F.col("row") - r0, "col": F.col("col") - c0})
 
 
 def point_cells(points: DataFrame, grid: Grid) -> DataFrame:
@@ -142,12 +141,19 @@ def point_cells(points: DataFrame, grid: Grid) -> DataFrame:
 def point_profile(df: DataFrame, points: DataFrame, grid: Grid, columns: list[str] | None = None) -> DataFrame:
     """Time series at points, one column per model_scenario_variable.
 
+    Only cells that hold a point go on; they are made wide first, so a cell with very
+    many points is widened once and each point then takes its finished row.
     ``columns`` names the wanted columns and spares Spark a pass to find them.
     """
     at = point_cells(points, grid).select("name", "row", "col")
     name = F.concat_ws("_", *[F.col(c) for c in ("model", "scenario", "variable") if c in df.columns])
-    long = df.join(at, ["row", "col"]).select("name", *present(df, TIME), name.alias("_series"), "value")
-    return long.groupBy("name", *present(df, TIME)).pivot("_series", columns).agg(F.avg("value"))
+    hit = df.join(at.select("row", "col").distinct(), ["row", "col"], "left_semi").withColumn("_series", name)
+    by = hit.groupBy("row", "col", *present(df, TIME))
+    if columns is None:
+        wide = by.pivot("_series").agg(F.avg("value"))
+    else:
+        wide = by.agg(*[F.avg(F.when(F.col("_series") == c, F.col("value"))).alias(c) for c in columns])
+    return at.join(wide, ["row", "col"]).drop("row", "col")
 
 
 def resample_to_template(df, template: DataFrame, src_grid: Grid, dst_grid: Grid, variable) -> DataFrame:

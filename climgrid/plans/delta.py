@@ -26,6 +26,7 @@ from climgrid.operators.climate import (
 from climgrid.operators.gaps import fill_gaps_linear
 from climgrid.operators.precip import fix_precip
 from climgrid.operators.regrid import regrid
+from climgrid.operators.select import select_years
 from climgrid.schema import CELL, TIME, shared
 
 Post = Callable[[Column], Column]
@@ -75,16 +76,25 @@ def coarse_anomalies(
     find_bounds: bool = False,
     aoi_mask: DataFrame | None = None,
 ) -> DataFrame:
-    """Anomalies of the future series where there is one, else of the historical."""
-    series = historical if future is None else concat_series(historical, future)
+    """Anomalies of the future series where there is one, else of the historical.
+
+    The climatology may draw on both.  Filling works within a timestep, so it is done on
+    each side by itself and the future never has to be cut out of the whole again; only
+    the precipitation correction, whose boundary is that of the first timestep of the
+    whole series, needs that.
+    """
+    whole = historical if future is None else concat_series(historical, future)
     if fix_clim:
-        series, clim = fix_precip(series, src_grid, begin, end, aoi_mask, find_bounds)
-    else:
-        series = fill_gaps_linear(series) if fill else series
-        clim = climatology(series, begin, end)
-    if future is not None:
-        series = restrict_times(series, future)
-    return anomaly(series, clim, operation)
+        series, clim = fix_precip(whole, src_grid, begin, end, aoi_mask, find_bounds)
+        if future is not None:
+            series = restrict_times(series, future)
+        return anomaly(series, clim, operation)
+    wanted = historical if future is None else future
+    if fill:
+        # the base period is cut before filling: other years need not be filled for it
+        clim = climatology(fill_gaps_linear(select_years(whole, begin, end)), begin, end)
+        return anomaly(fill_gaps_linear(wanted), clim, operation)
+    return anomaly(wanted, climatology(whole, begin, end), operation)
 
 
 def delta_pipeline(
