@@ -9,12 +9,17 @@ ASCII_HEADER = ("ncols", "nrows", "xllcorner", "yllcorner", "cellsize", "NODATA_
 ANNUAL_FILE = 14
 
 
+def _strip(c) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def parse_point_climatology(lines: DataFrame, months: int = 12) -> DataFrame:
     """Lines ``lat lon m1..m12 [cv1..cv12]`` as long rows lat, lon, month, value.
     Further columns are ignored.  ``months = 1`` reads a single value column, month NULL."""
-    parts = F.split(F.trim("value"), r"\s+")
+    parts = F.split(_strip("value"), r"\s+")
     number = lambda i: F.get(parts, F.lit(i)).cast("double")
-    base = lines.where(F.length(F.trim("value")) > 0)
+    base = lines.where(F.length(_strip("value")) > 0)
     if months == 1:
         return base.select(
             number(0).alias("lat"), number(1).alias("lon"), F.lit(None).cast("int").alias("month"), number(2).alias("value")
@@ -31,26 +36,28 @@ def scan_point_climatology(spark: SparkSession, path: str, months: int = 12) ->
 
 
 def parse_ascii_grid(files: DataFrame) -> DataFrame:
-    """Whole ASCII rasters (``path``, ``value`` = text) as cells.  The nodata number of
-    the header becomes NULL.  One file is one grid of one month; files spread over tasks."""
+    """Whole ASCII rasters (``value`` = text, other columns are kept) as cells.  The
+    nodata number of the header becomes NULL.  One file is one grid of one month, so
+    its text is bounded by the grid; files spread over tasks."""
+    keep = [c for c in files.columns if c != "value"]
     field = lambda name, kind: F.regexp_extract("value", rf"(?i){name}\s+(\S+)", 1).cast(kind)
-    body = F.regexp_replace("value", r"(?is)^.*?nodata_value\s+\S+\s*", "")
+    body = F.regexp_replace("value", r"(?is)^.*?nodata_value\s+\S+", "")
     heads = files.select(
-        "path",
+        *keep,
         field("ncols", "int").alias("_nc"),
         field("nrows", "int").alias("_nr"),
         field("xllcorner", "double").alias("_x"),
         field("yllcorner", "double").alias("_y"),
         field("cellsize", "double").alias("_d"),
         field("NODATA_value", "double").alias("_nd"),
-        F.split(F.trim(body), r"\s+").alias("_v"),
+        F.split(_strip(body), r"\s+").alias("_v"),
     )
     cells = heads.select("*", F.posexplode("_v").alias("_i", "_s"))
     v = F.col("_s").cast("double")
     row = F.floor(F.col("_i") / F.col("_nc")).cast("int")
     col = (F.col("_i") % F.col("_nc")).cast("int")
     return cells.select(
-        "path",
+        *keep,
         row.alias("row"),
         col.alias("col"),
         (F.col("_y") + (F.col("_nr") - row - 0.5) * F.col("_d")).alias("lat"),
@@ -68,5 +75,4 @@ def scan_ascii_grid(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """ASCII rasters with the month taken from the file name; the annual file is left out."""
     files = spark.read.text(path, wholetext=True).withColumn("path", F.col("_metadata.file_path"))
     files = files.withColumn("month", ascii_month("path")).where(F.col("month") != ANNUAL_FILE)
-    months = files.select("path", "month").distinct()
-    return parse_ascii_grid(files.select("path", "value")).join(months, "path")
+    return parse_ascii_grid(files)
