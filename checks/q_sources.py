@@ -418,7 +418,7 @@ AFFINE = (
 def grid_affine(spark, sf):
     coarse, _ = cube.grids(spark, sf)
     c = cube.mask(spark, sf).withColumns({"lat": coarse.y(), "lon": coarse.x(), "grid_id": F.lit("coarse")})
-    return select.grid_affine(c, snap_global=True).withColumns({"dx": r6("dx"), "dy": r6("dy")})
+    return select.grid_affine(c, global_corner=True).withColumns({"dx": r6("dx"), "dy": r6("dy")})
 
 
 @query(

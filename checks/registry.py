@@ -124,16 +124,16 @@ for _v, _e in _BASE.items():
 
 def fine_place(extra: str = "") -> str:
     """Fractional source position of fine cells, float noise removed."""
-    snap = lambda e: f"round_even(({e}) * 1e9, 0) / 1e9"
-    fx = snap("((0e0 + (col + 0.5e0) * (360e0 / (4 * nx))) - 0e0) / (360e0 / nx) - 0.5e0")
-    fy = snap("(90e0 - (90e0 - (row + 0.5e0) * (180e0 / (5 * ny)))) / (180e0 / ny) - 0.5e0")
+    denoise = lambda e: f"round_even(({e}) * 1e9, 0) / 1e9"
+    fx = denoise("((0e0 + (col + 0.5e0) * (360e0 / (4 * nx))) - 0e0) / (360e0 / nx) - 0.5e0")
+    fy = denoise("(90e0 - (90e0 - (row + 0.5e0) * (180e0 / (5 * ny)))) / (180e0 / ny) - 0.5e0")
     return f"{fx} AS fx, {fy} AS fy{extra}"
 
 
 def bilinear_sql(anoms: str, target: str = "fine", cols: str = "", on: str = "") -> str:
     """SELECT of bilinear values of the coarse relation ``anoms`` (year, month, row, col,
     value) on the fine cells ``target``; ``cols`` are kept columns of the target."""
-    snap = lambda e: f"round_even(({e}) * 1e9, 0) / 1e9"
+    denoise = lambda e: f"round_even(({e}) * 1e9, 0) / 1e9"
     keep = f", {cols}" if cols else ""
     cond = f"AND {on}" if on else ""
     w = {"00": "(1 - ty) * (1 - tx)", "01": "(1 - ty) * tx", "10": "ty * (1 - tx)", "11": "ty * tx"}
@@ -148,7 +148,7 @@ def bilinear_sql(anoms: str, target: str = "fine", cols: str = "", on: str = "")
     return (
         f"SELECT * FROM (SELECT p.* EXCLUDE (tx, ty, r0, c0, nx), coalesce(v00, v01, v10, v11) IS NOT NULL AS around, CASE WHEN {den} > 1e-6 THEN ({num}) / ({den}) END AS rv FROM "
         f"(SELECT t.year, t.month, f.row, f.col{keep}, f.nx, CAST(floor(fy) AS INTEGER) AS r0, "
-        f"CAST((floor(fx) + f.nx) % f.nx AS INTEGER) AS c0, {snap('fx - floor(fx)')} AS tx, {snap('fy - floor(fy)')} AS ty "
+        f"CAST((floor(fx) + f.nx) % f.nx AS INTEGER) AS c0, {denoise('fx - floor(fx)')} AS tx, {denoise('fy - floor(fy)')} AS ty "
         f"FROM (SELECT *, {fine_place()} FROM {target}) f JOIN (SELECT DISTINCT year, month FROM {anoms}) t ON true {cond}) p {joins}) "
         "WHERE around"
     )

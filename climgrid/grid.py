@@ -12,7 +12,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, functions as F
 
 
-def snap(c: Column) -> Column:
+def denoise(c: Column) -> Column:
     """Remove float noise below 1e-9 of a cell, so a point that lies on a cell
     centre or edge is not pushed to the wrong side of it."""
     return F.rint(c * 1e9) / 1e9
@@ -46,11 +46,11 @@ class Grid:
 
     def fx(self, x) -> Column:
         """Fractional column of an x, 0 on the centre of column 0."""
-        return snap((_c(x) - F.lit(self.x0)) / F.lit(self.dx) - 0.5)
+        return denoise((_c(x) - F.lit(self.x0)) / F.lit(self.dx) - 0.5)
 
     def fy(self, y) -> Column:
         """Fractional row of a y, 0 on the centre of row 0."""
-        return snap((F.lit(self.y0) - _c(y)) / F.lit(self.dy) - 0.5)
+        return denoise((F.lit(self.y0) - _c(y)) / F.lit(self.dy) - 0.5)
 
     def wrap(self, col: Column) -> Column:
         """Column index folded round the globe on a cyclic grid."""

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from climgrid.grid import Grid, snap
+from climgrid.grid import Grid, denoise
 from climgrid.schema import SERIES, TIME, present
 
 REGRID_METHODS = ("nearest", "bilinear", "cubic", "cubic_spline", "lanczos", "average", "mode")
@@ -117,7 +117,7 @@ def regrid(
     places = [(i, j) for i in range(lo, hi + 1) for j in range(lo, hi + 1)]
     weights = {f"_w{t}{k - lo}": F.expr(_weight(method, f"_t{t}", k)) for t in "yx" for k in range(lo, hi + 1)}
     anchor = {"r0": F.floor(fy).cast("int"), "c0": src_grid.wrap(F.floor(fx).cast("int"))}
-    placed = target.withColumns(anchor | {"_ty": snap(fy - F.floor(fy)), "_tx": snap(fx - F.floor(fx))})
+    placed = target.withColumns(anchor | {"_ty": denoise(fy - F.floor(fy)), "_tx": denoise(fx - F.floor(fx))})
     placed = placed.withColumns(weights).drop("_ty", "_tx")
     joined = stencils(src, src_grid, method).join(placed, keys)
     out = joined.withColumn("value", _weighted_mean(places, lo))

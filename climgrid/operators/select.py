@@ -127,10 +127,10 @@ def rotate_lon(df: DataFrame, grid: Grid, to_pacific: bool = True) -> tuple[Data
     return df.withColumn("lon", out.x("col")), out
 
 
-def grid_affine(df: DataFrame, snap_global: bool = False) -> DataFrame:
+def grid_affine(df: DataFrame, global_corner: bool = False) -> DataFrame:
     """One row per grid: corner, cell size and shape, from centre coordinates.
 
-    ``snap_global`` puts the corner on latitude 90 and on longitude -180 or 0,
+    ``global_corner`` puts the corner on latitude 90 and on longitude -180 or 0,
     whichever is closer to the first centre.
     """
     g = df.groupBy("grid_id").agg(
@@ -144,7 +144,7 @@ def grid_affine(df: DataFrame, snap_global: bool = False) -> DataFrame:
     dx = F.try_divide(F.col("x_max") - F.col("x_min"), F.col("nx") - 1)
     dy = F.try_divide(F.col("y_max") - F.col("y_min"), F.col("ny") - 1)
     g = g.withColumns({"dx": dx, "dy": dy})
-    if snap_global:
+    if global_corner:
         x0 = F.when(F.abs(F.col("x_min") + 180) <= F.abs(F.col("x_min")), F.lit(-180.0)).otherwise(F.lit(0.0))
         y0 = F.lit(90.0)
     else:
