@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from climgrid.llm import quality_rules
+from climgrid.llm import near_dedup, quality_rules
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -27,3 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op1_quality_rules")
 def op1(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_minhash_near_dedup")
+def op2(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
