@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from climgrid.llm import near_dedup, quality_rules
+from climgrid.llm import near_dedup, quality_rules, substrings
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -32,3 +32,8 @@ def op1(spark, sf_dir):
 @query("op2_minhash_near_dedup")
 def op2(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_substring_dedup")
+def op4(spark, sf_dir):
+    return substrings.without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
