@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from climgrid.llm import near_dedup, quality_rules, substrings
+from climgrid.llm import mixing, near_dedup, packing, quality_rules, substrings
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -24,6 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Where a public tokenizer lies; executors have the same package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query("op1_quality_rules")
 def op1(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -34,6 +41,16 @@ def op2(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op3_hilbert_packing")
+def op3(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), with_ids=False)
+
+
 @query("op4_substring_dedup")
 def op4(spark, sf_dir):
     return substrings.without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@query("op5_cube_mixing")
+def op5(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("copies", "source")
