@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from climgrid.storage import work_folder
 
 
+_made: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: made once, read by column, and
     safe from lost executors."""
     spark = df.sparkSession
     path = work_folder(spark, name)
+    _made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Remove the tables written after the first ``since`` of this process: for a caller
+    that has stored all results which still read them."""
+    while len(_made) > since:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def mark() -> int:
+    return len(_made)

@@ -151,3 +151,43 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> D
     return joined.mapInArrow(
         _reduced(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
     )
+
+
+def _cut(window: int, mark: str, names: list[str], length: str | None):
+    """Texts without their repeated spans, all other columns as they are."""
+
+    def run(batches):
+        for part in slices(batches):
+            texts, starts = part.column("text").to_pylist(), part.column(mark)
+            for row, raw, begin, end, _ in _each(part):
+                if starts[row].is_valid:
+                    first, last, data = int(begin[0]), int(end[-1]), raw.data
+                    edges = [first]
+                    for i, j in spans(starts[row].values.to_numpy(), window).tolist():
+                        edges += [int(begin[i]), int(begin[j]) if j < len(begin) else last]
+                    edges.append(last)
+                    texts[row] = b"".join(bytes(data[a:b]) for a, b in zip(edges[::2], edges[1::2])).decode().rstrip()
+            columns = {c: part.column(c) for c in names}
+            columns["text"] = pa.array(texts, pa.string())
+            if length:
+                columns[length] = pa.array([None if t is None else len(t) for t in texts], part.schema.field(length).type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return run
+
+
+def cut_repeats(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR, length: str | None = "n_chars") -> DataFrame:
+    """The documents, with the words of repeated windows cut out of their texts.
+
+    A cut takes the words and the white space after each; other white space stays, and a
+    text without repeats stays as it is.  ``length`` names a column that holds the code
+    points of the text, where there is one.
+    """
+    length = length if length in docs.columns else None
+    mark = "starts"
+    while mark in docs.columns:
+        mark += "_"
+    names = docs.columns
+    found = repeated_windows(docs, window, k).withColumnsRenamed({"starts": mark, "doc_id": f"{mark}id"})
+    joined = docs.join(found, docs["doc_id"].cast("long") == found[f"{mark}id"], "left").drop(f"{mark}id")
+    return joined.mapInArrow(_cut(window, mark, names, length), docs.schema)
