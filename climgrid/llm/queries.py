@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from climgrid.llm import mixing, near_dedup, packing, quality_rules, substrings
+from climgrid.llm import language, mixing, near_dedup, packing, quality_rules, quality_score, substrings
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -54,3 +54,19 @@ def op4(spark, sf_dir):
 @query("op5_cube_mixing")
 def op5(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies", "source")
+
+
+@query("op6_centroid_language")
+def op6(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    test = language.held_out(4, 2)
+    found = language.identify(docs, language.fit(docs.where(~test)), reject=False)
+    return found.select("doc_id", test.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op7_qda_quality")
+def op7(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    test = language.held_out(5, 0)
+    scored = quality_score.score(docs, quality_score.fit(docs, labels.where(~test)))
+    return scored.select("doc_id", test.alias("held_out"), "score", F.col("predicted"))
