@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from climgrid.llm import language, mixing, near_dedup, packing, quality_rules, quality_score, substrings
+from climgrid.llm import language, media, mixing, near_dedup, packing, quality_rules, quality_score, substrings, token_files, warc
+from climgrid.storage import work_folder
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -70,3 +71,23 @@ def op7(spark, sf_dir):
     test = language.held_out(5, 0)
     scored = quality_score.score(docs, quality_score.fit(docs, labels.where(~test)))
     return scored.select("doc_id", test.alias("held_out"), "score", F.col("predicted"))
+
+
+@query("op8_dictionary_warc")
+def op8(spark, sf_dir):
+    folder = work_folder(spark, "warc")
+    files = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(files, folder).drop("url", "payload")
+
+
+@query("op9_arrow_tokens")
+def op9(spark, sf_dir):
+    folder = work_folder(spark, "token-ids")
+    files = token_files.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer("byte_bpe_50k.json"))
+    return token_files.read_tokens(files, folder)
+
+
+@query("op10_png_media")
+def op10(spark, sf_dir):
+    stored = media.media_features(media.store_media(table(spark, sf_dir, "documents")))
+    return stored.withColumn("feature", F.lower(F.hex("hash"))).drop("hash")

@@ -30,3 +30,15 @@ def release(spark: SparkSession, since: int = 0) -> None:
 
 def mark() -> int:
     return len(_made)
+
+
+def open_folder(folder: str):
+    """The file system of a folder, for use inside tasks, and the folder's path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+
+
+def folder_made(folder: str) -> None:
+    system, path = open_folder(folder)
+    system.create_dir(path, recursive=True)
