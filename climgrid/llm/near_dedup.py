@@ -6,9 +6,10 @@ from the first filled one in a random order of its own (optimal densification),
 bins of two sets agree with probability J even for tiny sets.  Bands of bins name buckets.
 In each bucket one member, the hub, is compared with the others on the full sets: pairs
 grow with the members, not with their square.  Where members are left that are in
-different components, each component of the bucket sends further hubs, twice as many each
-round, until all members left are of one component: so every two documents of a bucket
-are compared or already connected, and no cap is needed.
+different components and could be linked by their counts of shared shingles, each
+component of the bucket sends further hubs, twice as many each round, until all members
+left are of one component: so every two documents of a bucket are compared, already
+connected or too different by count, and no cap is needed.
 """
 
 from __future__ import annotations
@@ -117,35 +118,67 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(100 * both >= percent * (F.size("_x") + F.size("_y") - both)).select("a", "b").distinct()
 
 
+def _in_open_buckets(members: DataFrame) -> DataFrame:
+    """Members of the buckets that still hold more than one component."""
+    mixed = members.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
+    return members.join(mixed.select("bucket"), "bucket", "left_semi")
+
+
+def _shared_counts(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(node, n, common)``: size of each node's set, and how many of its shingles another
+    of the nodes has too."""
+    own = sets.join(nodes, "node", "left_semi")
+    spread = own.select("node", F.explode("shingles").alias("shingle"))
+    often = spread.groupBy("shingle").agg(F.count("*").alias("_k")).where("_k > 1")
+    common = spread.join(often, "shingle", "left_semi").groupBy("node").agg(F.count("*").alias("common"))
+    return own.select("node", F.size("shingles").alias("n")).distinct().join(common, "node")
+
+
 def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Components of the nodes that are linked, from ``members(bucket, node)`` of shared buckets."""
+    """Components of the nodes that are linked, from ``members(bucket, node)`` of shared buckets.
+
+    After the first stars only documents in buckets of several components are left.  Two
+    sets of sizes x and y are similar enough only with percent (x + y) / (100 + percent)
+    shingles in common, so each must share as many with any of those left: most that are
+    unlike their hub drop out by that count alone, without being compared again.
+    """
     hubs = members.groupBy("bucket").agg(F.min("node").alias("hub"))
     stars = members.join(hubs, "bucket").where("hub < node")
     pairs = written(stars.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    tested, active = pairs, members.join(hubs, "bucket").where("hub < node").select("bucket", "node")
-    links = written(confirm(pairs, sets, percent), "links")
-    part = components(links)
+    tested = pairs
+    part = components(written(confirm(pairs, sets, percent), "links"))
+    place = lambda df: df.join(part, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    open_ = written(_in_open_buckets(place(stars.select("bucket", "node"))), "open")
+    counts = _shared_counts(open_.select("node").distinct(), sets).where(f"100 * common >= {percent} * n")
+    open_ = written(_in_open_buckets(open_.join(written(counts, "counts"), "node")), "open")
     turn = 0
-    while True:
-        turn += 1
-        placed = active.join(part, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("part"))
-        mixed = placed.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
-        open_ = written(placed.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
-        if open_.isEmpty():
-            return part
-        lot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << min(turn - 1, 40)))
-        hubs = open_.groupBy("bucket", "part", lot.alias("lot")).agg(F.min("node").alias("hub"))
-        hubs = written(hubs.select("bucket", F.col("part").alias("own"), "hub"), "hubs")
-        fresh = (
-            open_.join(hubs, "bucket").where("part <> own")
-            .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-            .join(tested, ["a", "b"], "left_anti")
-        )
-        pairs = written(fresh, "pairs")
+    while not open_.isEmpty():
+        lot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << min(turn, 40)))
+        first = open_.groupBy("bucket", "part", lot.alias("lot")).agg(F.min(F.struct("node", "n", "common")).alias("h"))
+        hubs = written(first.select("bucket", F.col("part").alias("own"), "h.*").withColumnsRenamed({"node": "hub", "n": "m", "common": "shared"}), "hubs")
+        enough = (100 + percent) * F.least("common", "shared") >= percent * (F.col("n") + F.col("m"))
+        near = hubs.withColumnRenamed("bucket", "_b")
+        met = open_.join(near, (F.col("bucket") == F.col("_b")) & (F.col("part") != F.col("own")) & enough)
+        fresh = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        pairs = written(fresh.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.union(pairs)
-        links = links.union(written(confirm(pairs, sets, percent), "links"))
-        part = components(links)
-        active = open_.join(hubs.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti").select("bucket", "node")
+        found = confirm(pairs, sets, percent)
+        ends = found.join(part.withColumnsRenamed({"node": "a", "component": "ca"}), "a", "left").join(
+            part.withColumnsRenamed({"node": "b", "component": "cb"}), "b", "left"
+        )
+        joined = written(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b").distinct(), "links")
+        left = open_.join(hubs.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti").drop("part")
+        if joined.isEmpty():
+            open_ = place(left)
+        else:  # components of components: what was known keeps its name or takes that of a smaller one
+            over = components(joined).select(F.col("node").alias("component"), F.col("component").alias("_c"))
+            known = part.union(joined.select("a", "a").union(joined.select("b", "b"))).distinct()
+            part = written(known.join(over, "component", "left").select("node", F.coalesce("_c", "component").alias("component")), "part")
+            part = written(part.groupBy("node").agg(F.min("component").alias("component")), "part")
+            open_ = place(left)
+        open_ = written(_in_open_buckets(open_), "open")
+        turn += 1
+    return part
 
 
 def near_duplicates(

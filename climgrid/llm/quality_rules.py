@@ -77,22 +77,23 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     )
 
 
-def _share(a: str, b: str) -> Column:
-    return F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
-
-
-#: What the rules may look at; shares, so that the length of a text does not matter.
+#: What the rules may look at: one count over another, so that the length of a text does not matter.
 FEATURES = {
-    "symbol_share": _share("n_symbols", "n_words"),
-    "repeat_share": _share("n_repeat_words", "n_words"),
-    "dup_line_share": _share("n_dup_lines", "n_lines"),
-    "capital_share": _share("n_capitals", "word_chars"),
-    "bang_share": _share("n_bangs", "n_words"),
-    "word_length": _share("word_chars", "n_words"),
-    "distinct_share": _share("n_distinct", "n_words"),
+    "symbol_share": ("n_symbols", "n_words"),
+    "repeat_share": ("n_repeat_words", "n_words"),
+    "dup_line_share": ("n_dup_lines", "n_lines"),
+    "capital_share": ("n_capitals", "word_chars"),
+    "bang_share": ("n_bangs", "n_words"),
+    "word_length": ("word_chars", "n_words"),
+    "distinct_share": ("n_distinct", "n_words"),
 }
 
 
+def feature(name: str) -> Column:
+    above, below = FEATURES[name]
+    return F.when(F.col(below) > 0, F.col(above) / F.col(below)).otherwise(0.0)
+
+
 def base_failed() -> Column:
     """Too short, or mostly repeats."""
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -114,7 +115,7 @@ class Rule:
     def column(self) -> Column:
         out = F.lit(True)
         for name, sign, at in self.tests:
-            out = out & (FEATURES[name] > at if sign == ">" else FEATURES[name] <= at)
+            out = out & (feature(name) > at if sign == ">" else feature(name) <= at)
         return out
 
     def __str__(self) -> str:
@@ -192,7 +193,7 @@ def fit_rules(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, **opti
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")
     rows = (
         text_statistics(chosen).where(~base_failed()).join(F.broadcast(sample), "doc_id")
-        .select("doc_id", "quality", *[c.alias(n) for n, c in FEATURES.items()])
+        .select("doc_id", "quality", *[feature(n).alias(n) for n in FEATURES])
         .collect()
     )
     rows.sort(key=tuple)
