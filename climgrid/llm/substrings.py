@@ -17,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from climgrid.llm.store import written
 from climgrid.llm.text import gram_hashes, slices, text_buffer, word_hashes, word_spans
 
 WINDOW, ANCHOR = 13, 5
@@ -66,9 +65,11 @@ def _extensions(window: int, k: int):
     def run(batches):
         for part in slices(batches):
             ids, at, key = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
-            doc = part.column("doc_id").cast(pa.int64()).to_numpy(zero_copy_only=False)
+            doc = part.column("doc_id").cast(pa.int64()).to_pylist()
             seeds = part.column("seeds")
             for row, _, _, _, words in _each(part):
+                if not seeds[row].is_valid:
+                    continue
                 grams = gram_hashes(words, k)
                 shared = np.sort(seeds[row].values.to_numpy().view(np.uint64))
                 wins = np.flatnonzero(_among(grams[choices(grams, span)], shared))
@@ -102,9 +103,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) ->
     anchors = source.mapInArrow(_anchors(window, k), "anchor long, doc_id long")
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     seeds = anchors.join(shared.select("anchor"), "anchor", "left_semi").groupBy("doc_id").agg(F.collect_list("anchor").alias("seeds"))
-    keys = written(
-        source.join(seeds, "doc_id").mapInArrow(_extensions(window, k), "key long, doc_id long, at long"), "extensions"
-    )
+    # both uses, and the join of the starts to the texts, read one shuffle of the texts: for
+    # that, all three ask for the same rows, also those without seeds
+    keys = source.join(seeds, "doc_id", "left").mapInArrow(_extensions(window, k), "key long, doc_id long, at long")
     first = keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     again = keys.join(first, "key").where("lo < doc_id")
     return again.groupBy("doc_id").agg(F.collect_list("at").alias("starts"))
