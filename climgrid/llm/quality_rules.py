@@ -191,12 +191,10 @@ def fit_rules(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, **opti
     known = labels.where("quality is not null and doc_id is not null").select("doc_id", "quality")
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(fit_rows)
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")
-    rows = (
-        text_statistics(chosen).where(~base_failed()).join(F.broadcast(sample), "doc_id")
-        .select("doc_id", "quality", *[feature(n).alias(n) for n in FEATURES])
-        .collect()
-    )
-    rows.sort(key=tuple)
+    counted = text_statistics(chosen).join(F.broadcast(sample), "doc_id")
+    rows = counted.select("doc_id", "quality", base_failed().alias("_f"), *[feature(n).alias(n) for n in FEATURES]).collect()
+    # a filter on the counts would be moved in front of the sample's join, and count every text
+    rows = sorted((r for r in rows if not r["_f"]), key=tuple)
     x = {n: np.array([r[n] for r in rows], float) for n in FEATURES}
     return learn_rules(x, np.array([r["quality"] == 0 for r in rows], bool), **options)
 
