@@ -32,9 +32,9 @@ def choices(grams: np.ndarray, span: int) -> np.ndarray:
     return place
 
 
-def _each(part: pa.RecordBatch):
+def _each(part: pa.RecordBatch, column: str = "text"):
     """Bytes, word spans and word hashes of each text of a slice."""
-    raw, bounds = text_buffer(part.column("text"))
+    raw, bounds = text_buffer(part.column(column))
     starts, ends, first = word_spans(raw, bounds)
     words = word_hashes(raw, starts, ends)
     for row, (i, j) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
@@ -154,13 +154,14 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> D
     )
 
 
-def _cut(window: int, mark: str, names: list[str], length: str | None):
-    """Texts without their repeated spans, all other columns as they are."""
+def _cut(window: int, text: str, length: str | None):
+    """Texts without their repeated spans; the last column has the starts, others stay."""
 
     def run(batches):
-        for part in slices(batches):
-            texts, starts = part.column("text").to_pylist(), part.column(mark)
-            for row, raw, begin, end, _ in _each(part):
+        for part in slices(batches, text):
+            names = part.schema.names[:-1]
+            texts, starts = part.column(text).to_pylist(), part.columns[-1]
+            for row, raw, begin, end, _ in _each(part, text):
                 if starts[row].is_valid:
                     first, last, data = int(begin[0]), int(end[-1]), raw.data
                     edges = [first]
@@ -168,11 +169,11 @@ def _cut(window: int, mark: str, names: list[str], length: str | None):
                         edges += [int(begin[i]), int(begin[j]) if j < len(begin) else last]
                     edges.append(last)
                     texts[row] = b"".join(bytes(data[a:b]) for a, b in zip(edges[::2], edges[1::2])).decode().rstrip()
-            columns = {c: part.column(c) for c in names}
-            columns["text"] = pa.array(texts, pa.string())
+            columns = dict(zip(names, part.columns))
+            columns[text] = pa.array(texts, pa.string())
             if length:
                 columns[length] = pa.array([None if t is None else len(t) for t in texts], part.schema.field(length).type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
 
     return run
 
@@ -184,11 +185,10 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR, length:
     text without repeats stays as it is.  ``length`` names a column that holds the code
     points of the text, where there is one.
     """
-    length = length if length in docs.columns else None
-    mark = "starts"
-    while mark in docs.columns:
-        mark += "_"
     names = docs.columns
-    found = repeated_windows(docs, window, k).withColumnsRenamed({"starts": mark, "doc_id": f"{mark}id"})
-    joined = docs.join(found, docs["doc_id"].cast("long") == found[f"{mark}id"], "left").drop(f"{mark}id")
-    return joined.mapInArrow(_cut(window, mark, names, length), docs.schema)
+    plain = [f"c{i}" for i in range(len(names))]  # tasks take any column names
+    place = dict(zip(names, plain))
+    rows = docs.toDF(*plain)
+    found = repeated_windows(docs, window, k).toDF("found_id", "starts")
+    joined = rows.join(found, F.col(place["doc_id"]).cast("long") == F.col("found_id"), "left").drop("found_id")
+    return joined.mapInArrow(_cut(window, place["text"], place.get(length)), rows.schema).toDF(*names)
