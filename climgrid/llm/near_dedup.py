@@ -6,10 +6,11 @@ from the first filled one in a random order of its own (optimal densification),
 bins of two sets agree with probability J even for tiny sets.  Bands of bins name buckets.
 In each bucket one member, the hub, is compared with the others on the full sets: pairs
 grow with the members, not with their square.  Where members are left that are in
-different components and could be linked by their counts of shared shingles, each
-component of the bucket sends further hubs, twice as many each round, until all members
-left are of one component: so every two documents of a bucket are compared, already
-connected or too different by count, and no cap is needed.
+different components and could be linked by their counts of shared shingles, the bucket
+sends further hubs, eight times as many each round, to the members of other components,
+until all members left are of one component: so every two documents of a bucket are
+compared, already connected or too different by count, and no cap is needed.  Documents
+with links join a component after a few hubs; only the rest meet many.
 """
 
 from __future__ import annotations
@@ -153,21 +154,26 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     open_ = written(_in_open_buckets(open_.join(written(counts, "counts"), "node")), "open")
     turn = 0
     while not open_.isEmpty():
-        lot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << min(turn, 40)))
-        first = open_.groupBy("bucket", "part", lot.alias("lot")).agg(F.min(F.struct("node", "n", "common")).alias("h"))
-        hubs = written(first.select("bucket", F.col("part").alias("own"), "h.*").withColumnsRenamed({"node": "hub", "n": "m", "common": "shared"}), "hubs")
+        # one order of all nodes, so that a document that is a hub is one in all its buckets
+        lot, order = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(4 << min(3 * turn, 40))), F.xxhash64("node", F.lit(2))
+        first = open_.groupBy("bucket", lot.alias("lot")).agg(F.min(F.struct(order.alias("order"), "node", "part", "n", "common")).alias("h"))
+        named = {"node": "hub", "part": "own", "n": "m", "common": "shared"}
+        hubs = written(first.select("bucket", "h.*").drop("order").withColumnsRenamed(named), "hubs")
         enough = (100 + percent) * F.least("common", "shared") >= percent * (F.col("n") + F.col("m"))
         near = hubs.withColumnRenamed("bucket", "_b")
         met = open_.join(near, (F.col("bucket") == F.col("_b")) & (F.col("part") != F.col("own")) & enough)
         fresh = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         pairs = written(fresh.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.union(pairs)
+        left = open_.join(hubs.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti").drop("part")
+        if pairs.isEmpty():
+            open_, turn = written(_in_open_buckets(place(left)), "open"), turn + 1
+            continue
         found = confirm(pairs, sets, percent)
         ends = found.join(part.withColumnsRenamed({"node": "a", "component": "ca"}), "a", "left").join(
             part.withColumnsRenamed({"node": "b", "component": "cb"}), "b", "left"
         )
         joined = written(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b").distinct(), "links")
-        left = open_.join(hubs.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti").drop("part")
         if joined.isEmpty():
             open_ = place(left)
         else:  # components of components: what was known keeps its name or takes that of a smaller one
