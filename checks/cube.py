@@ -39,6 +39,12 @@ def grids(spark: SparkSession, sf: str) -> tuple[Grid, Grid]:
     return _shape(sf, _COUNTS[sf])
 
 
+def projected(spark: SparkSession, sf: str) -> Grid:
+    """The fine cells laid on a projected grid of 4000 by 4000 km."""
+    _, fine = grids(spark, sf)
+    return Grid(fine.nx, fine.ny, -2000000.0, 2400000.0, 4000000.0 / fine.nx, 4000000.0 / fine.ny, grid_id="projected", crs="EPSG:3338")
+
+
 def q16(c: Column) -> Column:
     return F.floor(c * 16 + 0.5) / 16
 

@@ -44,10 +44,15 @@ def ensemble_mean(spark, sf):
     return e.select("model", "scenario", "year", "month", *RC, (round_by_variable(F.col("value"), "tas") + 0.0).alias("value"))
 
 
-@query("join_models", "SELECT year, month, row, col, CAST(count(*) AS INTEGER) AS models, min(value) AS low, max(value) AS high FROM model_tas GROUP BY ALL")
+MODELS = [f"M{m}" for m in range(5)]
+
+
+@query(
+    "join_models",
+    "SELECT scenario, year, month, row, col, " + ", ".join(f"max(CASE WHEN model = '{m}' THEN value END) AS {m}" for m in MODELS) + " FROM model_tas GROUP BY ALL",
+)
 def join_models(spark, sf):
-    g = model(spark, sf).groupBy("year", "month", *RC)
-    return g.agg(F.count(F.lit(1)).cast("int").alias("models"), F.min("value").alias("low"), F.max("value").alias("high"))
+    return climate.join_models(model(spark, sf), MODELS).select("scenario", "year", "month", *RC, *MODELS)
 
 
 # ---- calendar -----------------------------------------------------------------
@@ -62,13 +67,8 @@ def annual_grid(spark, sf):
     """Mean of temperature, total of precipitation, and the extremes of both."""
     parts = []
     for v in ("tas", "pr"):
-        c = tas(spark, sf, v)
-        keys = ["year", *RC]
-        a = aggregate.annual_grid(c, aggregate.default_metric(v))
-        low = aggregate.annual_grid(c, "min").withColumnRenamed("value", "low")
-        high = aggregate.annual_grid(c, "max").withColumnRenamed("value", "high")
-        j = a.join(low, keys).join(high, keys)
-        parts.append(j.select(F.lit(v).alias("variable"), *keys, r6("value").alias("value"), "low", "high"))
+        a = aggregate.annual_grid(tas(spark, sf, v), value=aggregate.default_metric(v), low="min", high="max")
+        parts.append(a.select(F.lit(v).alias("variable"), "year", *RC, r6("value").alias("value"), "low", "high"))
     return parts[0].unionByName(parts[1])
 
 
@@ -89,9 +89,8 @@ def seasonal_grid(spark, sf):
     f"SELECT 'min' AS metric, * FROM ({seasonal('cells_tas', 'min(value)')}) UNION ALL SELECT 'max', * FROM ({seasonal('cells_tas', 'max(value)')})",
 )
 def seasonal_grid_minmax(spark, sf):
-    c = tas(spark, sf)
-    part = lambda m: aggregate.seasonal_grid(c, m).withColumn("metric", F.lit(m))
-    return part("min").unionByName(part("max")).select("metric", "season_year", "season", *RC, "value")
+    both = aggregate.seasonal_grid(tas(spark, sf), min="min", max="max")
+    return both.unpivot(["season_year", "season", *RC], ["min", "max"], "metric", "value")
 
 
 @query("season_subset", f"SELECT row, col, {R6('avg(value)')} AS value FROM cells_tas WHERE month IN (6, 7, 8) GROUP BY row, col")
@@ -115,10 +114,8 @@ def decadal_monthly(spark, sf):
     f"SELECT {DECADE} AS decade, month, row, col, {R6('avg(value)')} AS value, max(value) AS high FROM cells_pr GROUP BY ALL",
 )
 def decadal_monthly_any(spark, sf):
-    c = tas(spark, sf, "pr")
-    keys = ["decade", "month", *RC]
-    high = aggregate.decadal_monthly_any(c, "max").withColumnRenamed("value", "high")
-    return aggregate.decadal_monthly_any(c, "total").join(high, keys).select(*keys, r6("value").alias("value"), "high")
+    both = aggregate.decadal_monthly_any(tas(spark, sf, "pr"), value="total", high="max")
+    return both.select("decade", "month", *RC, r6("value").alias("value"), "high")
 
 
 @query(

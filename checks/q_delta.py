@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import cube
-from checks.registry import R, R6, bilinear_sql, fine_place, query, r6
+from checks.registry import CTES, PROJ_PLACE, R, R6, bilinear_sql, fine_place, query, r6
 from climgrid.functions import values
 from climgrid.operators import climate, gaps, neighbors, precip, regrid, select
 from climgrid.plans import delta, policy
@@ -39,10 +39,10 @@ def climatology(spark, sf):
     return clim_of(spark, sf).select("row", "col", "month", r6("clim").alias("clim"))
 
 
-ANOM = "SELECT scenario, year, month, row, col, c.value - m.clim AS value FROM cells_tas c JOIN clim_tas m USING (row, col, month)"
+ANOM = "SELECT scenario, year, month, row, col, c.value - m.clim AS value FROM cells_tas c LEFT JOIN clim_tas m USING (row, col, month)"
 RATIO = (
     "SELECT scenario, year, month, row, col, CASE WHEN m.clim <> 0 THEN c.value / m.clim END AS value "
-    "FROM cells_pr c JOIN clim_pr m USING (row, col, month)"
+    "FROM cells_pr c LEFT JOIN clim_pr m USING (row, col, month)"
 )
 
 
@@ -97,14 +97,24 @@ def semi_future_times(spark, sf):
 
 # ---- recombination ----------------------------------------------------------------
 
-SAME_CELL = "SELECT c.year, c.month, c.row, c.col, {} AS value FROM cells_{} c JOIN base_{} b USING (row, col, month)"
+# coarse cells on the fine ones by the nearest centre
+CTES["near_tas"], CTES["near_pr"] = (
+    f"SELECT c.year, c.month, f.row, f.col, c.value FROM (SELECT row, col, floor(fy + 0.5e0) AS r0, floor(fx + 0.5e0) AS c0 "
+    f"FROM (SELECT *, {fine_place()} FROM fine)) f JOIN cells_{v} c ON c.row = f.r0 AND c.col = f.c0"
+    for v in ("tas", "pr")
+)
+SAME_CELL = "SELECT c.year, c.month, c.row, c.col, {} AS value FROM near_{} c JOIN base_{} b USING (row, col, month)"
+
+
+def _near(spark, sf, variable="tas"):
+    coarse, fine = cube.grids(spark, sf)
+    return regrid.regrid(cube.cells(spark, sf, variable), _target(spark, sf), coarse, fine, "nearest").where("value IS NOT NULL")
 
 
 @query("join_baseline_month", SAME_CELL.format("b.value", "tas", "tas"))
 def join_baseline_month(spark, sf):
-    """The corner of the fine grid that has the coarse grid's indices."""
-    base = cube.baseline(spark, sf).withColumnRenamed("value", "base")
-    return cube.cells(spark, sf).join(base, ["row", "col", "month"]).select(*YMRC, F.col("base").alias("value"))
+    """The monthly baseline beside each fine cell of the series."""
+    return climate.join_month_lookup(_near(spark, sf), cube.baseline(spark, sf), "base").select(*YMRC, F.col("base").alias("value"))
 
 
 @query(
@@ -118,12 +128,12 @@ def join_baseline_time(spark, sf):
 
 @query("apply_delta_add", SAME_CELL.format("b.value + c.value", "tas", "tas"))
 def apply_delta_add(spark, sf):
-    return climate.apply_delta(cube.cells(spark, sf), cube.baseline(spark, sf), "add").select(*YMRC, "value")
+    return climate.apply_delta(_near(spark, sf), cube.baseline(spark, sf), "add").select(*YMRC, "value")
 
 
 @query("apply_delta_mult", SAME_CELL.format("b.value * c.value", "pr", "pr"))
 def apply_delta_mult(spark, sf):
-    return climate.apply_delta(cube.cells(spark, sf, "pr"), cube.baseline(spark, sf, "pr"), "mult").select(*YMRC, "value")
+    return climate.apply_delta(_near(spark, sf, "pr"), cube.baseline(spark, sf, "pr"), "mult").select(*YMRC, "value")
 
 
 @query(
@@ -167,11 +177,14 @@ _clamp("clamp_legacy", "CASE WHEN value > 100 AND value < 500 THEN 95 ELSE value
     "UNION ALL SELECT 'hur', 'mult', year, month, row, col, round_even((CASE WHEN value < 0 THEN 0 WHEN value > 100 THEN 95 ELSE value END) * 1e1, 0) / 1e1 + 0e0 FROM cells_hur",
 )
 def variable_policy(spark, sf):
-    """Mixed variables meet their policy by join; each clamp and rounding follows it."""
-    c = cube.cells(spark, sf, ["tas", "pr", "hur"]).join(policy.policy_table(spark), "variable")
-    v = F.when(F.col("clamp") == "humidity", values.clamp_humidity(F.col("value"))).otherwise(F.col("value"))
-    v = F.when(F.col("places") == 0, values.rint_places(v, 0)).otherwise(values.rint_places(v, 1))
-    return c.select("variable", "operation", *YMRC, (v + 0.0).alias("value"))
+    """Each variable's operation and post function, as the policy gives them."""
+    c = cube.cells(spark, sf, ["tas", "pr", "hur"])
+    parts = []
+    for v in ("tas", "pr", "hur"):
+        p = policy.variable_policy(v)
+        own = c.where(F.col("variable") == v).withColumn("operation", F.lit(p.operation))
+        parts.append(climate.post_function(own, p.post()).select("variable", "operation", *YMRC, (F.col("value") + 0.0).alias("value")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 # ---- regridding ----------------------------------------------------------------------
@@ -183,8 +196,9 @@ def _target(spark, sf):
 
 @query(
     "regrid_nearest",
-    f"SELECT c.year, c.month, f.row, f.col, c.value FROM (SELECT row, col, floor(fy + 0.5e0) AS r0, floor(fx + 0.5e0) AS c0 "
-    f"FROM (SELECT *, {fine_place()} FROM fine)) f JOIN cells_tas c ON c.row = f.r0 AND c.col = f.c0",
+    f"SELECT t.year, t.month, f.row, f.col, c.value FROM (SELECT row, col, floor(fy + 0.5e0) AS r0, floor(fx + 0.5e0) AS c0 "
+    f"FROM (SELECT *, {fine_place()} FROM fine)) f JOIN (SELECT DISTINCT year, month FROM cells_tas) t ON true "
+    "LEFT JOIN cells_tas c ON c.row = f.r0 AND c.col = f.c0 AND c.year = t.year AND c.month = t.month",
 )
 def regrid_nearest(spark, sf):
     coarse, fine = cube.grids(spark, sf)
@@ -211,11 +225,12 @@ def kernel_sql(method: str) -> str:
     (lo, hi), w = KERNELS[method]
     return (
         f"SELECT year, month, row, col, CASE WHEN sum(w) > 1e-6 THEN {R6('sum(w * value) / sum(w)')} END AS value FROM "
-        f"(SELECT c.year, c.month, f.row, f.col, {w.format(d='abs(ty - i)')} * {w.format(d='abs(tx - j)')} AS w, c.value FROM "
+        f"(SELECT year, month, row, col, CASE WHEN value IS NOT NULL THEN w END AS w, value FROM (SELECT t.year, t.month, f.row, f.col, {w.format(d='abs(ty - i)')} * {w.format(d='abs(tx - j)')} AS w, c.value FROM "
         "(SELECT row, col, nx, floor(fy) AS r0, floor(fx) AS c0, round_even((fy - floor(fy)) * 1e9, 0) / 1e9 AS ty, "
         f"round_even((fx - floor(fx)) * 1e9, 0) / 1e9 AS tx FROM (SELECT *, {fine_place()} FROM fine)) f "
+        "JOIN (SELECT DISTINCT year, month FROM gappy_tas) t ON true "
         f"CROSS JOIN range({lo}, {hi + 1}) a(i) CROSS JOIN range({lo}, {hi + 1}) b(j) "
-        "JOIN gappy_tas c ON c.row = r0 + i AND c.col = (c0 + j + nx) % nx WHERE c.value IS NOT NULL) "
+        "LEFT JOIN gappy_tas c ON c.row = r0 + i AND c.col = (c0 + j + nx) % nx AND c.year = t.year AND c.month = t.month)) "
         "GROUP BY year, month, row, col"
     )
 
@@ -245,7 +260,7 @@ def _coarse_target(spark, sf):
     return cube.mask(spark, sf).select("row", "col")
 
 
-@query("regrid_average", f"SELECT month, row, col, {R6('avg(value)')} AS value FROM ({PARENT}) JOIN sup USING (row, col) GROUP BY month, row, col")
+@query("regrid_average", f"SELECT month, row, col, {R6('avg(value)')} AS value FROM (SELECT row, col, month FROM sup CROSS JOIN months) LEFT JOIN ({PARENT}) USING (month, row, col) GROUP BY month, row, col")
 def regrid_average(spark, sf):
     coarse, fine = cube.grids(spark, sf)
     r = regrid.regrid(_fine_field(spark, sf), _coarse_target(spark, sf), fine, coarse, "average")
@@ -254,8 +269,8 @@ def regrid_average(spark, sf):
 
 @query(
     "regrid_mode",
-    "SELECT month, row, col, max_by(value, n * 1e6 - value) AS value FROM "
-    f"(SELECT month, row, col, value, count(*) AS n FROM ({PARENT}) GROUP BY ALL) JOIN sup USING (row, col) GROUP BY month, row, col",
+    "SELECT month, row, col, max_by(value, n * 1e6 - value) AS value FROM (SELECT row, col, month FROM sup CROSS JOIN months) LEFT JOIN "
+    f"(SELECT month, row, col, value, count(*) AS n FROM ({PARENT}) GROUP BY ALL) USING (month, row, col) GROUP BY month, row, col",
 )
 def regrid_mode(spark, sf):
     coarse, fine = cube.grids(spark, sf)
@@ -288,41 +303,49 @@ def fill_gaps_linear(spark, sf):
 @query(
     "regrid_points",
     FILL.format(
-        src="SELECT year, month, CAST(r AS INTEGER) AS row, CAST(c AS INTEGER) AS col, value FROM "
-        "(SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders WHERE o_orderstatus = 'F') "
-        "CROSS JOIN range(0, 8) t(r) CROSS JOIN range(0, 10) u(c) LEFT JOIN (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, "
-        "o_custkey % 8 AS r, o_custkey // 8 % 10 AS c, avg(round(o_totalprice)) AS value FROM orders "
-        "WHERE o_orderstatus = 'F' GROUP BY ALL) USING (year, month, r, c)"
+        src="SELECT year, month, row, col, value FROM "
+        "(SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders) "
+        "CROSS JOIN (SELECT CAST(unnest(range(0, ny)) AS INTEGER) AS row FROM g) CROSS JOIN (SELECT CAST(unnest(range(0, nx)) AS INTEGER) AS col FROM g) "
+        "LEFT JOIN (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, "
+        "o_custkey % ny AS row, o_custkey // ny % nx AS col, avg(round(o_totalprice)) AS value FROM orders, g GROUP BY ALL) USING (year, month, row, col)"
     )
     + f"SELECT year, month, row, col, {R6('value')} AS value FROM filled",
 )
 def regrid_points(spark, sf):
-    """Closed orders as scattered points: place from the customer, value from the price."""
+    """Orders as scattered points: place from the customer, value from the price; the grid
+    has as many cells as the coarse one."""
     from climgrid.grid import Grid
 
-    grid = Grid(10, 8, 0.0, 80.0, 1.0, 1.0)
-    o = cube.table(spark, sf, "orders")
+    coarse, _ = cube.grids(spark, sf)
+    grid = Grid(coarse.nx, coarse.ny, 0.0, float(coarse.ny), 1.0, 1.0)
     k = F.col("o_custkey")
-    when = {"year": F.year("o_orderdate"), "month": F.month("o_orderdate")}
-    pts = o.where(F.col("o_orderstatus") == "F").withColumns(when).select(
-        "year", "month", (F.lit(79.5) - k % 8).alias("lat"), (F.floor(k / 8) % 10 + 0.5).alias("lon"),
+    pts = cube.table(spark, sf, "orders").select(
+        F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
+        (F.lit(grid.ny - 0.5) - k % grid.ny).alias("lat"), (F.floor(k / grid.ny) % grid.nx + 0.5).alias("lon"),
         F.round("o_totalprice").alias("value"),
-    )
+    )
     return gaps.regrid_points(pts, grid).select(*YMRC, r6("value").alias("value"))
 
 
+@query("regrid_bilinear_projected", f"SELECT year, month, row, col, {R6('rv')} AS value FROM ({bilinear_sql('cells_tas', 'proj', place=PROJ_PLACE)})")
+def regrid_bilinear_projected(spark, sf):
+    """From longitude and latitude onto a projected grid."""
+    coarse, _ = cube.grids(spark, sf)
+    return out(regrid.regrid(cube.cells(spark, sf), _target(spark, sf), coarse, cube.projected(spark, sf), "bilinear"))
+
+
 # ---- pipelines ----------------------------------------------------------------------
 
 
 def _anoms(variable, expr):
     return (
-        f"anoms AS (SELECT year, month, row, col, {expr} AS value FROM cells_{variable} c JOIN clim_{variable} m USING (row, col, month) {{where}})"
+        f"anoms AS (SELECT year, month, row, col, {expr} AS value FROM cells_{variable} c LEFT JOIN clim_{variable} m USING (row, col, month) {{where}})"
     )
 
 
-def refine_sql(anoms: str, variable: str, combined: str, where: str = "") -> str:
+def refine_sql(anoms: str, variable: str, combined: str, target: str = "fine", place: str | None = None) -> str:
     """Bilinear anomalies on the fine cells, joined with the monthly baseline."""
-    body = bilinear_sql("anoms").replace("SELECT DISTINCT year, month FROM anoms", f"SELECT DISTINCT year, month FROM anoms {where}")
+    body = bilinear_sql("anoms", target, place=place)
     return (
         f"WITH {anoms} SELECT r.year, r.month, r.row, r.col, {combined} AS value FROM ({body}) r "
         f"JOIN base_{variable} b ON b.row = r.row AND b.col = r.col AND b.month = r.month"
@@ -364,8 +387,8 @@ def delta_pipeline_mult(spark, sf):
 
 
 MINMAX_ANOMS = (
-    "anoms AS (SELECT year, month, row, col, x.value - m.value AS value FROM cells_tasmax x JOIN cells_tas m USING (year, month, row, col) WHERE year >= 2000), "
-    "mean AS (SELECT year, month, row, col, c.value - m.clim AS value FROM cells_tas c JOIN clim_tas m USING (row, col, month) WHERE year >= 2000)"
+    "anoms AS (SELECT year, month, row, col, x.value - m.value AS value FROM cells_tasmax x JOIN cells_tas m USING (year, month, row, col)), "
+    "mean AS (SELECT year, month, row, col, c.value - m.clim AS value FROM cells_tas c LEFT JOIN clim_tas m USING (row, col, month))"
 )
 
 
@@ -376,15 +399,54 @@ MINMAX_ANOMS = (
     "JOIN base_tas b ON b.row = d.row AND b.col = d.col AND b.month = d.month",
 )
 def delta_pipeline_minmax(spark, sf):
-    """Maximum temperature on the refined mean series of the later years."""
+    """Maximum temperature on the refined mean series of all years."""
     coarse, fine = cube.grids(spark, sf)
-    past, later = _split(spark, sf)
+    whole = cube.cells(spark, sf).drop("scenario")
     mean = delta.delta_pipeline(
-        past.drop("variable"), cube.baseline(spark, sf), coarse, fine, future=later.drop("variable"),
-        begin=cube.BEGIN, end=cube.END,
+        whole.drop("variable"), cube.baseline(spark, sf), coarse, fine, begin=cube.BEGIN, end=cube.END
     )
-    extreme = cube.cells(spark, sf, "tasmax").where(F.col("year") >= 2000)
-    return out(delta.delta_pipeline_minmax(extreme, later, mean, coarse, fine))
+    extreme = cube.cells(spark, sf, "tasmax").drop("scenario")
+    return out(delta.delta_pipeline_minmax(extreme, whole, mean, coarse, fine))
+
+
+@query(
+    "delta_pipeline_projected",
+    refine_sql(TAS_ANOMS, "tas", f"{R('b.value + rv', 1)} + 0e0", "proj", PROJ_PLACE),
+)
+def delta_pipeline_projected(spark, sf):
+    """The fine baseline lies on a projected grid, the coarse series in degrees."""
+    coarse, _ = cube.grids(spark, sf)
+    past, later = _split(spark, sf)
+    refined = delta.delta_pipeline(
+        past.drop("variable"), cube.baseline(spark, sf), coarse, cube.projected(spark, sf), future=later.drop("variable"),
+        begin=cube.BEGIN, end=cube.END, post=policy.variable_policy("tas").post(),
+    )
+    return refined.select(*YMRC, (F.col("value") + 0.0).alias("value"))
+
+
+@query(
+    "delta_pipeline_scenarios",
+    "WITH own AS (SELECT CASE WHEN year <= 1997 THEN 'historical' WHEN s = 1 THEN 'rcp26' ELSE 'rcp60' END AS scenario, year, month, row, col, "
+    "value + CASE WHEN year > 1997 THEN s ELSE 0 END AS value FROM cells_tas, range(1, 3) r(s) WHERE year > 1997 OR s = 1), "
+    "clims AS (SELECT f.scenario, row, col, month, avg(value) AS clim FROM own o JOIN (SELECT unnest(['rcp26', 'rcp60']) AS scenario) f "
+    "ON o.scenario IN ('historical', f.scenario) WHERE year BETWEEN 1995 AND 1999 GROUP BY ALL), "
+    "a1 AS (SELECT year, month, row, col, value - clim AS value FROM own JOIN clims USING (scenario, row, col, month) WHERE scenario = 'rcp26'), "
+    "a2 AS (SELECT year, month, row, col, value - clim AS value FROM own JOIN clims USING (scenario, row, col, month) WHERE scenario = 'rcp60') "
+    f"SELECT scenario, r.year, r.month, r.row, r.col, {R6('b.value + rv')} AS value FROM (SELECT 'rcp26' AS scenario, * FROM ({bilinear_sql('a1')}) "
+    f"UNION ALL SELECT 'rcp60', * FROM ({bilinear_sql('a2')})) r JOIN base_tas b ON b.row = r.row AND b.col = r.col AND b.month = r.month",
+)
+def delta_pipeline_scenarios(spark, sf):
+    """Two scenarios in one table; the base period reaches two years into both."""
+    coarse, fine = cube.grids(spark, sf)
+    c = cube.cells(spark, sf).drop("scenario", "variable")
+    past, later = c.where(F.col("year") <= 1997), c.where(F.col("year") > 1997)
+    future = later.withColumn("s", F.explode(F.array(F.lit(1), F.lit(2)))).select(
+        F.when(F.col("s") == 1, "rcp26").otherwise("rcp60").alias("scenario"), *YMRC, (F.col("value") + F.col("s")).alias("value")
+    )
+    refined = delta.delta_pipeline(
+        past.withColumn("scenario", F.lit("historical")), cube.baseline(spark, sf), coarse, fine, future=future, begin=cube.BEGIN, end=cube.END
+    )
+    return out(refined, "scenario")
 
 
 @query("delta_pipeline_farfuture", refine_sql(TAS_ANOMS, "tas", R6("b.value + rv")))
@@ -440,9 +502,8 @@ def correct_unmasked(spark, sf):
 BOUND = (
     "bound AS (SELECT a.row, a.col FROM (SELECT row, col FROM gappy_pr WHERE year = 1995 AND month = 1 AND value IS NOT NULL) a, g "
     "LEFT JOIN (SELECT row, col FROM gappy_pr WHERE year = 1995 AND month = 1 AND value IS NOT NULL) b "
-    "ON abs(a.row - b.row) + abs(a.col - b.col) = 1 GROUP BY a.row, a.col, nx, ny "
-    "HAVING count(b.row) < CASE WHEN a.row > 0 THEN 1 ELSE 0 END + CASE WHEN a.row < ny - 1 THEN 1 ELSE 0 END "
-    "+ CASE WHEN a.col > 0 THEN 1 ELSE 0 END + CASE WHEN a.col < nx - 1 THEN 1 ELSE 0 END)"
+    "ON abs(a.row - b.row) + least(abs(a.col - b.col), nx - abs(a.col - b.col)) = 1 GROUP BY a.row, a.col, nx, ny "
+    "HAVING count(b.row) < CASE WHEN a.row > 0 THEN 1 ELSE 0 END + CASE WHEN a.row < ny - 1 THEN 1 ELSE 0 END + 2)"
 )
 
 
@@ -503,9 +564,101 @@ def fix_precip(spark, sf):
     return out(series)
 
 
-@query("fix_precip_climatology")
+def _twice_corrected(src: str, when: str, first: str, tag: str) -> str:
+    """CTEs of the boundary, the two corrections, the filled and floored values of ``src``
+    (on a cyclic grid, every cell present)."""
+    keys, on = when.split(", "), " AND ".join(f"c.{k} = p.{k}" for k in when.split(", "))
+    bound = BOUND.replace("bound AS", f"bound{tag} AS").replace("gappy_pr WHERE year = 1995 AND month = 1", f"{src} WHERE {first}")
+    cap = lambda n, of: (
+        f"p{n}{tag} AS (SELECT {when}, quantile_cont(value, 0.95) AS p FROM {of} JOIN sup USING (row, col) WHERE inside = 1 AND value IS NOT NULL GROUP BY {when}), "
+        f"cap{n}{tag} AS (SELECT {', '.join('c.' + k for k in keys)}, arg_min(c.value, abs(c.value - p.p) * 1e6 + c.value * 1e-3) AS cap "
+        f"FROM {of} c JOIN sup USING (row, col) JOIN p{n}{tag} p ON {on} WHERE inside = 1 AND c.value IS NOT NULL GROUP BY {', '.join('c.' + k for k in keys)})"
+    )
+    named = ", ".join("c." + k for k in keys)
+    edge = (
+        f"edge{tag} AS (SELECT {named}, c.row, c.col, b.row IS NOT NULL AS is_boundary, CASE WHEN b.row IS NULL THEN c.value "
+        f"ELSE {CORRECT.format(low='0.5')} END AS value FROM {src} c LEFT JOIN cap1{tag} USING ({when}) LEFT JOIN bound{tag} b ON b.row = c.row AND b.col = c.col)"
+    )
+    inner = (
+        f"inner{tag} AS (SELECT {named}, row, col, CASE WHEN is_boundary THEN c.value ELSE {CORRECT.format(low='NULL')} END AS value "
+        f"FROM edge{tag} c LEFT JOIN cap2{tag} USING ({when}))"
+    )
+    return f"{bound}, {cap(1, src)}, {edge}, {cap(2, f'edge{tag}')}, {inner}"
+
+
+def _filled(src: str, when: str, tag: str, cyclic: bool = False) -> str:
+    """CTEs of the linear fill of ``src`` (``when`` are its keys besides the cell)."""
+    body = FILL.replace("year, month", when).format(src=f"SELECT {when}, row, col, value FROM {src}").strip().removeprefix("WITH ")
+    for name in ("dense", "x", "e", "filled"):
+        body = body.replace(f"{name} AS (SELECT", f"{name}{tag} AS (SELECT").replace(f"FROM {name}", f"FROM {name}{tag}")
+    if not cyclic:
+        return body
+    row = f"PARTITION BY {when}, row ORDER BY col"
+    whole = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+    last, first = ("{f}({v} IGNORE NULLS) OVER (" + f"{row} {whole})" for _ in range(2))
+    col = "CASE WHEN value IS NOT NULL THEN col END"
+    for old, fn, shift in (("OVER bx AS lag_", "last_value", "- (SELECT nx FROM g)"), ("OVER fx AS lead_", "first_value", "+ (SELECT nx FROM g)")):
+        window = old.split()[1]
+        body = body.replace(
+            f"{fn}(value IGNORE NULLS) OVER {window} AS {old.split()[-1]}v",
+            f"coalesce({fn}(value IGNORE NULLS) OVER {window}, {last.format(f=fn, v='value')}) AS {old.split()[-1]}v",
+        ).replace(
+            f"{fn}({col} IGNORE NULLS) OVER {window} AS {old.split()[-1]}p",
+            f"coalesce({fn}({col} IGNORE NULLS) OVER {window}, {first.format(f=fn, v=col)} {shift}) AS {old.split()[-1]}p",
+        )
+    return body
+
+
+CTES["clim_gappy"] = (
+    "SELECT month, row, col, avg(value) AS value FROM gappy_pr WHERE year BETWEEN 1995 AND 1999 GROUP BY ALL"
+)
+
+
+@query(
+    "fix_precip_climatology",
+    f"WITH {_twice_corrected('clim_gappy', 'month', 'month = 1', '_c')}, {_filled('inner_c', 'month', '_c')} "
+    f"SELECT month, row, col, {R6('CASE WHEN value < 0.5 THEN 0.5e0 ELSE value END')} AS value FROM filled_c",
+)
 def fix_precip_climatology(spark, sf):
     """The corrected climatology, with the boundary treated apart."""
     coarse, _ = cube.grids(spark, sf)
     _, clim = precip.fix_precip(_gappy_pr(spark, sf), coarse, cube.BEGIN, cube.END, cube.mask(spark, sf), find_bounds=True)
     return clim.select("month", "row", "col", r6("clim").alias("value"))
+
+
+def _whole(src: str, when: str, tag: str) -> str:
+    """Every cell of the coarse grid for each time of ``src``."""
+    return (
+        f"whole{tag} AS (SELECT {when}, row, col, value FROM (SELECT DISTINCT {when} FROM {src}) CROSS JOIN "
+        "(SELECT CAST(unnest(range(0, ny)) AS INTEGER) AS row FROM g) CROSS JOIN (SELECT CAST(unnest(range(0, nx)) AS INTEGER) AS col FROM g) "
+        f"LEFT JOIN {src} USING ({when}, row, col))"
+    )
+
+
+PRECIP = (
+    f"{_twice_corrected('clim_gappy', 'month', 'month = 1', '_c')}, {_whole('inner_c', 'month', '_c')}, {_filled('whole_c', 'month', '_c', True)}, "
+    f"{_twice_corrected('gappy_pr', 'year, month', 'year = 1995 AND month = 1', '_s')}, {_whole('inner_s', 'year, month', '_s')}, {_filled('whole_s', 'year, month', '_s', True)}, "
+    "low AS (SELECT year, month, row, col, CASE WHEN s < 0.5 THEN 0.5e0 ELSE s END / CASE WHEN c < 0.5 THEN 0.5e0 ELSE c END AS value FROM "
+    "(SELECT year, month, row, col, value AS s FROM filled_s) LEFT JOIN (SELECT month, row, col, value AS c FROM filled_c) USING (month, row, col)), "
+    "anoms AS (SELECT * FROM low WHERE year >= 2000)"
+)
+
+
+@query(
+    "delta_pipeline_precip",
+    f"WITH {PRECIP} SELECT r.year, r.month, r.row, r.col, CASE WHEN b.inside = 1 THEN round_even(b.value * rv, 0) + 0e0 END AS value "
+    f"FROM ({bilinear_sql('anoms')}) r JOIN base_pr b ON b.row = r.row AND b.col = r.col AND b.month = r.month",
+)
+def delta_pipeline_precip(spark, sf):
+    """Corrected precipitation end to end: ratios of the limited, filled and floored series
+    to its climatology treated alike, on the fine baseline, whole numbers, masked."""
+    coarse, fine = cube.grids(spark, sf)
+    c = cube.gappy(spark, sf, "pr").drop("variable")
+    past, later = c.where(F.col("scenario") == "historical"), c.where(F.col("scenario") != "historical")
+    p = policy.variable_policy("pr", "cru")
+    refined = delta.delta_pipeline(
+        past.drop("scenario"), cube.baseline(spark, sf, "pr"), coarse, fine, future=later.drop("scenario"), begin=cube.BEGIN, end=cube.END,
+        operation=p.operation, post=p.post(), mask=cube.fine_mask(spark, sf), fix_clim=p.fix_clim, find_bounds=p.find_bounds,
+        fill=True, aoi_mask=cube.mask(spark, sf),
+    )
+    return refined.select(*YMRC, (F.col("value") + 0.0).alias("value"))

@@ -28,7 +28,11 @@ def scan_series(spark, sf):
 def scan_multi(spark, sf):
     """Two parts that share the years 1997-1998."""
     c = cube.cells(spark, sf).select("year", "month", "row", "col", "value")
-    return series.combine_parts(c.where(F.col("year") <= 1998), c.where(F.col("year") >= 1997))
+    one, two = work_folder(spark, "part"), work_folder(spark, "part")
+    whole = series.with_identity(c, variable="tas", model="obs", scenario="historical")
+    sinks.sink_grid(whole.where(F.col("year") <= 1998), one)
+    sinks.sink_grid(whole.where(F.col("year") >= 1997), two)
+    return series.scan_multi(spark, [one, two], variable="tas").select("year", "month", "row", "col", "value")
 
 
 @query("scan_baseline", "SELECT row, col, month, value FROM base_tas")
@@ -198,13 +202,13 @@ def historical_future_pairs(spark, sf):
 
 @query("anti_derived", f"SELECT model, year, month FROM ({NAMES})")
 def anti_derived(spark, sf):
-    """Anomaly files beside each output file are left out."""
+    """Anomaly files beside each output file, annual files and foreign names are left out."""
     plain = names(spark, sf)
     derived = plain.select(F.regexp_replace("name", r"\.tif$", "_anom.tif").alias("name"))
-    whole = plain.unionByName(derived)
-    stem = F.regexp_replace("name", "_anom", "")
-    parsed = catalog.catalog_parse(whole.withColumn("stem", stem), "stem")
-    return catalog.anti_derived(parsed).select("model", "year", "month")
+    annual = plain.select(F.regexp_replace("name", r"_\d\d_(\d+)\.tif$", "_13_$1.tif").alias("name")).distinct()
+    foreign = plain.select(F.concat(F.lit("README_"), "name", F.lit(".md")).alias("name"))
+    whole = plain.unionByName(derived).unionByName(annual).unionByName(foreign)
+    return catalog.anti_derived(catalog.catalog_parse(whole)).where("size(split(name, '_')) = 8").select("model", "year", "month")
 
 
 # ---- sinks ---------------------------------------------------------------------
@@ -226,7 +230,7 @@ def sink_prepped(spark, sf):
 
 @query(
     "sink_anomaly",
-    f"SELECT c.year, c.month, c.row, c.col, {R6('c.value - m.clim')} AS anomaly FROM cells_tas c JOIN clim_tas m USING (row, col, month)",
+    f"SELECT c.year, c.month, c.row, c.col, {R6('c.value - m.clim')} AS anomaly FROM cells_tas c LEFT JOIN clim_tas m USING (row, col, month)",
 )
 def sink_anomaly(spark, sf):
     from climgrid.operators import climate
@@ -260,17 +264,30 @@ def sink_summary_json(spark, sf):
     return flat.select("zone_id", F.col("month").cast("int").alias("month"), r6("m.mean").alias("mean"), "m.min", "m.max")
 
 
-def _wide(metric, v):
-    text = f"printf('%.1f', round_even({v} * 1e1, 0) / 1e1)"
-    return ", ".join(f"max(CASE WHEN month = {m} THEN {text} END) AS \"{m:02d}\"" for m in range(1, 13))
+def _wide(v):
+    one, whole = f"printf('%.1f', round_even({v} * 1e1, 0) / 1e1)", f"printf('%.0f', round_even({v}, 0))"
+    return ", ".join(f"max(CASE WHEN month = {m} THEN CASE WHEN variable = 'pr' THEN {whole} ELSE {one} END END) AS \"{m:02d}\"" for m in range(1, 13))
 
 
-@query("sink_summary_csv", f"SELECT zone_id, {_wide('max', 'max')} FROM ({ZONAL}) GROUP BY zone_id")
+METRICS = ("mean", "min", "max")
+
+
+@query(
+    "sink_summary_csv",
+    " UNION ALL ".join(
+        f"SELECT '{k}' AS metric, variable, zone_id, {_wide(k)} FROM (SELECT 'tas' AS variable, * FROM ({ZONAL}) UNION ALL "
+        f"SELECT 'pr', * FROM ({ZONAL.replace('cells_tas', 'cells_pr')})) GROUP BY variable, zone_id"
+        for k in METRICS
+    ),
+)
 def sink_summary_csv(spark, sf):
+    """All metrics of a variable with a decimal and of one in whole numbers."""
     path = work_folder(spark, "summary")
-    sinks.sink_summary_csv(zonal_table(spark, sf), path, ["zone_id"], ["max"])
-    schema = "zone_id int, " + ", ".join(f"`{m:02d}` string" for m in range(1, 13))
-    return spark.read.schema(schema).csv(f"{path}/max", header=True)
+    both = zonal_table(spark, sf, ["tas", "pr"])
+    sinks.sink_summary_csv(both, path, ["variable", "zone_id"], list(METRICS))
+    schema = "variable string, zone_id int, " + ", ".join(f"`{m:02d}` string" for m in range(1, 13))
+    read = [spark.read.schema(schema).csv(f"{path}/{k}", header=True).withColumn("metric", F.lit(k)) for k in METRICS]
+    return read[0].unionByName(read[1]).unionByName(read[2])
 
 
 @query(

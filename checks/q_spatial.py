@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import cube
 from checks.registry import CTES, R6, bilinear_sql, fine_place, query, r6
+from climgrid.functions.projection import lonlat
 from climgrid.operators import gaps, neighbors, regrid, spatial
 from climgrid.plans import prepare
 
@@ -122,8 +123,8 @@ CTES["halfmask"] = (
 
 @query(
     "crop_resample",
-    "SELECT year, month, h.row, h.col, value FROM halfmask h, g, half JOIN cells_tas c ON true WHERE "
-    "c.col = floor(round_even((((h.col + 0.5e0) * (360e0 / hx)) / (360e0 / nx) - 0.5e0) * 1e9, 0) / 1e9 + 0.5e0) AND "
+    "SELECT t.year, t.month, h.row, h.col, value FROM halfmask h CROSS JOIN g CROSS JOIN half CROSS JOIN (SELECT DISTINCT year, month FROM cells_tas) t LEFT JOIN cells_tas c ON "
+    "c.year = t.year AND c.month = t.month AND c.col = floor(round_even((((h.col + 0.5e0) * (360e0 / hx)) / (360e0 / nx) - 0.5e0) * 1e9, 0) / 1e9 + 0.5e0) AND "
     "c.row = floor(round_even(((90 - (90 - (h.row + 0.5e0) * (180e0 / hy))) / (180e0 / ny) - 0.5e0) * 1e9, 0) / 1e9 + 0.5e0)",
 )
 def crop_resample(spark, sf):
@@ -137,9 +138,9 @@ def crop_resample(spark, sf):
 
 @query(
     "resample_to_template",
-    f"SELECT c.year, c.month, f.row, f.col, CASE WHEN f.inside = 1 THEN round_even(c.value * 1e1, 0) / 1e1 + 0e0 END AS value FROM "
+    f"SELECT t.year, t.month, f.row, f.col, CASE WHEN f.inside = 1 THEN round_even(c.value * 1e1, 0) / 1e1 + 0e0 END AS value FROM "
     f"(SELECT row, col, inside, floor(fy + 0.5e0) AS r0, floor(fx + 0.5e0) AS c0 FROM (SELECT *, {fine_place()} FROM fine)) f "
-    "JOIN cells_tas c ON c.row = f.r0 AND c.col = f.c0",
+    "JOIN (SELECT DISTINCT year, month FROM cells_tas) t ON true LEFT JOIN cells_tas c ON c.row = f.r0 AND c.col = f.c0 AND c.year = t.year AND c.month = t.month",
 )
 def resample_to_template(spark, sf):
     coarse, fine = cube.grids(spark, sf)
@@ -155,7 +156,7 @@ def points(spark, sf):
     return c.select(F.col("c_name").alias("name"), lat.alias("lat"), lon.alias("lon"))
 
 
-SERIES = ["M0_historical_tas", "M0_rcp60_tas", "M1_historical_tas", "M1_rcp60_tas"]
+SERIES = [f"M{m}_{s}_tas" for m in range(5) for s in ("historical", "rcp60")]
 
 
 @query(
@@ -164,13 +165,28 @@ SERIES = ["M0_historical_tas", "M0_rcp60_tas", "M1_historical_tas", "M1_rcp60_ta
     + ", ".join(f"max(CASE WHEN model || '_' || scenario || '_tas' = '{s}' THEN value END) AS \"{s}\"" for s in SERIES)
     + " FROM (SELECT c_name AS name, CAST(floor(round_even(((90 - (89.7e0 - fmod(c_custkey * 7.3e0, 170))) / (180e0 / ny) - 0.5e0) * 1e9, 0) / 1e9 + 0.5e0) AS INTEGER) AS row, "
     "CAST(floor(round_even(((fmod(c_custkey * 11.9e0, 359) + 0.3e0) / (360e0 / nx) - 0.5e0) * 1e9, 0) / 1e9 + 0.5e0) AS INTEGER) AS col FROM customer, g) "
-    "JOIN model_tas USING (row, col) GROUP BY ALL",
+    "LEFT JOIN model_tas USING (row, col) GROUP BY ALL",
 )
 def point_profile(spark, sf):
-    """Two models and their scenarios at each place, one column each."""
+    """The models and their scenarios at each place, one column each."""
     return spatial.point_profile(cube.models(spark, sf), points(spark, sf), coarse_grid(spark, sf), SERIES)
 
 
+@query(
+    "point_profile_projected",
+    "SELECT name, month, max(value) AS obs FROM (SELECT row * 10000000 + col AS name, CAST(row AS INTEGER) AS row, CAST(col AS INTEGER) AS col FROM proj WHERE inside = 1) "
+    "JOIN base_tas USING (row, col) GROUP BY ALL",
+)
+def point_profile_projected(spark, sf):
+    """Places given in degrees, at the centres of cells of a projected grid."""
+    grid = cube.projected(spark, sf)
+    lon, lat = lonlat(grid.crs, grid.x(), grid.y())
+    name = (F.col("row") * 10000000 + F.col("col")).alias("name")
+    places = cube.fine_mask(spark, sf).where(F.col("inside") == 1).select(name, lon.alias("lon"), lat.alias("lat"))
+    series = cube.baseline(spark, sf).withColumn("model", F.lit("obs"))
+    return spatial.point_profile(series, places, grid, ["obs"]).select("name", "month", "obs")
+
+
 # ---- neighbours -----------------------------------------------------------------
 
 
@@ -221,9 +237,21 @@ def fill_negative_neighbors(spark, sf):
     return neighbors.fill_negative_neighbors(c, area(spark, sf)).select(*YMRC, r6("value").alias("value"))
 
 
-@query("fill_mask_iterative")
+def _rounds(n: int) -> str:
+    """The rounds of the iterative fill one by one; more than the gaps of the data need."""
+    parts = ["r0 AS (SELECT year, month, row, col, inside, CASE WHEN inside = 1 AND value > -15 THEN value END AS value FROM gappy_tas JOIN area USING (row, col))"]
+    for k in range(1, n + 1):
+        parts.append(
+            f"f{k} AS (SELECT a.year, a.month, a.row, a.col, trunc(avg(b.value)) AS fill FROM r{k - 1} a JOIN r{k - 1} b "
+            f"ON a.year = b.year AND a.month = b.month AND {AROUND} WHERE a.inside = 1 AND a.value IS NULL AND b.value IS NOT NULL GROUP BY ALL), "
+            f"r{k} AS MATERIALIZED (SELECT year, month, row, col, inside, coalesce(value, fill) AS value FROM r{k - 1} LEFT JOIN f{k} USING (year, month, row, col))"
+        )
+    return f"WITH {', '.join(parts)} SELECT year, month, row, col, value FROM r{n}"
+
+
+@query("fill_mask_iterative", _rounds(12))
 def fill_mask_iterative(spark, sf):
-    """Rounds of filling until nothing changes; checked against brute force in the tests."""
+    """Rounds of filling until nothing changes."""
     wet = gappy(spark, sf).withColumn("value", F.when(F.col("value") > -15, F.col("value")))
     return neighbors.fill_mask_iterative(wet, area(spark, sf)).select(*YMRC, "value")
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, functions as F
 
+from climgrid.functions.projection import Albers
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+ALBERS = Albers()
 
 
 def query(name: str, sql: str | None = None):
@@ -130,7 +134,7 @@ def fine_place(extra: str = "") -> str:
     return f"{fx} AS fx, {fy} AS fy{extra}"
 
 
-def bilinear_sql(anoms: str, target: str = "fine", cols: str = "", on: str = "") -> str:
+def bilinear_sql(anoms: str, target: str = "fine", cols: str = "", on: str = "", place: str | None = None) -> str:
     """SELECT of bilinear values of the coarse relation ``anoms`` (year, month, row, col,
     value) on the fine cells ``target``; ``cols`` are kept columns of the target."""
     denoise = lambda e: f"round_even(({e}) * 1e9, 0) / 1e9"
@@ -146,14 +150,37 @@ def bilinear_sql(anoms: str, target: str = "fine", cols: str = "", on: str = "")
         for j in (0, 1)
     )
     return (
-        f"SELECT * FROM (SELECT p.* EXCLUDE (tx, ty, r0, c0, nx), coalesce(v00, v01, v10, v11) IS NOT NULL AS around, CASE WHEN {den} > 1e-6 THEN ({num}) / ({den}) END AS rv FROM "
+        f"SELECT p.* EXCLUDE (tx, ty, r0, c0, nx), CASE WHEN {den} > 1e-6 THEN ({num}) / ({den}) END AS rv FROM "
         f"(SELECT t.year, t.month, f.row, f.col{keep}, f.nx, CAST(floor(fy) AS INTEGER) AS r0, "
-        f"CAST((floor(fx) + f.nx) % f.nx AS INTEGER) AS c0, {denoise('fx - floor(fx)')} AS tx, {denoise('fy - floor(fy)')} AS ty "
-        f"FROM (SELECT *, {fine_place()} FROM {target}) f JOIN (SELECT DISTINCT year, month FROM {anoms}) t ON true {cond}) p {joins}) "
-        "WHERE around"
+        f"CAST(((floor(fx) % f.nx) + f.nx) % f.nx AS INTEGER) AS c0, {denoise('fx - floor(fx)')} AS tx, {denoise('fy - floor(fy)')} AS ty "
+        f"FROM (SELECT *, {place or fine_place()} FROM {target}) f JOIN (SELECT DISTINCT year, month FROM {anoms}) t ON true {cond}) p {joins}"
+    )
+
+
+def albers_lonlat(x: str, y: str, columns: str, source: str) -> str:
+    """SELECT of ``columns``, lat and lon of projected coordinates."""
+    e2, e, n, c, rho0 = ALBERS._constants()
+    pole = 1 - (1 - e2) / (2 * e) * math.log((1 - e) / (1 + e))
+    k2, k4, k6 = e2 / 3 + 31 * e2**2 / 180 + 517 * e2**3 / 5040, 23 * e2**2 / 360 + 251 * e2**3 / 3780, 761 * e2**3 / 45360
+    d = lambda v: f"CAST({v!r} AS DOUBLE)"
+    q = f"(({d(c)} - rho2 * {d(n * n / (ALBERS.a * ALBERS.a))}) / {d(n)})"
+    return (
+        f"SELECT {columns}, degrees(beta + sin(beta * 2) * {d(k2)} + sin(beta * 4) * {d(k4)} + sin(beta * 6) * {d(k6)}) AS lat, "
+        f"degrees(atan2(x, {d(rho0)} - y)) / {d(n)} + -154 AS lon FROM (SELECT *, asin(greatest(-1e0, least(1e0, {q} / {d(pole)}))) AS beta "
+        f"FROM (SELECT *, x * x + ({d(rho0)} - y) * ({d(rho0)} - y) AS rho2 FROM (SELECT *, {x} AS x, {y} AS y FROM {source})))"
     )
 
 
+# the fine cells on a projected grid of 4000 by 4000 km
+CTES["proj"] = albers_lonlat(
+    "-2000000e0 + (col + 0.5e0) * (4000000e0 / (4 * nx))", "2400000e0 - (row + 0.5e0) * (4000000e0 / (5 * ny))",
+    "row, col, p_size, inside, nx, ny", "fine",
+)
+PROJ_PLACE = (
+    "round_even((lon / (360e0 / nx) - 0.5e0) * 1e9, 0) / 1e9 AS fx, round_even(((90 - lat) / (180e0 / ny) - 0.5e0) * 1e9, 0) / 1e9 AS fy"
+)
+
+
 def with_ctes(sql: str) -> str:
     """Prefix the statement with the CTEs it uses, in order of definition."""
     need: set[str] = set()

@@ -1,4 +1,4 @@
-"""Inverse Albers equal-area conic on an ellipsoid (Snyder 1987, section 14)."""
+"""Albers equal-area conic on an ellipsoid, both ways (Snyder 1987, section 14)."""
 
 from __future__ import annotations
 
@@ -54,3 +54,35 @@ class Albers:
     def longitude(self, x: Column, y: Column) -> Column:
         _, _, n, _, rho0 = self._constants()
         return F.degrees(F.atan2(x, F.lit(rho0) - y)) / n + self.lon_0
+
+    def xy(self, lon: Column, lat: Column) -> tuple[Column, Column]:
+        """Projected coordinates in metres of degrees."""
+        e2, e, n, big_c, rho0 = self._constants()
+        s = F.sin(F.radians(lat))
+        q = (s / (1 - s * s * e2) - F.log((1 - s * e) / (1 + s * e)) / (2 * e)) * (1 - e2)
+        rho = F.sqrt(F.greatest(F.lit(0.0), F.lit(big_c) - q * n)) * (self.a / n)
+        # the shorter way round to the central meridian
+        off = F.pmod(lon - self.lon_0 + 180, F.lit(360.0)) - 180
+        theta = F.radians(off) * n
+        return rho * F.sin(theta), F.lit(rho0) - rho * F.cos(theta)
+
+
+PROJECTIONS = {"EPSG:3338": Albers()}
+
+
+def lonlat(crs: str, x: Column, y: Column) -> tuple[Column, Column]:
+    """Degrees of the coordinates of a grid."""
+    if crs == "EPSG:4326":
+        return x, y
+    if crs not in PROJECTIONS:
+        raise ValueError(f"no projection for {crs!r}; give the target columns lon and lat")
+    return PROJECTIONS[crs].longitude(x, y), PROJECTIONS[crs].latitude(x, y)
+
+
+def project(crs: str, lon: Column, lat: Column) -> tuple[Column, Column]:
+    """Coordinates of a grid of degrees."""
+    if crs == "EPSG:4326":
+        return lon, lat
+    if crs not in PROJECTIONS:
+        raise ValueError(f"no projection for {crs!r}")
+    return PROJECTIONS[crs].xy(lon, lat)

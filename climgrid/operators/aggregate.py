@@ -40,23 +40,30 @@ def ensemble_mean(df: DataFrame, members: int = 5, name: str = ENSEMBLE) -> Data
     )
 
 
-def annual_grid(df: DataFrame, metric: str = "mean") -> DataFrame:
-    return df.groupBy(*series_cols(df), "year", *cell_cols(df)).agg(metric_column(metric).alias("value"))
+def _metrics(metric: str, named: dict[str, str]) -> list[Column]:
+    """``metric`` as ``value``, or each named column's metric: all in one aggregation."""
+    return [metric_column(m).alias(n) for n, m in (named or {"value": metric}).items()]
 
 
-def seasonal_grid(df: DataFrame, metric: str = "mean") -> DataFrame:
-    """One value per season, cell and season year; only seasons with all three months.
+def annual_grid(df: DataFrame, metric: str = "mean", **named: str) -> DataFrame:
+    """One metric as ``value``, or several as named: ``annual_grid(df, value="mean", high="max")``."""
+    return df.groupBy(*series_cols(df), "year", *cell_cols(df)).agg(*_metrics(metric, named))
+
+
+def seasonal_grid(df: DataFrame, metric: str = "mean", **named: str) -> DataFrame:
+    """One value (or one per named metric) per season, cell and season year; only seasons with all three months.
     Partial seasons at the ends of a series drop out by that rule."""
     keyed = df.where(F.col("value").isNotNull()).select(
         *series_cols(df),
         calendar.season_year(F.col("year"), F.col("month")).alias("season_year"),
         calendar.season(F.col("month")).alias("season"),
         *cell_cols(df),
+        "month",
         "value",
     )
     return (
         keyed.groupBy(*series_cols(df), "season_year", "season", *cell_cols(df))
-        .agg(metric_column(metric).alias("value"), F.count(F.lit(1)).alias("_n"))
+        .agg(*_metrics(metric, named), F.bit_count(F.bit_or(F.expr("shiftleft(1, month)"))).alias("_n"))
         .where(F.col("_n") == 3)
         .drop("_n")
     )
@@ -74,27 +81,27 @@ def season_subset(df: DataFrame, season: str) -> DataFrame:
 
 def decadal_monthly(df: DataFrame, members: int = 10) -> DataFrame:
     """Mean per decade and calendar month, for cells with ``members`` distinct years."""
-    out = _decadal_monthly(df, F.avg("value"))
+    out = _decadal_monthly(df, F.avg("value").alias("value"))
     return out.where(F.col("_n") == members).drop("_n")
 
 
-def decadal_monthly_any(df: DataFrame, metric: str = "mean") -> DataFrame:
+def decadal_monthly_any(df: DataFrame, metric: str = "mean", **named: str) -> DataFrame:
     """As ``decadal_monthly`` whatever the number of years.  A total is meant as the
     mean of monthly totals; min and max stay what they are."""
-    agg = F.avg("value") if metric == "total" else metric_column(metric)
-    return _decadal_monthly(df, agg).drop("_n")
+    wanted = (named or {"value": metric}).items()
+    columns = [(F.avg("value") if m == "total" else metric_column(m)).alias(n) for n, m in wanted]
+    return _decadal_monthly(df, *columns).drop("_n")
 
 
-def _decadal_monthly(df: DataFrame, agg: Column) -> DataFrame:
+def _decadal_monthly(df: DataFrame, *agg: Column) -> DataFrame:
     keys = series_cols(df)
     cells = cell_cols(df)
     keyed = df.where(F.col("value").isNotNull()).select(
-        *keys, calendar.decade(F.col("year")).alias("decade"), "month", *cells, "value"
-    )
-    # one value per (series, year, month, cell): the count is the number of years
-    return keyed.groupBy(*keys, "decade", "month", *cells).agg(
-        agg.alias("value"), F.count(F.lit(1)).alias("_n")
+        *keys, calendar.decade(F.col("year")).alias("decade"), "year", "month", *cells, "value"
     )
+    # distinct years, as one bit each: a repeated record does not count twice
+    years = F.bit_count(F.bit_or(F.expr("shiftleft(1, pmod(year, 10))")))
+    return keyed.groupBy(*keys, "decade", "month", *cells).agg(*agg, years.alias("_n"))
 
 
 def decadal_seasonal(df: DataFrame, metric: str = "mean", members: int = 10) -> DataFrame:

@@ -29,13 +29,38 @@ def require_overlap(df: DataFrame, begin: int, end: int) -> None:
         raise ValueError(f"no data in the climatology period {begin}-{end}")
 
 
-def climatology(df: DataFrame, begin: int, end: int, by: list[str] | None = None) -> DataFrame:
+PAST = "historical"
+
+
+def climatology(
+    df: DataFrame, begin: int, end: int, by: list[str] | None = None, serve: DataFrame | None = None
+) -> DataFrame:
     """Mean per calendar month and cell over an inclusive span of years.
 
-    The year filter reaches the scan; means are combined map-side before the shuffle.
+    The year filter reaches the scan; sums are combined map-side before the shuffle.  A
+    table of several scenarios gives each its own climatology, from its own months and
+    those of the historical series it carries on, also where the base period reaches
+    past that one.  ``serve`` is the table whose series want a climatology, where it is not
+    ``df``; ``by`` names other keys.
     """
-    keys = by if by is not None else present(df, [c for c in SERIES if c != "scenario"]) + cell_cols(df)
-    return select_years(df, begin, end).groupBy(*keys, "month").agg(F.avg("value").alias("clim"))
+    base = select_years(df, begin, end)
+    if by is not None or "scenario" not in df.columns:
+        keys = by if by is not None else series_cols(df) + cell_cols(df)
+        return base.groupBy(*keys, "month").agg(F.avg("value").alias("clim"))
+    series = [c for c in series_cols(df) if c != "scenario"]
+    keys = series + cell_cols(df) + ["month"]
+    sums = base.groupBy("scenario", *keys).agg(F.sum("value").alias("_s"), F.count("value").alias("_n"))
+    past = sums.where(F.col("scenario") == PAST).drop("scenario").withColumnsRenamed({"_s": "_ps", "_n": "_pn"})
+    names = (df if serve is None else serve).select("scenario", *series).distinct()
+    if series:
+        carried = past.join(names, series)
+    else:
+        carried = past.withColumn("scenario", F.explode(names.select(F.collect_set("scenario")).scalar()))
+    own = sums.where(F.col("scenario") != PAST)
+    both = carried.join(own, ["scenario", *keys], "full")
+    total = lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+    mean = F.try_divide(total("_ps", "_s"), total("_pn", "_n"))
+    return both.select("scenario", *keys, mean.alias("clim"))
 
 
 def anomaly(df: DataFrame, clim: DataFrame, operation: str) -> DataFrame:
@@ -43,7 +68,7 @@ def anomaly(df: DataFrame, clim: DataFrame, operation: str) -> DataFrame:
 
     A plain equi-join: Spark broadcasts the climatology when its measured size is
     under the limit, else both sides shuffle on (series, cell, month) and AQE
-    splits a hot cell.  A zero climatology gives NULL.
+    splits a hot cell.  A zero climatology and a missing one give NULL.
     """
     check_operation(operation)
     keys = shared(df, clim, SERIES + CELL + ("month",))
@@ -51,7 +76,7 @@ def anomaly(df: DataFrame, clim: DataFrame, operation: str) -> DataFrame:
         value = F.col("value") - F.col("clim")
     else:
         value = F.try_divide(F.col("value"), F.col("clim"))
-    return df.join(clim, keys).withColumn("value", value).drop("clim")
+    return df.join(clim, keys, "left").withColumn("value", value).drop("clim")
 
 
 def restrict_times(df: DataFrame, times: DataFrame) -> DataFrame:
@@ -66,7 +91,7 @@ def lowres_anomalies(df: DataFrame, begin: int, end: int, ratio_variables=("pr",
     keys = shared(df, clim, SERIES + CELL + ("month",))
     v, c = F.col("value"), F.col("clim")
     value = F.when(F.col("variable").isin(*ratio_variables), F.try_divide(v, c)).otherwise(v - c)
-    return df.join(clim, keys).withColumn("value", value).drop("clim")
+    return df.join(clim, keys, "left").withColumn("value", value).drop("clim")
 
 
 def delta_to_mean(extreme: DataFrame, mean: DataFrame, operation: str = "add") -> DataFrame:
@@ -109,6 +134,12 @@ def join_variables(left: DataFrame, right: DataFrame, names: tuple[str, str]) ->
     return a.join(b, keys)
 
 
+def join_models(df: DataFrame, models: list[str]) -> DataFrame:
+    """The models of a variable side by side, one column each; NULL where one lacks the cell."""
+    by = [c for c in series_cols(df) if c != "model"] + present(df, TIME) + cell_cols(df)
+    return df.groupBy(*by).agg(*[F.max(F.when(F.col("model") == m, F.col("value"))).alias(m) for m in models])
+
+
 def join_month_lookup(df: DataFrame, lookup: DataFrame, name: str) -> DataFrame:
     """Attach a monthly per-cell value (such as potential radiation)."""
     keys = shared(df, lookup, CELL + ("month",))

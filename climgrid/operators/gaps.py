@@ -5,23 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from climgrid.grid import Grid
-from climgrid.schema import SERIES, TIME, present
+from climgrid.schema import slice_cols
 
 
-def _bracket(df: DataFrame, by: list[str], line: str, pos: str, tag: str) -> DataFrame:
+def _bracket(df: DataFrame, by: list[str], line: str, pos: str, tag: str, around: int | None = None) -> DataFrame:
     """Nearest valid position and value on both sides, along one grid line.  A
     window holds one line of one timestep, so it is no larger than the grid is
-    wide or high."""
+    wide or high.  ``around``: the line closes after so many positions."""
     w = Window.partitionBy(*by, line).orderBy(pos)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     back = w.rowsBetween(Window.unboundedPreceding, -1)
     ahead = w.rowsBetween(1, Window.unboundedFollowing)
-    known = F.when(F.col("value").isNotNull(), F.struct(F.col(pos).alias("p"), F.col("value").alias("v")))
-    return df.withColumns(
-        {
-            f"_{tag}0": F.last(known, ignorenulls=True).over(back),
-            f"_{tag}1": F.first(known, ignorenulls=True).over(ahead),
-        }
-    )
+    known = lambda move=0: F.when(F.col("value").isNotNull(), F.struct((F.col(pos) + move).alias("p"), F.col("value").alias("v")))
+    before, after = F.last(known(), ignorenulls=True).over(back), F.first(known(), ignorenulls=True).over(ahead)
+    if around:
+        before = F.coalesce(before, F.last(known(-around), ignorenulls=True).over(whole))
+        after = F.coalesce(after, F.first(known(around), ignorenulls=True).over(whole))
+    return df.withColumns({f"_{tag}0": before, f"_{tag}1": after})
 
 
 def _estimate(pos: str, tag: str) -> tuple[Column, Column]:
@@ -31,16 +31,19 @@ def _estimate(pos: str, tag: str) -> tuple[Column, Column]:
     return value, F.lit(1.0) / span
 
 
-def fill_gaps_linear(df: DataFrame) -> DataFrame:
+def fill_gaps_linear(df: DataFrame, grid: Grid | None = None) -> DataFrame:
     """Fill NULL cells that lie between valid cells of their row, their column or both.
 
     Each axis gives the straight line between its two bracketing cells; where both
     do, they are averaged with weight one over the distance of the bracketing
     cells.  A cell without a bracket on either axis stays NULL, so nothing is
-    extrapolated.  Valid cells are not touched.
+    extrapolated.  Valid cells are not touched.  With ``grid``, cells that a timestep
+    does not hold are added and filled too, and rows of a cyclic grid close at the seam;
+    columns other than series, time, grid, level and value are left out then.
     """
-    by = present(df, SERIES + TIME)
-    out = _bracket(df, by, "row", "col", "x")
+    by = slice_cols(df)
+    whole = df if grid is None else complete_cells(df, grid)
+    out = _bracket(whole, by, "row", "col", "x", grid.nx if grid is not None and grid.cyclic else None)
     out = _bracket(out, by, "col", "row", "y")
     (vx, wx), (vy, wy) = _estimate("col", "x"), _estimate("row", "y")
     both = (vx * wx + vy * wy) / (wx + wy)
@@ -48,16 +51,18 @@ def fill_gaps_linear(df: DataFrame) -> DataFrame:
     return out.withColumn("value", filled).drop("_x0", "_x1", "_y0", "_y1")
 
 
+def frame(df: DataFrame, by: list[str], rows: tuple[int, int], cols: tuple[int, int]) -> DataFrame:
+    """Every row and column of the ranges (ends included) for each slice of ``df``."""
+    slices = df.select(*by).distinct() if by else df.select(F.lit(0).alias("_one")).distinct()
+    spread = slices.withColumn("row", F.explode(F.sequence(F.lit(rows[0]), F.lit(rows[1]))))
+    return spread.withColumn("col", F.explode(F.sequence(F.lit(cols[0]), F.lit(cols[1])))).drop("_one")
+
+
 def complete_cells(df: DataFrame, grid: Grid) -> DataFrame:
     """Add a NULL row for each cell of the grid that a timestep does not hold."""
-    by = present(df, SERIES + TIME)
-    frame = (
-        df.select(*by)
-        .distinct()
-        .withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(grid.ny - 1))))
-        .withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(grid.nx - 1))))
-    )
-    return frame.join(df.select(*by, "row", "col", "value"), by + ["row", "col"], "left")
+    by = slice_cols(df)
+    all_cells = frame(df, by, (0, grid.ny - 1), (0, grid.nx - 1))
+    return all_cells.join(df.select(*by, "row", "col", "value"), by + ["row", "col"], "left")
 
 
 def regrid_points(points: DataFrame, grid: Grid) -> DataFrame:
@@ -65,7 +70,7 @@ def regrid_points(points: DataFrame, grid: Grid) -> DataFrame:
 
     ``points`` holds lat, lon, value and any series or time columns.
     """
-    by = present(points, SERIES + TIME)
+    by = slice_cols(points)
     binned = (
         points.withColumns({"row": grid.row_of("lat"), "col": grid.col_of("lon")})
         .where(grid.holds())

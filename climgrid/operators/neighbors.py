@@ -5,107 +5,113 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from climgrid.grid import Grid
-from climgrid.schema import SERIES, TIME, present, shared
-from climgrid.storage import cut_lineage
+from climgrid.schema import PLANE, SERIES, TIME, present, shared, slice_cols
+from climgrid.storage import cut_lineage, work_folder
 
 ROOK = ((-1, 0), (0, -1), (0, 1), (1, 0))
 QUEEN = ROOK + ((-1, -1), (-1, 1), (1, -1), (1, 1))
 
 
-def _around(df: DataFrame, steps, keep: list[str]) -> DataFrame:
-    """One row per neighbour position of each cell, as ``nrow``, ``ncol``."""
+def _around(df: DataFrame, steps, keep: list[str], grid: Grid | None = None) -> DataFrame:
+    """One row per neighbour position of each cell, as ``nrow``, ``ncol``; round the globe
+    on a cyclic ``grid``."""
+    wrap = grid.wrap if grid is not None else lambda c: c
     o = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in steps]))
     return df.select(*keep, "row", "col", o.alias("o")).select(
         *keep,
         "row",
         "col",
         (F.col("row") + F.col("o.i")).alias("nrow"),
-        (F.col("col") + F.col("o.j")).alias("ncol"),
+        wrap(F.col("col") + F.col("o.j")).alias("ncol"),
     )
 
 
-def join_neighbors(df: DataFrame, steps=QUEEN) -> DataFrame:
+def join_neighbors(df: DataFrame, steps=QUEEN, grid: Grid | None = None) -> DataFrame:
     """Each cell with the value of each neighbour that has one."""
-    by = present(df, SERIES + TIME)
+    by = slice_cols(df)
     values = df.where(F.col("value").isNotNull()).select(
         *by, F.col("row").alias("nrow"), F.col("col").alias("ncol"), F.col("value").alias("nvalue")
     )
-    return _around(df, steps, by).join(values, by + ["nrow", "ncol"])
+    return _around(df, steps, by, grid).join(values, by + ["nrow", "ncol"])
 
 
-def neighbor_mean(cells: DataFrame, holes: DataFrame, steps=QUEEN) -> DataFrame:
+def neighbor_mean(cells: DataFrame, holes: DataFrame, steps=QUEEN, grid: Grid | None = None) -> DataFrame:
     """Mean of the valid neighbours of each hole.
 
     Only the holes ask: the exploded side has eight rows per missing cell, not per
     cell, and the fixed fan-in of eight keeps every group small.
     """
-    by = present(cells, SERIES + TIME)
+    by = slice_cols(cells)
     values = cells.where(F.col("value").isNotNull()).select(
         *by, F.col("row").alias("nrow"), F.col("col").alias("ncol"), F.col("value").alias("nvalue")
     )
-    asked = _around(holes, steps, by).join(values, by + ["nrow", "ncol"])
+    asked = _around(holes, steps, by, grid).join(values, by + ["nrow", "ncol"])
     return asked.groupBy(*by, "row", "col").agg(F.avg("nvalue").alias("fill"))
 
 
-def fill_mask_neighbors(df: DataFrame, mask: DataFrame) -> DataFrame:
+def fill_mask_neighbors(df: DataFrame, mask: DataFrame, grid: Grid | None = None) -> DataFrame:
     """Missing cells inside the mask take the mean of their valid queen neighbours;
     data outside the mask becomes missing.  All cells are filled at once from the
     values as given."""
-    by = present(df, SERIES + TIME)
+    by = slice_cols(df)
     keys = shared(df, mask, ("grid_id", "row", "col"))
     flagged = df.join(mask.select(*keys, "inside"), keys, "left")
     holes = flagged.where((F.col("inside") == 1) & F.col("value").isNull())
-    fills = neighbor_mean(df, holes)
+    fills = neighbor_mean(df, holes, grid=grid)
     value = F.when(F.col("inside") == 1, F.coalesce("value", "fill"))
     return flagged.join(fills, by + ["row", "col"], "left").withColumn("value", value).drop("fill", "inside")
 
 
-def fill_negative_neighbors(df: DataFrame, mask: DataFrame) -> DataFrame:
+def fill_negative_neighbors(df: DataFrame, mask: DataFrame, grid: Grid | None = None) -> DataFrame:
     """Negative cells inside the mask take the mean of their non-negative queen
     neighbours, or 0 where there is none."""
-    by = present(df, SERIES + TIME)
+    by = slice_cols(df)
     keys = shared(df, mask, ("grid_id", "row", "col"))
     flagged = df.join(mask.select(*keys, "inside"), keys, "left")
     bad = (F.col("inside") == 1) & (F.col("value") < 0)
-    fills = neighbor_mean(df.where(F.col("value") >= 0), flagged.where(bad))
+    fills = neighbor_mean(df.where(F.col("value") >= 0), flagged.where(bad), grid=grid)
     value = F.when(bad, F.coalesce("fill", F.lit(0.0))).otherwise(F.col("value"))
     return flagged.join(fills, by + ["row", "col"], "left").withColumn("value", value).drop("fill", "inside")
 
 
-def fill_mask_iterative(df: DataFrame, mask: DataFrame, max_rounds: int = 100) -> DataFrame:
+def fill_mask_iterative(df: DataFrame, mask: DataFrame, grid: Grid | None = None) -> DataFrame:
     """Repeat the queen fill inside the mask, with means cut to whole numbers,
-    until a round fills nothing; cells that are left stay NULL.
+    until a round fills nothing; cells that nothing reaches stay NULL.
 
-    Each round is written to the session's checkpoint folder, which survives the
-    loss of executors and keeps the plan short.  Only two counts reach the driver.
+    A round reads and writes only the holes that are left and their rim, the valid cells
+    beside them; what it fills is added to a stored table and met with the rest once, at
+    the end.  All of it lies in the shared folder, so it survives the loss of executors.
     """
-    by = present(df, SERIES + TIME)
+    spark, names, by = df.sparkSession, df.columns, slice_cols(df)
+    place = by + ["row", "col"]
     keys = shared(df, mask, ("grid_id", "row", "col"))
-    names = df.columns
-    now = df.join(mask.select(*keys, "inside"), keys, "left")
-    now = cut_lineage(now.withColumn("value", F.when(F.col("inside") == 1, F.col("value"))))
-    hole = (F.col("inside") == 1) & F.col("value").isNull()
-    left = now.where(hole).count()
-    for _ in range(max_rounds):
-        if left == 0:
-            break
-        fills = neighbor_mean(now, now.where(hole))
+    flagged = df.join(mask.select(*keys, "inside"), keys, "left").where(F.col("inside") == 1)
+    inside = cut_lineage(flagged.select(*place, "value"))
+    holes = inside.where(F.col("value").isNull()).select(*place)
+    rim, done = inside.where(F.col("value").isNotNull()), work_folder(spark, "filled")
+    schema = inside.schema
+    while True:
+        near = _around(holes, QUEEN, by, grid).select(*by, F.col("nrow").alias("row"), F.col("ncol").alias("col")).distinct()
+        rim = rim.join(near, place, "left_semi")
+        fills = neighbor_mean(rim, holes, grid=grid)
         whole = F.when(F.col("fill") < 0, F.ceil("fill")).otherwise(F.floor("fill")).cast("double")
-        filled = now.join(fills, by + ["row", "col"], "left")
-        now = cut_lineage(filled.withColumn("value", F.coalesce(F.col("value"), whole)).drop("fill"))
-        before, left = left, now.where(hole).count()
-        if left == before:
+        new = cut_lineage(fills.select(*place, whole.alias("value")))
+        new.write.mode("append").parquet(done)
+        if new.isEmpty():
             break
-    return now.select(*names)
+        rim = cut_lineage(rim.unionByName(new))
+        holes = cut_lineage(holes.join(new.select(*place), place, "left_anti"))
+    filled = spark.read.schema(schema).parquet(done).withColumnRenamed("value", "_fill")
+    known = df.join(mask.select(*keys, "inside"), keys, "left").join(filled, place, "left")
+    return known.withColumn("value", F.when(F.col("inside") == 1, F.coalesce("value", "_fill"))).select(*names)
 
 
 def find_boundary(df: DataFrame, grid: Grid) -> DataFrame:
     """Data cells that touch a missing cell by an edge, in the first timestep of
-    each series.  The rim of the grid itself is no boundary."""
-    by = present(df, SERIES)
-    first = df.groupBy(*by).agg(F.min(F.struct("year", "month")).alias("_t")) if by else df.agg(
-        F.min(F.struct("year", "month")).alias("_t")
-    )
+    each series: the scenarios that carry on a historical series share its boundary.
+    The rim of the grid itself is no boundary."""
+    by = present(df, [c for c in SERIES + PLANE if c != "scenario"])
+    first = df.groupBy(*by).agg(F.min(F.struct("year", "month")).alias("_t"))
     stamp = first.select(*by, F.col("_t.year").alias("year"), F.col("_t.month").alias("month"))
     start = df.join(stamp, by + ["year", "month"], "left_semi")
     return boundary_of(start.select(*by, "row", "col", "value"), by, grid)
@@ -114,17 +120,17 @@ def find_boundary(df: DataFrame, grid: Grid) -> DataFrame:
 def boundary_of(df: DataFrame, by: list[str], grid: Grid) -> DataFrame:
     """Boundary cells of one slice per ``by``: valid cells with fewer valid edge
     neighbours than the grid gives them."""
-    valid = df.where(F.col("value").isNotNull()).select(*by, "row", "col")
+    valid = df.where(F.col("value").isNotNull()).select(*by, "row", "col").distinct()
     here = F.col("row").between(1, grid.ny - 1).cast("int") + F.col("row").between(0, grid.ny - 2).cast("int")
     side = F.col("col").between(1, grid.nx - 1).cast("int") + F.col("col").between(0, grid.nx - 2).cast("int")
     touched = (
-        _around(valid, ROOK, by)
+        _around(valid, ROOK, by, grid)
         .groupBy(*by, F.col("nrow").alias("row"), F.col("ncol").alias("col"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     return (
         valid.join(touched, by + ["row", "col"], "left")
-        .where(F.coalesce("_n", F.lit(0)) < here + side)
+        .where(F.coalesce("_n", F.lit(0)) < here + (F.lit(2) if grid.cyclic else side))
         .drop("_n")
     )
 
@@ -136,6 +142,6 @@ def mosaic_first(*layers: DataFrame) -> DataFrame:
     for rank, layer in enumerate(layers):
         part = layer.withColumn("_rank", F.lit(rank))
         merged = part if merged is None else merged.unionByName(part)
-    keys = present(merged, SERIES + TIME + ("row", "col"))
+    keys = present(merged, SERIES + TIME + PLANE + ("row", "col"))
     rank = F.when(F.col("value").isNotNull(), F.col("_rank"))
     return merged.groupBy(*keys).agg(F.min_by("value", rank).alias("value"))

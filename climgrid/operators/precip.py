@@ -8,41 +8,43 @@ from climgrid.grid import Grid
 from climgrid.operators.climate import climatology
 from climgrid.operators.gaps import fill_gaps_linear
 from climgrid.operators.neighbors import boundary_of, find_boundary
-from climgrid.schema import SERIES, TIME, present, shared
+from climgrid.schema import CELL, PLANE, SERIES, present, shared, slice_cols
 from climgrid.storage import cut_lineage
 
 FLOOR = 0.5  # fixed value: least amount that counts as precipitation
 
 
-def slice_quantile(df: DataFrame, by: list[str], q: float, bins: int = 1024) -> DataFrame:
+def slice_quantile(df: DataFrame, by: list[str], q: float, accuracy: int = 10_000) -> DataFrame:
     """Exact quantile per slice with linear interpolation: ``quantile`` and
     ``nearest``, the actual value closest to it (the smaller one of a tie).
 
-    A slice may be a very large grid, so it is never sorted or held in one task.  Equal
-    values fold first; every later step starts from that one exchange.  Counts per
-    equal-width bin (at most ``bins`` rows per slice) tell which one or two bins hold
-    the wanted ranks, and only the values of those are ranked.  The value closest to
-    an interpolated quantile is one of the two order statistics around it.
+    A slice may be a very large grid, so it is never sorted or held in one task.  A
+    mergeable sketch brackets the wanted ranks by data, whatever the values' spread: at
+    most some ``accuracy``-ths of the rows lie between its two values.  One count tells
+    how many lie below, and only the folded values inside the bracket are ranked.  The
+    value closest to an interpolated quantile is one of the two order statistics around it.
     """
     v = F.col("value")
-    values = df.where(v.isNotNull()).groupBy(*by, "value").agg(F.count(F.lit(1)).alias("_c"))
-    stats = values.groupBy(*by).agg(F.sum("_c").alias("_n"), F.min("value").alias("_lo"), F.max("value").alias("_hi"))
-    share = F.try_divide(v - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    bin_ = F.least(F.lit(bins - 1), F.floor(F.coalesce(share, F.lit(0.0)) * bins)).cast("int")
-    binned = values.join(stats, by).withColumn("_bin", bin_)
-
+    values = df.where(v.isNotNull()).select(*by, "value")
+    ends = F.array(*[F.lit(min(1.0, max(0.0, q + k / accuracy))) for k in (-3, 3)])
+    stats = values.groupBy(*by).agg(
+        F.percentile_approx("value", ends, accuracy).alias("_e"), F.count(F.lit(1)).alias("_n"),
+        F.min("value").alias("_min"), F.max("value").alias("_max"),
+    )
     pos = (F.col("_n") - 1) * F.lit(float(q))
-    counts = binned.groupBy(*by, "_bin").agg(F.sum("_c").alias("_c"), F.first("_n").alias("_n"))
-    upto = F.sum("_c").over(Window.partitionBy(*by).orderBy("_bin"))
-    counts = counts.withColumns({"_before": upto - F.col("_c"), "_pos": pos})
-    # ranks are 0-based: a bin holds ranks _before .. _before + _c - 1
+    # in slices smaller than the sketch's error the bracket is the whole slice
+    small = F.col("_n") <= accuracy
+    stats = stats.select(
+        *by, pos.alias("_pos"), F.when(small, F.col("_min")).otherwise(F.col("_e")[0]).alias("_lo"),
+        F.when(small, F.col("_max")).otherwise(F.col("_e")[1]).alias("_hi"),
+    )
+    bounded = values.join(stats, by)
+    below = bounded.groupBy(*by).agg(F.count(F.when(v < F.col("_lo"), 1)).alias("_before"))
+    inside = bounded.where(v.between(F.col("_lo"), F.col("_hi"))).groupBy(*by, "value", "_pos").agg(F.count(F.lit(1)).alias("_c"))
+    run = F.sum("_c").over(Window.partitionBy(*by).orderBy("value"))
+    near = inside.join(below, by).withColumn("_last", F.col("_before") + run - 1)
+    # ranks are 0-based: a value holds the ranks up to _last that the one before it does not
     k0, k1 = F.floor("_pos"), F.ceil("_pos")
-    holds = lambda k: (k >= F.col("_before")) & (k < F.col("_before") + F.col("_c"))
-    wanted = counts.where(holds(k0) | holds(k1)).select(*by, "_bin", "_before", "_pos")
-
-    near = binned.select(*by, "_bin", "value", "_c").join(wanted, by + ["_bin"])
-    run = F.sum("_c").over(Window.partitionBy(*by, "_bin").orderBy("value"))
-    near = near.withColumn("_last", F.col("_before") + run - 1)
     at = lambda k: F.min(F.when(F.col("_last") >= k, v))
     picked = near.groupBy(*by).agg(at(k0).alias("_v0"), at(k1).alias("_v1"), F.first("_pos").alias("_pos"))
     quantile = F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_pos") - k0)
@@ -54,7 +56,7 @@ def slice_quantile(df: DataFrame, by: list[str], q: float, bins: int = 1024) ->
 
 
 def _slice_keys(df: DataFrame) -> list[str]:
-    return present(df, SERIES + TIME)
+    return slice_cols(df)
 
 
 def aoi_p95(df: DataFrame, mask: DataFrame | None = None, q: float = 0.95) -> DataFrame:
@@ -93,7 +95,7 @@ def correct_unmasked(df: DataFrame) -> DataFrame:
 
 def with_boundary(df: DataFrame, boundary: DataFrame) -> DataFrame:
     """Add ``is_boundary``: is the cell in ``boundary``?"""
-    keys = shared(df, boundary, SERIES + ("row", "col"))
+    keys = shared(df, boundary, SERIES + CELL)
     flag = boundary.select(*keys).withColumn("_b", F.lit(True))
     return df.join(flag, keys, "left").withColumn("is_boundary", F.coalesce("_b", F.lit(False))).drop("_b")
 
@@ -131,22 +133,23 @@ def fix_precip(
     end: int,
     mask: DataFrame | None = None,
     find_bounds: bool = False,
+    fill_grid: Grid | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Corrected series and corrected climatology.
 
     Both are limited, gap-filled and floored, the climatology first.  With
     ``find_bounds`` the boundary comes from the first timestep (January for the
-    climatology).  Runs at once: inputs that several steps read are stored in the
+    climatology).  ``fill_grid`` also fills cells that the table does not hold.  Runs at once: inputs that several steps read are stored in the
     checkpoint folder.
     """
     df = cut_lineage(df)  # read by the climatology, the percentiles and the correction
     clim = climatology(df, begin, end).withColumnRenamed("clim", "value")
     bound = clim_bound = None
     if find_bounds:
-        by = present(clim, SERIES)
+        by = present(clim, SERIES + PLANE)
         january = clim.where(F.col("month") == 1).select(*by, "row", "col", "value")
         clim_bound = boundary_of(january, by, grid)
         bound = find_boundary(df, grid)
-    clim = floor_half(fill_gaps_linear(_correct(clim, mask, clim_bound)))
-    series = floor_half(fill_gaps_linear(_correct(df, mask, bound)))
+    clim = floor_half(fill_gaps_linear(_correct(clim, mask, clim_bound), fill_grid))
+    series = floor_half(fill_gaps_linear(_correct(df, mask, bound), fill_grid))
     return series, clim.withColumnRenamed("value", "clim")

@@ -12,8 +12,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from climgrid.functions.projection import lonlat
 from climgrid.grid import Grid, denoise
-from climgrid.schema import SERIES, TIME, present
+from climgrid.operators.gaps import frame
+from climgrid.schema import slice_cols
 
 REGRID_METHODS = ("nearest", "bilinear", "cubic", "cubic_spline", "lanczos", "average", "mode")
 _SPAN = {"bilinear": (0, 1), "cubic": (-1, 2), "cubic_spline": (-1, 2), "lanczos": (-2, 3)}
@@ -35,17 +37,38 @@ def _weight(method: str, t: str, k: int) -> str:
     return f"CASE WHEN {d} <= 1D THEN {near} WHEN {d} < 2D THEN {far} ELSE 0D END"
 
 
+NOWHERE = -9  # row of the anchor of target cells that lie beyond the source grid
+
+
+def _source(src: DataFrame, grid: Grid) -> tuple[DataFrame, list[str]]:
+    """Cells of the source grid, where the table tells grids apart, and the slice keys."""
+    here = src.where(F.col("grid_id") == grid.grid_id).drop("grid_id") if "grid_id" in src.columns else src
+    return here, slice_cols(here)
+
+
+def _anchors(src: DataFrame, keys: list[str], rows: tuple[int, int], cols: tuple[int, int]) -> DataFrame:
+    """All anchors of each slice, and that of nowhere: with them every target cell is met."""
+    all_anchors = frame(src, keys, rows, cols).unionByName(frame(src, keys, (NOWHERE, NOWHERE), (0, 0)))
+    return all_anchors.withColumnsRenamed({"row": "r0", "col": "c0"})
+
+
+def _anchored(target: DataFrame, r0: Column, c0: Column, rows: tuple[int, int], cols: tuple[int, int]) -> DataFrame:
+    inside = r0.between(*rows) & c0.between(*cols)
+    return target.withColumns({"r0": F.when(inside, r0).otherwise(NOWHERE).cast("int"), "c0": F.when(inside, c0).otherwise(0).cast("int")})
+
+
 def stencils(src: DataFrame, grid: Grid, method: str) -> DataFrame:
-    """One row per (series, time, anchor) with the values around the anchor, 0 where
+    """One row per slice and anchor with the values around the anchor, 0 where
     there is none, and the bits of ``_seen`` telling which are there.
 
     A source cell is sent to each anchor it can serve, and a conditional ``max``
     places it: at most one source value exists per place, so rows combine
-    map-side and no group grows with the data.
+    map-side and no group grows with the data.  Anchors that nothing serves have a row
+    too, so that target cells without a source value around them are kept.
     """
     lo, hi = _SPAN[method]
     places = [(i, j) for i in range(lo, hi + 1) for j in range(lo, hi + 1)]
-    keys = present(src, SERIES + TIME)
+    src, keys = _source(src, grid)
     offsets = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in places]))
     sent = src.where(F.col("value").isNotNull()).select(*keys, "row", "col", "value", offsets.alias("o"))
     sent = sent.select(
@@ -56,6 +79,7 @@ def stencils(src: DataFrame, grid: Grid, method: str) -> DataFrame:
         F.col("o.j").alias("j"),
         "value",
     )
+    sent = sent.unionByName(_anchors(src, keys, *_reach(grid, lo, hi)), allowMissingColumns=True)
     gathered = sent.groupBy(*keys, "r0", "c0").agg(
         *[F.expr(f"max(CASE WHEN i = {i} AND j = {j} THEN value END) AS {_place(i, j)}") for i, j in places]
     )
@@ -64,6 +88,11 @@ def stencils(src: DataFrame, grid: Grid, method: str) -> DataFrame:
     return gathered.selectExpr(*keys, "r0", "c0", f"{seen} AS _seen", *filled)
 
 
+def _reach(grid: Grid, lo: int, hi: int) -> tuple[tuple[int, int], tuple[int, int]]:
+    """Rows and columns of the anchors that a cell of the grid can serve."""
+    return (-hi, grid.ny - 1 - lo), (0, grid.nx - 1) if grid.cyclic else (-hi, grid.nx - 1 - lo)
+
+
 def _place(i: int, j: int) -> str:
     return f"_v{i + 2}{j + 2}"
 
@@ -80,6 +109,14 @@ def _weighted_mean(places: list[tuple[int, int]], lo: int) -> Column:
     return F.expr(f"CASE WHEN {den} > 1e-6D THEN ({num}) / ({den}) END")
 
 
+def target_lonlat(target: DataFrame, dst_grid: Grid) -> tuple[Column, Column]:
+    """Longitude and latitude of target cells: its columns ``lon`` and ``lat`` where it has
+    them, else by the projection of its grid."""
+    if {"lon", "lat"} <= set(target.columns):
+        return F.col("lon"), F.col("lat")
+    return lonlat(dst_grid.crs, dst_grid.x("col"), dst_grid.y("row"))
+
+
 def regrid(
     src: DataFrame,
     target: DataFrame,
@@ -91,10 +128,11 @@ def regrid(
     """Source values on target cells.
 
     ``target`` holds ``row``, ``col`` of the target grid and any other columns,
-    which are kept; ``on`` names further equi-join keys (``("month",)`` joins a
-    monthly baseline in the same step).  A target cell with no source value around it
-    is not returned; one whose values there weigh (almost) nothing together is NULL.  (Filtering
-    those would make Spark evaluate the kernel a second time, in the join.)  Both sides may be large: Spark picks broadcast or
+    which are kept; a projected grid is found by its ``crs``, any other by the columns
+    ``lon`` and ``lat`` of its cells.  ``on`` names further equi-join keys (``("month",)``
+    joins a monthly baseline in the same step).  Every target cell is returned for every
+    timestep of the source, NULL where no source value is around it or those there weigh
+    (almost) nothing together.  Both sides may be large: Spark picks broadcast or
     shuffle by size, and the number of target cells per anchor is fixed by the
     ratio of the grids, so anchors carry even loads.
     """
@@ -102,23 +140,25 @@ def regrid(
         return _regrid_area(src, target, src_grid, dst_grid, method, on)
     if method not in REGRID_METHODS:
         raise ValueError(f"method must be one of {REGRID_METHODS}, not {method!r}")
-    fx, fy = src_grid.fx(dst_grid.x("col")), src_grid.fy(dst_grid.y("row"))
+    lon, lat = target_lonlat(target, dst_grid)
+    fx, fy = src_grid.fx(lon), src_grid.fy(lat)
+    target = target.drop("grid_id")
     keys = ["r0", "c0", *on]
     if method == "nearest":
-        placed = target.withColumns(
-            {"r0": F.floor(fy + 0.5).cast("int"), "c0": src_grid.wrap(F.floor(fx + 0.5).cast("int"))}
-        )
-        here = src.select(
-            *present(src, SERIES + TIME), F.col("row").alias("r0"), F.col("col").alias("c0"), "value"
-        )
-        return here.join(placed, keys).drop("r0", "c0")
+        rows, cols = _reach(src_grid, 0, 0)
+        placed = _anchored(target, F.floor(fy + 0.5), src_grid.wrap(F.floor(fx + 0.5)), rows, cols)
+        here, by = _source(src, src_grid)
+        cells = here.select(*by, F.col("row").alias("r0"), F.col("col").alias("c0"), "value")
+        whole = _anchors(here, by, rows, cols).join(cells, [*by, "r0", "c0"], "left")
+        return whole.join(placed, keys).drop("r0", "c0")
     # the weights are columns of the target, made before it is joined with the time axis
     lo, hi = _SPAN[method]
     places = [(i, j) for i in range(lo, hi + 1) for j in range(lo, hi + 1)]
     weights = {f"_w{t}{k - lo}": F.expr(_weight(method, f"_t{t}", k)) for t in "yx" for k in range(lo, hi + 1)}
-    anchor = {"r0": F.floor(fy).cast("int"), "c0": src_grid.wrap(F.floor(fx).cast("int"))}
-    placed = target.withColumns(anchor | {"_ty": denoise(fy - F.floor(fy)), "_tx": denoise(fx - F.floor(fx))})
-    placed = placed.withColumns(weights).drop("_ty", "_tx")
+    placed = target.withColumns({"_fy": fy, "_fx": fx})
+    placed = _anchored(placed, F.floor("_fy"), src_grid.wrap(F.floor("_fx")), *_reach(src_grid, lo, hi))
+    placed = placed.withColumns({"_ty": denoise(F.col("_fy") - F.floor("_fy")), "_tx": denoise(F.col("_fx") - F.floor("_fx"))})
+    placed = placed.withColumns(weights).drop("_ty", "_tx", "_fy", "_fx")
     joined = stencils(src, src_grid, method).join(placed, keys)
     out = joined.withColumn("value", _weighted_mean(places, lo))
     return out.drop("r0", "c0", "_seen", *weights, *[_place(i, j) for i, j in places])
@@ -133,7 +173,7 @@ def to_parent(df: DataFrame, src_grid: Grid, dst_grid: Grid) -> DataFrame:
 
 def _regrid_area(src, target, src_grid, dst_grid, method, on):
     """Mean or most frequent value of the source cells inside each target cell."""
-    keys = present(src, SERIES + TIME)
+    src, keys = _source(src, src_grid)
     inside = to_parent(src.where(F.col("value").isNotNull()), src_grid, dst_grid)
     if method == "average":
         area = inside.groupBy(*keys, "row", "col").agg(F.avg("value").alias("value"))
@@ -142,4 +182,5 @@ def _regrid_area(src, target, src_grid, dst_grid, method, on):
         # most frequent first, then the smaller value
         best = F.max_by("value", F.struct(F.col("n"), -F.col("value")))
         area = counted.groupBy(*keys, "row", "col").agg(best.alias("value"))
-    return area.join(target, ["row", "col", *on])
+    whole = frame(src, keys, (0, dst_grid.ny - 1), (0, dst_grid.nx - 1)).join(area, [*keys, "row", "col"], "left")
+    return whole.join(target.drop("grid_id"), ["row", "col", *on])

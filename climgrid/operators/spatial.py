@@ -12,6 +12,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from climgrid.functions.projection import project
 from climgrid.grid import Grid
 from climgrid.schema import CELL, SERIES, TIME, present, shared
 
@@ -134,26 +135,30 @@ def crop_to_polygon(df: DataFrame, edges: DataFrame, grid: Grid, all_touched: bo
 
 
 def point_cells(points: DataFrame, grid: Grid) -> DataFrame:
-    """Row and column of named points (name, lat, lon)."""
-    return points.withColumns({"row": grid.row_of("lat"), "col": grid.col_of("lon")}).where(grid.holds())
-
-
+    """Row and column of named points (name, lat, lon), NULL beyond the grid; a projected
+    grid is reached by its ``crs``."""
+    x, y = project(grid.crs, F.col("lon"), F.col("lat"))
+    here = points.withColumns({"row": grid.row_of(y), "col": grid.col_of(x)})
+    return here.withColumns({c: F.when(grid.holds(), F.col(c)) for c in ("row", "col")})
 def point_profile(df: DataFrame, points: DataFrame, grid: Grid, columns: list[str] | None = None) -> DataFrame:
     """Time series at points, one column per model_scenario_variable.
 
     Only cells that hold a point go on; they are made wide first, so a cell with very
     many points is widened once and each point then takes its finished row.
-    ``columns`` names the wanted columns and spares Spark a pass to find them.
+    ``columns`` names the wanted columns: only those series are read on, and Spark needs
+    no pass to find them.  A point beyond the grid, or on a cell without data, keeps one
+    row with NULL for the time and all columns.
     """
     at = point_cells(points, grid).select("name", "row", "col")
     name = F.concat_ws("_", *[F.col(c) for c in ("model", "scenario", "variable") if c in df.columns])
-    hit = df.join(at.select("row", "col").distinct(), ["row", "col"], "left_semi").withColumn("_series", name)
+    series = df if columns is None else df.where(name.isin(*columns))
+    hit = series.join(at.select("row", "col").distinct(), ["row", "col"], "left_semi").withColumn("_series", name)
     by = hit.groupBy("row", "col", *present(df, TIME))
     if columns is None:
         wide = by.pivot("_series").agg(F.avg("value"))
     else:
         wide = by.agg(*[F.avg(F.when(F.col("_series") == c, F.col("value"))).alias(c) for c in columns])
-    return at.join(wide, ["row", "col"]).drop("row", "col")
+    return at.join(wide, ["row", "col"], "left").drop("row", "col")
 
 
 def resample_to_template(df, template: DataFrame, src_grid: Grid, dst_grid: Grid, variable) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from climgrid.functions.values import clamp_cloud
 from climgrid.grid import Grid
-from climgrid.operators.radiation import surface_radiation
+from climgrid.functions.radiation import surface_radiation
+from climgrid.operators.climate import join_month_lookup
 from climgrid.plans.delta import delta_pipeline
 
 
@@ -20,8 +21,11 @@ def cloud_radiation_pipeline(
     end: int,
 ) -> DataFrame:
     """Ratio anomalies of coarse cloud on the fine cloud climatology, kept in 0..100,
-    then radiation at the surface from the monthly ``ra`` of the cell (or of its row)."""
+    then radiation at the surface from the monthly ``ra`` of the cell (or of its row).
+    ``ra`` is laid beside the monthly baseline, before that is repeated over time."""
+    both = join_month_lookup(cloud_baseline, ra, "ra")
     refined = delta_pipeline(
-        cloud, cloud_baseline, src_grid, dst_grid, begin=begin, end=end, operation="mult", post=clamp_cloud
+        cloud, both, src_grid, dst_grid, begin=begin, end=end, operation="mult", post=clamp_cloud
     )
-    return surface_radiation(refined.withColumnRenamed("value", "cloud").withColumn("value", F.col("cloud")), ra)
+    named = refined.withColumnRenamed("value", "cloud")
+    return named.withColumn("value", surface_radiation(F.col("ra"), F.col("cloud"))).drop("ra")

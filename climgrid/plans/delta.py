@@ -85,16 +85,16 @@ def coarse_anomalies(
     """
     whole = historical if future is None else concat_series(historical, future)
     if fix_clim:
-        series, clim = fix_precip(whole, src_grid, begin, end, aoi_mask, find_bounds)
+        series, clim = fix_precip(whole, src_grid, begin, end, aoi_mask, find_bounds, src_grid if fill else None)
         if future is not None:
             series = restrict_times(series, future)
         return anomaly(series, clim, operation)
     wanted = historical if future is None else future
     if fill:
         # the base period is cut before filling: other years need not be filled for it
-        clim = climatology(fill_gaps_linear(select_years(whole, begin, end)), begin, end)
-        return anomaly(fill_gaps_linear(wanted), clim, operation)
-    return anomaly(wanted, climatology(whole, begin, end), operation)
+        base = fill_gaps_linear(select_years(whole, begin, end), src_grid)
+        return anomaly(fill_gaps_linear(wanted, src_grid), climatology(base, begin, end, serve=wanted), operation)
+    return anomaly(wanted, climatology(whole, begin, end, serve=wanted), operation)
 
 
 def delta_pipeline(
@@ -114,14 +114,14 @@ def delta_pipeline(
     fill: bool = False,
     find_bounds: bool = False,
     aoi_mask: DataFrame | None = None,
-    check: bool = False,
+    check: bool = True,
 ) -> DataFrame:
     """Refine a monthly series onto the grid of a baseline climatology.
 
-    ``check`` raises at once if no month lies in the base period.
+    ``check`` raises at once if no month of either series lies in the base period.
     """
     if check:
-        require_overlap(historical, begin, end)
+        require_overlap(historical if future is None else concat_series(historical, future), begin, end)
     anoms = coarse_anomalies(
         historical, future, begin, end, operation, src_grid, fix_clim, fill, find_bounds, aoi_mask
     )
@@ -145,7 +145,7 @@ def delta_pipeline_minmax(
     refined mean series of the same time.  Gaps are filled in the deltas."""
     deltas = delta_to_mean(extreme, mean, operation)
     if fill:
-        deltas = fill_gaps_linear(deltas)
+        deltas = fill_gaps_linear(deltas, src_grid)
     base = fine_mean.drop("variable", "anomaly")
     return refine_anomalies(deltas, base, src_grid, dst_grid, operation, method, post, mask)
 
@@ -171,4 +171,4 @@ def delta_pipeline_farfuture(
 
 
 def anomaly_farfuture(historical: DataFrame, future: DataFrame, begin: int, end: int, operation: str) -> DataFrame:
-    return anomaly(future, climatology(historical, begin, end), operation)
+    return anomaly(future, climatology(historical.drop("scenario"), begin, end), operation)

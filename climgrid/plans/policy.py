@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -17,10 +17,11 @@ class Policy:
     clamp: str | None = None
     fix_clim: bool = False
     find_bounds: bool = False
+    cap: float = 95.0
 
     def post(self) -> Callable[[Column], Column]:
         """Clamp, then round."""
-        clamps = {None: lambda x: x, "humidity": clamp_humidity, "cloud": clamp_cloud}
+        clamps = {None: lambda x: x, "humidity": lambda x: clamp_humidity(x, self.cap), "cloud": clamp_cloud}
         return lambda x: rint_places(clamps[self.clamp](x), self.places)
 
 
@@ -39,10 +40,18 @@ POLICIES = {
 }
 
 
-def variable_policy(variable: str) -> Policy:
+# Sources whose precipitation is corrected without a boundary of its own.
+UNBOUNDED_SOURCES = ("cmip5",)
+
+
+def variable_policy(variable: str, source: str | None = None, cap: float = 95.0) -> Policy:
+    """The treatment of a variable; ``source`` is the project it comes from, ``cap`` what
+    takes the place of a humidity over 100."""
     if variable not in POLICIES:
         raise ValueError(f"no policy for variable {variable!r}")
-    return POLICIES[variable]
+    found = POLICIES[variable]
+    bounded = found.find_bounds and (source or "").lower() not in UNBOUNDED_SOURCES
+    return replace(found, find_bounds=bounded, cap=cap)
 
 
 def policy_table(spark: SparkSession) -> DataFrame:

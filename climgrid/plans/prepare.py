@@ -10,7 +10,7 @@ from climgrid.operators.compare import completeness_check
 from climgrid.operators.neighbors import fill_mask_neighbors, mosaic_first
 from climgrid.operators.regrid import regrid
 from climgrid.operators.gaps import regrid_points
-from climgrid.operators.select import apply_mask, select_years
+from climgrid.operators.select import select_years
 from climgrid.sources.series import combine_parts
 
 
@@ -51,5 +51,5 @@ def prepare_mosaic_baseline(first: DataFrame, second: DataFrame, mask: DataFrame
 def prepare_scaled_baseline(tenths: DataFrame, template: DataFrame, src_grid: Grid, dst_grid: Grid) -> DataFrame:
     """Tenths -> units -> bilinear onto the template -> mask."""
     scaled = tenths.withColumn("value", from_tenths(F.col("value")))
-    out = regrid(scaled, template.drop("inside"), src_grid, dst_grid, "bilinear")
-    return apply_mask(out, template)
+    out = regrid(scaled, template, src_grid, dst_grid, "bilinear")
+    return out.withColumn("value", F.when(F.col("inside") == 1, F.col("value"))).drop("inside")

@@ -1,8 +1,8 @@
 """Column conventions of the long ``cells`` layout.
 
 One row is one (series, year, month, cell).  Row 0 is the northernmost row.
-Missing data is NULL, never NaN or a nodata number.  ``level`` is chosen with
-``select_level`` before series are joined, so it is not part of the join key.
+Missing data is NULL, never NaN or a nodata number.  Grids and levels of one table are
+told apart by ``grid_id`` and ``level`` where it has those columns.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 SERIES = ("project", "model", "scenario", "variable")
 TIME = ("year", "month")
-CELL = ("grid_id", "row", "col")
+PLANE = ("grid_id", "level")  # what a slice belongs to besides series and time
+CELL = PLANE + ("row", "col")
 
 CELLS_DDL = (
     "project string, model string, scenario string, variable string, "
@@ -43,6 +44,11 @@ def key_cols(df: DataFrame) -> list[str]:
     return series_cols(df) + time_cols(df) + cell_cols(df)
 
 
+def slice_cols(df: DataFrame) -> list[str]:
+    """Series, time, grid and level: the columns that name one slice of cells."""
+    return present(df, SERIES + TIME + PLANE)
+
+
 def shared(left: DataFrame, right: DataFrame, names) -> list[str]:
     """The names that both sides carry: the natural join key among ``names``."""
     return [n for n in present(left, names) if n in right.columns]

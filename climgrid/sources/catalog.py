@@ -12,7 +12,8 @@ def _stem(name: Column) -> Column:
 
 def catalog_parse(files: DataFrame, name: str = "name") -> DataFrame:
     """``variable_metric_units[_project]_model_scenario_MM_YYYY`` as columns; the short
-    form has no project."""
+    form has no project.  A part that is no number is NULL, so foreign names show by a NULL
+    month or year and end no job."""
     p = F.split(_stem(F.col(name)), "_")
     whole = F.size(p) == 8
     back = lambda k: F.try_element_at(p, F.lit(-k))
@@ -24,8 +25,8 @@ def catalog_parse(files: DataFrame, name: str = "name") -> DataFrame:
             "project": F.when(whole, F.get(p, F.lit(3))),
             "model": back(4),
             "scenario": back(3),
-            "month": back(2).cast("int"),
-            "year": back(1).cast("int"),
+            "month": back(2).try_cast("int"),
+            "year": back(1).try_cast("int"),
         }
     )
 
@@ -42,10 +43,10 @@ def catalog_parse_raw(files: DataFrame, name: str = "name") -> DataFrame:
             "model": at(2),
             "scenario": at(3),
             "experiment": at(4),
-            "begin_year": F.substring(span, 1, 4).cast("int"),
-            "begin_month": F.substring(span, 5, 2).cast("int"),
-            "end_year": F.substring(span, 8, 4).cast("int"),
-            "end_month": F.substring(span, 12, 2).cast("int"),
+            "begin_year": F.substring(span, 1, 4).try_cast("int"),
+            "begin_month": F.substring(span, 5, 2).try_cast("int"),
+            "end_year": F.substring(span, 8, 4).try_cast("int"),
+            "end_month": F.substring(span, 12, 2).try_cast("int"),
         }
     )
 
@@ -71,7 +72,7 @@ def catalog_year_span(raw: DataFrame) -> DataFrame:
 def catalog_latest_version(catalog: DataFrame, dataset: list[str], version: str = "version") -> DataFrame:
     """Rows of the newest ``vNNNN`` of each dataset.  The newest version is a map-side
     max, so a dataset with very many files is not ranked in one task."""
-    number = F.regexp_extract(version, r"(\d+)$", 1).cast("long")
+    number = F.regexp_extract(version, r"(\d+)$", 1).try_cast("long")
     newest = catalog.groupBy(*dataset).agg(F.max(number).alias("_v"))
     return catalog.join(newest, dataset).where(number == F.col("_v")).drop("_v")
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from climgrid.operators.select import select_level, select_years
-from climgrid.schema import CELLS_DDL, key_cols
+from climgrid.schema import CELLS_DDL, key_cols, series_cols, time_cols
 
 
 def scan_series(
@@ -33,19 +33,36 @@ def scan_series(
 
 def combine_parts(*parts: DataFrame) -> DataFrame:
     """Parts of one series as one; a month and cell that several parts hold is kept
-    once (the greatest value, so the result does not depend on row order).
-
-    A keyed aggregate rather than ``dropDuplicates``: copies fold map-side, so a hot
-    group of copies never meets in one task."""
-    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    once: the whole record with the greatest value (then the greatest other columns), so
+    that the result does not depend on row order and no record is mixed from two.
+
+    Months of a series that one part alone holds pass as they are: only those that
+    several hold, found by counts per month, are shuffled.  There a keyed aggregate folds
+    copies map-side, so a hot group of copies never meets in one task."""
+    if len(parts) == 1:
+        return _folded(parts[0])
+    tagged = [p.withColumn("_part", F.lit(i)) for i, p in enumerate(parts)]
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    months = [c for c in series_cols(whole) + time_cols(whole)]
+    spread = whole.groupBy(*months).agg(F.min("_part").alias("_lo"), F.max("_part").alias("_hi")).where("_lo < _hi")
+    marked = whole.drop("_part").withColumn("_k", F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in months]))
+    several = spread.select(F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in months]).alias("_k"))
+    alone = marked.join(several, "_k", "left_anti").drop("_k")
+    return alone.unionByName(_folded(marked.join(several, "_k", "left_semi").drop("_k")))
+
+
+def _folded(whole: DataFrame) -> DataFrame:
+    """One record per key: that of the greatest value."""
     keys = key_cols(whole)
     rest = [c for c in whole.columns if c not in keys and c != "value"]
-    return whole.groupBy(*keys).agg(F.max("value").alias("value"), *[F.max(c).alias(c) for c in rest])
+    best = F.max(F.struct("value", *rest)).alias("_r")
+    return whole.groupBy(*keys).agg(best).select(*keys, "_r.*").select(*whole.columns)
 
 
 def scan_multi(spark: SparkSession, paths: list[str], **select) -> DataFrame:
-    """Many files of one series, overlapping months once."""
-    return combine_parts(scan_series(spark, paths, **select))
+    """Many tables of one series, overlapping months once.  Each path is a table of its own,
+    partitioned or not; files of one table belong in one call of ``scan_series``."""
+    return combine_parts(*[scan_series(spark, p, **select) for p in paths])
 
 
 def scan_baseline(spark: SparkSession, path: str, variable: str | None = None) -> DataFrame:

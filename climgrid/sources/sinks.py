@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from climgrid.functions.values import rint_places
 from climgrid.schema import present
-from climgrid.storage import work_folder
+from climgrid.storage import remove_folder, work_folder
 
 LAYOUT = ("variable", "model", "scenario", "year")
 
@@ -36,14 +36,16 @@ def sink_with_anomaly(df: DataFrame, path: str, anomaly_path: str | None = None,
     spark = df.sparkSession
     both = work_folder(spark, "refined")
     sink_grid(df, both)
-    stored = spark.read.parquet(both)
-    sink_grid(stored.drop(anomaly), path)
-    sink_grid(stored.drop("value").withColumnRenamed(anomaly, "value"), anomaly_path)
+    stored, parts = spark.read.parquet(both), present(df, LAYOUT)
+    # the stored copy is laid out already: both products keep its files
+    for product, to in ((stored.drop(anomaly), path), (stored.drop("value").withColumnRenamed(anomaly, "value"), anomaly_path)):
+        product.write.mode("overwrite").partitionBy(*parts).parquet(to)
+    remove_folder(spark, both)
 
 
 def summary_nested(summary: DataFrame, series: list[str], metrics: list[str]) -> DataFrame:
     """Series -> month -> metrics as one MAP column; at most twelve entries a series."""
-    once = summary.groupBy(*series, "month").agg(F.struct(*[F.first(m).alias(m) for m in metrics]).alias("_m"))
+    once = summary.groupBy(*series, "month").agg(F.max(F.struct(*metrics)).alias("_m"))
     entry = F.struct(F.lpad(F.col("month").cast("string"), 2, "0"), F.col("_m"))
     return once.groupBy(*series).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("months"))
 

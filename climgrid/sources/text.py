@@ -16,9 +16,9 @@ def _strip(c) -> Column:
 
 def parse_point_climatology(lines: DataFrame, months: int = 12) -> DataFrame:
     """Lines ``lat lon m1..m12 [cv1..cv12]`` as long rows lat, lon, month, value.
-    Further columns are ignored.  ``months = 1`` reads a single value column, month NULL."""
+    Further columns are ignored, and a field that is no number is NULL.  ``months = 1`` reads a single value column, month NULL."""
     parts = F.split(_strip("value"), r"\s+")
-    number = lambda i: F.get(parts, F.lit(i)).cast("double")
+    number = lambda i: F.get(parts, F.lit(i)).try_cast("double")
     base = lines.where(F.length(_strip("value")) > 0)
     if months == 1:
         return base.select(
@@ -38,9 +38,9 @@ def scan_point_climatology(spark: SparkSession, path: str, months: int = 12) ->
 def parse_ascii_grid(files: DataFrame) -> DataFrame:
     """Whole ASCII rasters (``value`` = text, other columns are kept) as cells.  The
     nodata number of the header becomes NULL.  One file is one grid of one month, so
-    its text is bounded by the grid; files spread over tasks."""
+    its text is bounded by the grid (2 GB, one task a file); files spread over tasks."""
     keep = [c for c in files.columns if c != "value"]
-    field = lambda name, kind: F.regexp_extract("value", rf"(?i){name}\s+(\S+)", 1).cast(kind)
+    field = lambda name, kind: F.regexp_extract("value", rf"(?i){name}\s+(\S+)", 1).try_cast(kind)
     body = F.regexp_replace("value", r"(?is)^.*?nodata_value\s+\S+", "")
     heads = files.select(
         *keep,
@@ -53,7 +53,7 @@ def parse_ascii_grid(files: DataFrame) -> DataFrame:
         F.split(_strip(body), r"\s+").alias("_v"),
     )
     cells = heads.select("*", F.posexplode("_v").alias("_i", "_s"))
-    v = F.col("_s").cast("double")
+    v = F.col("_s").try_cast("double")
     row = F.floor(F.col("_i") / F.col("_nc")).cast("int")
     col = (F.col("_i") % F.col("_nc")).cast("int")
     return cells.select(
@@ -68,7 +68,7 @@ def parse_ascii_grid(files: DataFrame) -> DataFrame:
 
 def ascii_month(path) -> Column:
     """Month number that ends the file stem."""
-    return F.regexp_extract(path, r"(\d+)\.[A-Za-z]+$", 1).cast("int")
+    return F.regexp_extract(path, r"(\d+)\.[A-Za-z]+$", 1).try_cast("int")
 
 
 def scan_ascii_grid(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder.  Only a local session, which has a single
-    machine, may go without the setting."""
+    """The session's checkpoint folder, or a folder of its warehouse where none is set:
+    both are seen by the driver and all executors."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="climgrid-")
-    return root.rstrip("/")
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work").rstrip("/")
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -24,10 +19,16 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a work folder that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to reliable storage and go on from there: the plan stays short,
-    what comes before runs once, and a lost executor costs no recomputation of it."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """Write the rows as Parquet and go on from there: the plan stays short, what comes
+    before runs once, a lost executor costs no recomputation of it, and later steps read
+    the columns they need."""
+    path = work_folder(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
