@@ -5,12 +5,11 @@ hashes fall into bins; the least of each bin is its signature, and an empty bin
 from the first filled one in a random order of its own (optimal densification), so that
 bins of two sets agree with probability J even for tiny sets.  Bands of bins name buckets.
 In each bucket one member, the hub, is compared with the others on the full sets: pairs
-grow with the members, not with their square.  Where members are left that are in
-different components and could be linked by their counts of shared shingles, the bucket
-sends further hubs, eight times as many each round, to the members of other components,
-until all members left are of one component: so every two documents of a bucket are
-compared, already connected or too different by count, and no cap is needed.  Documents
-with links join a component after a few hubs; only the rest meet many.
+grow with the members, not with their square.  What the stars leave in different
+components of a bucket is compared too, unless its counts of shared shingles rule a link
+out: in pairs of bounded blocks, of which only the components that a link connects come
+out.  So every two documents of a bucket are compared, already connected or too different
+by count, and no cap is needed.
 """
 
 from __future__ import annotations
@@ -135,56 +134,80 @@ def _shared_counts(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     return own.select("node", F.size("shingles").alias("n")).distinct().join(common, "node")
 
 
+def _block_links(percent: int, columns: int = 4096):
+    """Components that are linked, of the documents of two blocks: intersections of all
+    sets at once, as products of 0/1 matrices over the shingles that occur twice."""
+
+    def run(table: pa.Table) -> pa.Table:
+        t = table.combine_chunks()
+        own, low, high = (t.column(c).to_numpy() for c in ("own", "low", "high"))
+        part = t.column("part").to_numpy()
+        lists = t.column("shingles").combine_chunks()
+        size = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        row = np.repeat(np.arange(len(size)), size)
+        _, code, count = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        code = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[code]
+        one, two = np.flatnonzero(own == low[0]), np.flatnonzero(own == high[0])
+        both = np.zeros((len(one), len(two)), np.float32)
+        order = np.argsort(code, kind="stable")
+        code, row = code[order], row[order]
+        for at in range(0, int((count > 1).sum()), columns):
+            i, j = np.searchsorted(code, [at, at + columns])
+            x = np.zeros((len(size), columns), np.float32)
+            x[row[i:j], code[i:j] - at] = 1
+            both += x[one] @ x[two].T
+        union = size[one][:, None] + size[two][None, :] - both
+        near = (100 * both >= percent * union) & (part[one][:, None] != part[two][None, :])
+        i, j = np.nonzero(near)
+        ends = np.unique(np.sort(np.stack([part[one][i], part[two][j]], axis=1), axis=1), axis=0)
+        return pa.table({"a": pa.array(ends[:, 0], pa.int64()), "b": pa.array(ends[:, 1], pa.int64())})
+
+    return run
+
+
+def _linked_parts(open_: DataFrame, sets: DataFrame, percent: int, most: int = 256, mass: int = 500_000) -> DataFrame:
+    """Pairs of components among the documents left, ``open_(bucket, node, part, n)``, that
+    a link between documents of shared buckets connects.
+
+    Documents that buckets tie together are one lot, dealt by hash over blocks of about
+    ``most`` documents or ``mass`` shingles; each pair of blocks is a group of bounded size.
+    """
+    first = open_.groupBy("bucket").agg(F.min("node").alias("a"))
+    ties = open_.join(first, "bucket").where("a < node").select("a", F.col("node").alias("b")).distinct()
+    lots = components(ties).withColumnRenamed("component", "lot")
+    nodes = written(open_.select("node", "part", "n").distinct().join(lots, "node"), "lots")
+    blocks = F.greatest(F.ceil(F.count("*") / most), F.ceil(F.sum("n") / mass)).cast("int")
+    dealt = nodes.join(nodes.groupBy("lot").agg(blocks.alias("blocks")), "lot")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    met = dealt.join(sets, "node").select("lot", "part", "own", "shingles", other)
+    pairs = met.select("lot", "part", "own", "shingles", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    return pairs.groupBy("lot", "low", "high").applyInArrow(_block_links(percent), "a long, b long")
+
+
 def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Components of the nodes that are linked, from ``members(bucket, node)`` of shared buckets.
 
-    After the first stars only documents in buckets of several components are left.  Two
+    After the stars only documents in buckets of several components are left.  Two
     sets of sizes x and y are similar enough only with percent (x + y) / (100 + percent)
-    shingles in common, so each must share as many with any of those left: most that are
-    unlike their hub drop out by that count alone, without being compared again.
+    shingles in common, so each must share percent of its own with others of those left:
+    most drop out by that count.  The rest are compared block by block.
     """
     hubs = members.groupBy("bucket").agg(F.min("node").alias("hub"))
     stars = members.join(hubs, "bucket").where("hub < node")
     pairs = written(stars.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    tested = pairs
-    part = components(written(confirm(pairs, sets, percent), "links"))
-    place = lambda df: df.join(part, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
-    open_ = written(_in_open_buckets(place(stars.select("bucket", "node"))), "open")
+    part = written(components(written(confirm(pairs, sets, percent), "links")), "part")
+    placed = stars.select("bucket", "node").join(part, "node", "left")
+    placed = placed.select("bucket", "node", F.coalesce("component", "node").alias("part"))
+    open_ = written(_in_open_buckets(placed), "open")
     counts = _shared_counts(open_.select("node").distinct(), sets).where(f"100 * common >= {percent} * n")
-    open_ = written(_in_open_buckets(open_.join(written(counts, "counts"), "node")), "open")
-    turn = 0
-    while not open_.isEmpty():
-        # one order of all nodes, so that a document that is a hub is one in all its buckets
-        lot, order = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(4 << min(3 * turn, 40))), F.xxhash64("node", F.lit(2))
-        first = open_.groupBy("bucket", lot.alias("lot")).agg(F.min(F.struct(order.alias("order"), "node", "part", "n", "common")).alias("h"))
-        named = {"node": "hub", "part": "own", "n": "m", "common": "shared"}
-        hubs = written(first.select("bucket", "h.*").drop("order").withColumnsRenamed(named), "hubs")
-        enough = (100 + percent) * F.least("common", "shared") >= percent * (F.col("n") + F.col("m"))
-        near = hubs.withColumnRenamed("bucket", "_b")
-        met = open_.join(near, (F.col("bucket") == F.col("_b")) & (F.col("part") != F.col("own")) & enough)
-        fresh = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        pairs = written(fresh.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.union(pairs)
-        left = open_.join(hubs.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti").drop("part")
-        if pairs.isEmpty():
-            open_, turn = written(_in_open_buckets(place(left)), "open"), turn + 1
-            continue
-        found = confirm(pairs, sets, percent)
-        ends = found.join(part.withColumnsRenamed({"node": "a", "component": "ca"}), "a", "left").join(
-            part.withColumnsRenamed({"node": "b", "component": "cb"}), "b", "left"
-        )
-        joined = written(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b").distinct(), "links")
-        if joined.isEmpty():
-            open_ = place(left)
-        else:  # components of components: what was known keeps its name or takes that of a smaller one
-            over = components(joined).select(F.col("node").alias("component"), F.col("component").alias("_c"))
-            known = part.union(joined.select("a", "a").union(joined.select("b", "b"))).distinct()
-            part = written(known.join(over, "component", "left").select("node", F.coalesce("_c", "component").alias("component")), "part")
-            part = written(part.groupBy("node").agg(F.min("component").alias("component")), "part")
-            open_ = place(left)
-        open_ = written(_in_open_buckets(open_), "open")
-        turn += 1
-    return part
+    open_ = written(_in_open_buckets(open_.join(counts, "node")), "open")
+    joined = written(_linked_parts(open_, sets, percent).distinct(), "links")
+    # components of components: what was known keeps its name or takes that of a smaller one
+    over = components(joined).select(F.col("node").alias("component"), F.col("component").alias("over"))
+    known = part.union(joined.select("a", "a").union(joined.select("b", "b"))).distinct()
+    named = known.join(over, "component", "left").select("node", F.coalesce("over", "component").alias("component"))
+    return named.groupBy("node").agg(F.min("component").alias("component"))
 
 
 def near_duplicates(
