@@ -3,10 +3,11 @@
 An anchor is the k-gram of least hash in each stretch of ``window - k + 1`` k-grams
 (winnowing): every window of ``window`` words chooses one anchor by its own content, so
 equal windows choose equal anchors at equal places.  Seeds are anchors that documents
-share; each seed is extended left and right over the windows that chose it, and windows
-whose extension begins in a smaller document are repeats.  Extensions agree by key, not
-pair by pair: an anchor of thousands of documents costs a row each.  Overlapping repeats
-join into maximal spans.
+share; each seed is extended left and right over the stretch of windows that chose it.
+Stretches agree by one key of their words; of each kind, those of its first document are
+extended window by window as well, since parts of a stretch may repeat too.  Extensions
+agree by key, not pair by pair: an anchor of thousands of documents costs a row each.
+Overlapping repeats join into maximal spans.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from climgrid.llm.text import gram_hashes, slices, text_buffer, word_hashes, word_spans
+from climgrid.llm.store import written
+from climgrid.llm.text import gram_hashes, mix, slices, text_buffer, word_hashes, word_spans
 
 WINDOW, ANCHOR = 13, 5
 
@@ -58,24 +60,50 @@ def _anchors(window: int, k: int):
     return run
 
 
-def _extensions(window: int, k: int):
-    """Keys of the windows around each seed of a document."""
+def _stretches(window: int, k: int):
+    """The stretch of windows that chose each seed: key of its words, first window, windows."""
     span = window - k + 1
 
     def run(batches):
         for part in slices(batches):
-            ids, at, key = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
-            doc = part.column("doc_id").cast(pa.int64()).to_pylist()
-            seeds = part.column("seeds")
+            none = np.empty(0, np.int64)
+            ids, at, size, key = [none], [none], [none], [np.empty(0, np.uint64)]
+            doc, seeds = part.column("doc_id").to_pylist(), part.column("seeds")
             for row, _, _, _, words in _each(part):
                 if not seeds[row].is_valid:
                     continue
                 grams = gram_hashes(words, k)
-                shared = np.sort(seeds[row].values.to_numpy().view(np.uint64))
-                wins = np.flatnonzero(_among(grams[choices(grams, span)], shared))
-                at.append(wins)
-                key.append(gram_hashes(words, window, 1)[wins])
-                ids.append(np.full(len(wins), doc[row]))
+                chosen = choices(grams, span)
+                ends = np.flatnonzero(np.diff(chosen, append=-1))
+                begin = np.concatenate([[0], ends[:-1] + 1])
+                hit = _among(grams[chosen[begin]], np.sort(seeds[row].values.to_numpy().view(np.uint64)))
+                begin, ends = begin[hit], ends[hit]
+                # first and last window together hold all words of a stretch: it has at most span windows
+                whole = gram_hashes(words, window, 1)
+                key.append(mix(whole[begin] * np.uint64(0x9E3779B97F4A7C15) + whole[ends] + (ends - begin).astype(np.uint64)))
+                at.append(begin)
+                size.append(ends - begin + 1)
+                ids.append(np.full(len(begin), doc[row]))
+            yield pa.RecordBatch.from_arrays(
+                [np.concatenate(key).view(np.int64), *(np.concatenate(x) for x in (ids, at, size))], names=["key", "doc_id", "at", "n"]
+            )
+
+    return run
+
+
+def _windows(window: int):
+    """Keys of the single windows of the stretches in ``leads``."""
+
+    def run(batches):
+        for part in slices(batches):
+            ids, at, key = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+            doc, leads = part.column("doc_id").to_pylist(), part.column("leads")
+            for row, _, _, _, words in _each(part):
+                if leads[row].is_valid and len(leads[row]):
+                    begin, n = _fields(leads[row])
+                    at.append(np.repeat(begin - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()))
+                    key.append(gram_hashes(words, window, 1)[at[-1]])
+                    ids.append(np.full(len(at[-1]), doc[row]))
             yield pa.RecordBatch.from_arrays(
                 [np.concatenate(key).view(np.int64), np.concatenate(ids), np.concatenate(at)], names=["key", "doc_id", "at"]
             )
@@ -83,32 +111,61 @@ def _extensions(window: int, k: int):
     return run
 
 
+def _fields(pairs) -> tuple[np.ndarray, np.ndarray]:
+    """First window and number of windows of a list of ``(at, n)``."""
+    return pairs.values.field("at").to_numpy(), pairs.values.field("n").to_numpy()
+
+
 def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     place = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
     return ordered[place] == values
 
 
-def spans(starts: np.ndarray, window: int) -> np.ndarray:
-    """Maximal ``(begin, end)`` spans of words under windows that begin at ``starts``."""
-    starts = np.sort(np.asarray(starts, np.int64))
+def spans(starts: np.ndarray, window: int, sizes: np.ndarray | None = None) -> np.ndarray:
+    """Maximal ``(begin, end)`` spans of words under windows that begin at ``starts``, each
+    the first of ``sizes`` (1) windows in a row."""
+    starts = np.asarray(starts, np.int64)
     if not len(starts):
         return np.empty((0, 2), np.int64)
-    lead = np.concatenate([[True], starts[1:] > starts[:-1] + window])
-    return np.stack([starts[lead], np.append(starts[np.flatnonzero(lead)[1:] - 1], starts[-1]) + window], axis=1)
+    order = np.argsort(starts, kind="stable")
+    starts, ends = starts[order], (starts + window - 1 + (1 if sizes is None else sizes))[order]
+    reach = np.maximum.accumulate(ends)
+    lead = np.concatenate([[True], starts[1:] > reach[:-1]])
+    return np.stack([starts[lead], reach[np.append(np.flatnonzero(lead)[1:] - 1, len(starts) - 1)]], axis=1)
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> DataFrame:
-    """``(doc_id, starts)``: windows of each document that also begin in a smaller doc_id."""
+    """``(doc_id, repeats)``: windows of each document that also begin in a smaller doc_id,
+    as ``(at, n)`` of n windows in a row."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     anchors = source.mapInArrow(_anchors(window, k), "anchor long, doc_id long")
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    seeds = anchors.join(shared.select("anchor"), "anchor", "left_semi").groupBy("doc_id").agg(F.collect_list("anchor").alias("seeds"))
-    # both uses, and the join of the starts to the texts, read one shuffle of the texts: for
-    # that, all three ask for the same rows, also those without seeds
-    keys = source.join(seeds, "doc_id", "left").mapInArrow(_extensions(window, k), "key long, doc_id long, at long")
-    first = keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    again = keys.join(first, "key").where("lo < doc_id")
-    return again.groupBy("doc_id").agg(F.collect_list("at").alias("starts"))
+    found = anchors.join(shared.select("anchor"), "anchor", "left_semi")
+    seeds = written(found.groupBy("doc_id").agg(F.collect_list("anchor").alias("seeds")), "seeds")
+    # what follows, and the join of the repeats to the texts, reads one shuffle of the texts:
+    # for that, all ask for the same rows, also those without seeds
+    runs = source.join(seeds, "doc_id", "left").mapInArrow(_stretches(window, k), "key long, doc_id long, at long, n long")
+    first = runs.groupBy("key").agg(F.min("doc_id").alias("lo"))
+    place = F.struct("at", "n")
+    marks = runs.join(first, "key").groupBy("doc_id").agg(
+        F.collect_list(F.when(F.col("lo") < F.col("doc_id"), place)).alias("again"),
+        F.collect_list(F.when(F.col("lo") == F.col("doc_id"), place)).alias("leads"),
+    )
+    # a stretch that repeats one of a smaller document is decided, and so are its windows; of
+    # each kind of stretch only those of the first document are compared window by window
+    led = source.join(marks.select("doc_id", "leads"), "doc_id", "left")
+    keys = led.mapInArrow(_windows(window), "key long, doc_id long, at long")
+    least = keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+    single = F.struct("at", F.lit(1).cast("long").alias("n"))
+    more = keys.join(least, "key").where("lo < doc_id").groupBy("doc_id").agg(F.collect_list(single).alias("more"))
+    both = marks.join(more, "doc_id", "left")
+    whole = F.concat("again", F.coalesce("more", F.array().cast("array<struct<at: bigint, n: bigint>>")))
+    return both.select("doc_id", whole.alias("repeats")).where(F.size("repeats") > 0)
+
+
+def _spans_of(repeats, window: int) -> np.ndarray:
+    at, n = _fields(repeats) if repeats.is_valid else ((), ())
+    return spans(at, window, n)
 
 
 def _reduced(window: int):
@@ -117,11 +174,11 @@ def _reduced(window: int):
     def run(batches):
         for part in slices(batches):
             n, removed, digest, kept = [], [], [], []
-            starts = part.column("starts")
+            repeats = part.column("repeats")
             for row, raw, begin, end, words in _each(part):
                 data, at = raw.data, 0
                 pieces = []
-                gone = spans(starts[row].values.to_numpy(), window) if starts[row].is_valid else []
+                gone = _spans_of(repeats[row], window)
                 lost = 0
                 for i, j in [*gone, (len(begin), len(begin))]:
                     pieces += [bytes(data[a:b]) for a, b in zip(begin[at:i].tolist(), end[at:i].tolist())]
@@ -155,17 +212,17 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> D
 
 
 def _cut(window: int, text: str, length: str | None):
-    """Texts without their repeated spans; the last column has the starts, others stay."""
+    """Texts without their repeated spans; the last column has the repeats, others stay."""
 
     def run(batches):
         for part in slices(batches, text):
             names = part.schema.names[:-1]
-            texts, starts = part.column(text).to_pylist(), part.columns[-1]
+            texts, repeats = part.column(text).to_pylist(), part.columns[-1]
             for row, raw, begin, end, _ in _each(part, text):
-                if starts[row].is_valid:
+                if repeats[row].is_valid:
                     first, last, data = int(begin[0]), int(end[-1]), raw.data
                     edges = [first]
-                    for i, j in spans(starts[row].values.to_numpy(), window).tolist():
+                    for i, j in _spans_of(repeats[row], window).tolist():
                         edges += [int(begin[i]), int(begin[j]) if j < len(begin) else last]
                     edges.append(last)
                     texts[row] = b"".join(bytes(data[a:b]) for a, b in zip(edges[::2], edges[1::2])).decode().rstrip()
@@ -189,6 +246,6 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR, length:
     plain = [f"c{i}" for i in range(len(names))]  # tasks take any column names
     place = dict(zip(names, plain))
     rows = docs.toDF(*plain)
-    found = repeated_windows(docs, window, k).toDF("found_id", "starts")
+    found = repeated_windows(docs, window, k).toDF("found_id", "repeats")
     joined = rows.join(found, F.col(place["doc_id"]).cast("long") == F.col("found_id"), "left").drop("found_id")
     return joined.mapInArrow(_cut(window, place["text"], place.get(length)), rows.schema).toDF(*names)
