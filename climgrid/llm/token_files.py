@@ -24,20 +24,21 @@ LENGTH, PER_BATCH, END_ID = 2048, 64, 0
 SLICE = 4 << 20
 
 
-def file_schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+def file_schema(length: int, wide: bool) -> pa.Schema:
+    """Ids of 16 bits where the vocabulary fits them, else of 32; a bit of mask each."""
+    return pa.schema([("ids", pa.list_(pa.uint32() if wide else pa.uint16(), length)), ("mask", pa.list_(pa.bool_(), length))])
 
 
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
-def sequence_batch(ids: np.ndarray, length: int) -> pa.RecordBatch:
+def sequence_batch(ids: np.ndarray, length: int, wide: bool) -> pa.RecordBatch:
     """Ids as rows of ``length``; the last is padded with 0 and masked there."""
     rows = -(-len(ids) // length)
-    flat, mask = np.zeros(rows * length, np.uint32), np.zeros(rows * length, np.uint8)
-    flat[: len(ids)], mask[: len(ids)] = ids, 1
+    flat, mask = np.zeros(rows * length, np.uint32 if wide else np.uint16), np.zeros(rows * length, bool)
+    flat[: len(ids)], mask[: len(ids)] = ids, True
     arrays = [pa.FixedSizeListArray.from_arrays(pa.array(x), length) for x in (flat, mask)]
-    return pa.RecordBatch.from_arrays(arrays, schema=file_schema(length))
+    return pa.RecordBatch.from_arrays(arrays, schema=file_schema(length, wide))
 
 
 def _write(folder: str, path: str, end_id: int, length: int):
@@ -46,8 +47,9 @@ def _write(folder: str, path: str, end_id: int, length: int):
         fs, root = open_folder(folder)
         name, scratch = f"{root}/part-{part:06d}", f"{root}/.{uuid.uuid4().hex}"
         chunk = length * PER_BATCH
+        wide = max(encode.tokenizer.get_vocab_size() - 1, end_id) >= 1 << 16
         with (
-            fs.open_output_stream(f"{scratch}.ids") as one, pa.ipc.new_file(one, file_schema(length)) as sequences,
+            fs.open_output_stream(f"{scratch}.ids") as one, pa.ipc.new_file(one, file_schema(length, wide)) as sequences,
             fs.open_output_stream(f"{scratch}.docs") as two, pa.ipc.new_file(two, INDEX) as index,
         ):
             for piece in slices(batches, most=SLICE):
@@ -59,10 +61,10 @@ def _write(folder: str, path: str, end_id: int, length: int):
                 held = np.concatenate([held, np.insert(ids, bounds[1:], end_id)])
                 total += int(size.sum())
                 while len(held) >= chunk:
-                    sequences.write_batch(sequence_batch(held[:chunk], length))
+                    sequences.write_batch(sequence_batch(held[:chunk], length, wide))
                     held = held[chunk:]
             if len(held):
-                sequences.write_batch(sequence_batch(held, length))
+                sequences.write_batch(sequence_batch(held, length, wide))
         for kind in ("ids", "docs"):
             fs.move(f"{scratch}.{kind}", f"{name}.{kind}.arrow")
         yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([name]), pa.array([total])], names=["part", "path", "n_tokens"])
@@ -103,9 +105,9 @@ def _read(folder: str):
                             while to < start + n:
                                 while at + len(flat) <= to:
                                     at, rows = at + len(flat), sequences.get_batch(turn)
-                                    mask = rows.column("mask").flatten().to_numpy()
-                                    flat, turn = rows.column("ids").flatten().to_numpy()[: int(mask.sum())], turn + 1
-                                piece = flat[to - at : start + n - at]
+                                    real = rows.column("mask").flatten().true_count
+                                    flat, turn = rows.column("ids").flatten().to_numpy()[:real], turn + 1
+                                piece = flat[to - at : start + n - at].astype("<u4")
                                 check, to = zlib.crc32(piece, check), to + len(piece)
                             out.append((doc, base + start, n, check))
                         yield pa.RecordBatch.from_arrays(
