@@ -18,7 +18,8 @@ HEADLINE = (
     "delta_pipeline delta_pipeline_mult delta_pipeline_minmax delta_pipeline_farfuture aoi_p95 fix_precip "
     "ensemble_mean annual_grid seasonal_grid decadal_monthly zonal_metrics zonal_diff_metrics summer_warmth "
     "freeze_thaw_days departure_step ra_monthly cloud_radiation_pipeline prepare_humidity rasterize_zones "
-    "point_profile fill_mask_neighbors mosaic_first join_versions pack_series sink_grid"
+    "point_profile fill_mask_neighbors mosaic_first join_versions pack_series sink_grid "
+    "regrid_cubic regrid_lanczos fill_mask_iterative prepare_scaled_baseline prepare_mosaic_baseline join_neighbors"
 ).split()
 
 

@@ -586,7 +586,7 @@ def _twice_corrected(src: str, when: str, first: str, tag: str) -> str:
     return f"{bound}, {cap(1, src)}, {edge}, {cap(2, f'edge{tag}')}, {inner}"
 
 
-def _filled(src: str, when: str, tag: str, cyclic: bool = False) -> str:
+def filled_sql(src: str, when: str, tag: str, cyclic: bool = False) -> str:
     """CTEs of the linear fill of ``src`` (``when`` are its keys besides the cell)."""
     body = FILL.replace("year, month", when).format(src=f"SELECT {when}, row, col, value FROM {src}").strip().removeprefix("WITH ")
     for name in ("dense", "x", "e", "filled"):
@@ -616,7 +616,7 @@ CTES["clim_gappy"] = (
 
 @query(
     "fix_precip_climatology",
-    f"WITH {_twice_corrected('clim_gappy', 'month', 'month = 1', '_c')}, {_filled('inner_c', 'month', '_c')} "
+    f"WITH {_twice_corrected('clim_gappy', 'month', 'month = 1', '_c')}, {filled_sql('inner_c', 'month', '_c')} "
     f"SELECT month, row, col, {R6('CASE WHEN value < 0.5 THEN 0.5e0 ELSE value END')} AS value FROM filled_c",
 )
 def fix_precip_climatology(spark, sf):
@@ -626,7 +626,7 @@ def fix_precip_climatology(spark, sf):
     return clim.select("month", "row", "col", r6("clim").alias("value"))
 
 
-def _whole(src: str, when: str, tag: str) -> str:
+def whole_sql(src: str, when: str, tag: str) -> str:
     """Every cell of the coarse grid for each time of ``src``."""
     return (
         f"whole{tag} AS (SELECT {when}, row, col, value FROM (SELECT DISTINCT {when} FROM {src}) CROSS JOIN "
@@ -636,8 +636,8 @@ def _whole(src: str, when: str, tag: str) -> str:
 
 
 PRECIP = (
-    f"{_twice_corrected('clim_gappy', 'month', 'month = 1', '_c')}, {_whole('inner_c', 'month', '_c')}, {_filled('whole_c', 'month', '_c', True)}, "
-    f"{_twice_corrected('gappy_pr', 'year, month', 'year = 1995 AND month = 1', '_s')}, {_whole('inner_s', 'year, month', '_s')}, {_filled('whole_s', 'year, month', '_s', True)}, "
+    f"{_twice_corrected('clim_gappy', 'month', 'month = 1', '_c')}, {whole_sql('inner_c', 'month', '_c')}, {filled_sql('whole_c', 'month', '_c', True)}, "
+    f"{_twice_corrected('gappy_pr', 'year, month', 'year = 1995 AND month = 1', '_s')}, {whole_sql('inner_s', 'year, month', '_s')}, {filled_sql('whole_s', 'year, month', '_s', True)}, "
     "low AS (SELECT year, month, row, col, CASE WHEN s < 0.5 THEN 0.5e0 ELSE s END / CASE WHEN c < 0.5 THEN 0.5e0 ELSE c END AS value FROM "
     "(SELECT year, month, row, col, value AS s FROM filled_s) LEFT JOIN (SELECT month, row, col, value AS c FROM filled_c) USING (month, row, col)), "
     "anoms AS (SELECT * FROM low WHERE year >= 2000)"

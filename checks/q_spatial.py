@@ -7,7 +7,8 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from checks import cube
-from checks.registry import CTES, R6, bilinear_sql, fine_place, query, r6
+from checks.q_delta import filled_sql, whole_sql
+from checks.registry import CTES, R, R6, bilinear_sql, fine_place, query, r6
 from climgrid.functions.projection import lonlat
 from climgrid.operators import gaps, neighbors, regrid, spatial
 from climgrid.plans import prepare
@@ -308,16 +309,22 @@ def prepare_mosaic_baseline(spark, sf):
     return out.select("month", "row", "col", r6("value").alias("value"))
 
 
-@query("prepare_point_baseline")
+CTES["stations"] = "SELECT 0 AS year, month, row, col, avg(value) AS value FROM cells_tas WHERE year <= 1999 GROUP BY month, row, col"
+
+
+@query(
+    "prepare_point_baseline",
+    f"WITH {whole_sql('stations', 'year, month', '_st')}, {filled_sql('whole_st', 'year, month', '_st')}, anoms AS (SELECT * FROM filled_st) "
+    f"SELECT r.month, r.row, r.col, CASE WHEN f.inside = 1 THEN {R('rv', 1)} + 0e0 END AS value FROM ({bilinear_sql('anoms')}) r JOIN fine f USING (row, col)",
+)
 def prepare_point_baseline(spark, sf):
-    """Suppliers as scattered stations in -180..180, carried to the fine template; the
-    steps are checked one by one elsewhere."""
+    """Suppliers as scattered stations in -180..180, carried to the fine template."""
     coarse, fine = cube.grids(spark, sf)
     c = cube.cells(spark, sf).where(F.col("year") <= cube.END).groupBy("row", "col", "month").agg(F.avg("value").alias("value"))
     west = F.when(coarse.x() > 180, coarse.x() - 360).otherwise(coarse.x())
     pts = c.select("month", coarse.y().alias("lat"), west.alias("lon"), "value")
     out = prepare.prepare_point_baseline(pts, coarse, cube.fine_mask(spark, sf), fine, "tas")
-    return out.select("month", "row", "col", "value")
+    return out.select("month", "row", "col", (F.col("value") + 0.0).alias("value"))
 
 
 @query("prepare_series", "SELECT year, month, row, col, value FROM cells_tas WHERE year BETWEEN 1996 AND 2000")
