@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from climgrid.llm.store import under_share
 from climgrid.llm.text import slices, text_buffer
 
 DIMENSIONS = 1 << 13
@@ -112,8 +113,11 @@ def fit(docs: DataFrame, fit_rows: int = 1200, k: int = 4) -> Model | None:
     hashed doc_id.  Null languages, texts and ids are left out; nothing left: no model."""
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     known = docs.where("lang is not null and doc_id is not null and text is not null")
-    each = max(1, fit_rows // max(1, known.select("lang").distinct().count()))
-    chosen = known.select("doc_id", "lang").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= each)
+    counts_ = known.groupBy("lang").agg(F.count("*").alias("rows"))
+    each = max(1, fit_rows // max(1, counts_.count()))
+    light = known.select("doc_id", "lang").join(counts_, "lang")
+    few = light.where(under_share(F.col("doc_id"), F.col("rows"), F.lit(each))).drop("rows")
+    chosen = few.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= each)
     sample = known.select("doc_id", "lang", "text").join(F.broadcast(chosen.drop("_n")), ["doc_id", "lang"])
     rows = sample.mapInArrow(_count_rows, "doc_id long, lang string, x array<float>, has boolean").where("has").toArrow()
     if not rows.num_rows:

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from climgrid.llm.store import smallest_hashed
 from climgrid.llm.text import SPACE_CHARS, SPACES
 
 SYMBOLS = "#*$%&|<>"
@@ -189,7 +190,7 @@ def fit_rules(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, **opti
     twice.
     """
     known = labels.where("quality is not null and doc_id is not null").select("doc_id", "quality")
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(fit_rows)
+    sample = smallest_hashed(known, "doc_id", fit_rows, "quality")
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")
     counted = text_statistics(chosen).join(F.broadcast(sample), "doc_id")
     rows = counted.select("doc_id", "quality", base_failed().alias("_f"), *[feature(n).alias(n) for n in FEATURES]).collect()

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from climgrid.llm.store import smallest_hashed
 from climgrid.llm.text import gram_hashes, slices, text_buffer, word_hashes, word_spans
 
 _KINDS = np.full(256, 5, np.uint8)  # 0 upper, 1 lower, 2 digit, 3 mark, 4 space, 5 other
@@ -118,7 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000) -> Model | f
     """Learn from at most ``fit_rows`` labelled rows, those of smallest hashed doc_id; with
     fewer than two rows of a class, the share of class 1 (0.5 without rows) stands in."""
     known = labels.where("quality is not null and doc_id is not null").select("doc_id", "quality")
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(fit_rows)
+    sample = smallest_hashed(known, "doc_id", fit_rows, "quality")
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")
     got = chosen.mapInArrow(_feature_rows, "doc_id long, x array<double>")
     rows = sorted(map(tuple, got.join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "x").collect()))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from climgrid.storage import work_folder
 
@@ -20,6 +20,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def under_share(key: Column, rows: Column, most: Column) -> Column:
+    """True for about twice ``most`` of ``rows`` rows, those of smallest hashed key, and for
+    all where they are no more: what a bounded sample is then picked from, so that no task
+    has to hand on a whole sample of its own."""
+    share = F.least(F.lit(1.0), (most * 2 + 100) / F.greatest(rows, F.lit(1)))
+    return (share >= 1) | (F.xxhash64(key) < (F.least(share, F.lit(0.999)) * 2.0**64 - 2.0**63).cast("long"))
+
+
+def smallest_hashed(df: DataFrame, key: str, most: int, *order: str) -> DataFrame:
+    """At most ``most`` rows, those of smallest hashed ``key``; ties go by ``order``."""
+    few = df.where(under_share(F.col(key), F.lit(df.count()), F.lit(most)))
+    return few.orderBy(F.xxhash64(key), key, *order).limit(most)
+
+
 def release(spark: SparkSession, since: int = 0) -> None:
     """Remove the tables written after the first ``since`` of this process: for a caller
     that has stored all results which still read them."""

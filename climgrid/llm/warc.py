@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from climgrid.llm.store import folder_made, open_folder, written
+from climgrid.llm.store import folder_made, open_folder, smallest_hashed, written
 
 DICTIONARY_FRAME = 0x184D2A5D
 HEAD = "WARC/1.1"
@@ -145,7 +145,8 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, samples: int =
     # of rows with one page_id and other payloads, the payload decides
     same = (F.col("page_id") == F.col("_p")) & (F.sha2(raw, 256) == F.col("_d"))
     placed = rows.join(again.withColumnRenamed("page_id", "_p"), same, "left").select("page_id", "url", "html", "refers_to")
-    chosen = rows.select("page_id", "url", F.substring("html", 1, 8192).alias("html")).orderBy(F.xxhash64("page_id"), "page_id").limit(samples)
+    ids = smallest_hashed(rows.select("page_id"), "page_id", samples).distinct()
+    chosen = rows.join(F.broadcast(ids), "page_id", "left_semi").select("page_id", "url", F.substring("html", 1, 8192).alias("html")).limit(2 * samples)
     dictionary = train_dictionary([record(r["page_id"], r["url"], (r["html"] or "").encode(), None) for r in chosen.collect()])
     folder_made(folder)
     return written(placed.mapInArrow(_write(folder, dictionary, level), "path string, records long"), "archives")
