@@ -409,6 +409,24 @@ def delta_pipeline_minmax(spark, sf):
     return out(delta.delta_pipeline_minmax(extreme, whole, mean, coarse, fine))
 
 
+MIXED = {
+    "tas": refine_sql(_anoms("tas", "c.value - m.clim").format(where=""), "tas", f"{R('b.value + rv', 1)} + 0e0"),
+    "clt": refine_sql(CLT_ANOMS, "clt", f"{R('CASE WHEN b.value * rv < 0 THEN 0 WHEN b.value * rv > 100 THEN 100 ELSE b.value * rv END', 1)} + 0e0"),
+}
+
+
+@query("delta_pipeline_mixed", " UNION ALL ".join(f"SELECT '{v}' AS variable, * FROM ({sql})" for v, sql in MIXED.items()))
+def delta_pipeline_mixed(spark, sf):
+    """Temperature and cloud in one table, each by its policy."""
+    coarse, fine = cube.grids(spark, sf)
+    c = cube.cells(spark, sf, list(MIXED)).drop("scenario")
+    named = [cube.baseline(spark, sf, v).withColumn("variable", F.lit(v)) for v in MIXED]
+    refined = delta.delta_pipeline_mixed(
+        c, named[0].unionByName(named[1]), coarse, fine, list(MIXED), begin=cube.BEGIN, end=cube.END
+    )
+    return refined.select("variable", *YMRC, (F.col("value") + 0.0).alias("value"))
+
+
 @query(
     "delta_pipeline_projected",
     refine_sql(TAS_ANOMS, "tas", f"{R('b.value + rv', 1)} + 0e0", "proj", PROJ_PLACE),

@@ -9,6 +9,7 @@ it is row by row, so the fine grid is shuffled at most once.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -27,6 +28,7 @@ from climgrid.operators.gaps import fill_gaps_linear
 from climgrid.operators.precip import fix_precip
 from climgrid.operators.regrid import regrid
 from climgrid.operators.select import select_years
+from climgrid.plans.policy import Policy, variable_policy
 from climgrid.schema import CELL, TIME, shared
 
 Post = Callable[[Column], Column]
@@ -50,7 +52,7 @@ def refine_anomalies(
     grid is joined to the baseline, before that is repeated over time.
     """
     check_operation(operation)
-    on = tuple(shared(anomalies, baseline, ("project", "model", "scenario") + TIME))
+    on = tuple(shared(anomalies, baseline, ("project", "model", "scenario", "variable") + TIME))
     target = baseline.withColumnRenamed("value", "_base")
     if mask is not None:
         keys = shared(target, mask, CELL)
@@ -128,6 +130,38 @@ def delta_pipeline(
     return refine_anomalies(anoms, baseline, src_grid, dst_grid, operation, method, post, mask)
 
 
+def delta_pipeline_mixed(
+    historical: DataFrame,
+    baseline: DataFrame,
+    src_grid: Grid,
+    dst_grid: Grid,
+    variables: list[str],
+    *,
+    future: DataFrame | None = None,
+    source: str | None = None,
+    **options,
+) -> DataFrame:
+    """Several variables (models, scenarios) of one table by their policies, as one plan.
+
+    Series and ``baseline`` have a ``variable`` column.  Variables of equal treatment run
+    together, so there are as many refinements as treatments, not as variables.
+    ``options`` are those of ``delta_pipeline``.
+    """
+    groups: dict[Policy, list[str]] = {}
+    for name in variables:
+        groups.setdefault(variable_policy(name, source), []).append(name)
+    parts = []
+    for p, names in groups.items():
+        own = lambda df: df.where(F.col("variable").isin(*names))  # noqa: B023, E731
+        parts.append(
+            delta_pipeline(
+                own(historical), own(baseline), src_grid, dst_grid, future=None if future is None else own(future),
+                operation=p.operation, post=p.post(), fix_clim=p.fix_clim, find_bounds=p.find_bounds, **options,
+            )
+        )
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def delta_pipeline_minmax(
     extreme: DataFrame,
     mean: DataFrame,
