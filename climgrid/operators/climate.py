@@ -51,11 +51,8 @@ def climatology(
     keys = series + cell_cols(df) + ["month"]
     sums = base.groupBy("scenario", *keys).agg(F.sum("value").alias("_s"), F.count("value").alias("_n"))
     past = sums.where(F.col("scenario") == PAST).drop("scenario").withColumnsRenamed({"_s": "_ps", "_n": "_pn"})
-    names = (df if serve is None else serve).select("scenario", *series).distinct()
-    if series:
-        carried = past.join(names, series)
-    else:
-        carried = past.withColumn("scenario", F.explode(names.select(F.collect_set("scenario")).scalar()))
+    names = (df if serve is None else serve).select("scenario", *series, "month").distinct()
+    carried = past.join(names, [*series, "month"])
     own = sums.where(F.col("scenario") != PAST)
     both = carried.join(own, ["scenario", *keys], "full")
     total = lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
