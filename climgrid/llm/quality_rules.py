@@ -151,30 +151,32 @@ def _grow(x: dict, bad: np.ndarray, most: int, steps: int) -> list[tuple[str, st
 
 def learn_rules(
     x: dict[str, np.ndarray], bad: np.ndarray, most_rules: int = 12, most_tests: int = 4,
-    precision: float = 0.9, steps: int = 512, seed: int = 7,
+    precision: float = 0.9, steps: int = 512, seed: int = 7, few: int = 30,
 ) -> list[Rule]:
     """Ordered rules that reject; what no rule covers is kept.
 
     A rule enters when it is right on ``precision`` of the rows it covers in the growing
     and in the pruning part; the first that is not ends the list.  Rows left over by
     earlier rules only are looked at, ties between tests go to the earlier feature, and
-    the split into parts depends on ``seed`` alone.  No labelled rows or none that are
+    the split into parts depends on ``seed`` alone; with fewer than ``few`` bad rows all rows
+    serve for both.  No labelled rows or none that are
     bad: no rules.
     """
     part = np.random.Generator(np.random.PCG64(seed)).random(len(bad)) < 2 / 3
+    grown, pruned = (part, ~part) if bad.sum() >= few else (np.ones(len(bad), bool),) * 2
     left, rules = np.ones(len(bad), bool), []
     score = lambda rule, rows: (bad[rows & (h := rule.holds(x))].sum(), (rows & h).sum())
-    while len(rules) < most_rules and bad[left & part].any() and bad[left & ~part].any():
-        tests = _grow({k: v[left & part] for k, v in x.items()}, bad[left & part], most_tests, steps)
+    while len(rules) < most_rules and bad[left & grown].any() and bad[left & pruned].any():
+        tests = _grow({k: v[left & grown] for k, v in x.items()}, bad[left & grown], most_tests, steps)
         if not tests:
             break
 
         def worth(n: int) -> float:
-            hit, size = score(Rule(tuple(tests[:n]), False), left & ~part)
+            hit, size = score(Rule(tuple(tests[:n]), False), left & pruned)
             return (2 * hit - size) / max(size, 1)
 
         rule = Rule(tuple(tests[: max(range(1, len(tests) + 1), key=lambda n: (worth(n), -n))]), False)
-        if any(hit < precision * size or not size for hit, size in (score(rule, left & part), score(rule, left & ~part))):
+        if any(hit < precision * size or not size for hit, size in (score(rule, left & grown), score(rule, left & pruned))):
             break
         rules.append(rule)
         left &= ~rule.holds(x)

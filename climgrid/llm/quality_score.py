@@ -84,7 +84,8 @@ class Model:
 
 
 def train(x: np.ndarray, y: np.ndarray, shrink: float = 0.1, ridge: float = 0.05) -> Model:
-    """Both classes are needed; features without spread weigh nothing."""
+    """Both classes are needed; features without spread weigh nothing.  ``shrink`` and
+    ``ridge`` are the least shares of the pooled covariance and of its diagonal."""
     center, scale = x.mean(axis=0), x.std(axis=0)
     scale = np.where(scale > 1e-9, scale, 1.0)
     z = (x - center) / scale
@@ -92,9 +93,12 @@ def train(x: np.ndarray, y: np.ndarray, shrink: float = 0.1, ridge: float = 0.05
     covariances = [np.cov(z[y == c].T, bias=True) for c in (0, 1)]
     pooled = sum(c * (y == i).mean() for i, c in enumerate(covariances))
     factors, logdet = [], []
-    for c in covariances:
-        s = (1 - shrink) * c + shrink * pooled
-        s = (1 - ridge) * s + ridge * np.diag(np.diag(pooled) + 1e-3)
+    d = x.shape[1]
+    for k, c in enumerate(covariances):
+        # few rows of a class say little about its shape: then more of the pooled one, and of its diagonal
+        near, flat = (max(least, d / (d + n)) for least, n in ((shrink, (y == k).sum()), (ridge, len(y))))
+        s = (1 - near) * c + near * pooled
+        s = (1 - flat) * s + flat * np.diag(np.diag(pooled) + 1e-3)
         factors.append(np.linalg.cholesky(s))
         logdet.append(2 * np.log(np.diag(factors[-1])).sum())
     model = Model(center, scale, means, np.stack(factors), np.array(logdet), 1.0, 0.0)
