@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from climgrid.llm.graph import components
-from climgrid.llm.store import written
+from climgrid.llm.store import meet, written
 from climgrid.llm.text import gram_hashes, mix, sequence_hash, slices, text_buffer, word_hashes, word_spans
 
 SHINGLE = 5
@@ -194,7 +194,7 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     most drop out by that count.  The rest are compared block by block.
     """
     hubs = members.groupBy("bucket").agg(F.min("node").alias("hub"))
-    stars = members.join(hubs, "bucket").where("hub < node")
+    stars = meet(members, hubs, "bucket").where("hub < node")
     pairs = written(stars.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     part = written(components(written(confirm(pairs, sets, percent), "links")), "part")
     placed = stars.select("bucket", "node").join(part, "node", "left")
@@ -233,7 +233,7 @@ def near_duplicates(
     named = real.join(classes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     spread = named.select(F.explode("buckets").alias("bucket"), F.col("doc_id").alias("node"))
     shared = spread.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    members = written(spread.join(shared.select("bucket"), "bucket", "left_semi"), "members")
+    members = written(meet(spread, shared.select("bucket"), "bucket"), "members")
     nodes = members.select(F.col("node").alias("doc_id")).distinct()
     sets = written(source.join(nodes, "doc_id", "left_semi").mapInArrow(_sets(k), "node long, shingles array<long>"), "sets")
     part = _links(members, sets, percent)

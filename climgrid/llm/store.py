@@ -34,6 +34,14 @@ def smallest_hashed(df: DataFrame, key: str, most: int, *order: str) -> DataFram
     return few.orderBy(F.xxhash64(key), key, *order).limit(most)
 
 
+def meet(rows: DataFrame, folded: DataFrame, key: str) -> DataFrame:
+    """Rows with the one row of their (long) key.  The join is on the key's complement, so
+    that the folded side is dealt anew: only then can Spark split the rows of a very
+    common key."""
+    mate = F.bitwise_not(key).alias("mate")
+    return rows.select("*", mate).join(folded.select(mate, *[c for c in folded.columns if c != key]), "mate").drop("mate")
+
+
 def release(spark: SparkSession, since: int = 0) -> None:
     """Remove the tables written after the first ``since`` of this process: for a caller
     that has stored all results which still read them."""

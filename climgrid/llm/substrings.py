@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from climgrid.llm.store import written
+from climgrid.llm.store import meet, written
 from climgrid.llm.text import gram_hashes, mix, slices, text_buffer, word_hashes, word_spans
 
 WINDOW, ANCHOR = 13, 5
@@ -134,13 +134,6 @@ def spans(starts: np.ndarray, window: int, sizes: np.ndarray | None = None) -> n
     return np.stack([starts[lead], reach[np.append(np.flatnonzero(lead)[1:] - 1, len(starts) - 1)]], axis=1)
 
 
-def _meet(rows: DataFrame, folded: DataFrame) -> DataFrame:
-    """Rows with the one row of their key.  The join is on the key's complement, so that the
-    folded side is dealt anew: only then can Spark split the rows of a very common key."""
-    mate = F.bitwise_not("key").alias("mate")
-    return rows.select("*", mate).join(folded.select(mate, *[c for c in folded.columns if c != "key"]), "mate").drop("mate")
-
-
 def repeated_windows(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> DataFrame:
     """``(doc_id, repeats)``: windows of each document that also begin in a smaller doc_id,
     as ``(at, n)`` of n windows in a row."""
@@ -154,7 +147,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) ->
     runs = source.join(seeds, "doc_id", "left").mapInArrow(_stretches(window, k), "key long, doc_id long, at long, n long")
     first = runs.groupBy("key").agg(F.min("doc_id").alias("lo"))
     place = F.struct("at", "n")
-    marks = _meet(runs, first).groupBy("doc_id").agg(
+    marks = meet(runs, first, "key").groupBy("doc_id").agg(
         F.collect_list(F.when(F.col("lo") < F.col("doc_id"), place)).alias("again"),
         F.collect_list(F.when(F.col("lo") == F.col("doc_id"), place)).alias("leads"),
     )
@@ -164,7 +157,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) ->
     keys = led.mapInArrow(_windows(window), "key long, doc_id long, at long")
     least = keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     single = F.struct("at", F.lit(1).cast("long").alias("n"))
-    more = _meet(keys, least).where("lo < doc_id").groupBy("doc_id").agg(F.collect_list(single).alias("more"))
+    more = meet(keys, least, "key").where("lo < doc_id").groupBy("doc_id").agg(F.collect_list(single).alias("more"))
     both = marks.join(more, "doc_id", "left")
     whole = F.concat("again", F.coalesce("more", F.array().cast("array<struct<at: bigint, n: bigint>>")))
     return both.select("doc_id", whole.alias("repeats")).where(F.size("repeats") > 0)
