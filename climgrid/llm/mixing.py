@@ -1,7 +1,8 @@
 """Mixing sources to target weights by balanced sampling (the cube method).
 
 A source's target over its size is the number of times each of its documents should be
-taken: the whole part is certain, the fraction is an inclusion probability.  The flight
+taken: the whole part is certain, the fraction is an inclusion probability.  A source's
+documents over 2 % of its expected tokens are rounded first, at every size.  The flight
 phase moves the probabilities of three documents at a time along the direction that keeps
 both balances, tokens and documents, until one of them is 0 or 1; it runs in blocks of a
 source, and what is undecided moves on to blocks of the next level, until one block a
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from climgrid.llm.store import written
 from climgrid.llm.text import SPACE_CHARS, SPACES
@@ -21,6 +22,10 @@ WEIGHTS = (5.0, 2.0, 1.0)
 BLOCK = 4096
 LANDING = 12
 EDGE = 1e-9
+#: A document over this part of its source's expected tokens is settled before the flight.
+PART = 0.02
+#: Over the number of such documents of a source that can be taken.
+MOST_TAKEN = 200
 
 
 def source_targets(sizes: dict[str | None, int], weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> dict:
@@ -70,28 +75,30 @@ def fly(p: np.ndarray, size: np.ndarray, leave: int) -> np.ndarray:
     return p
 
 
-def settle_large(p: np.ndarray, size: np.ndarray, part: float = 0.02) -> np.ndarray:
-    """Round each unit (largest first) that holds over ``part`` of the expected tokens, and
-    shift the probabilities of the others by one number so that the tokens stay as expected.
+def settle_large(classes, p: float, total: float, part: float = PART) -> tuple[float, list[tuple[int, int]]]:
+    """Round the units of a source, largest first, that hold over ``part`` of its expected
+    tokens, and shift the probability of the others so that the tokens stay as expected.
+
+    ``classes``: (size, number of units) of those units; all units of the source, of
+    ``total`` tokens, have the probability ``p``.  Gives the probability of the others, and
+    (size, number of units taken) where some are: a hundred units in all at most, for one
+    is taken only while the open units hold less than twice what is expected of them.
 
     The small documents of a landing could not make up for such a unit."""
-    p = p.copy()
-    for i in range(len(p)):
-        if size[i] <= part * (p @ size):
+    expected = p * total
+    least, taken = part * expected, {}
+    for size, units in sorted(classes, reverse=True):
+        if size <= least:
             break
-        if not EDGE < p[i] < 1 - EDGE:
-            continue
-        off = (round(p[i]) - p[i]) * size[i]
-        p[i] = round(p[i])
-        for _ in range(8):  # shifting stops at 0 and 1, so some of it has to be shared again
-            rest = np.arange(len(p)) > i
-            rest &= (p > EDGE) & (p < 1 - EDGE)
-            if not rest.any() or abs(off) < EDGE:
-                break
-            moved = np.clip(p[rest] - off / size[rest].sum(), 0, 1)
-            off -= (p[rest] - moved) @ size[rest]
-            p[rest] = moved
-    return p
+        while units:
+            if p > 0.5:
+                taken[size] = taken.get(size, 0) + 1
+                expected, n = expected - size, 1
+            else:  # at once all that are not taken before p is over a half
+                n = min(units, int((total - 2 * expected) // size) + 1) if expected > 0 else units
+            total, units = total - n * size, units - n
+            p = min(max(expected / total, 0.0), 1.0) if total > 0 else 0.0
+    return p, sorted(taken.items())
 
 
 def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -104,11 +111,16 @@ def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
     return choice[np.lexsort((count, off))[0]].astype(float)
 
 
-def _move(leave: int, final: bool, whole: bool):
+def _settled(pdf: pd.DataFrame) -> pd.DataFrame:
+    p, taken = settle_large(zip(pdf["size"].tolist(), pdf["units"].tolist()), float(pdf["p"].iloc[0]), float(pdf["source_size"].iloc[0]))
+    return pd.DataFrame({"source": [pdf["source"].iloc[0]], "p": [p], "sizes": [[z for z, _ in taken]], "units": [[n for _, n in taken]]})
+
+
+def _move(leave: int, final: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["size", "doc_id", "copy"], ascending=[False, True, True], kind="stable")
         size, p = pdf["size"].to_numpy(float), pdf["p"].to_numpy(float)
-        p = fly(settle_large(p, size) if whole else p, size, leave)
+        p = fly(p, size, leave)
         if final:
             open_ = np.flatnonzero((p > 0) & (p < 1))
             if len(open_):
@@ -154,15 +166,28 @@ def _mix_sized(sized: DataFrame, weights, share: float, most: float, block: int)
     # equal rows are told apart by their number, so that the result does not depend on order
     groups = base.groupBy("doc_id", "source", "size", "source_size", "target", "sure", "p").agg(F.count("*").alias("rows"))
     units = groups.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
-    flying = units.where((F.col("size") > 0) & (F.col("p") > EDGE)).select("doc_id", "copy", "source", "size", "p")
+    open_ = (F.col("size") > 0) & (F.col("p") > EDGE)
+    large = F.col("size") > PART * (F.col("p") * F.col("source_size"))
+    # one row a source that has large documents, with the few of them that are taken
+    found = base.where(open_ & large).groupBy("source", "size", "p", "source_size").agg(F.count("*").alias("units"))
+    settled = found.groupBy("source").applyInPandas(_settled, "source string, p double, sizes array<long>, units array<long>").collect()
+    others = spark.createDataFrame([(r["source"], r["p"]) for r in settled], "_s string, _p double")
+    ones = spark.createDataFrame([(r["source"], z, n) for r in settled for z, n in zip(r["sizes"], r["units"])], "_s string, _z long, _n long")
+    shifted = units.where(open_ & ~large).join(F.broadcast(others), F.col("source").eqNullSafe(F.col("_s")), "left")
+    flying = shifted.select("doc_id", "copy", "source", "size", F.coalesce("_p", "p").alias("p"))
+    heads = units.where(open_ & large).join(F.broadcast(ones), F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")))
+    place = F.row_number().over(Window.partitionBy("source", "size").orderBy("doc_id", "copy"))
+    # the constant bound lets each task leave all but its first rows of a size
+    heads = heads.withColumn("_r", place).where(F.col("_r") <= MOST_TAKEN).where(F.col("_r") <= F.col("_n"))
+    heads = heads.select("doc_id", "copy", "source", "size", F.lit(1.0).alias("p"))
     count = flying.groupBy("source").count().agg(F.max("count")).first()[0] or 0
-    now, decided, level = flying, [], 0
+    now, decided, level = flying, [heads], 0
     shape = "doc_id long, copy int, source string, size long, p double, block long"
     while True:
         blocks = max(1, -(-count // block))
         spread = F.pmod(F.xxhash64(_null_id("doc_id"), "copy", F.lit(level)), F.lit(blocks))
         last = blocks == 1
-        moved = now.withColumn("block", spread).groupBy("source", "block").applyInPandas(_move(LANDING if last else 2, last, last and not level), shape)
+        moved = now.withColumn("block", spread).groupBy("source", "block").applyInPandas(_move(LANDING if last else 2, last), shape)
         moved = written(moved.drop("block"), f"flight{level}")
         decided.append(moved.where("p = 0 or p = 1"))
         now = moved.where("p > 0 and p < 1")

@@ -101,6 +101,30 @@ def test_mix_is_near_its_targets(spark):
         assert abs(r["sum(taken)"] / r["max(target)"] - 1) < 0.02
 
 
+def test_large_documents_are_settled_beside_a_hot_source(spark):
+    """Of the small source 1.286 times 7000 words are wanted, of which one document has 3000."""
+    rows = [(i, "b", "w " * 20) for i in range(600)] + [(1000 + i, "a", "w " * 20) for i in range(150)] + [(2000, "c", "w " * 3000)]
+    rows += [(2001 + i, "c", "w " * (15 + i % 11)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    for block in (64, 4096):
+        out = mixing.mix(docs, weights=(1.0, 1.0, 1.0), share=1.286, block=block)
+        for r in out.groupBy("source").agg({"taken": "sum", "target": "max"}).collect():
+            assert abs(r["sum(taken)"] / r["max(target)"] - 1) < 0.01, (block, r)
+
+
+def test_settling_keeps_the_expected_tokens():
+    rng = np.random.default_rng(12)
+    for p in (0.0004, 0.03, 0.4, 0.5, 0.7, 0.98):
+        size = np.sort(np.round(rng.lognormal(4, 2, 5000)) + 1)[::-1]
+        least = 0.02 * p * size.sum()
+        z, n = np.unique(size[size > least], return_counts=True)
+        rest, taken = mixing.settle_large(zip(z, n), p, size.sum())
+        got = sum(a * b for a, b in taken) + rest * size[size <= least].sum()
+        assert sum(b for _, b in taken) <= 100 and all(b <= n[z == a] for a, b in taken)
+        assert rest in (0, 1) or abs(got / (p * size.sum()) - 1) < 1e-9
+    assert mixing.settle_large([(7, 10**12)], 49e-12, 7e12) == (0.0, [(7, 49)])
+
+
 def test_rules_find_a_conjunction():
     rng = np.random.default_rng(70)
     x = {"a": rng.random(3000), "b": rng.random(3000)}
