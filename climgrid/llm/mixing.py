@@ -134,6 +134,13 @@ def _null_id(c: str):
     return F.coalesce(F.col(c), F.lit(-(1 << 63)))
 
 
+def _key() -> list:
+    """What a row of documents is known by, besides its number among equal ones."""
+    text = F.trim(F.coalesce("text", F.lit("")), F.lit(SPACE_CHARS))
+    words = F.when(F.length(text) == 0, 0).otherwise(F.size(F.split(text, SPACES)))
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words.cast("long").alias("size")]
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, block: int = BLOCK) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` and ``copies`` of every document.
 
@@ -142,14 +149,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0,
     specification of the mix and goes through the driver.  Repeated rows are documents of
     their own.  Documents without words are taken 0 times; an empty table gives none.
     """
-    text = F.trim(F.coalesce("text", F.lit("")), F.lit(SPACE_CHARS))
-    sized = written(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-            F.when(F.length(text) == 0, 0).otherwise(F.size(F.split(text, SPACES))).cast("long").alias("size"),
-        ),
-        "sizes",
-    )
+    sized = written(docs.select(*_key()), "sizes")
     return _mix_sized(sized, weights, share, most, block)
 
 
@@ -213,8 +213,19 @@ def _mix_sized(sized: DataFrame, weights, share: float, most: float, block: int)
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix with the columns of ``docs``: each as often as it is taken."""
-    names = [f"`{c}`" for c in docs.columns]
-    times = mix(docs, **options).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("_times"))
-    rows = docs.select(F.col("doc_id"), F.struct(*names).alias("_row"))
-    return rows.join(times, "doc_id").select("_row", F.explode(F.sequence(F.lit(1), "_times"))).select("_row.*")
+    """The documents of the mix with the columns of ``docs``: each as often as it is taken.
+
+    Also rows without doc_id or source, and those of a repeated doc_id.  Rows of one doc_id,
+    source and size share what ``mix`` takes of them evenly; what is left over goes to the
+    first by hash.
+    """
+    shares = mix(docs, **options).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("_sum"), F.count("*").alias("_rows"))
+    shares = shares.where("_sum > 0").withColumnsRenamed({"doc_id": "_d", "source": "_s", "size": "_z"})
+    rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"), *_key())
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z"))
+    met = rows.join(shares, same)
+    flat = [f"_row.`{c}`" for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    place = F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy(F.xxhash64(*flat)))
+    times = F.floor(F.col("_sum") / F.col("_rows")) + (F.col("_r") <= F.col("_sum") % F.col("_rows")).cast("long")
+    taken = met.withColumn("_r", place).withColumn("_times", times.cast("int")).where("_times > 0")
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), "_times"))).select("_row.*")

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import pytest
 
@@ -123,6 +124,24 @@ def test_mixing(docs, empty):
     assert mixing.mix(empty).count() == 0 and mixing.mixed(docs).dtypes == docs.dtypes
 
 
+def test_mixed_takes_each_row_as_often_as_the_mix(spark):
+    rows = [(i, f"s{i % 3}", f"t{i} " * (20 + i % 7)) for i in range(60)]
+    rows += [(None, f"s{i % 3}", f"n{i} " * (20 + i % 4)) for i in range(40)] + [(None, None, "null source"), (5, "s1", "other text of five " * 9)]
+    rows += [(7, f"s{i % 2}", f"r{i} " * (20 + i % 2)) for i in range(30)] + [(8, "s2", "the same row " * 8)] * 9
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    want, got = {}, {}
+    for r in mixing.mix(docs).collect():
+        want.setdefault((r["doc_id"], r["source"], r["size"]), []).append(r["copies"])
+    out = Counter(map(tuple, mixing.mixed(docs).collect()))
+    for row, n in Counter(rows).items():
+        key = (row[0], row[1], len(plain.words(row[2])))
+        each, more = divmod(out[row], n)
+        got.setdefault(key, []).extend([each + 1] * more + [each] * (n - more))
+    assert set(out) <= set(rows)
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    assert Counter(map(tuple, mixing.mixed(docs.repartition(5)).collect())) == out
+
+
 def test_language(docs, empty):
     model = language.fit(docs)
     out = language.identify(docs, model, reject=False)
