@@ -64,9 +64,9 @@ def project(ids: np.ndarray, bounds: np.ndarray, directions: np.ndarray) -> np.n
     return np.clip((v + 1) / 2 * (1 << BITS), 0, (1 << BITS) - 1)
 
 
-def _tokenized(path: str, end_id: int):
+def _tokenized(path: str, end_id: int, added: bool):
     def run(batches):
-        encode, row = unit_encoder(path, False), TaskContext.get().partitionId() << 33
+        encode, row = unit_encoder(path, False, added), TaskContext.get().partitionId() << 33
         wide = encode.tokenizer.get_vocab_size() > 1 << 16 or end_id >= 1 << 16
         directions = np.random.Generator(np.random.PCG64(11)).standard_normal((1 << 16, DIMENSIONS)).astype(np.float32)
         for part in slices(batches, most=SLICE):
@@ -140,16 +140,17 @@ def _pieces(length: int, with_ids: bool):
 PIECE = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID, with_ids: bool = True, added: bool = False) -> DataFrame:
     """Pieces of all documents: where each lies in which sequence; ``ids`` (little-endian
     unsigned 32-bit) on demand.
 
     Every row of ``docs`` is packed, also repeated ones and those without doc_id; an empty
     or null text is its end id alone.  Texts at one point of the curve go by doc_id.
+    ``added``: strings of the vocabulary's added tokens are those tokens, not ordinary text.
     """
     tokens = written(
         docs.select("doc_id", "text").mapInArrow(
-            _tokenized(tokenizer, end_id), "row long, doc_id long, key long, doc_tokens long, ids binary"
+            _tokenized(tokenizer, end_id, added), "row long, doc_id long, key long, doc_tokens long, ids binary"
         ),
         "tokens",
     )

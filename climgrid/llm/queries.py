@@ -44,7 +44,7 @@ def op2(spark, sf_dir):
 
 @query("op3_hilbert_packing")
 def op3(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), with_ids=False)
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), with_ids=False, added=True)
 
 
 @query("op4_substring_dedup")
@@ -83,7 +83,7 @@ def op8(spark, sf_dir):
 @query("op9_arrow_tokens")
 def op9(spark, sf_dir):
     folder = work_folder(spark, "token-ids")
-    files = token_files.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer("byte_bpe_50k.json"))
+    files = token_files.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer("byte_bpe_50k.json"), added=True)
     return token_files.read_tokens(files, folder)
 
 

@@ -152,19 +152,34 @@ class UnitEncoder:
     byte below 128 on one side, and around a line break between two such bytes.  Both cut
     between an ASCII letter and a mark other than the apostrophe.
     Units are counted per slice; ids of those met are kept up to ``keep`` bytes of units.
+
+    The strings of the vocabulary's added tokens count as ordinary text; with ``added`` they
+    are those tokens, as the library has it by default: units cut such strings, so the few
+    texts that hold one go to the library whole.
     """
 
-    def __init__(self, path: str, spaces: bool, keep: int = 3_000_000):
+    def __init__(self, path: str, spaces: bool, added: bool = False, keep: int = 3_000_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.whole, self.added = (Tokenizer.from_file(path), self._added()) if added else (None, [])
         self.spaces, self.keep, self.held, self.known = spaces, keep, 0, {}
         # what a run of units is joined by, and its one id, which no joined unit may hold
         self.glue = "\n\n" if spaces else " \x01 "
         self.glue_ids = self._plain([self.glue])[0]
 
+    def _added(self) -> list[str]:
+        return [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def _holds_added(self, column: pa.Array) -> np.ndarray:
+        """Texts that may hold an added token: a normalizer may change case before it is met."""
+        held = np.zeros(len(column), bool)
+        for content in self.added:
+            held |= pc.match_substring(column, content, ignore_case=True).to_numpy(zero_copy_only=False)
+        return held
+
     def _plain(self, units: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
@@ -213,6 +228,18 @@ class UnitEncoder:
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each text's ids begin."""
+        column = pc.fill_null(column, "")
+        held = self._holds_added(column)
+        if not held.any():
+            return self._by_units(column)
+        ids, begin = self._by_units(pc.if_else(pa.array(held), "", column))
+        at, size, parts = np.flatnonzero(held), np.zeros(len(column), np.int64), []
+        for i in at:
+            parts.append(np.array(self.whole.encode(column[int(i)].as_py(), add_special_tokens=False).ids, np.uint32))
+            size[i] = len(parts[-1])
+        return np.insert(ids, np.repeat(begin[at], size[at]), np.concatenate(parts)), begin + np.insert(np.cumsum(size), 0, 0)
+
+    def _by_units(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         raw, cuts, first = self._units(*text_buffer(column))
         if len(cuts) == 1:
             return np.empty(0, np.uint32), np.zeros(len(column) + 1, np.int64)
@@ -241,6 +268,6 @@ class UnitEncoder:
 
 
 @lru_cache(maxsize=2)
-def unit_encoder(path: str, spaces: bool) -> UnitEncoder:
+def unit_encoder(path: str, spaces: bool, added: bool = False) -> UnitEncoder:
     """One encoder per Python worker: its memory of units serves all tasks of the worker."""
-    return UnitEncoder(path, spaces)
+    return UnitEncoder(path, spaces, added)

@@ -41,9 +41,9 @@ def sequence_batch(ids: np.ndarray, length: int, wide: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=file_schema(length, wide))
 
 
-def _write(folder: str, path: str, end_id: int, length: int):
+def _write(folder: str, path: str, end_id: int, length: int, added: bool):
     def run(batches):
-        encode, part, total, held = unit_encoder(path, True), TaskContext.get().partitionId(), 0, np.empty(0, np.uint32)
+        encode, part, total, held = unit_encoder(path, True, added), TaskContext.get().partitionId(), 0, np.empty(0, np.uint32)
         fs, root = open_folder(folder)
         name, scratch = f"{root}/part-{part:06d}", f"{root}/.{uuid.uuid4().hex}"
         chunk = length * PER_BATCH
@@ -72,17 +72,18 @@ def _write(folder: str, path: str, end_id: int, length: int):
     return run
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, length: int = LENGTH) -> DataFrame:
+def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, length: int = LENGTH, added: bool = False) -> DataFrame:
     """Encode all texts into files of ``folder``; ``(path, n_tokens, base)`` of each, ``base``
     being the ids in the files before it.
 
     A null text is empty and has its end id only; rows without doc_id come first; rows of
-    one doc_id follow each other in any order.  The offsets, one row a file, pass through
+    one doc_id follow each other in any order.  ``added``: strings of the vocabulary's added
+    tokens are those tokens, not ordinary text.  The offsets, one row a file, pass through
     the driver.
     """
     folder_made(folder)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    done = written(ordered.mapInArrow(_write(folder, tokenizer, end_id, length), "part long, path string, n_tokens long"), "token-files")
+    done = written(ordered.mapInArrow(_write(folder, tokenizer, end_id, length, added), "part long, path string, n_tokens long"), "token-files")
     files, base = [], 0
     for _, path, n in sorted(map(tuple, done.collect())):
         files.append((path, n, base))

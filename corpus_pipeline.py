@@ -31,7 +31,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 tokens, with their ids."""
-    return packing.pack(docs, tokenizer("word_bpe_49k.json"))
+    return packing.pack(docs, tokenizer("word_bpe_49k.json"), added=True)
 
 
 STAGES = [

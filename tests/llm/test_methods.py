@@ -28,6 +28,17 @@ def test_units_give_the_ids_of_whole_texts(name, spaces, texts):
 test_units_give_the_ids_of_whole_texts.made = {}
 
 
+@pytest.mark.parametrize("name, spaces", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_added_tokens_are_those_of_the_library(name, spaces):
+    from tokenizers import Tokenizer
+
+    texts = ["one <|endoftext|> two", "no such", None, "<|endoftext|>", "<|startoftext|>x<|endoftext|>", "", "<|EndOfText|> <|end", " a<|endoftext|>\n\nb "]
+    plainly = Tokenizer.from_file(tokenizer(name))
+    for part in (texts, texts[:1], texts[1:3], texts[::-1]):
+        ids, bounds = UnitEncoder(tokenizer(name), spaces, added=True)(pa.array(part, pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [plainly.encode(t or "", add_special_tokens=False).ids for t in part]
+
+
 def test_signature_bins_agree_as_often_as_sets():
     rng, signer = np.random.default_rng(1), Signer()
     for size, common in ((4, 3), (40, 30), (800, 600)):

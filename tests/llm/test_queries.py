@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 
 import corpus_pipeline
-from climgrid.llm.queries import QUERIES, table
+from climgrid.llm.queries import QUERIES, table, tokenizer
 from tests.llm import plain
 
 
@@ -35,6 +35,25 @@ def test_packing(spark, sf):
     assert used > 0.97 * 2048 * len({r.sequence_id for r in out})
 
 
+def test_token_queries_give_the_ids_of_the_plain_library(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    rows = [(3, "one <|endoftext|> two"), (1, "<|startoftext|>a b"), (2, "plain text"), (4, None), (5, "<|endoftext|><|endoftext|>")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    digests = {}
+    for name, end in (("word_bpe_49k.json", 1), ("byte_bpe_50k.json", 0)):
+        encode = Tokenizer.from_file(tokenizer(name))
+        ids = {d: [*encode.encode(t or "", add_special_tokens=False).ids, end] for d, t in rows}
+        digests[name] = {d: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for d, x in ids.items()}
+    packed = QUERIES["op3_hilbert_packing"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in packed} == digests["word_bpe_49k.json"]
+    stage = corpus_pipeline.pack_sequences(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path)).collect()
+    assert {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in stage} == digests["word_bpe_49k.json"]
+    stored = sorted(QUERIES["op9_arrow_tokens"](spark, str(tmp_path)).collect())
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in stored} == digests["byte_bpe_50k.json"]
+    assert [r.start for r in stored] == [0, *np.cumsum([r.n_tokens for r in stored])[:-1].tolist()]
+
+
 def test_substrings(spark, sf):
     out = QUERIES["op4_substring_dedup"](spark, sf)
     assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in out.collect()) == sorted(plain.without_repeats(texts(spark, sf)))
