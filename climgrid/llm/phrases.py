@@ -1,13 +1,17 @@
 """Phrase collocations: counting in a HAT-trie of word ids, and ranking by association.
 
-Each task counts the phrases of its texts in a trie over word ids that is shallow: its
-nodes are languages and first words, below them hang hash containers of the rest of the
-phrases, and a container that grows too large bursts into a node with a container for each
-second word.  When a trie holds too many phrases its largest subtrees are spilled whole, as
-runs sorted by language and phrase, into a table in the shared folder.  The runs are then
-merged per prefix partition: a partition is a range of the sorted phrases, so a very common
-prefix spreads over several ranges, and only counts of one phrase meet, at most one from
-each run.
+Each task counts its texts in a trie over word ids that is shallow: its nodes are languages
+and first words, below them hang hash containers of the two words that follow (fewer where a
+piece ends), and a container that grows too large bursts into a node with a container for
+each second word.  Every place of a text is one leaf; counts of words and pairs are sums over
+the leaves below them.  When a trie holds too many leaves its largest subtrees are spilled
+whole, as sorted runs.
+
+Runs are merged per prefix partition: a partition is a range of the sorted leaves, and a run
+is cut at its borders into packed blocks, so a shuffle moves few, compressed rows.  The
+borders come from a bounded sample of places, so a very common first word or pair spreads
+over as many partitions as its share asks for, and of one leaf only a count from each run
+meets.  Sums of a prefix that reaches over a border are added up afterwards.
 
 Words of a phrase are joined by one space (words have none).  A null language is ``und``, a
 null text is empty.  Equal rows count each for itself.
@@ -15,24 +19,31 @@ null text is empty.  Equal rows count each for itself.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from climgrid.llm.store import written
+from climgrid.llm.store import under_share, written
 from climgrid.llm.text import slices, text_buffer
 
 NO_LANGUAGE = "und"
 BITS = 20  # of a word id; a task with more different words spills and starts anew
-BURST = 4096  # phrases of a container that bursts
-MOST_PHRASES = 600_000  # phrases of a trie, beyond which subtrees are spilled
+BURST = 4096  # leaves of a container that bursts
+MOST_LEAVES = 800_000  # leaves of a trie, beyond which subtrees are spilled
 MOST_LETTERS = 24 << 20  # letters of words of a trie
-AT_ONCE = 1 << 19  # words that a trie takes in at once
+AT_ONCE = 1_000_000  # words that a trie takes in at once
+SLICE = 6 << 20  # bytes of texts that are taken together
+RANGE_PLACES = 2_000_000  # places of the texts that a prefix partition is meant to hold
+SAMPLE_DOCS, SAMPLE_PLACES = 2_000, 64  # at most about twice as many documents, and places of each
 
-_RUN = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
+_BLOCK = pa.schema([("part", pa.int64()), ("lang", pa.string()), ("words", pa.binary()), ("leaves", pa.binary())])
+_SHIFT = BITS + 1  # a second or third word is its id plus one, or 0 for none
+_REST = (1 << _SHIFT) - 1
 _WORD_MASK = (1 << BITS) - 1
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -65,68 +76,50 @@ def words_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarra
 
 
 class Trie:
-    """Counts of phrases of up to ``longest`` (2 or 3) words.
+    """Counts of leaves: a word with up to two that follow it in its piece.
 
-    Below a first word lies its own count and either a container, ``{rest: count}``, or
-    after a burst a node ``{second word: container}``.  The rest of a phrase is a number:
-    the id of the second word, then that of the third plus one, or 0."""
+    Below a language and a first word lies either a container, ``{rest: count}``, or after a
+    burst a node ``{second word: container}``.  The rest is a number made of the second and the
+    third word's id, each plus one, or 0 where the piece ends."""
 
-    def __init__(self, longest: int = 3, most: int = MOST_PHRASES, burst: int = BURST):
-        self.longest, self.most, self.burst = longest, most, burst
+    def __init__(self, most: int = MOST_LEAVES, burst: int = BURST):
+        self.most, self.burst = most, burst
         self.clear()
 
     def clear(self) -> None:
-        self.ids: dict[str, int] = {}
-        self.words: list[str] = []
+        self.ids: dict[str, int] = {}  # in the order of the ids
         self.letters = self.size = 0
-        self.single: dict[str, dict[int, int]] = {}
         self.roots: dict[str, dict[int, dict]] = {}
         self.nodes: set[tuple[str, int]] = set()
 
     def full(self, new_words: int) -> bool:
-        return len(self.words) + new_words > _WORD_MASK or self.letters > MOST_LETTERS
-
-    def add(self, lang: str, words: pa.DictionaryArray, piece: np.ndarray, begin: int) -> None:
-        """Count the phrases of consecutive words of a piece that begin in the first
-        ``begin`` words."""
-        names = words.dictionary.to_pylist()
-        ids = self.ids
-        own = np.empty(len(names), np.int64)
-        for i, w in enumerate(names):
-            k = ids.get(w)
-            if k is None:
-                k = ids[w] = len(self.words)
-                self.words.append(w)
-                self.letters += len(w)
-            own[i] = k
-        w = own[words.indices.to_numpy(zero_copy_only=False)]
-        single = self.single.setdefault(lang, {})
-        present, n = np.unique(w[:begin], return_counts=True)
-        before = len(single)
-        for k, c in zip(present.tolist(), n.tolist()):
-            single[k] = single.get(k, 0) + c
-        self.size += len(single) - before
-        pairs = piece[1:] == piece[:-1]
-        two = (w[:-1] << 2 * BITS + 1 | w[1:] << BITS + 1)[:begin]
-        keys = [two[pairs[:begin]]]
-        if self.longest > 2 and len(w) > 2:
-            threes = (pairs[1:] & pairs[:-1])[:begin]
-            keys.append((two[: len(threes)] | w[2:][: len(threes)] + 1)[threes])
-        keys, n = np.unique(np.concatenate(keys), return_counts=True)
-        if not len(keys):
+        return len(self.ids) + new_words > _WORD_MASK or self.letters > MOST_LETTERS
+
+    def learn(self, names: list[str]) -> np.ndarray:
+        """Ids of words."""
+        ids, before = self.ids, len(self.ids)
+        own = np.array([ids.setdefault(w, len(ids)) for w in names], np.int64)
+        self.letters += sum(len(names[i]) for i in np.flatnonzero(own >= before).tolist())
+        return own
+
+    def add(self, lang: str, w: np.ndarray, piece: np.ndarray, begin: int) -> None:
+        """Count the leaves that begin in the first ``begin`` words (ids in their order)."""
+        if not begin:
             return
-        first = keys >> 2 * BITS + 1
-        rest = keys & (1 << 2 * BITS + 1) - 1
-        cuts = np.flatnonzero(np.diff(first)) + 1
+        keys, n = np.unique(leaf_keys(w, piece)[:begin], return_counts=True)
+        first = keys >> 2 * _SHIFT
+        rest, n = (keys & (1 << 2 * _SHIFT) - 1).tolist(), n.tolist()
+        edges = [0, *(np.flatnonzero(np.diff(first)) + 1).tolist(), len(rest)]
         root = self.roots.setdefault(lang, {})
-        rest, n = rest.tolist(), n.tolist()
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
-            self._count(lang, root, int(first[a]), rest[a:b], n[a:b])
+        for f, a, b in zip(first[edges[:-1]].tolist(), edges, edges[1:]):
+            if f in root:
+                self._count(lang, root, f, rest[a:b], n[a:b])
+            else:
+                root[f] = dict(zip(rest[a:b], n[a:b]))
+                self.size += b - a
 
     def _count(self, lang: str, root: dict, first: int, rest: list[int], n: list[int]) -> None:
-        below = root.get(first)
-        if below is None:
-            below = root[first] = {}
+        below = root[first]
         if (lang, first) not in self.nodes:
             before = len(below)
             for k, c in zip(rest, n):
@@ -135,95 +128,252 @@ class Trie:
             if len(below) > self.burst:
                 root[first] = node = {}
                 for k, c in below.items():
-                    node.setdefault(k >> BITS + 1, {})[k] = c
+                    node.setdefault(k >> _SHIFT, {})[k] = c
                 self.nodes.add((lang, first))
-            return
-        for k, c in zip(rest, n):
-            box = below.get(k >> BITS + 1)
-            if box is None:
-                box = below[k >> BITS + 1] = {}
-            old = box.get(k)
-            if old is None:
-                box[k] = c
-                self.size += 1
-            else:
-                box[k] = old + c
+        else:
+            for k, c in zip(rest, n):
+                box = below.get(k >> _SHIFT)
+                if box is None:
+                    below[k >> _SHIFT] = {k: c}
+                    self.size += 1
+                else:
+                    before = len(box)
+                    box[k] = box.get(k, 0) + c
+                    self.size += len(box) - before
 
     def _boxes(self, lang: str, first: int) -> list[dict[int, int]]:
         below = self.roots[lang][first]
         return list(below.values()) if (lang, first) in self.nodes else [below]
 
-    def spill(self, keep: int) -> Iterator[pa.RecordBatch]:
-        """Take out whole subtrees, the largest first, until at most ``keep`` phrases are
-        left, as one sorted run; with ``keep`` 0 everything, and the words are forgotten."""
-        trees = [(sum(map(len, self._boxes(lang, f))), lang, f) for lang, root in self.roots.items() for f in root]
+    def spill(self, keep: int) -> Iterator["Run"]:
+        """Take out whole subtrees, the largest first, until at most ``keep`` leaves are left,
+        as one sorted run a language; with ``keep`` 0 everything, and the words are forgotten."""
+        trees = [
+            (sum(map(len, below.values())) if (lang, f) in self.nodes else len(below), lang, f)
+            for lang, root in self.roots.items()
+            for f, below in root.items()
+        ]
         trees.sort(key=lambda t: -t[0])
-        taken: dict[str, list[tuple[int, int, int]]] = {}
+        taken: dict[str, list[tuple[int, int, list[dict]]]] = {}
         for size, lang, first in trees:
-            if self.size <= keep and keep:
+            if keep and self.size <= keep:
                 break
-            out = taken.setdefault(lang, [])
-            out += [(first, k, c) for box in self._boxes(lang, first) for k, c in box.items()]
+            taken.setdefault(lang, []).append((first, size, self._boxes(lang, first)))
             self.size -= size
             del self.roots[lang][first]
             self.nodes.discard((lang, first))
-        if not keep or self.size > keep:
-            for lang, single in self.single.items():
-                taken.setdefault(lang, []).extend((k, -1, c) for k, c in single.items())
-                self.size -= len(single)
-            self.single = {}
-        yield from self._run(taken)
+        words = pa.array(list(self.ids), pa.string())
+        for lang, out in sorted(taken.items()):
+            boxes = [box for _, _, some in out for box in some]
+            first = np.repeat([f for f, _, _ in out], [size for _, size, _ in out])
+            rest = np.fromiter(chain.from_iterable(boxes), np.int64, len(first))
+            n = np.fromiter(chain.from_iterable(map(dict.values, boxes)), np.int64, len(first))
+            yield Run(lang, words, first.astype(np.int64), rest >> _SHIFT, rest & _REST, n)
         if not keep:
             self.clear()
 
-    def _run(self, taken: dict[str, list[tuple[int, int, int]]]) -> Iterator[pa.RecordBatch]:
-        words = pa.array(self.words, pa.string())
-        for lang in sorted(taken):
-            if not taken[lang]:
-                continue
-            first, rest, n = np.array(taken[lang], np.int64).T
-            single, second, third = rest < 0, rest >> BITS + 1, (rest & (1 << BITS + 1) - 1) - 1
-            pick = lambda ids, there: words.take(pa.array(ids, mask=~there))  # noqa: B023, E731
-            phrase = pc.binary_join_element_wise(
-                pick(first, np.ones(len(first), bool)), pick(second, ~single), pick(third, ~single & (third >= 0)), " ",
-                null_handling="skip",
-            )
-            order = pc.sort_indices(phrase)
-            run = pa.RecordBatch.from_arrays([pa.repeat(lang, len(n)), phrase.take(order), pa.array(n).take(order)], schema=_RUN)
-            for at in range(0, run.num_rows, 50_000):
-                yield run.slice(at, 50_000)
-
-
-def sorted_runs(batches: Iterable[pa.RecordBatch], longest: int = 3, trie: Trie | None = None) -> Iterator[pa.RecordBatch]:
-    """Batches of lang and text -> runs of (lang, phrase, n)."""
-    trie = trie or Trie(longest)
-    for part in slices(batches):
+
+def leaf_keys(w: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    """The leaf that begins at each word, as a number of the three word ids."""
+    second, third = np.zeros(len(w), np.int64), np.zeros(len(w), np.int64)
+    pair = piece[1:] == piece[:-1]
+    second[:-1][pair] = w[1:][pair] + 1
+    three = pair[1:] & pair[:-1]
+    third[:-2][three] = w[2:][three] + 1
+    return w << 2 * _SHIFT | second << _SHIFT | third
+
+
+class Run:
+    """Leaves of one language in order of their words, with the words they use in order."""
+
+    def __init__(self, lang: str, words: pa.Array, first, second, third, n):
+        """``second`` and ``third`` are ids plus one, 0 for none."""
+        order = pc.sort_indices(words).to_numpy()
+        self.lang, self.words = lang, words.take(pa.array(order))
+        rank = np.empty(len(words) + 1, np.int64)
+        rank[0] = 0
+        rank[order + 1] = np.arange(1, len(words) + 1)
+        keys = rank[first + 1] - 1 << 2 * _SHIFT | rank[second] << _SHIFT | rank[third]
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.n = keys[order], n[order]
+
+    def border(self, leaf: tuple[str, ...]) -> int:
+        """The least number that leaves at or after ``leaf`` (one to three words) may have."""
+        at = key = 0
+        names = self.words
+        for i, shift in enumerate((2 * _SHIFT, _SHIFT, 0)):
+            if i == len(leaf):
+                break
+            at = _place(names, leaf[i])
+            there = at < len(names) and names[at].as_py() == leaf[i]
+            key |= (at + (i > 0)) << shift
+            if not there:
+                break
+        return key
+
+    def blocks(self, borders: list[tuple]) -> Iterator[tuple]:
+        """(part, lang, words, leaves) for each range that the run reaches."""
+        start = bisect_left(borders, (self.lang,))
+        own = borders[start : bisect_right(borders, (self.lang, chr(0x10FFFF)))]
+        cuts = np.searchsorted(self.keys, np.array([self.border(b[1:]) for b in own], np.int64))
+        edges = [0, *cuts.tolist(), len(self.keys)]
+        for i, (a, b) in enumerate(zip(edges, edges[1:])):
+            if a < b:
+                yield start + i, self.lang, *self._packed(a, b)
+
+    def _packed(self, a: int, b: int) -> tuple[bytes, bytes]:
+        keys = self.keys[a:b]
+        parts = [(keys >> 2 * _SHIFT) + 1, keys >> _SHIFT & _REST, keys & _REST]
+        used = np.zeros(len(self.words) + 1, bool)
+        for p in parts:
+            used[p] = True
+        used[0] = False
+        number = np.cumsum(used, dtype=np.int32) * used
+        codes = [number[p] for p in parts]
+        names = "\n".join(self.words.take(pa.array(np.flatnonzero(used) - 1)).to_pylist()).encode()  # a word has no line break
+        batch = pa.record_batch([*map(pa.array, codes), pa.array(self.n[a:b])], names=["w1", "w2", "w3", "n"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(batch)
+        return len(names).to_bytes(8, "big") + pa.compress(names, "zstd", asbytes=True), sink.getvalue().to_pybytes()
+
+
+def _place(words: pa.Array, w: str) -> int:
+    """Where ``w`` stands, or would stand, among sorted words."""
+    lo, hi = 0, len(words)
+    while lo < hi:
+        mid = (lo + hi) // 2
+        if words[mid].as_py() < w:
+            lo = mid + 1
+        else:
+            hi = mid
+    return lo
+
+
+def _languages(part: pa.RecordBatch, text: np.ndarray) -> Iterator[tuple[str, np.ndarray]]:
+    """Each language of a batch with the places of its words; ``text``: the text of each word."""
+    codes = pc.fill_null(part.column("lang"), NO_LANGUAGE).dictionary_encode()
+    of = codes.indices.to_numpy(zero_copy_only=False)[text]
+    for k, lang in enumerate(codes.dictionary.to_pylist()):
+        mine = np.flatnonzero(of == k)
+        if len(mine):
+            yield lang, mine
+
+
+def sorted_runs(batches: Iterable[pa.RecordBatch], trie: Trie | None = None) -> Iterator[Run]:
+    """Batches of lang and text as runs of leaves."""
+    trie = trie or Trie()
+    for part in slices(batches, most=SLICE):
         words, text, piece = words_of(part.column("text"))
-        codes = pc.fill_null(part.column("lang"), NO_LANGUAGE).dictionary_encode()
-        of = codes.indices.to_numpy(zero_copy_only=False)[text]
-        for k, lang in enumerate(codes.dictionary.to_pylist()):
-            mine = np.flatnonzero(of == k)
-            for at in range(0, len(mine), AT_ONCE):  # a text may be very long
-                here = mine[at : at + AT_ONCE + longest - 1]
-                some = words.take(pa.array(here)).cast(pa.string()).dictionary_encode()
-                if trie.full(len(some.dictionary)):
-                    yield from trie.spill(0)
-                trie.add(lang, some, piece[here], min(AT_ONCE, len(mine) - at))
-                if trie.size > trie.most:
-                    yield from trie.spill(trie.most // 2)
+        code = words.indices.to_numpy(zero_copy_only=False)
+        for at in range(0, len(words), AT_ONCE):  # a text may be very long
+            here = slice(at, at + AT_ONCE + 2)
+            used = np.zeros(len(words.dictionary), bool)
+            used[code[here]] = True
+            if trie.full(int(used.sum())):
+                yield from trie.spill(0)
+            ids = np.zeros(len(used), np.int64)
+            ids[used] = trie.learn(words.dictionary.filter(pa.array(used)).to_pylist())
+            w = ids[code[here]]
+            for lang, mine in _languages(part, text[here]):
+                trie.add(lang, w[mine], piece[here][mine], int(np.searchsorted(mine, AT_ONCE)))
+            if trie.size > trie.most:
+                yield from trie.spill(trie.most // 2)
     yield from trie.spill(0)
 
 
-def phrase_counts(docs: DataFrame, least: int, longest: int = 3) -> DataFrame:
-    """(lang, phrase, f) of all words, and of all phrases of 2 to ``longest`` words that occur
-    at least ``least`` times; words by themselves have no space in ``phrase``."""
-    runs = docs.select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(
-        lambda batches: sorted_runs(batches, longest), "lang string, phrase string, n long"
-    )
-    runs = written(runs, "runs")
-    ranges = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    merged = runs.repartitionByRange(ranges, "lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-    return written(merged.where((F.col("f") >= least) | (F.instr("phrase", " ") == 0)), "phrases")
+def packed_runs(batches: Iterable[pa.RecordBatch], borders: list[tuple]) -> Iterator[pa.RecordBatch]:
+    for run in sorted_runs(batches):
+        rows = list(run.blocks(borders))
+        for at in range(0, len(rows), 64):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[at : at + 64]), _BLOCK)], schema=_BLOCK)
+
+
+def merged(blocks: pa.Table, least: int) -> pa.Table:
+    """Counts of one prefix partition: words, pairs and threes.  Threes are whole, and so are
+    pairs but for the first and last of a language; of whole ones those under ``least`` are
+    left out.  Words come with what the partition holds of them."""
+    langs, phrases, counts = [], [], []
+    for lang in pc.unique(blocks.column("lang")).to_pylist():
+        own = blocks.filter(pc.equal(blocks.column("lang"), lang))
+        names, keys = [], []
+        for raw, leaves in zip(own.column("words").to_pylist(), own.column("leaves").to_pylist()):
+            size = int.from_bytes(raw[:8], "big")
+            names.append(pa.array(pa.decompress(raw[8:], size, "zstd", asbytes=True).decode().split("\n"), pa.string()))
+            keys.append(pa.ipc.open_stream(leaves).read_all())
+        words = pc.unique(pa.concat_arrays(names))
+        words = words.take(pc.sort_indices(words))
+        parts: list[list[np.ndarray]] = [[], [], [], []]
+        for some, table in zip(names, keys):
+            at = np.append(0, pc.index_in(some, words).to_numpy() + 1)
+            for i, c in enumerate(("w1", "w2", "w3")):
+                parts[i].append(at[table.column(c).to_numpy()])
+            parts[3].append(table.column("n").to_numpy())
+        w1, w2, w3, n = map(np.concatenate, parts)
+        order = np.lexsort((w3, w2, w1))
+        w1, w2, w3, n = w1[order], w2[order], w3[order], n[order]
+        name = np.append(None, words.to_numpy(zero_copy_only=False))
+
+        def fold(*by):
+            new = np.zeros(len(n), bool)
+            new[:1] = True
+            for c in by:
+                new[1:] |= c[1:] != c[:-1]
+            at = np.flatnonzero(new)
+            return at, np.add.reduceat(n, at)
+
+        for depth, by in enumerate(((w1,), (w1, w2), (w1, w2, w3)), 1):
+            at, f = fold(*by)
+            keep = np.ones(len(at), bool)
+            if depth > 1:
+                keep = f >= least
+                if depth == 2:
+                    keep[[0, -1]] = True
+                keep &= by[-1][at] > 0
+            at, f = at[keep], f[keep]
+            langs += [lang] * len(at)
+            phrases += [" ".join(t) for t in zip(*[name[c[at]].tolist() for c in by])]
+            counts.append(f)
+    return pa.table({"lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.string()), "f": np.concatenate(counts or [np.empty(0, np.int64)])})
+
+
+def sample_leaves(batches: Iterable[pa.RecordBatch], places: int = SAMPLE_PLACES) -> Iterator[pa.RecordBatch]:
+    """Some evenly spaced leaves of each text with how many there are."""
+    for part in slices(batches):
+        for i in range(part.num_rows):
+            one = part.slice(i, 1)
+            words, text, piece = words_of(one.column("text"))
+            names, code, size = words.dictionary.to_pylist(), words.indices.to_numpy(zero_copy_only=False), len(words)
+            some = np.unique(np.linspace(0, size - 1, min(size, places)).astype(int)).tolist()
+            for lang, _ in _languages(one, text):
+                leaves = [[names[code[k]] for k in range(j, min(j + 3, size)) if piece[k] == piece[j]] for j in some]
+                langs, weight = [lang] * len(some), np.full(len(some), size / len(some))
+                yield pa.record_batch([pa.array(langs, pa.string()), pa.array(leaves, pa.list_(pa.string())), weight], names=["lang", "leaf", "weight"])
+
+
+def range_borders(docs: DataFrame, places: int = RANGE_PLACES) -> list[tuple]:
+    """Borders (lang, word, ...) of prefix partitions of about ``places`` places each, by a
+    sample of some documents; they decide how even the partitions are, not what is counted."""
+    total = docs.count()
+    few = docs.where(under_share(F.col("text"), F.lit(total), F.lit(SAMPLE_DOCS)))
+    rows = few.mapInArrow(sample_leaves, "lang string, leaf array<string>, weight double").collect()
+    held = few.count() if rows else 0
+    leaves = sorted(((r.lang, *r.leaf), r.weight) for r in rows)
+    weight = np.cumsum([w for _, w in leaves])
+    parts = int(weight[-1] * total / held / places) + 1 if held else 1
+    at = np.searchsorted(weight, weight[-1] * np.arange(1, parts) / parts) if parts > 1 else []
+    return sorted({leaves[i][0] for i in at})
+
+
+def phrase_counts(docs: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, f) of all words, and of all phrases of 2 and 3 words that occur at least
+    ``least`` times; words by themselves have no space in ``phrase``."""
+    docs = docs.select(F.col("lang").cast("string").alias("lang"), "text")
+    borders = range_borders(docs)
+    blocks = docs.mapInArrow(lambda batches: packed_runs(batches, borders), "part long, lang string, words binary, leaves binary")
+    parts = blocks.groupBy("part").applyInArrow(lambda table: merged(table, least), "lang string, phrase string, f long")
+    whole = parts.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    return written(whole.where((F.col("f") >= least) | (F.instr("phrase", " ") == 0)), "phrases")
 
 
 def collocations(docs: DataFrame, least: int = 10, first: int = 2000, inside: int = 50) -> DataFrame:

@@ -283,35 +283,80 @@ def test_phrases_of_nothing(spark):
     assert counted(spark, [("en", None), (None, "")]) == []
 
 
-@pytest.mark.parametrize("most, burst", [(600_000, 4096), (600_000, 2), (60, 8), (1, 1)])
-def test_trie_gives_whole_counts_however_often_it_bursts_and_spills(most, burst, monkeypatch):
-    monkeypatch.setattr(phrases, "AT_ONCE", 50)
-    texts = spoken(3, 60)
-    batch = pa.record_batch({"lang": pa.array([["a", None, "c"][i % 3] for i in range(60)]), "text": pa.array(texts)})
-    trie = phrases.Trie(3, most, burst)
-    runs = list(phrases.sorted_runs([batch.slice(0, 25), batch.slice(25)], 3, trie))
-    got = Counter()
+def leaves_of(runs, borders):
+    """Counts of leaves from the packed blocks of runs, and the blocks by part."""
+    got, parts = Counter(), defaultdict(list)
     for run in runs:
-        rows = run.to_pylist()
-        assert [r["phrase"].encode() for r in rows] == sorted(r["phrase"].encode() for r in rows)
-        for r in rows:
-            got[r["lang"], r["phrase"]] += r["n"]
+        assert (np.diff(run.keys) > 0).all()
+        for row in run.blocks(borders):
+            parts[row[0]].append(row)
+            one = pa.Table.from_arrays([pa.array([c], f.type) for c, f in zip(row, phrases._BLOCK)], schema=phrases._BLOCK)
+            table = pa.ipc.open_stream(row[3]).read_all()
+            names = [None, *pa.decompress(row[2][8:], int.from_bytes(row[2][:8], "big"), "zstd", asbytes=True).decode().split("\n")]
+            for *codes, n in zip(*[table.column(c).to_pylist() for c in ("w1", "w2", "w3", "n")]):
+                leaf = tuple(names[c] for c in codes if c)
+                assert sum(b <= (row[1], *leaf) for b in borders) == row[0]
+                got[row[1], leaf] += n
+            assert one.num_rows == 1
+    return got, parts
+
+
+def plain_leaves(rows):
     want = Counter()
-    for i, t in enumerate(texts):
+    for lang, t in rows:
         for piece in re.split("[.,;:!?\x0a-\x0d]", "".join(c.lower() if "A" <= c <= "Z" else c for c in t)):
             w = re.findall("[^\x20\x09]+", piece)
-            for k in (1, 2, 3):
-                want.update(((["a", "und", "c"][i % 3]), " ".join(w[j : j + k])) for j in range(len(w) - k + 1))
-    assert got == want and not trie.size and not trie.ids
+            want.update((lang, tuple(w[j : j + 3])) for j in range(len(w)))
+    return want
+
+
+BORDERS = [("a", "don't0", "é1"), ("a", "of1"), ("b", "x"), ("c", "the2", "中0", "zu1"), ("c", "x-y"), ("und", "zu0")]
+
+
+@pytest.mark.parametrize("most, burst", [(600_000, 4096), (600_000, 2), (60, 8), (1, 1)])
+@pytest.mark.parametrize("borders", [[], BORDERS])
+def test_trie_gives_whole_counts_however_often_it_bursts_and_spills(most, burst, borders, monkeypatch):
+    monkeypatch.setattr(phrases, "AT_ONCE", 50)
+    texts = spoken(3, 60, 15)
+    batch = pa.record_batch({"lang": pa.array([["a", None, "c"][i % 3] for i in range(60)]), "text": pa.array(texts)})
+    trie = phrases.Trie(most, burst)
+    got, _ = leaves_of(list(phrases.sorted_runs([batch.slice(0, 25), batch.slice(25)], trie)), borders)
+    assert got == plain_leaves([(["a", "und", "c"][i % 3], t) for i, t in enumerate(texts)])
+    assert not trie.size and not trie.ids
+
+
+def test_partitions_give_whole_counts_wherever_they_are_cut():
+    texts = spoken(5, 80, 9)
+    batch = pa.record_batch({"lang": pa.array(["a"] * 80), "text": pa.array(texts)})
+    want, leaves = Counter(), plain_leaves([("a", t) for t in texts])
+    for (_, leaf), n in leaves.items():
+        for k in range(1, len(leaf) + 1):
+            want[" ".join(leaf[:k])] += n
+    every = sorted(("a", *leaf) for _, leaf in leaves)
+    for borders in ([], every[::7], every, [("a", "of0"), ("a", "of0", "of0")]):
+        _, parts = leaves_of(phrases.sorted_runs([batch.slice(0, 30), batch.slice(30)], phrases.Trie(50, 4)), borders)
+        got = Counter()
+        for rows in parts.values():
+            table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), phrases._BLOCK)], schema=phrases._BLOCK)
+            for r in phrases.merged(table, 4).to_pylist():
+                got[r["phrase"]] += r["f"]
+        whole = lambda c: {p: n for p, n in c.items() if n >= 4 or " " not in p}
+        assert whole(got) == whole(want)
 
 
 def test_a_task_with_very_many_words_starts_anew(monkeypatch):
     monkeypatch.setattr(phrases, "_WORD_MASK", 40)
     monkeypatch.setattr(phrases, "AT_ONCE", 20)
-    words = [f"w{i % 97}" for i in range(1000)]
-    batch = pa.record_batch({"lang": ["a"], "text": [" ".join(words)]})
-    got = Counter()
-    for run in phrases.sorted_runs([batch]):
-        for r in run.to_pylist():
-            got[r["phrase"]] += r["n"]
-    assert got == Counter(" ".join(words[j : j + k]) for k in (1, 2, 3) for j in range(len(words) - k + 1))
+    text = " ".join(f"w{i % 97}" for i in range(1000))
+    got, _ = leaves_of(phrases.sorted_runs([pa.record_batch({"lang": ["a"], "text": [text]})]), [])
+    assert got == plain_leaves([("a", text)])
+
+
+def test_phrases_over_several_partitions(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "RANGE_PLACES", 100)
+    docs = spark.createDataFrame([("en", t) for t in spoken(1, 60, 12)], "lang string, text string")
+    borders = phrases.range_borders(docs, 100)
+    assert len(borders) > 10 and borders == sorted(set(borders))
+    monkeypatch.setattr(phrases, "range_borders", lambda d: borders)
+    rows = [(["en", None][i % 3 == 0], t) for i, t in enumerate(spoken(1, 200, 12))]
+    assert counted(spark, rows) == sorted(plain_phrases(rows))
