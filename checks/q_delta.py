@@ -122,8 +122,9 @@ def join_baseline_month(spark, sf):
     "SELECT year, month, row, col, a.value AS extreme, b.value AS mean FROM cells_tasmin a JOIN cells_tas b USING (year, month, row, col)",
 )
 def join_baseline_time(spark, sf):
-    j = climate.join_variables(cube.cells(spark, sf, "tasmin"), cube.cells(spark, sf), ("extreme", "mean"))
-    return j.select(*YMRC, "extreme", "mean")
+    """The mean series as a baseline of its own for each month of each year."""
+    j = climate.join_baseline_time(cube.cells(spark, sf, "tasmin").drop("variable"), cube.cells(spark, sf), "mean")
+    return j.select(*YMRC, F.col("value").alias("extreme"), "mean")
 
 
 @query("apply_delta_add", SAME_CELL.format("b.value + c.value", "tas", "tas"))
@@ -278,6 +279,81 @@ def regrid_mode(spark, sf):
     return r.select("month", "row", "col", "value")
 
 
+# ---- area resampling at other ratios -------------------------------------------
+
+
+def overlap_sql(source: str, keys: str, sdx: str, sdy: str, tnx: str, tny: str) -> str:
+    """SELECT of keys, trow, tcol, value and shared area ``w`` of a global source with cells of
+    sdx by sdy degrees and a global target of tnx by tny cells."""
+    tdx, tdy = f"(360e0 / ({tnx}))", f"(180e0 / ({tny}))"
+    wx = f"(least((s.col + 1) * {sdx}, (tcol + 1) * {tdx}) - greatest(s.col * {sdx}, tcol * {tdx})) / {tdx}"
+    wy = f"(least((s.row + 1) * {sdy}, (trow + 1) * {tdy}) - greatest(s.row * {sdy}, trow * {tdy})) / {tdy}"
+    return (
+        f"SELECT {keys}, trow, tcol, value, wx * wy AS w FROM (SELECT s.*, trow, tcol, {wx} AS wx, {wy} AS wy FROM ({source}) s "
+        f"CROSS JOIN (SELECT CAST(unnest(range(0, {tny})) AS INTEGER) AS trow FROM g) CROSS JOIN (SELECT CAST(unnest(range(0, {tnx})) AS INTEGER) AS tcol FROM g)) "
+        "WHERE value IS NOT NULL AND wx > 1e-9 AND wy > 1e-9"
+    )
+
+
+# an uneven ratio: fewer columns, more rows than the coarse grid has
+_UNEVEN = overlap_sql("SELECT *, nx, ny FROM gappy_tas, g", "year, month", "(360e0 / nx)", "(180e0 / ny)", "nx - 2", "ny + 3")
+_UNEVEN_ALL = (
+    "(SELECT DISTINCT year, month FROM gappy_tas) CROSS JOIN (SELECT CAST(unnest(range(0, ny + 3)) AS INTEGER) AS trow FROM g) "
+    "CROSS JOIN (SELECT CAST(unnest(range(0, nx - 2)) AS INTEGER) AS tcol FROM g)"
+)
+
+
+def _uneven(spark, sf, method):
+    from climgrid.grid import Grid
+
+    coarse, _ = cube.grids(spark, sf)
+    target = Grid.global_latlon(coarse.nx - 2, coarse.ny + 3, "uneven")
+    cells = cube.gappy(spark, sf).drop("scenario", "variable")
+    where = gaps.frame(cells, [], (0, target.ny - 1), (0, target.nx - 1))
+    return regrid.regrid(cells, where, coarse, target, method)
+
+
+@query(
+    "regrid_average_uneven",
+    f"SELECT year, month, trow AS row, tcol AS col, {R6('sum(w * value) / sum(w)')} AS value "
+    f"FROM {_UNEVEN_ALL} LEFT JOIN ({_UNEVEN}) USING (year, month, trow, tcol) GROUP BY ALL",
+)
+def regrid_average_uneven(spark, sf):
+    return out(_uneven(spark, sf, "average"))
+
+
+@query(
+    "regrid_mode_uneven",
+    "SELECT year, month, trow AS row, tcol AS col, value FROM "
+    f"{_UNEVEN_ALL} LEFT JOIN (SELECT year, month, trow, tcol, value, row_number() OVER (PARTITION BY year, month, trow, tcol "
+    f"ORDER BY round_even(sum(w) * 1e9, 0) DESC, value) AS k FROM ({_UNEVEN}) GROUP BY year, month, trow, tcol, value QUALIFY k = 1) "
+    "USING (year, month, trow, tcol)",
+)
+def regrid_mode_uneven(spark, sf):
+    return _uneven(spark, sf, "mode").select(*YMRC, "value")
+
+
+_FINER = (
+    "SELECT t.year, t.month, f.row, f.col, value FROM (SELECT DISTINCT year, month FROM gappy_tas) t CROSS JOIN fine f "
+    "LEFT JOIN gappy_tas x ON x.year = t.year AND x.month = t.month AND x.row = f.row // 5 AND x.col = f.col // 4"
+)
+
+
+@query("regrid_average_finer", _FINER)
+def regrid_average_finer(spark, sf):
+    """Every fine cell takes the mean of the coarse cell that covers it."""
+    coarse, fine = cube.grids(spark, sf)
+    return regrid.regrid(cube.gappy(spark, sf), cube.fine_cells(spark, sf).select("row", "col"), coarse, fine, "average").select(*YMRC, "value")
+
+
+@query("regrid_mode_finer", _FINER)
+def regrid_mode_finer(spark, sf):
+    coarse, fine = cube.grids(spark, sf)
+    return regrid.regrid(cube.gappy(spark, sf), cube.fine_cells(spark, sf).select("row", "col"), coarse, fine, "mode").select(*YMRC, "value")
+
+
+# ---- filling gaps --------------------------------------------------------------
+
 FILL = """
 WITH dense AS ({src}),
 x AS (SELECT *, lag_v, lag_p, lead_v, lead_p FROM (SELECT *,
@@ -327,6 +403,83 @@ def regrid_points(spark, sf):
     return gaps.regrid_points(pts, grid).select(*YMRC, r6("value").alias("value"))
 
 
+def hull_sql(points: str, by: str, cells: str, value: str) -> str:
+    """SELECT of by, row, col and ``value`` on the cells within the hull of the points (x, y)
+    of their group, NULL elsewhere.  Between the lowest and the highest line through any two
+    points left and right of a cell lies the hull; it must have an area."""
+    line = "CASE WHEN b.x = a.x THEN {0}(a.y, b.y) ELSE a.y + (b.y - a.y) * (c.x - a.x) / (b.x - a.x) END"
+    return (
+        f"WITH p AS MATERIALIZED ({points}), cells AS MATERIALIZED ({cells}), "
+        f"ends AS (SELECT {by}, x, min(y) AS lo, max(y) AS hi FROM p GROUP BY ALL), "
+        f"xs AS (SELECT DISTINCT {by}, x FROM cells UNION SELECT DISTINCT {by}, x FROM p), "
+        f"reach AS MATERIALIZED (SELECT {by}, x, min(least(lo_line, hi_line)) AS lo, max(greatest(lo_line, hi_line)) AS hi FROM (SELECT {by}, c.x, "
+        f"{line.format('least').replace('a.y', 'a.lo').replace('b.y', 'b.lo')} AS lo_line, {line.format('greatest').replace('a.y', 'a.hi').replace('b.y', 'b.hi')} AS hi_line "
+        f"FROM xs c JOIN ends a USING ({by}) JOIN ends b USING ({by}) WHERE a.x <= c.x AND c.x <= b.x) GROUP BY ALL), "
+        f"flat AS (SELECT {by}, max(hi - lo) > 1e-9 AS area FROM reach GROUP BY ALL) "
+        f"SELECT {by}, row, col, CASE WHEN known OR (area AND y BETWEEN lo - 1e-9 AND hi + 1e-9) THEN {value} END AS value "
+        f"FROM cells LEFT JOIN reach USING ({by}, x) LEFT JOIN flat USING ({by})"
+    )
+
+
+_PLANE_CELLS = (
+    "SELECT year, month, row, col, CAST(col AS DOUBLE) AS x, CAST(row AS DOUBLE) AS y, coalesce(k, false) AS known "
+    "FROM (SELECT DISTINCT year, month FROM gappy_tas) CROSS JOIN (SELECT CAST(unnest(range(0, ny)) AS INTEGER) AS row FROM g) "
+    "CROSS JOIN (SELECT CAST(unnest(range(0, nx)) AS INTEGER) AS col FROM g) "
+    "LEFT JOIN (SELECT year, month, row, col, true AS k FROM gappy_tas WHERE value IS NOT NULL) USING (year, month, row, col)"
+)
+
+
+@query(
+    "fill_gaps_triangles",
+    "SELECT year, month, row, col, " + R6("value") + " AS value FROM ("
+    + hull_sql(
+        "SELECT year, month, CAST(col AS DOUBLE) AS x, CAST(row AS DOUBLE) AS y FROM gappy_tas WHERE value IS NOT NULL",
+        "year, month", _PLANE_CELLS, "row * 2 - col * 0.25e0 + month",
+    ) + ")",
+)
+def fill_gaps_triangles(spark, sf):
+    """A plane over the cells that each month holds: its holes come back exactly, and nothing
+    beyond the hull of the cells."""
+    coarse, _ = cube.grids(spark, sf)
+    plane = F.col("row") * 2 - F.col("col") * 0.25 + F.col("month")
+    cells = cube.gappy(spark, sf).withColumn("value", F.when(F.col("value").isNotNull(), plane))
+    return out(gaps.fill_gaps(cells.drop("scenario", "variable"), coarse, "triangles"))
+
+
+@query("fill_gaps_holes")
+def fill_gaps_holes(spark, sf):
+    """The cells themselves: triangulations have no SQL; the tests hold them against brute force."""
+    coarse, _ = cube.grids(spark, sf)
+    return out(gaps.fill_gaps(cube.gappy(spark, sf).drop("scenario", "variable"), coarse, "triangles"))
+
+
+_SPOT = (
+    "SELECT 'M' || (s_nationkey % 3) AS model, CAST(s_suppkey * 137 % 359 AS DOUBLE) + s_nationkey / 32e0 AS x, "
+    "CAST(floor(s_acctbal) AS DOUBLE) / 64 - 70 AS y FROM supplier"
+)
+
+
+@query(
+    "regrid_points_triangles",
+    f"SELECT model, row, col, {R6('value')} AS value FROM ("
+    + hull_sql(
+        _SPOT, "model",
+        "SELECT model, row, col, (col + 0.5e0) * 9 AS x, 90 - (row + 0.5e0) * 6 AS y, false AS known FROM (SELECT DISTINCT model FROM "
+        f"({_SPOT})) CROSS JOIN (SELECT CAST(unnest(range(0, 30)) AS INTEGER) AS row) CROSS JOIN (SELECT CAST(unnest(range(0, 40)) AS INTEGER) AS col)",
+        "3 * y - 0.5e0 * x",
+    ) + ")",
+)
+def regrid_points_triangles(spark, sf):
+    """Suppliers as scattered points of three models, with a plane's values."""
+    from climgrid.grid import Grid
+
+    x = (F.col("s_suppkey") * 137 % 359).cast("double") + F.col("s_nationkey") / 32
+    y = F.floor("s_acctbal").cast("double") / 64 - 70
+    model = F.concat(F.lit("M"), (F.col("s_nationkey") % 3).cast("string"))
+    points = cube.table(spark, sf, "supplier").select(model.alias("model"), x.alias("lon"), y.alias("lat"), (y * 3 - x * 0.5).alias("value"))
+    return gaps.regrid_points(points, Grid(40, 30, 0.0, 90.0, 9.0, 6.0), "triangles").select("model", "row", "col", r6("value").alias("value"))
+
+
 @query("regrid_bilinear_projected", f"SELECT year, month, row, col, {R6('rv')} AS value FROM ({bilinear_sql('cells_tas', 'proj', place=PROJ_PLACE)})")
 def regrid_bilinear_projected(spark, sf):
     """From longitude and latitude onto a projected grid."""

@@ -9,7 +9,7 @@ from checks.registry import R6, q16, query, r6
 from climgrid.functions import calendar, values
 from climgrid.operators import aggregate, select
 from climgrid.schema import CELLS_DDL
-from climgrid.sources import catalog, series, sinks, text
+from climgrid.sources import catalog, netcdf, series, sinks, text
 from climgrid.storage import work_folder
 
 V = ("scenario", "year", "month", "row", "col", "value")
@@ -79,11 +79,54 @@ def scan_point_climatology(spark, sf):
 
 @query(
     "scan_ascii_grid",
+    "SELECT month, row, col, 20 + (5 * ny - row - 0.5e0) * 0.5e0 AS lat, 10.5e0 + (col + 0.5e0) * 0.5e0 AS lon, value "
+    "FROM months CROSS JOIN (SELECT ny, CAST(unnest(range(0, 5 * ny)) AS INTEGER) AS row FROM g) CROSS JOIN (SELECT CAST(unnest(range(0, 4 * nx)) AS INTEGER) AS col FROM g) "
+    "LEFT JOIN (SELECT month, row, col, CAST(value AS DOUBLE) AS value FROM base_tas WHERE inside = 1) USING (month, row, col)",
+)
+def scan_ascii_grid(spark, sf):
+    """The fine baseline written as one ASCII raster a month, with an annual one, and read back."""
+    _, fine = cube.grids(spark, sf)
+    b = cube.baseline(spark, sf).join(cube.fine_mask(spark, sf).where("inside = 1").drop("inside"), ["row", "col"])
+    cell = F.max(F.struct(F.col("col"), F.col("value").cast("string").alias("v")))
+    one = b.groupBy("month", "row", "col").agg(cell.alias("c")).groupBy("month", "row").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("c.col"), F.col("c.v")))).alias("m")
+    )
+    numbers = F.explode(F.array(*[F.lit(m) for m in (*range(1, 13), text.ANNUAL_FILE)])).alias("month")
+    rows = spark.range(fine.ny).select(F.col("id").cast("int").alias("row")).select("row", numbers)
+    line = F.transform(F.sequence(F.lit(0), F.lit(fine.nx - 1)), lambda c: F.coalesce(F.element_at("m", c), F.lit("-9999")))
+    lines = rows.join(one, ["month", "row"], "left").select("month", "row", F.when(F.col("m").isNull(), F.repeat(F.lit("-9999 "), fine.nx)).otherwise(F.array_join(line, " ")).alias("value"))
+    head = (f"ncols {fine.nx}", f"nrows {fine.ny}", "xllcorner 10.5", "yllcorner 20", "cellsize 0.5", "NODATA_value -9999")
+    top = rows.where("row = 0").select("month", F.posexplode(F.array(*[F.lit(h) for h in head])).alias("row", "value"))
+    whole = top.withColumn("row", F.col("row") - len(head)).unionByName(lines)
+    path = work_folder(spark, "rasters")
+    whole.repartition("month").sortWithinPartitions("month", "row").drop("row").write.partitionBy("month").text(path)
+    return text.scan_ascii_grid(spark, f"{path}/*/*.txt").select("month", "row", "col", "lat", "lon", "value")
+
+
+@query(
+    "scan_netcdf",
+    "SELECT t.model, t.year, t.month, r.row, c.col, value FROM (SELECT DISTINCT model, year, month FROM model_tas WHERE year BETWEEN 1996 AND 1998) t "
+    "CROSS JOIN (SELECT CAST(unnest(range(0, ny)) AS INTEGER) AS row FROM g) r CROSS JOIN (SELECT CAST(unnest(range(0, nx)) AS INTEGER) AS col FROM g) c "
+    "LEFT JOIN model_tas x ON x.model = t.model AND x.year = t.year AND x.month = t.month AND x.row = r.row AND x.col = c.col WHERE t.model IN ('M1', 'M3')",
+)
+def scan_netcdf(spark, sf):
+    """Two models written as NetCDF, a file a year, and read back by their years."""
+    coarse, _ = cube.grids(spark, sf)
+    parts = []
+    for model in ("M1", "M3"):
+        path = work_folder(spark, "netcdf")
+        netcdf.sink_netcdf(cube.models(spark, sf).where(F.col("model") == model), path, coarse, "C")
+        parts.append(netcdf.scan_netcdf(spark, path, "tas", begin=1996, end=1998, model=model))
+    return parts[0].unionByName(parts[1]).select("model", "year", "month", "row", "col", "value")
+
+
+@query(
+    "parse_ascii_grid",
     "SELECT month, row % 5 AS row, col % 4 AS col, CAST(CASE WHEN inside = 1 THEN value END AS DOUBLE) AS value, "
     "CAST(row // 5 AS INTEGER) AS tile_row, CAST(col // 4 AS INTEGER) AS tile_col "
     "FROM base_tas WHERE month <= 12",
 )
-def scan_ascii_grid(spark, sf):
+def parse_ascii_grid(spark, sf):
     """The fine baseline cut in tiles of 5 x 4 cells, each written as an ASCII raster."""
     _, fine = cube.grids(spark, sf)
     b = cube.baseline(spark, sf).join(cube.fine_mask(spark, sf), ["row", "col"])

@@ -143,5 +143,11 @@ def join_month_lookup(df: DataFrame, lookup: DataFrame, name: str) -> DataFrame:
     return df.join(lookup.select(*keys, F.col("value").alias(name)), keys)
 
 
+def join_baseline_time(df: DataFrame, baseline: DataFrame, name: str = "base") -> DataFrame:
+    """Attach the value that a full baseline series holds for the same time and cell."""
+    keys = shared(df, baseline, ("project", "model", "scenario") + TIME + CELL)
+    return df.join(baseline.select(*keys, F.col("value").alias(name)), keys)
+
+
 def series_identity(df: DataFrame) -> DataFrame:
     return df.select(*series_cols(df)).distinct()

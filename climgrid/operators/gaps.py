@@ -1,10 +1,15 @@
-"""Linear filling of missing cells between valid ones."""
+"""Linear filling of missing cells between valid ones.
+
+``fill_gaps`` has two methods: ``axes``, along rows and columns, by windows alone; and
+``triangles``, on the Delaunay triangles of the valid cells (see ``operators.triangles``).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from climgrid.grid import Grid
+from climgrid.operators.triangles import fill_gaps_triangles, regrid_points_triangles
 from climgrid.schema import slice_cols
 
 
@@ -15,9 +20,11 @@ def _bracket(df: DataFrame, by: list[str], line: str, pos: str, tag: str, around
     w = Window.partitionBy(*by, line).orderBy(pos)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     back = w.rowsBetween(Window.unboundedPreceding, -1)
-    ahead = w.rowsBetween(1, Window.unboundedFollowing)
+    # looking ahead is looking back along the line turned round: a frame that runs on from each
+    # row to the end would be read anew for each row
+    ahead = Window.partitionBy(*by, line).orderBy(F.col(pos).desc()).rowsBetween(Window.unboundedPreceding, -1)
     known = lambda move=0: F.when(F.col("value").isNotNull(), F.struct((F.col(pos) + move).alias("p"), F.col("value").alias("v")))
-    before, after = F.last(known(), ignorenulls=True).over(back), F.first(known(), ignorenulls=True).over(ahead)
+    before, after = F.last(known(), ignorenulls=True).over(back), F.last(known(), ignorenulls=True).over(ahead)
     if around:
         before = F.coalesce(before, F.last(known(-around), ignorenulls=True).over(whole))
         after = F.coalesce(after, F.first(known(around), ignorenulls=True).over(whole))
@@ -51,6 +58,19 @@ def fill_gaps_linear(df: DataFrame, grid: Grid | None = None) -> DataFrame:
     return out.withColumn("value", filled).drop("_x0", "_x1", "_y0", "_y1")
 
 
+FILL_METHODS = ("axes", "triangles")
+
+
+def fill_gaps(df: DataFrame, grid: Grid, method: str = "axes", absent: bool = True) -> DataFrame:
+    """Missing cells by one of ``FILL_METHODS``.  ``absent``: also cells that a timestep does
+    not hold (triangles always fill those)."""
+    if method not in FILL_METHODS:
+        raise ValueError(f"method must be one of {FILL_METHODS}, not {method!r}")
+    if method == "triangles":
+        return fill_gaps_triangles(df, grid)
+    return fill_gaps_linear(df, grid if absent else None)
+
+
 def frame(df: DataFrame, by: list[str], rows: tuple[int, int], cols: tuple[int, int]) -> DataFrame:
     """Every row and column of the ranges (ends included) for each slice of ``df``."""
     slices = df.select(*by).distinct() if by else df.select(F.lit(0).alias("_one")).distinct()
@@ -65,11 +85,16 @@ def complete_cells(df: DataFrame, grid: Grid) -> DataFrame:
     return all_cells.join(df.select(*by, "row", "col", "value"), by + ["row", "col"], "left")
 
 
-def regrid_points(points: DataFrame, grid: Grid) -> DataFrame:
-    """Scattered points onto a regular grid: the mean per cell, then gaps filled.
+def regrid_points(points: DataFrame, grid: Grid, method: str = "axes") -> DataFrame:
+    """Scattered points onto a regular grid.  ``axes``: the mean of the points of each cell,
+    then gaps filled.  ``triangles``: linear interpolation of the points themselves.
 
     ``points`` holds lat, lon, value and any series or time columns.
     """
+    if method not in FILL_METHODS:
+        raise ValueError(f"method must be one of {FILL_METHODS}, not {method!r}")
+    if method == "triangles":
+        return regrid_points_triangles(points, grid)
     by = slice_cols(points)
     binned = (
         points.withColumns({"row": grid.row_of("lat"), "col": grid.col_of("lon")})

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from climgrid.grid import Grid
 from climgrid.operators.climate import climatology
-from climgrid.operators.gaps import fill_gaps_linear
+from climgrid.operators.gaps import fill_gaps
 from climgrid.operators.neighbors import boundary_of, find_boundary
 from climgrid.schema import CELL, PLANE, SERIES, present, shared, slice_cols
 from climgrid.storage import cut_lineage
@@ -134,12 +134,14 @@ def fix_precip(
     mask: DataFrame | None = None,
     find_bounds: bool = False,
     fill_grid: Grid | None = None,
+    method: str = "axes",
 ) -> tuple[DataFrame, DataFrame]:
     """Corrected series and corrected climatology.
 
     Both are limited, gap-filled and floored, the climatology first.  With
     ``find_bounds`` the boundary comes from the first timestep (January for the
-    climatology).  ``fill_grid`` also fills cells that the table does not hold.  Runs at once: inputs that several steps read are stored in the
+    climatology).  ``method`` is one of ``fill_gaps``; ``fill_grid`` also fills cells that the
+    table does not hold.  Runs at once: inputs that several steps read are stored in the
     checkpoint folder.
     """
     df = cut_lineage(df)  # read by the climatology, the percentiles and the correction
@@ -150,6 +152,7 @@ def fix_precip(
         january = clim.where(F.col("month") == 1).select(*by, "row", "col", "value")
         clim_bound = boundary_of(january, by, grid)
         bound = find_boundary(df, grid)
-    clim = floor_half(fill_gaps_linear(_correct(clim, mask, clim_bound), fill_grid))
-    series = floor_half(fill_gaps_linear(_correct(df, mask, bound), fill_grid))
+    filled = lambda d: fill_gaps(d, fill_grid or grid, method, fill_grid is not None)
+    clim = floor_half(filled(_correct(clim, mask, clim_bound)))
+    series = floor_half(filled(_correct(df, mask, bound)))
     return series, clim.withColumnRenamed("value", "clim")

@@ -171,16 +171,61 @@ def to_parent(df: DataFrame, src_grid: Grid, dst_grid: Grid) -> DataFrame:
     return df.withColumns({"row": row, "col": col}).where(dst_grid.holds())
 
 
+def _overlaps(start: Column, size: float, n: int, period: float | None) -> Column:
+    """Target cells of one axis that an interval meets, with the length of the overlap (in
+    target cells): an array of ``(at, w)``.  ``start`` and ``size`` are in target cells; with a
+    ``period`` the axis closes after so many."""
+
+    def meets(begin: Column) -> Column:
+        # an overlap of less than a billionth of a cell is noise
+        lo = F.greatest(F.lit(0), F.floor(begin + 1e-9)).cast("int")
+        hi = F.least(F.lit(n - 1), F.ceil(begin + size - 1e-9) - 1).cast("int")
+        each = lambda k: F.struct(
+            k.alias("at"), (F.least(begin + size, k + F.lit(1.0)) - F.greatest(begin, k.cast("double"))).alias("w")
+        )
+        none = F.array().cast("array<struct<at:int,w:double>>")
+        return F.when(lo <= hi, F.transform(F.sequence(lo, hi), each)).otherwise(none)
+
+    if period is None:
+        return meets(start)
+    return F.flatten(F.array(*[meets(start + k * period) for k in (-2, -1, 0, 1, 2)]))
+
+
+def overlap_weights(src: DataFrame, src_grid: Grid, dst_grid: Grid) -> DataFrame:
+    """Each source value with every target cell it overlaps, and the shared area ``w`` in
+    target cells.  The two axes are independent, so a weight is the product of two lengths;
+    on cyclic grids columns meet round the globe."""
+    period = 360.0 / dst_grid.dx if src_grid.cyclic or dst_grid.cyclic else None
+    x = (F.lit(src_grid.x0 - dst_grid.x0) + F.col("col") * F.lit(src_grid.dx)) / dst_grid.dx
+    y = (F.lit(dst_grid.y0 - src_grid.y0) + F.col("row") * F.lit(src_grid.dy)) / dst_grid.dy
+    rows = _overlaps(y, src_grid.dy / dst_grid.dy, dst_grid.ny, None)
+    cols = _overlaps(x, src_grid.dx / dst_grid.dx, dst_grid.nx, period)
+    met = src.withColumns({"_r": rows, "_c": cols}).withColumn("_r", F.explode("_r")).withColumn("_c", F.explode("_c"))
+    w = F.col("_r.w") * F.col("_c.w")
+    return met.withColumns({"row": F.col("_r.at"), "col": F.col("_c.at"), "w": w}).drop("_r", "_c")
+
+
 def _regrid_area(src, target, src_grid, dst_grid, method, on):
-    """Mean or most frequent value of the source cells inside each target cell."""
+    """Area-weighted mean, or the value that covers the largest area (of equal ones the
+    smaller), of the source cells that a target cell overlaps, at any ratio of the grids.
+
+    Sums fold map-side, so a coarser target shuffles about one row a target cell and task.
+    Where the target is given by longitudes and latitudes or another projection, source
+    cells cannot be cut by its edges: those count whose centre it holds.
+    """
     src, keys = _source(src, src_grid)
-    inside = to_parent(src.where(F.col("value").isNotNull()), src_grid, dst_grid)
+    valid = src.where(F.col("value").isNotNull())
+    if src_grid.crs == dst_grid.crs and not {"lon", "lat"} <= set(target.columns):
+        met = overlap_weights(valid, src_grid, dst_grid)
+    else:
+        met = to_parent(valid, src_grid, dst_grid).withColumn("w", F.lit(1.0))
     if method == "average":
-        area = inside.groupBy(*keys, "row", "col").agg(F.avg("value").alias("value"))
+        mean = F.sum(F.col("value") * F.col("w")) / F.sum("w")
+        area = met.groupBy(*keys, "row", "col").agg(mean.alias("value"))
     else:
-        counted = inside.groupBy(*keys, "row", "col", "value").agg(F.count(F.lit(1)).alias("n"))
-        # most frequent first, then the smaller value
-        best = F.max_by("value", F.struct(F.col("n"), -F.col("value")))
+        counted = met.groupBy(*keys, "row", "col", "value").agg(F.sum("w").alias("n"))
+        # the greatest area first, then the smaller value
+        best = F.max_by("value", F.struct(denoise(F.col("n")), -F.col("value")))
         area = counted.groupBy(*keys, "row", "col").agg(best.alias("value"))
     whole = frame(src, keys, (0, dst_grid.ny - 1), (0, dst_grid.nx - 1)).join(area, [*keys, "row", "col"], "left")
     return whole.join(target.drop("grid_id"), ["row", "col", *on])

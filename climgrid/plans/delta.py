@@ -24,7 +24,7 @@ from climgrid.operators.climate import (
     require_overlap,
     restrict_times,
 )
-from climgrid.operators.gaps import fill_gaps_linear
+from climgrid.operators.gaps import fill_gaps
 from climgrid.operators.precip import fix_precip
 from climgrid.operators.regrid import regrid
 from climgrid.operators.select import select_years
@@ -34,6 +34,10 @@ from climgrid.schema import CELL, TIME, shared
 Post = Callable[[Column], Column]
 
 
+def fill_method(fill: bool | str) -> str:
+    return fill if isinstance(fill, str) else "axes"
+
+
 def refine_anomalies(
     anomalies: DataFrame,
     baseline: DataFrame,
@@ -74,7 +78,7 @@ def coarse_anomalies(
     operation: str,
     src_grid: Grid | None = None,
     fix_clim: bool = False,
-    fill: bool = False,
+    fill: bool | str = False,
     find_bounds: bool = False,
     aoi_mask: DataFrame | None = None,
 ) -> DataFrame:
@@ -87,15 +91,16 @@ def coarse_anomalies(
     """
     whole = historical if future is None else concat_series(historical, future)
     if fix_clim:
-        series, clim = fix_precip(whole, src_grid, begin, end, aoi_mask, find_bounds, src_grid if fill else None)
+        series, clim = fix_precip(whole, src_grid, begin, end, aoi_mask, find_bounds, src_grid if fill else None, fill_method(fill))
         if future is not None:
             series = restrict_times(series, future)
         return anomaly(series, clim, operation)
     wanted = historical if future is None else future
     if fill:
         # the base period is cut before filling: other years need not be filled for it
-        base = fill_gaps_linear(select_years(whole, begin, end), src_grid)
-        return anomaly(fill_gaps_linear(wanted, src_grid), climatology(base, begin, end, serve=wanted), operation)
+        filled = lambda df: fill_gaps(df, src_grid, fill_method(fill))
+        base = filled(select_years(whole, begin, end))
+        return anomaly(filled(wanted), climatology(base, begin, end, serve=wanted), operation)
     return anomaly(wanted, climatology(whole, begin, end, serve=wanted), operation)
 
 
@@ -113,13 +118,14 @@ def delta_pipeline(
     post: Post | None = None,
     mask: DataFrame | None = None,
     fix_clim: bool = False,
-    fill: bool = False,
+    fill: bool | str = False,
     find_bounds: bool = False,
     aoi_mask: DataFrame | None = None,
     check: bool = True,
 ) -> DataFrame:
     """Refine a monthly series onto the grid of a baseline climatology.
 
+    ``fill`` fills gaps of the coarse series first, by a method of ``fill_gaps`` (True: axes).
     ``check`` raises at once if no month of either series lies in the base period.
     """
     if check:
@@ -171,7 +177,7 @@ def delta_pipeline_minmax(
     *,
     operation: str = "add",
     method: str = "bilinear",
-    fill: bool = False,
+    fill: bool | str = False,
     post: Post | None = None,
     mask: DataFrame | None = None,
 ) -> DataFrame:
@@ -179,7 +185,7 @@ def delta_pipeline_minmax(
     refined mean series of the same time.  Gaps are filled in the deltas."""
     deltas = delta_to_mean(extreme, mean, operation)
     if fill:
-        deltas = fill_gaps_linear(deltas, src_grid)
+        deltas = fill_gaps(deltas, src_grid, fill_method(fill))
     base = fine_mean.drop("variable", "anomaly")
     return refine_anomalies(deltas, base, src_grid, dst_grid, operation, method, post, mask)
 

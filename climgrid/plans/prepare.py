@@ -30,11 +30,12 @@ def prepare_farfuture(*parts: DataFrame) -> DataFrame:
 
 
 def prepare_point_baseline(
-    points: DataFrame, coarse: Grid, template: DataFrame, fine: Grid, variable: str, method: str = "bilinear"
+    points: DataFrame, coarse: Grid, template: DataFrame, fine: Grid, variable: str, method: str = "bilinear", spread: str = "axes"
 ) -> DataFrame:
-    """Point climatology -> 0..360 -> regular grid -> template cells, masked and rounded."""
+    """Point climatology -> 0..360 -> regular grid -> template cells, masked and rounded.
+    ``spread``: how points come onto the regular grid, a method of ``regrid_points``."""
     lon = F.pmod(F.col("lon"), F.lit(360.0)) if coarse.x0 >= 0 else F.col("lon")
-    gridded = regrid_points(points.withColumn("lon", lon), coarse)
+    gridded = regrid_points(points.withColumn("lon", lon), coarse, spread)
     out = regrid(gridded, template, coarse, fine, method)
     value = F.when(F.col("inside") == 1, round_by_variable(F.col("value"), variable))
     return out.withColumn("value", value).drop("inside")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 # Header fields of an ASCII raster and the number of the annual file.
 ASCII_HEADER = ("ncols", "nrows", "xllcorner", "yllcorner", "cellsize", "NODATA_value")
@@ -67,12 +67,64 @@ def parse_ascii_grid(files: DataFrame) -> DataFrame:
 
 
 def ascii_month(path) -> Column:
-    """Month number that ends the file stem."""
-    return F.regexp_extract(path, r"(\d+)\.[A-Za-z]+$", 1).try_cast("int")
+    """Month number that ends the file stem, or that of a folder ``month=MM``."""
+    folder = F.regexp_extract(path, r"month=(\d+)/[^/]*$", 1).try_cast("int")
+    return F.coalesce(folder, F.regexp_extract(path, r"(\d+)\.[A-Za-z]+$", 1).try_cast("int"))
+
+
+# The header fields that a line of its own may hold.
+_FIELDS = ("ncols", "nrows", "xllcorner", "yllcorner", "xllcenter", "yllcenter", "cellsize", "nodata_value")
+_HEADER = rf"(?i)^\s*({'|'.join(_FIELDS)})\s+(\S+)\s*$"
+
+
+def parse_ascii_lines(lines: DataFrame) -> DataFrame:
+    """Lines of ASCII rasters as cells.  ``value`` is a line, ``path`` its raster, ``block``
+    where its part of the file begins, ``line`` its order within that part; other columns
+    that are constant in a raster are kept.
+
+    A cell's place is the number of values before it: those of earlier parts, by one running
+    sum over the parts of a file, and those of earlier lines of its part.  So a raster of any
+    size is parsed by as many tasks as it has parts, however its lines are broken, and no task
+    holds more than a part.  Every header field stands on a line of its own.
+    """
+    keep = [c for c in lines.columns if c not in ("value", "path", "block", "line")]
+    field = F.lower(F.regexp_extract("value", _HEADER, 1))
+    held = F.regexp_extract("value", _HEADER, 2)
+    of = lambda name, kind: F.max(F.when(field == name, held)).try_cast(kind)
+    numbers = {n: "int" if n in ("ncols", "nrows") else "double" for n in _FIELDS}
+    heads = lines.where(field != "").groupBy("path").agg(*[of(n, kind).alias(f"_{n}") for n, kind in numbers.items()])
+    size, half = F.col("_cellsize"), F.col("_cellsize") / 2
+    heads = heads.select(
+        "path", F.col("_ncols").alias("_nc"), F.col("_nrows").alias("_nr"), size.alias("_d"), F.col("_nodata_value").alias("_nd"),
+        F.coalesce("_xllcorner", F.col("_xllcenter") - half).alias("_x"), F.coalesce("_yllcorner", F.col("_yllcenter") - half).alias("_y"),
+    )
+    text = _strip("value")
+    body = lines.where((field == "") & (text != "")).select("path", "block", "line", *keep, F.split(text, r"\s+").alias("_v"))
+    parts = body.groupBy("path", "block").agg(F.sum(F.size("_v")).alias("_n"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("path", "block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    above = Window.partitionBy("path", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    placed = body.withColumn("_before", F.coalesce(F.sum(F.size("_v")).over(above), F.lit(0)))
+    cells = placed.join(parts, ["path", "block"]).join(heads, "path").select("*", F.posexplode("_v").alias("_i", "_s"))
+    v, at = F.col("_s").try_cast("double"), F.col("_start") + F.col("_before") + F.col("_i")
+    cells = cells.withColumns({"row": F.floor(at / F.col("_nc")).cast("int"), "col": (at % F.col("_nc")).cast("int")})
+    return cells.select(
+        *keep,
+        "path",
+        "row",
+        "col",
+        (F.col("_y") + (F.col("_nr") - F.col("row") - 0.5) * F.col("_d")).alias("lat"),
+        (F.col("_x") + (F.col("col") + 0.5) * F.col("_d")).alias("lon"),
+        F.when(F.col("_nd").isNull() | (v != F.col("_nd")), v).alias("value"),
+    )
 
 
 def scan_ascii_grid(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """ASCII rasters with the month taken from the file name; the annual file is left out."""
-    files = spark.read.text(path, wholetext=True).withColumn("path", F.col("_metadata.file_path"))
-    files = files.withColumn("month", ascii_month("path")).where(F.col("month") != ANNUAL_FILE)
-    return parse_ascii_grid(files)
+    """ASCII rasters with the month taken from the file name (or a folder ``month=MM``); the
+    annual file is left out.  Plain files are split like any text; a compressed one is one task."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),  # a part is read by one task, in order
+    )
+    lines = lines.withColumn("month", ascii_month("path")).where(F.col("month") != ANNUAL_FILE)
+    return parse_ascii_lines(lines)

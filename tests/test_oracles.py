@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from checks.verify import compare, connect
+from checks.verify import arrow, compare, connect
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
@@ -15,11 +15,11 @@ def con(sf):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(name, spark, sf, con):
-    got = QUERIES[name](spark, sf).toPandas()
+    got = arrow(QUERIES[name](spark, sf))
     if name in SQL:
-        assert compare(got, con.execute(SQL[name]).df()) is None
+        assert compare(got, con.execute(SQL[name])) is None
     else:
-        assert len(got)
+        assert got.num_rows
 
 
 def test_every_sql_has_a_query():
