@@ -37,8 +37,8 @@ BURST = 4096  # leaves of a container that bursts
 MOST_LEAVES = 800_000  # leaves of a trie, beyond which subtrees are spilled
 MOST_LETTERS = 24 << 20  # letters of words of a trie
 AT_ONCE = 1_000_000  # words that a trie takes in at once
-SLICE = 6 << 20  # bytes of texts that are taken together
-RANGE_PLACES = 2_000_000  # places of the texts that a prefix partition is meant to hold
+SLICE = 4 << 20  # bytes of texts that are taken together
+RANGE_PLACES = 3_000_000  # places of the texts that a prefix partition is meant to hold
 SAMPLE_DOCS, SAMPLE_PLACES = 2_000, 64  # at most about twice as many documents, and places of each
 
 _BLOCK = pa.schema([("part", pa.int64()), ("lang", pa.string()), ("words", pa.binary()), ("leaves", pa.binary())])
@@ -162,13 +162,21 @@ class Trie:
             self.size -= size
             del self.roots[lang][first]
             self.nodes.discard((lang, first))
-        words = pa.array(list(self.ids), pa.string())
+        words, rank = None, np.zeros(1, np.int64)
+        if taken:  # the order of the words is found once for all languages
+            words = pa.array(list(self.ids), pa.string())
+            order = pc.sort_indices(words).to_numpy()
+            words = words.take(pa.array(order))
+            rank = np.zeros(len(words) + 1, np.int64)  # by id plus one
+            rank[order + 1] = np.arange(1, len(words) + 1)
         for lang, out in sorted(taken.items()):
             boxes = [box for _, _, some in out for box in some]
             first = np.repeat([f for f, _, _ in out], [size for _, size, _ in out])
             rest = np.fromiter(chain.from_iterable(boxes), np.int64, len(first))
             n = np.fromiter(chain.from_iterable(map(dict.values, boxes)), np.int64, len(first))
-            yield Run(lang, words, first.astype(np.int64), rest >> _SHIFT, rest & _REST, n)
+            keys = rank[first + 1] - 1 << 2 * _SHIFT | rank[rest >> _SHIFT] << _SHIFT | rank[rest & _REST]
+            order = np.argsort(keys)
+            yield Run(lang, words, keys[order], n[order])
         if not keep:
             self.clear()
 
@@ -184,18 +192,11 @@ def leaf_keys(w: np.ndarray, piece: np.ndarray) -> np.ndarray:
 
 
 class Run:
-    """Leaves of one language in order of their words, with the words they use in order."""
-
-    def __init__(self, lang: str, words: pa.Array, first, second, third, n):
-        """``second`` and ``third`` are ids plus one, 0 for none."""
-        order = pc.sort_indices(words).to_numpy()
-        self.lang, self.words = lang, words.take(pa.array(order))
-        rank = np.empty(len(words) + 1, np.int64)
-        rank[0] = 0
-        rank[order + 1] = np.arange(1, len(words) + 1)
-        keys = rank[first + 1] - 1 << 2 * _SHIFT | rank[second] << _SHIFT | rank[third]
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.n = keys[order], n[order]
+    """Leaves of one language in order of their words."""
+
+    def __init__(self, lang: str, words: pa.Array, keys: np.ndarray, n: np.ndarray):
+        """``words`` in order; ``keys`` made of places in them as a trie's leaves are of ids."""
+        self.lang, self.words, self.keys, self.n = lang, words, keys, n
 
     def border(self, leaf: tuple[str, ...]) -> int:
         """The least number that leaves at or after ``leaf`` (one to three words) may have."""
@@ -230,12 +231,19 @@ class Run:
         used[0] = False
         number = np.cumsum(used, dtype=np.int32) * used
         codes = [number[p] for p in parts]
-        names = "\n".join(self.words.take(pa.array(np.flatnonzero(used) - 1)).to_pylist()).encode()  # a word has no line break
-        batch = pa.record_batch([*map(pa.array, codes), pa.array(self.n[a:b])], names=["w1", "w2", "w3", "n"])
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            out.write_batch(batch)
-        return len(names).to_bytes(8, "big") + pa.compress(names, "zstd", asbytes=True), sink.getvalue().to_pybytes()
+        names = pa.record_batch([self.words.take(pa.array(np.flatnonzero(used) - 1))], names=["word"])
+        return _stored(names), _stored(pa.record_batch([*map(pa.array, codes), pa.array(self.n[a:b])], names=["w1", "w2", "w3", "n"]))
+
+
+def _stored(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _loaded(raw: bytes) -> pa.Table:
+    return pa.ipc.open_stream(raw).read_all()
 
 
 def _place(words: pa.Array, w: str) -> int:
@@ -296,21 +304,20 @@ def merged(blocks: pa.Table, least: int) -> pa.Table:
     langs, phrases, counts = [], [], []
     for lang in pc.unique(blocks.column("lang")).to_pylist():
         own = blocks.filter(pc.equal(blocks.column("lang"), lang))
-        names, keys = [], []
-        for raw, leaves in zip(own.column("words").to_pylist(), own.column("leaves").to_pylist()):
-            size = int.from_bytes(raw[:8], "big")
-            names.append(pa.array(pa.decompress(raw[8:], size, "zstd", asbytes=True).decode().split("\n"), pa.string()))
-            keys.append(pa.ipc.open_stream(leaves).read_all())
+        names = [_loaded(raw).column(0).combine_chunks() for raw in own.column("words").to_pylist()]
         words = pc.unique(pa.concat_arrays(names))
         words = words.take(pc.sort_indices(words))
         parts: list[list[np.ndarray]] = [[], [], [], []]
-        for some, table in zip(names, keys):
-            at = np.append(0, pc.index_in(some, words).to_numpy() + 1)
+        for some, raw in zip(names, own.column("leaves").to_pylist()):
+            table = _loaded(raw)
+            at = np.append(0, pc.index_in(some, words).to_numpy().astype(np.int64) + 1)
             for i, c in enumerate(("w1", "w2", "w3")):
                 parts[i].append(at[table.column(c).to_numpy()])
             parts[3].append(table.column("n").to_numpy())
         w1, w2, w3, n = map(np.concatenate, parts)
-        order = np.lexsort((w3, w2, w1))
+        # runs are sorted already, which a stable sort makes use of
+        small = len(words) < _REST
+        order = np.argsort(w1 << 2 * _SHIFT | w2 << _SHIFT | w3, kind="stable") if small else np.lexsort((w3, w2, w1))
         w1, w2, w3, n = w1[order], w2[order], w3[order], n[order]
         name = np.append(None, words.to_numpy(zero_copy_only=False))
 
@@ -337,6 +344,10 @@ def merged(blocks: pa.Table, least: int) -> pa.Table:
     return pa.table({"lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.string()), "f": np.concatenate(counts or [np.empty(0, np.int64)])})
 
 
+def merge_range(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    yield from merged(pa.Table.from_batches(batches, _BLOCK), least).to_batches(max_chunksize=50_000)
+
+
 def sample_leaves(batches: Iterable[pa.RecordBatch], places: int = SAMPLE_PLACES) -> Iterator[pa.RecordBatch]:
     """Some evenly spaced leaves of each text with how many there are."""
     for part in slices(batches):
@@ -371,7 +382,9 @@ def phrase_counts(docs: DataFrame, least: int) -> DataFrame:
     docs = docs.select(F.col("lang").cast("string").alias("lang"), "text")
     borders = range_borders(docs)
     blocks = docs.mapInArrow(lambda batches: packed_runs(batches, borders), "part long, lang string, words binary, leaves binary")
-    parts = blocks.groupBy("part").applyInArrow(lambda table: merged(table, least), "lang string, phrase string, f long")
+    # a task a range
+    dealt = blocks.repartitionById(len(borders) + 1, F.col("part").cast("int"))
+    parts = dealt.mapInArrow(lambda batches: merge_range(batches, least), "lang string, phrase string, f long")
     whole = parts.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
     return written(whole.where((F.col("f") >= least) | (F.instr("phrase", " ") == 0)), "phrases")
 

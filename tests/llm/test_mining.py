@@ -291,8 +291,7 @@ def leaves_of(runs, borders):
         for row in run.blocks(borders):
             parts[row[0]].append(row)
             one = pa.Table.from_arrays([pa.array([c], f.type) for c, f in zip(row, phrases._BLOCK)], schema=phrases._BLOCK)
-            table = pa.ipc.open_stream(row[3]).read_all()
-            names = [None, *pa.decompress(row[2][8:], int.from_bytes(row[2][:8], "big"), "zstd", asbytes=True).decode().split("\n")]
+            table, names = phrases._loaded(row[3]), [None, *phrases._loaded(row[2]).column(0).to_pylist()]
             for *codes, n in zip(*[table.column(c).to_pylist() for c in ("w1", "w2", "w3", "n")]):
                 leaf = tuple(names[c] for c in codes if c)
                 assert sum(b <= (row[1], *leaf) for b in borders) == row[0]
