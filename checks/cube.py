@@ -39,10 +39,10 @@ def grids(spark: SparkSession, sf: str) -> tuple[Grid, Grid]:
     return _shape(sf, _COUNTS[sf])
 
 
-def projected(spark: SparkSession, sf: str) -> Grid:
+def projected(spark: SparkSession, sf: str, crs: str = "EPSG:3338", x0: float = -2000000.0, y0: float = 2400000.0) -> Grid:
     """The fine cells laid on a projected grid of 4000 by 4000 km."""
     _, fine = grids(spark, sf)
-    return Grid(fine.nx, fine.ny, -2000000.0, 2400000.0, 4000000.0 / fine.nx, 4000000.0 / fine.ny, grid_id="projected", crs="EPSG:3338")
+    return Grid(fine.nx, fine.ny, x0, y0, 4000000.0 / fine.nx, 4000000.0 / fine.ny, grid_id="projected", crs=crs)
 
 
 def q16(c: Column) -> Column:

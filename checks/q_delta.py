@@ -352,6 +352,37 @@ def regrid_mode_finer(spark, sf):
     return regrid.regrid(cube.gappy(spark, sf), cube.fine_cells(spark, sf).select("row", "col"), coarse, fine, "mode").select(*YMRC, "value")
 
 
+# ---- kernels for a coarser target ----------------------------------------------
+
+
+def wide_sql(method: str) -> str:
+    """The fine baseline on the coarse grid (4 x 5 fine cells each): every fine cell serves the
+    coarse cells within the kernel's reach, measured in coarse cells."""
+    reach, w = {"bilinear": (1, "greatest(0e0, 1e0 - {d})")}.get(method) or (KERNELS[method][0][1], KERNELS[method][1])
+    dx, dy = "round_even(abs(floor(u) + j - u) * 1e9, 0) / 1e9", "round_even(abs(floor(v) + i - v) * 1e9, 0) / 1e9"
+    return (
+        f"SELECT month, row, col, {R6('value')} AS value FROM (SELECT row, col, month FROM sup CROSS JOIN months) LEFT JOIN ("
+        "SELECT month, r AS row, c AS col, CASE WHEN sum(w) > 1e-6 THEN sum(w * value) / sum(w) END AS value FROM ("
+        f"SELECT month, CAST(floor(v) + i AS INTEGER) AS r, CAST((floor(u) + j + 4 * nx) % nx AS INTEGER) AS c, ny, value, {w.format(d=dx)} * {w.format(d=dy)} AS w "
+        "FROM (SELECT *, (col + 0.5e0) / 4 - 0.5e0 AS u, (row + 0.5e0) / 5 - 0.5e0 AS v FROM base_tas) "
+        f"CROSS JOIN range({-reach}, {reach + 2}) a(i) CROSS JOIN range({-reach}, {reach + 2}) b(j) "
+        f"WHERE abs(floor(v) + i - v) < {reach} - 1e-9 AND abs(floor(u) + j - u) < {reach} - 1e-9) WHERE r BETWEEN 0 AND ny - 1 GROUP BY ALL) "
+        "USING (month, row, col)"
+    )
+
+
+def _wide(method):
+    @query(f"regrid_{method}_coarser", wide_sql(method))
+    def run(spark, sf):
+        coarse, fine = cube.grids(spark, sf)
+        r = regrid.regrid(_fine_field(spark, sf), _coarse_target(spark, sf), fine, coarse, method)
+        return r.select("month", "row", "col", r6("value").alias("value"))
+
+
+for _m in ("bilinear", *KERNELS):
+    _wide(_m)
+
+
 # ---- filling gaps --------------------------------------------------------------
 
 FILL = """
@@ -480,6 +511,13 @@ def regrid_points_triangles(spark, sf):
     return gaps.regrid_points(points, Grid(40, 30, 0.0, 90.0, 9.0, 6.0), "triangles").select("model", "row", "col", r6("value").alias("value"))
 
 
+@query("regrid_bilinear_lambert", f"SELECT year, month, row, col, {R6('rv')} AS value FROM ({bilinear_sql('cells_tas', 'lambert', place=PROJ_PLACE)})")
+def regrid_bilinear_lambert(spark, sf):
+    """Onto a grid of a conformal conic projection."""
+    coarse, _ = cube.grids(spark, sf)
+    return out(regrid.regrid(cube.cells(spark, sf), _target(spark, sf), coarse, cube.projected(spark, sf, "EPSG:3347", 4000000.0, 4000000.0), "bilinear"))
+
+
 @query("regrid_bilinear_projected", f"SELECT year, month, row, col, {R6('rv')} AS value FROM ({bilinear_sql('cells_tas', 'proj', place=PROJ_PLACE)})")
 def regrid_bilinear_projected(spark, sf):
     """From longitude and latitude onto a projected grid."""

@@ -7,11 +7,12 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from climgrid.functions.projection import Albers
+from climgrid.functions.projection import PROJECTIONS, Albers
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 ALBERS = Albers()
+LAMBERT = PROJECTIONS["EPSG:3347"]
 
 
 def query(name: str, sql: str | None = None):
@@ -171,6 +172,26 @@ def albers_lonlat(x: str, y: str, columns: str, source: str) -> str:
     )
 
 
+def lambert_lonlat(x: str, y: str, columns: str, source: str) -> str:
+    """SELECT of ``columns``, lat and lon of coordinates of a conformal conic (n > 0)."""
+    e2, _, n, big_f, rho0 = LAMBERT._constants()
+    d = lambda v: f"CAST({v!r} AS DOUBLE)"
+    k = (
+        e2 / 2 + 5 * e2**2 / 24 + e2**3 / 12 + 13 * e2**4 / 360, 7 * e2**2 / 48 + 29 * e2**3 / 240 + 811 * e2**4 / 11520,
+        7 * e2**3 / 120 + 81 * e2**4 / 1120, 4279 * e2**4 / 161280,
+    )
+    series = " + ".join(f"sin(chi * {2 * i + 2}) * {d(c)}" for i, c in enumerate(k))
+    return (
+        f"SELECT {columns}, degrees(chi + {series}) AS lat, degrees(atan2(dx, dy)) / {d(n)} + {d(LAMBERT.lon_0)} AS lon FROM (SELECT *, "
+        f"{d(math.pi / 2)} - atan(pow(sqrt(dx * dx + dy * dy) / {d(LAMBERT.a * big_f)}, {d(1 / n)})) * 2 AS chi "
+        f"FROM (SELECT *, {x} - {d(LAMBERT.x_0)} AS dx, {d(rho0)} - ({y} - {d(LAMBERT.y_0)}) AS dy FROM {source}))"
+    )
+
+
+CTES["lambert"] = lambert_lonlat(
+    "(4000000e0 + (col + 0.5e0) * (4000000e0 / (4 * nx)))", "(4000000e0 - (row + 0.5e0) * (4000000e0 / (5 * ny)))",
+    "row, col, p_size, inside, nx, ny", "fine",
+)
 # the fine cells on a projected grid of 4000 by 4000 km
 CTES["proj"] = albers_lonlat(
     "-2000000e0 + (col + 0.5e0) * (4000000e0 / (4 * nx))", "2400000e0 - (row + 0.5e0) * (4000000e0 / (5 * ny))",

@@ -26,7 +26,13 @@ def _weight(method: str, t: str, k: int) -> str:
     ``t`` (0..1) of a cell past the anchor."""
     if method == "bilinear":
         return f"1D - {t}" if k == 0 else t
-    d = f"abs({t} - {k}D)"
+    return _kernel(method, f"abs({t} - {k}D)")
+
+
+def _kernel(method: str, d: str) -> str:
+    """SQL of a kernel at distance ``d`` in cells."""
+    if method == "bilinear":
+        return f"greatest(0D, 1D - {d})"
     if method == "cubic":
         near, far = f"(1.5D * {d} - 2.5D) * {d} * {d} + 1D", f"((2.5D - 0.5D * {d}) * {d} - 4D) * {d} + 2D"
     elif method == "cubic_spline":
@@ -124,9 +130,14 @@ def regrid(
     dst_grid: Grid,
     method: str = "bilinear",
     on: tuple[str, ...] = (),
+    widen: bool = True,
 ) -> DataFrame:
     """Source values on target cells.
 
+    Where the target is coarser along an axis, the kernel is as wide as the target's cells
+    there, so that every source cell has its say (``widen``; not for targets of another
+    projection or given by longitudes and latitudes).
+
     ``target`` holds ``row``, ``col`` of the target grid and any other columns,
     which are kept; a projected grid is found by its ``crs``, any other by the columns
     ``lon`` and ``lat`` of its cells.  ``on`` names further equi-join keys (``("month",)``
@@ -140,6 +151,8 @@ def regrid(
         return _regrid_area(src, target, src_grid, dst_grid, method, on)
     if method not in REGRID_METHODS:
         raise ValueError(f"method must be one of {REGRID_METHODS}, not {method!r}")
+    if widen and method != "nearest" and _coarser(src_grid, dst_grid, target):
+        return _regrid_wide(src, target, src_grid, dst_grid, method, on)
     lon, lat = target_lonlat(target, dst_grid)
     fx, fy = src_grid.fx(lon), src_grid.fy(lat)
     target = target.drop("grid_id")
@@ -205,6 +218,53 @@ def overlap_weights(src: DataFrame, src_grid: Grid, dst_grid: Grid) -> DataFrame
     return met.withColumns({"row": F.col("_r.at"), "col": F.col("_c.at"), "w": w}).drop("_r", "_c")
 
 
+def _same_axes(src_grid: Grid, dst_grid: Grid, target: DataFrame) -> bool:
+    return src_grid.crs == dst_grid.crs and not {"lon", "lat"} <= set(target.columns)
+
+
+def _coarser(src_grid: Grid, dst_grid: Grid, target: DataFrame) -> bool:
+    wider = dst_grid.dx > src_grid.dx * (1 + 1e-9) or dst_grid.dy > src_grid.dy * (1 + 1e-9)
+    return wider and _same_axes(src_grid, dst_grid, target)
+
+
+def _served(place: Column, ratio: float, method: str, n: int, period: float | None) -> Column:
+    """Target cells of one axis that a source cell serves, with their weights: an array of
+    ``(at, w)``.  ``place``: the source cell's centre in target cells, 0 on the centre of the
+    first; ``ratio``: the size of a target cell in source cells."""
+    reach = {"bilinear": 1, "cubic": 2, "cubic_spline": 2, "lanczos": 3}[method] * max(1.0, 1 / ratio)
+    scale = min(1.0, ratio)  # distances count in the larger of both cells
+
+    def serves(at: Column) -> Column:
+        lo = F.greatest(F.lit(0), F.ceil(at - reach + 1e-9)).cast("int")
+        hi = F.least(F.lit(n - 1), F.floor(at + reach - 1e-9)).cast("int")
+        none = F.array().cast("array<struct<at:int,d:double>>")
+        each = lambda k: F.struct(k.alias("at"), denoise(F.abs(k - at) * scale).alias("d"))
+        return F.when(lo <= hi, F.transform(F.sequence(lo, hi), each)).otherwise(none)
+
+    if period is None:
+        return serves(place)
+    return F.flatten(F.array(*[serves(place + k * period) for k in (-2, -1, 0, 1, 2)]))
+
+
+def _regrid_wide(src, target, src_grid, dst_grid, method, on):
+    """Kernels for a coarser target: each source cell is sent, with its weight, to the few
+    targets it serves, and sums fold map-side.  On a cyclic grid the kernel goes round the globe."""
+    src, keys = _source(src, src_grid)
+    period = 360.0 / dst_grid.dx if src_grid.cyclic or dst_grid.cyclic else None
+    rx, ry = dst_grid.dx / src_grid.dx, dst_grid.dy / src_grid.dy
+    rows = _served(dst_grid.fy(src_grid.y("row")), ry, method, dst_grid.ny, None)
+    cols = _served(dst_grid.fx(src_grid.x("col")), rx, method, dst_grid.nx, period)
+    met = src.where(F.col("value").isNotNull()).withColumns({"_r": rows, "_c": cols})
+    met = met.withColumn("_r", F.explode("_r")).withColumn("_c", F.explode("_c"))
+    weight = f"({_kernel(method, '_r.d')}) * ({_kernel(method, '_c.d')})"
+    met = met.select(*keys, F.col("_r.at").alias("row"), F.col("_c.at").alias("col"), "value", F.expr(weight).alias("_w"))
+    folded = met.groupBy(*keys, "row", "col").agg(F.sum(F.col("value") * F.col("_w")).alias("_n"), F.sum("_w").alias("_d"))
+    mean = F.when(F.col("_d") > 1e-6, F.col("_n") / F.col("_d"))
+    whole = frame(src, keys, (0, dst_grid.ny - 1), (0, dst_grid.nx - 1))
+    whole = whole.join(folded.select(*keys, "row", "col", mean.alias("value")), [*keys, "row", "col"], "left")
+    return whole.join(target.drop("grid_id"), ["row", "col", *on])
+
+
 def _regrid_area(src, target, src_grid, dst_grid, method, on):
     """Area-weighted mean, or the value that covers the largest area (of equal ones the
     smaller), of the source cells that a target cell overlaps, at any ratio of the grids.
@@ -215,7 +275,7 @@ def _regrid_area(src, target, src_grid, dst_grid, method, on):
     """
     src, keys = _source(src, src_grid)
     valid = src.where(F.col("value").isNotNull())
-    if src_grid.crs == dst_grid.crs and not {"lon", "lat"} <= set(target.columns):
+    if _same_axes(src_grid, dst_grid, target):
         met = overlap_weights(valid, src_grid, dst_grid)
     else:
         met = to_parent(valid, src_grid, dst_grid).withColumn("w", F.lit(1.0))

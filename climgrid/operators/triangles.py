@@ -49,11 +49,11 @@ def _patterns(df: DataFrame, by: list[str], at: tuple[str, ...], valid: Column)
     64-bit hashes of them agree."""
     h = lambda seed: F.sum(F.when(valid, F.xxhash64(*at, F.lit(seed)).cast("decimal(20,0)")))
     marks = [F.count(F.when(valid, 1)), h(1), h(2)]
-    sizes = df.groupBy(*by).agg(*[m.alias(f"_m{i}") for i, m in enumerate(marks)])
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *[m.alias(f"_m{i}") for i, m in enumerate(marks)])
     text = F.concat_ws(":", *[F.coalesce(F.col(f"_m{i}").cast("string"), F.lit("0")) for i in range(len(marks))])
     order = Window.partitionBy("pattern").orderBy(*by)
     number = (F.row_number().over(order) - 1) if by else F.lit(0)
-    numbered = sizes.select(*by, text.alias("pattern")).withColumn("_n", number)
+    numbered = sizes.where("_rows > 0").select(*by, text.alias("pattern")).withColumn("_n", number)
     return numbered.select(*by, "pattern", F.floor(F.col("_n") / CHUNK).cast("int").alias("chunk"), (F.col("_n") % CHUNK).cast("int").alias("pos"))
 
 
@@ -345,12 +345,12 @@ def regrid_points_triangles(points: DataFrame, grid: Grid) -> DataFrame:
     cyclic grid longitudes are taken round the globe; its seam is an edge.
     """
     by = slice_cols(points)
-    number = lambda c: F.col(c).isNotNull() & ~F.isnan(c)
+    number = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))
     has = number("lat") & number("lon") & number("value")
     fx = (F.col("lon") - grid.x0) / grid.dx - 0.5
     fx = F.pmod(fx + 0.5, F.lit(float(grid.nx))) - 0.5 if grid.cyclic else fx
     least = min(grid.dx, grid.dy)
-    whole = lambda c, d: F.rint(c * (FINE * d / least)).cast("long")
+    whole = lambda c, d: F.when(F.col("has"), F.rint(c * (FINE * d / least))).try_cast("long")
     put = points.select(*by, fx.alias("x"), ((F.lit(grid.y0) - F.col("lat")) / grid.dy - 0.5).alias("y"), F.col("value").cast("double").alias("value"), has.alias("has"))
     put = put.withColumns({"gx": whole(F.col("x"), grid.dx), "gy": whole(F.col("y"), grid.dy)})
     placed = put.groupBy(*by, "has", "gx", "gy").agg(F.avg("value").alias("value"), F.min("x").alias("x"), F.min("y").alias("y"))

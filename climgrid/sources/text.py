@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from climgrid.storage import cut_lineage
+
 # Header fields of an ASCII raster and the number of the annual file.
 ASCII_HEADER = ("ncols", "nrows", "xllcorner", "yllcorner", "cellsize", "NODATA_value")
 ANNUAL_FILE = 14
@@ -85,7 +87,8 @@ def parse_ascii_lines(lines: DataFrame) -> DataFrame:
     A cell's place is the number of values before it: those of earlier parts, by one running
     sum over the parts of a file, and those of earlier lines of its part.  So a raster of any
     size is parsed by as many tasks as it has parts, however its lines are broken, and no task
-    holds more than a part.  Every header field stands on a line of its own.
+    holds more than a part.  Every header field stands on a line of its own.  The lines are
+    read several times and must come alike each time (a stored table does).
     """
     keep = [c for c in lines.columns if c not in ("value", "path", "block", "line")]
     field = F.lower(F.regexp_extract("value", _HEADER, 1))
@@ -121,10 +124,11 @@ def parse_ascii_lines(lines: DataFrame) -> DataFrame:
 
 def scan_ascii_grid(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """ASCII rasters with the month taken from the file name (or a folder ``month=MM``); the
-    annual file is left out.  Plain files are split like any text; a compressed one is one task."""
+    annual file is left out.  Plain files are split like any text; a compressed one is one task.
+    The lines are stored once: two scans might cut the files in different places."""
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),  # a part is read by one task, in order
     )
     lines = lines.withColumn("month", ascii_month("path")).where(F.col("month") != ANNUAL_FILE)
-    return parse_ascii_lines(lines)
+    return parse_ascii_lines(cut_lineage(lines))
