@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from climgrid.storage import work_folder
 
@@ -34,6 +34,13 @@ def smallest_hashed(df: DataFrame, key: str, most: int, *order: str) -> DataFram
     return few.orderBy(F.xxhash64(key), key, *order).limit(most)
 
 
+def one_a_task(files: DataFrame) -> DataFrame:
+    """The rows, a partition each: small rows that stand for much work, such as files to read.
+    (Dealt by a key they would be merged again, for they are few bytes.)"""
+    turn = F.row_number().over(Window.orderBy(*files.columns)) - 1
+    return files.withColumn("_turn", turn).repartitionById(max(1, files.count()), F.col("_turn")).drop("_turn")
+
+
 def meet(rows: DataFrame, folded: DataFrame, key: str) -> DataFrame:
     """Rows with the one row of their (long) key.  The join is on the key's complement, so
     that the folded side is dealt anew: only then can Spark split the rows of a very

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from climgrid.llm.store import folder_made, open_folder, written
+from climgrid.llm.store import folder_made, one_a_task, open_folder, written
 from climgrid.llm.text import slices, unit_encoder
 
 LENGTH, PER_BATCH, END_ID = 2048, 64, 0
@@ -119,5 +119,5 @@ def _read(folder: str):
 
 
 def read_tokens(files: DataFrame, folder: str) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of every document, from the stored ids."""
-    return files.repartition("path").mapInArrow(_read(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    """``doc_id, start, n_tokens, ids_crc32`` of every document, from the stored ids; a task a file."""
+    return one_a_task(files).mapInArrow(_read(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -15,9 +15,9 @@ import uuid
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from climgrid.llm.store import folder_made, open_folder, smallest_hashed, written
+from climgrid.llm.store import folder_made, one_a_task, open_folder, smallest_hashed, written
 
 DICTIONARY_FRAME = 0x184D2A5D
 HEAD = "WARC/1.1"
@@ -29,13 +29,15 @@ def payload_digest(payload: bytes) -> str:
 
 
 def train_dictionary(samples: list[bytes], size: int = 16 << 10) -> bytes:
-    """A dictionary of the samples; empty when there are too few to train on."""
+    """A dictionary of whole records.  Where they are too few, or too much alike, to train on,
+    their last bytes themselves are one (a raw-content dictionary)."""
     import zstandard
 
     try:
-        return zstandard.train_dictionary(size, samples).as_bytes() if len(samples) >= 8 else b""
-    except zstandard.ZstdError:
-        return b""
+        return zstandard.train_dictionary(size, samples).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        raw = b"".join(samples)[-size:]
+        return raw if len(raw) >= 8 else b""
 
 
 def _name(page_id: int | None) -> str:
@@ -129,24 +131,30 @@ def _write(folder: str, dictionary: bytes, level: int):
     return run
 
 
-def write_archives(pages: DataFrame, folder: str, least: int = 0, samples: int = 400, level: int = 3) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, least: int = 0, samples: int = 400, level: int = 3, sample_bytes: int = 4 << 20) -> DataFrame:
     """Archive every row of ``pages(page_id, url, html)``; ``(path, records)`` of the files.
 
     Payloads of at least ``least`` bytes that are equal to one of smaller page_id become
     revisits; rows without page_id are responses that nothing refers to, rows of one
-    page_id are archived each.  The dictionary is trained on at most ``samples`` records,
-    those of smallest hashed page_id, 8 kB of each.
+    page_id are archived each.  The dictionary is trained on at most ``samples`` whole records,
+    those of smallest hashed page_id, as many as ``sample_bytes`` of html hold.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     raw = F.coalesce("html", F.lit("")).cast("binary")
     marks = rows.where("page_id is not null").select("page_id", F.sha2(raw, 256).alias("_d"), F.length(raw).alias("_n")).where(F.col("_n") >= least)
     firsts = marks.groupBy("_d").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("_hi")).where("refers_to < _hi").drop("_hi")
+    firsts = written(firsts, "firsts")  # dealt anew for the join, so that Spark can split a very common payload
     again = marks.join(firsts, "_d").where("refers_to < page_id").select("page_id", "_d", "refers_to").distinct()
     # of rows with one page_id and other payloads, the payload decides
     same = (F.col("page_id") == F.col("_p")) & (F.sha2(raw, 256) == F.col("_d"))
     placed = rows.join(again.withColumnRenamed("page_id", "_p"), same, "left").select("page_id", "url", "html", "refers_to")
     ids = smallest_hashed(rows.select("page_id"), "page_id", samples).distinct()
-    chosen = rows.join(F.broadcast(ids), "page_id", "left_semi").select("page_id", "url", F.substring("html", 1, 8192).alias("html")).limit(2 * samples)
+    chosen = rows.join(F.broadcast(ids), "page_id", "left_semi").select("page_id", "url", "html", F.length(raw).alias("_n"))
+    # of rows of one id that are many, the first by text
+    order = Window.orderBy(F.xxhash64("page_id"), "page_id", "url", F.xxhash64("html"))
+    first = Window.partitionBy("page_id").orderBy("url", F.xxhash64("html"))
+    chosen = chosen.where(F.col("_n") <= sample_bytes).withColumn("_k", F.row_number().over(first)).where("_k = 1")
+    chosen = chosen.withColumn("_sum", F.sum(F.coalesce("_n", F.lit(0))).over(order)).where(F.col("_sum") <= sample_bytes)
     dictionary = train_dictionary([record(r["page_id"], r["url"], (r["html"] or "").encode(), None) for r in chosen.collect()])
     folder_made(folder)
     return written(placed.mapInArrow(_write(folder, dictionary, level), "path string, records long"), "archives")
@@ -201,6 +209,6 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def read_archives(files: DataFrame, folder: str) -> DataFrame:
-    """Every record of the files named by ``files(path, records)``, checked against its digest."""
-    spread = files.repartition("path")
-    return spread.mapInArrow(_read(folder), ", ".join(f"{n} {t}" for n, t, _ in _FIELDS))
+    """Every record of the files named by ``files(path, records)``, checked against its digest;
+    a task a file."""
+    return one_a_task(files).mapInArrow(_read(folder), ", ".join(f"{n} {t}" for n, t, _ in _FIELDS))

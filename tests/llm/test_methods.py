@@ -163,3 +163,25 @@ def test_png_filters(kind):
         assert (media.decode_png(png) == x).all()
         with pytest.raises(ValueError):
             media.decode_png(png[:60] + bytes([png[60] ^ 1]) + png[61:])
+
+
+def test_archives_and_token_files_are_read_a_task_a_file(spark, tmp_path):
+    from climgrid.llm import token_files, warc
+    from climgrid.llm.queries import tokenizer
+
+    pages = spark.range(60).selectExpr("id AS page_id", "concat('http://a.org/', id) AS url", "repeat(cast(id % 7 AS string), 500) AS html").repartition(6)
+    files = warc.write_archives(pages, str(tmp_path / "w"))
+    read = warc.read_archives(files, str(tmp_path / "w"))
+    assert read.rdd.getNumPartitions() == files.count() == 6 and read.count() == 60
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('words of ', id) AS text")
+    files = token_files.write_tokens(docs, str(tmp_path / "t"), tokenizer("byte_bpe_50k.json"))
+    read = token_files.read_tokens(files, str(tmp_path / "t"))
+    assert read.rdd.getNumPartitions() == files.count() and read.count() == 300
+
+
+def test_a_dictionary_of_few_records_is_their_bytes():
+    from climgrid.llm import warc
+
+    assert warc.train_dictionary([]) == b""
+    few = warc.train_dictionary([b"a page " * 20, b"another page " * 30])
+    assert few.endswith(b"another page ") and b"a page a page" in few
