@@ -305,12 +305,18 @@ def merged(blocks: pa.Table, least: int) -> pa.Table:
     for lang in pc.unique(blocks.column("lang")).to_pylist():
         own = blocks.filter(pc.equal(blocks.column("lang"), lang))
         names = [_loaded(raw).column(0).combine_chunks() for raw in own.column("words").to_pylist()]
-        words = pc.unique(pa.concat_arrays(names))
-        words = words.take(pc.sort_indices(words))
+        # one dictionary of all blocks, and the place of each block's words in its order
+        every = pa.concat_arrays(names).dictionary_encode()
+        order = pc.sort_indices(every.dictionary).to_numpy()
+        words = every.dictionary.take(pa.array(order))
+        rank = np.empty(len(words), np.int64)
+        rank[order] = np.arange(1, len(words) + 1)
+        place, begin = rank[every.indices.to_numpy()], 0
         parts: list[list[np.ndarray]] = [[], [], [], []]
         for some, raw in zip(names, own.column("leaves").to_pylist()):
             table = _loaded(raw)
-            at = np.append(0, pc.index_in(some, words).to_numpy().astype(np.int64) + 1)
+            at = np.append(0, place[begin : begin + len(some)])
+            begin += len(some)
             for i, c in enumerate(("w1", "w2", "w3")):
                 parts[i].append(at[table.column(c).to_numpy()])
             parts[3].append(table.column("n").to_numpy())
