@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
 
 from climgrid.grid import Grid
 from climgrid.schema import PLANE, SERIES, TIME, present, shared, slice_cols
-from climgrid.storage import cut_lineage, work_folder
+from climgrid.storage import cut_lineage
 
 ROOK = ((-1, 0), (0, -1), (0, 1), (1, 0))
 QUEEN = ROOK + ((-1, -1), (-1, 1), (1, -1), (1, 1))
@@ -74,38 +76,104 @@ def fill_negative_neighbors(df: DataFrame, mask: DataFrame, grid: Grid | None =
     return flagged.join(fills, by + ["row", "col"], "left").withColumn("value", value).drop("fill", "inside")
 
 
-def fill_mask_iterative(df: DataFrame, mask: DataFrame, grid: Grid | None = None) -> DataFrame:
+TILE = 64  # cells of a tile's side, and rings that it runs by itself
+
+
+def _rings(tile: int, by: list[str]):
+    """``tile`` rings of the queen fill on one tile, from its cells and those within a tile's
+    width around it: as far as a ring's work can travel in so many rings, so the tile's own
+    cells come out as they would on the whole grid."""
+
+    def run(cells: pd.DataFrame) -> pd.DataFrame:
+        first = cells.iloc[0]
+        r0, c0 = (int(first["trow"]) - 1) * tile, (int(first["tcol"]) - 1) * tile
+        wide = 3 * tile + 2
+        value, open_ = np.full((wide, wide), np.nan), np.zeros((wide, wide), bool)
+        r, c = cells["row"].to_numpy() - r0 + 1, cells["ncol"].to_numpy() - c0 + 1
+        v = cells["value"].to_numpy(float)
+        value[r, c], open_[r, c] = v, np.isnan(v)
+        own = np.zeros((wide, wide), bool)
+        own[tile + 1 : 2 * tile + 1, tile + 1 : 2 * tile + 1] = True
+        start = open_ & own
+        for _ in range(tile):
+            there = ~np.isnan(value)
+            total, count = np.zeros_like(value), np.zeros(value.shape, int)
+            known = np.where(there, value, 0.0)
+            for i, j in QUEEN:
+                total += np.roll(known, (i, j), (0, 1))
+                count += np.roll(there, (i, j), (0, 1))
+            new = open_ & (count > 0)
+            if not new.any():
+                break
+            value[new] = np.trunc(total[new] / count[new])
+            open_ &= ~new
+        rows, cols = np.nonzero(start)
+        out = pd.DataFrame({"row": rows + r0 - 1, "col": cols + c0 - 1, "value": value[rows, cols]})
+        for k in by:
+            out[k] = first[k]
+        return out
+
+    return run
+
+
+def fill_mask_iterative(df: DataFrame, mask: DataFrame, grid: Grid | None = None, tile: int = TILE) -> DataFrame:
     """Repeat the queen fill inside the mask, with means cut to whole numbers,
     until a round fills nothing; cells that nothing reaches stay NULL.
 
-    A round reads and writes only the holes that are left and their rim, the valid cells
-    beside them; what it fills is added to a stored table and met with the rest once, at
-    the end.  All of it lies in the shared folder, so it survives the loss of executors.
+    Tiles that have holes run ``tile`` rings by themselves, on their cells and those of the
+    tiles around, and then hand on what they filled: a lake of any depth takes as many jobs
+    as it is tiles deep.  A round reads and writes only the holes that are left and their rim,
+    the valid cells beside them; what it fills is added to a stored table and met with the
+    rest once, at the end.  All of it lies in the shared folder, so it survives the loss of
+    executors.
     """
     spark, names, by = df.sparkSession, df.columns, slice_cols(df)
     place = by + ["row", "col"]
     keys = shared(df, mask, ("grid_id", "row", "col"))
+    around = grid.nx if grid is not None and grid.cyclic else None
+    tile = min(tile, around) if around else tile
     flagged = df.join(mask.select(*keys, "inside"), keys, "left").where(F.col("inside") == 1)
-    inside = cut_lineage(flagged.select(*place, "value"))
+    inside = cut_lineage(flagged.select(*place, F.col("value").cast("double").alias("value")))
+    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in inside.schema if f.name in by)
+    schema = "row int, col int, value double" + (f", {shape}" if by else "")
     holes = inside.where(F.col("value").isNull()).select(*place)
-    rim, done = inside.where(F.col("value").isNotNull()), work_folder(spark, "filled")
-    schema = inside.schema
-    while True:
+    valid, done = inside.where(F.col("value").isNotNull()), []
+    while not holes.isEmpty():
         near = _around(holes, QUEEN, by, grid).select(*by, F.col("nrow").alias("row"), F.col("ncol").alias("col")).distinct()
-        rim = rim.join(near, place, "left_semi")
-        fills = neighbor_mean(rim, holes, grid=grid)
-        whole = F.when(F.col("fill") < 0, F.ceil("fill")).otherwise(F.floor("fill")).cast("double")
-        new = cut_lineage(fills.select(*place, whole.alias("value")))
-        new.write.mode("append").parquet(done)
+        # null-safe keys: a series column may be missing
+        rim = valid.join(near, _same(valid, near, place), "left_semi")
+        cells = rim.unionByName(holes.withColumn("value", F.lit(None).cast("double")))
+        turns = F.explode(F.array(*[F.col("col") + k for k in ((-around, 0, around) if around else (0,))]))
+        steps = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+        sent = cells.withColumn("ncol", turns).withColumn("o", steps)
+        at = lambda c: F.floor(F.col(c) / tile).cast("int")
+        sent = sent.withColumns({"trow": at("row") + F.col("o.i"), "tcol": at("ncol") + F.col("o.j")}).drop("o")
+        asks = holes.select(*by, at("row").alias("trow"), at("col").alias("tcol")).distinct()
+        sent = sent.join(asks, _same(sent, asks, [*by, "trow", "tcol"]), "left_semi")
+        ran = cut_lineage(sent.groupBy(*by, "trow", "tcol").applyInPandas(_rings(tile, by), schema).select(*place, "value"))
+        new = ran.where(F.col("value").isNotNull())
         if new.isEmpty():
             break
-        rim = cut_lineage(rim.unionByName(new))
-        holes = cut_lineage(holes.join(new.select(*place), place, "left_anti"))
-    filled = spark.read.schema(schema).parquet(done).withColumnRenamed("value", "_fill")
-    known = df.join(mask.select(*keys, "inside"), keys, "left").join(filled, place, "left")
+        done.append(new)
+        holes, valid = ran.where(F.col("value").isNull()).select(*place), rim.unionByName(new)
+    filled = inside.limit(0)
+    for new in done:
+        filled = filled.unionByName(new)
+    filled = filled.withColumnRenamed("value", "_fill")
+    known = df.join(mask.select(*keys, "inside"), keys, "left")
+    right = filled.withColumnsRenamed({c: f"_{c}" for c in place})
+    known = known.join(right, _same(known, right, place, "_"), "left")
     return known.withColumn("value", F.when(F.col("inside") == 1, F.coalesce("value", "_fill"))).select(*names)
 
 
+def _same(left: DataFrame, right: DataFrame, names: list[str], mark: str = "") -> Column:
+    """Equal in all of the names, NULL being equal to NULL."""
+    on = F.lit(True)
+    for c in names:
+        on = on & left[c].eqNullSafe(right[mark + c])
+    return on
+
+
 def find_boundary(df: DataFrame, grid: Grid) -> DataFrame:
     """Data cells that touch a missing cell by an edge, in the first timestep of
     each series: the scenarios that carry on a historical series share its boundary.

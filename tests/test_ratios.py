@@ -196,3 +196,46 @@ def test_a_text_raster_of_several_parts(spark, tmp_path):
     assert len(got) == 60 * 70 and {r.month for r in got} == {3}
     assert all(r.value == (None if v[r.row, r.col] == -7 else v[r.row, r.col]) for r in got)
     assert {(r.lat, r.lon) for r in got if (r.row, r.col) == (59, 0)} == {(20.5, 10.5)}
+
+
+def test_a_deep_lake_takes_few_rounds(spark, monkeypatch):
+    """500 cells from the shore: eight tiles of 64, not 500 rounds."""
+    from climgrid.operators import neighbors
+
+    stored = []
+    monkeypatch.setattr(neighbors, "cut_lineage", lambda df, keep=neighbors.cut_lineage: (stored.append(1), keep(df))[1])
+    rows = [(None, 1, r, c, 7.5 if c == 0 else None) for r in range(3) for c in range(520)]
+    df = spark.createDataFrame(rows, "model string, month int, row int, col int, value double")
+    mask = spark.createDataFrame([(r, c, 1) for r in range(3) for c in range(510)], "row int, col int, inside int")
+    out = neighbors.fill_mask_iterative(df, mask).collect()
+    assert len(out) == len(rows) and len(stored) <= 10
+    assert all(x.value == (7.5 if x.col == 0 else 7.0 if x.col < 510 else None) for x in out)
+
+
+@pytest.mark.parametrize("tile", [1, 3, 64])
+@pytest.mark.parametrize("cyclic", [False, True])
+def test_tiles_fill_as_the_whole_grid(spark, tile, cyclic):
+    from climgrid.operators import neighbors
+
+    rng = np.random.default_rng(9)
+    ny, nx = 11, 14
+    v = rng.integers(-50, 50, (ny, nx)).astype(float)
+    v[rng.random((ny, nx)) < 0.9] = np.nan
+    inside = rng.random((ny, nx)) < 0.9
+    want = np.where(inside, v, np.nan)
+    while True:
+        new = want.copy()
+        for r, c in np.argwhere(inside & np.isnan(want)):
+            spots = [(r + i, (c + j) % nx if cyclic else c + j) for i, j in neighbors.QUEEN]
+            some = [want[s] for s in spots if 0 <= s[0] < ny and 0 <= s[1] < nx and not np.isnan(want[s])]
+            if some:
+                new[r, c] = int(sum(some) / len(some))
+        if np.array_equal(new, want, equal_nan=True):
+            break
+        want = new
+    df = spark.createDataFrame([(r, c, None if np.isnan(v[r, c]) else float(v[r, c])) for r in range(ny) for c in range(nx)], "row int, col int, value double")
+    mask = spark.createDataFrame([(r, c, int(inside[r, c])) for r in range(ny) for c in range(nx)], "row int, col int, inside int")
+    got = np.full((ny, nx), np.nan)
+    for x in neighbors.fill_mask_iterative(df, mask, Grid(nx, ny, 0.0, 11.0, 1.0, 1.0, cyclic=cyclic), tile).collect():
+        got[x.row, x.col] = np.nan if x.value is None else x.value
+    np.testing.assert_array_equal(got, want)
