@@ -9,7 +9,8 @@ from checks.registry import CTES, PROJ_PLACE, R, R6, bilinear_sql, fine_place, q
 from climgrid.functions import values
 from climgrid.operators import climate, gaps, neighbors, precip, regrid, select
 from climgrid.plans import delta, policy
-from climgrid.storage import cut_lineage
+from climgrid.sources import sinks
+from climgrid.storage import cut_lineage, work_folder
 
 YMRC = ("year", "month", "row", "col")
 
@@ -132,6 +133,15 @@ def apply_delta_add(spark, sf):
     return climate.apply_delta(_near(spark, sf), cube.baseline(spark, sf), "add").select(*YMRC, "value")
 
 
+@query("apply_delta_bucketed", SAME_CELL.format("b.value + c.value", "tas", "tas"))
+def apply_delta_bucketed(spark, sf):
+    """Series and baseline stored in the same buckets, joined without a shuffle."""
+    a, b = work_folder(spark, "series"), work_folder(spark, "baseline")
+    series = sinks.sink_bucketed(_near(spark, sf).select(*YMRC, "value"), a, 8)
+    base = sinks.sink_bucketed(cube.baseline(spark, sf), b, 8)
+    return climate.apply_delta(series, base, "add").select(*YMRC, "value")
+
+
 @query("apply_delta_mult", SAME_CELL.format("b.value * c.value", "pr", "pr"))
 def apply_delta_mult(spark, sf):
     return climate.apply_delta(_near(spark, sf, "pr"), cube.baseline(spark, sf, "pr"), "mult").select(*YMRC, "value")

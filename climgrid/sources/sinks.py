@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from climgrid.functions.values import rint_places
 from climgrid.schema import present
@@ -52,6 +54,32 @@ def sink_prepped(df: DataFrame, path: str, overwrite: bool = False) -> None:
     sink_grid(df, path, "overwrite" if overwrite else "errorifexists")
 
 
+BUCKET_KEYS = ("month", "row", "col")
+
+
+def sink_bucketed(df: DataFrame, path: str, buckets: int, keys: tuple[str, ...] = BUCKET_KEYS) -> DataFrame:
+    """Parquet in buckets of cells and calendar months, sorted: tables that are laid out alike
+    meet on these keys (and more) without a shuffle, month after month.  Returns the table;
+    ``scan_bucketed`` reads it again."""
+    name = _bucket_table(path)
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    laid = df.repartition(buckets, *keys)  # a file a bucket
+    laid.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def scan_bucketed(spark: SparkSession, path: str, schema: str, buckets: int, keys: tuple[str, ...] = BUCKET_KEYS) -> DataFrame:
+    """A table of ``sink_bucketed``, in any session; Spark must be told how it is laid out."""
+    name, by = _bucket_table(path), ", ".join(keys)
+    place = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{place}'")
+    return spark.table(name)
+
+
+def _bucket_table(path: str) -> str:
+    return f"bucketed_{hashlib.sha1(path.encode()).hexdigest()[:16]}"
+
+
 def sink_with_anomaly(df: DataFrame, path: str, anomaly_path: str | None = None, anomaly: str = "anomaly") -> None:
     """The refined grid and, if wanted, its resampled anomaly.
 

@@ -239,3 +239,28 @@ def test_tiles_fill_as_the_whole_grid(spark, tile, cyclic):
     for x in neighbors.fill_mask_iterative(df, mask, Grid(nx, ny, 0.0, 11.0, 1.0, 1.0, cyclic=cyclic), tile).collect():
         got[x.row, x.col] = np.nan if x.value is None else x.value
     np.testing.assert_array_equal(got, want)
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path):
+    from climgrid.operators import climate
+
+    cells = spark.range(3 * 12 * 40).selectExpr(
+        "cast(2000 + id % 3 AS int) AS year", "cast(1 + floor(id / 3) % 12 AS int) AS month", "cast(floor(id / 36) % 5 AS int) AS row",
+        "cast(floor(id / 180) AS int) AS col", "cast(id AS double) AS value",
+    )
+    base = cells.where("year = 2000").drop("year")
+    sinks.sink_bucketed(cells, str(tmp_path / "a"), 4)
+    sinks.sink_bucketed(base, str(tmp_path / "b"), 4)
+    schema = "month int, row int, col int, value double"
+    spark.sql(f"DROP TABLE {sinks._bucket_table(str(tmp_path / 'b'))}")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        one = sinks.scan_bucketed(spark, str(tmp_path / "a"), f"year int, {schema}", 4)
+        two = sinks.scan_bucketed(spark, str(tmp_path / "b"), schema, 4)
+        out = climate.apply_delta(one, two, "add")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        want = climate.apply_delta(cells, base, "add")
+        assert out.count() == want.count() == 1440 and out.select(want.columns).exceptAll(want).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
