@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from climgrid.grid import Grid
 from climgrid.schema import PLANE, SERIES, TIME, present, shared, slice_cols
-from climgrid.storage import cut_lineage
+from climgrid.storage import cut_lineage, dealt_by
 
 ROOK = ((-1, 0), (0, -1), (0, 1), (1, 0))
 QUEEN = ROOK + ((-1, -1), (-1, 1), (1, -1), (1, 1))
@@ -150,7 +150,7 @@ def fill_mask_iterative(df: DataFrame, mask: DataFrame, grid: Grid | None = None
         sent = sent.withColumns({"trow": at("row") + F.col("o.i"), "tcol": at("ncol") + F.col("o.j")}).drop("o")
         asks = holes.select(*by, at("row").alias("trow"), at("col").alias("tcol")).distinct()
         sent = sent.join(asks, _same(sent, asks, [*by, "trow", "tcol"]), "left_semi")
-        ran = cut_lineage(sent.groupBy(*by, "trow", "tcol").applyInPandas(_rings(tile, by), schema).select(*place, "value"))
+        ran = cut_lineage(dealt_by(sent, *by, "trow", "tcol").groupBy(*by, "trow", "tcol").applyInPandas(_rings(tile, by), schema).select(*place, "value"))
         new = ran.where(F.col("value").isNotNull())
         if new.isEmpty():
             break

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from climgrid.functions.triangulate import delaunay
 from climgrid.grid import Grid
 from climgrid.schema import slice_cols
-from climgrid.storage import cut_lineage
+from climgrid.storage import cut_lineage, dealt_by
 
 CHUNK = 512  # slices of a pattern whose values travel in one array
 BUSIEST = 1500  # points that a tile may hold at the start
@@ -219,13 +219,13 @@ def fill_gaps_triangles(df: DataFrame, grid: Grid) -> DataFrame:
     model = slices.where((F.col("chunk") == 0) & (F.col("pos") == 0))  # one slice of each pattern
     example = _meet(valid, model, by).select("pattern", "row", "col")
     shape = "pattern string, missing boolean, row int, c0 int, c1 int, hole long"
-    spans = cut_lineage(_gap_runs(example, model, grid).groupBy("pattern").applyInPandas(_label(grid), shape))
+    spans = cut_lineage(dealt_by(_gap_runs(example, model, grid), "pattern").groupBy("pattern").applyInPandas(_label(grid), shape))
     cells = lambda missing: spans.where(F.col("missing") == missing).select(
         "pattern", "hole", "row", F.explode(F.sequence("c0", "c1")).alias("col")
     )
     rim = cells(False).distinct()
     corner = _CORNERS.format(k="long")
-    triangles = rim.groupBy("pattern", "hole").applyInPandas(_triangulate, f"{corner}, pattern string, hole long")
+    triangles = dealt_by(rim, "pattern", "hole").groupBy("pattern", "hole").applyInPandas(_triangulate, f"{corner}, pattern string, hole long")
     covered = _covered(triangles, ["pattern", "hole"], grid)
     key = lambda i: F.col(f"row{i}") * grid.nx + F.col(f"col{i}")
     covered = covered.withColumns({f"k{i}": key(i) for i in (1, 2, 3)})
@@ -309,7 +309,7 @@ def _point_triangles(points: DataFrame, grid: Grid, side: float) -> DataFrame:
         own = points.select("pattern", tile("x").alias("tx"), tile("y").alias("ty")).distinct()
         sent = sent.drop("o", "_tx", "_ty").join(own, ["pattern", "tx", "ty"], "left_semi")
         solve = _tile_triangles(grid.dx / least, grid.dy / least, side)
-        found = cut_lineage(sent.groupBy("pattern", "tx", "ty").applyInPandas(solve, shape))
+        found = cut_lineage(dealt_by(sent, "pattern", "tx", "ty").groupBy("pattern", "tx", "ty").applyInPandas(solve, shape))
         rounds.append(found.where(F.col("gx2").isNotNull()).distinct().withColumn("round", F.lit(at)))
         points = found.where(F.col("gx2").isNull()).select(
             "pattern", F.col("gx1").alias("gx"), F.col("gy1").alias("gy"), F.col("col1").alias("x"), F.col("row1").alias("y")

@@ -25,6 +25,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def dealt_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by their keys over all shuffle partitions: for groups of few bytes that
+    stand for much work, which Spark would otherwise merge into one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows as Parquet and go on from there: the plan stays short, what comes
     before runs once, a lost executor costs no recomputation of it, and later steps read

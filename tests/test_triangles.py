@@ -190,3 +190,17 @@ def test_pipelines_take_the_method(spark):
         assert out.where(F.col("value").isNull()).count() == 0
     with pytest.raises(ValueError):
         gaps.fill_gaps(cells, g, "cubes")
+
+
+def test_holes_are_triangulated_by_several_tasks(spark):
+    """Few bytes a hole, but much work: Spark must not merge them into one task."""
+    rows = [(1, r, c, 1.0) for r in range(40) for c in range(40) if (r % 4, c % 4) != (2, 2)]
+    df = spark.createDataFrame(rows, "month int, row int, col int, value double")
+    rim = df.withColumn("pattern", F.lit("p")).withColumn("hole", F.floor(F.col("row") / 4) * 10 + F.floor(F.col("col") / 4))
+    from climgrid.storage import dealt_by
+
+    found = dealt_by(rim, "pattern", "hole").groupBy("pattern", "hole").applyInPandas(
+        triangles._triangulate, triangles._CORNERS.format(k="long") + ", pattern string, hole long"
+    )
+    assert found.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    assert gaps.fill_gaps(df, Grid(40, 40, 0.0, 40.0, 1.0, 1.0), "triangles").where("value = 1").count() == 1600
