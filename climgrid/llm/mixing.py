@@ -1,16 +1,21 @@
 """Mixing sources to target weights by balanced sampling (the cube method).
 
 A source's target over its size is the number of times each of its documents should be
-taken: the whole part is certain, the fraction is an inclusion probability.  A source's
-documents over 2 % of its expected tokens are rounded first, at every size.  The flight
+taken: the whole part is certain, the fraction is an inclusion probability.  The flight
 phase moves the probabilities of three documents at a time along the direction that keeps
-both balances, tokens and documents, until one of them is 0 or 1; it runs in blocks of a
+both balances, tokens and documents, until one of them is 0 or 1.  It goes either way, by
+a seeded draw that keeps what is expected of each document.  It runs in blocks of a
 source, and what is undecided moves on to blocks of the next level, until one block a
-source is left with a dozen small documents: the landing, which is enumerated.
+source is left with a dozen documents: the landing, drawn among the choices nearest to the
+tokens.  Documents over 2 % of a source's expected tokens fly first, among themselves; the
+few of them that stay open are drawn, and the probability of the source's others shifts by
+what that draw put in or left out, so that the landing is one of small documents.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
@@ -22,10 +27,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 BLOCK = 4096
 LANDING = 12
 EDGE = 1e-9
-#: A document over this part of its source's expected tokens is settled before the flight.
+#: Documents over this part of their source's expected tokens fly before the others.
 PART = 0.02
-#: Over the number of such documents of a source that can be taken.
-MOST_TAKEN = 200
 
 
 def source_targets(sizes: dict[str | None, int], weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> dict:
@@ -50,9 +53,10 @@ def source_targets(sizes: dict[str | None, int], weights=WEIGHTS, share: float =
     return {s: float(target[s]) for s in names}
 
 
-def fly(p: np.ndarray, size: np.ndarray, leave: int) -> np.ndarray:
+def fly(p: np.ndarray, size: np.ndarray, leave: int, rng: np.random.Generator) -> np.ndarray:
     """Move probabilities of ordered units, keeping sum(p) and sum(p * size), until at most
-    ``leave`` (two at least) are strictly between 0 and 1."""
+    ``leave`` (two at least) are strictly between 0 and 1.  Of both ways to the next 0 or 1
+    the nearer is the likelier, so that the expected result of each unit is its ``p``."""
     p = p.copy()
     left = int(((p > EDGE) & (p < 1 - EDGE)).sum())
     held: list[int] = []
@@ -65,7 +69,9 @@ def fly(p: np.ndarray, size: np.ndarray, leave: int) -> np.ndarray:
         while len(held) == 3 and left > max(leave, 2):
             a, b, c = (size[j] for j in held)
             way = (b - c, c - a, a - b) if (a != b or b != c) else (1.0, -1.0, 0.0)
-            step = min((1 - p[j]) / w if w > 0 else p[j] / -w for j, w in zip(held, way) if w)
+            on = min((1 - p[j]) / w if w > 0 else p[j] / -w for j, w in zip(held, way) if w)
+            back = min(p[j] / w if w > 0 else (1 - p[j]) / -w for j, w in zip(held, way) if w)
+            step = on if rng.random() * (on + back) < back else -back
             for j, w in zip(held, way):
                 p[j] += step * w
             still = [j for j in held if EDGE < p[j] < 1 - EDGE]
@@ -75,61 +81,83 @@ def fly(p: np.ndarray, size: np.ndarray, leave: int) -> np.ndarray:
     return p
 
 
-def settle_large(classes, p: float, total: float, part: float = PART) -> tuple[float, list[tuple[int, int]]]:
-    """Round the units of a source, largest first, that hold over ``part`` of its expected
-    tokens, and shift the probability of the others so that the tokens stay as expected.
+def _choices(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All 0/1 choices of at most ``LANDING`` units, and the probability of each."""
+    choice = (np.arange(1 << len(p))[:, None] >> np.arange(len(p))) & 1
+    return choice.astype(float), np.where(choice, p, 1 - p).prod(axis=1)
 
-    ``classes``: (size, number of units) of those units; all units of the source, of
-    ``total`` tokens, have the probability ``p``.  Gives the probability of the others, and
-    (size, number of units taken) where some are: a hundred units in all at most, for one
-    is taken only while the open units hold less than twice what is expected of them.
 
-    The small documents of a landing could not make up for such a unit."""
-    expected = p * total
-    least, taken = part * expected, {}
-    for size, units in sorted(classes, reverse=True):
-        if size <= least:
-            break
-        while units:
-            if p > 0.5:
-                taken[size] = taken.get(size, 0) + 1
-                expected, n = expected - size, 1
-            else:  # at once all that are not taken before p is over a half
-                n = min(units, int((total - 2 * expected) // size) + 1) if expected > 0 else units
-            total, units = total - n * size, units - n
-            p = min(max(expected / total, 0.0), 1.0) if total > 0 else 0.0
-    return p, sorted(taken.items())
+def _drawn(choice: np.ndarray, weight: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    total = np.cumsum(weight)
+    return choice[min(int(np.searchsorted(total, rng.random() * total[-1], side="right")), len(choice) - 1)]
+
+
+def land(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """A 0/1 choice for at most ``LANDING`` units, drawn by its probability among those that
+    miss the tokens by no more than the smallest unit holds, and the count by no more than
+    one unit; where there is none, among the nearest."""
+    choice, weight = _choices(p)
+    for off, slack in ((np.abs(choice @ size - p @ size), size.min()), (np.abs(choice.sum(axis=1) - p.sum()), 1.0)):
+        near = off[weight > 0].min()
+        weight = np.where(off <= max(near, slack), weight, 0.0)
+    return _drawn(choice, weight, rng)
 
 
-def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The 0/1 choice for at most ``LANDING`` units nearest to the token total, then to the
-    count; the first of equals."""
-    n = len(p)
-    choice = (np.arange(1 << n)[:, None] >> np.arange(n)) & 1
-    off = np.abs(choice @ size - p @ size)
-    count = np.abs(choice.sum(axis=1) - p.sum())
-    return choice[np.lexsort((count, off))[0]].astype(float)
+def settle(p: np.ndarray, size: np.ndarray, others: float, rest: float, rng: np.random.Generator) -> tuple[np.ndarray, float]:
+    """The 0/1 choice for the open large units of a source, and the probability of its other
+    units that makes up for it: they hold ``rest`` tokens and have the probability ``others``.
 
+    Where the others can make up for any choice, each unit is taken with its probability.
+    Else the choice is drawn among those that bring the source nearest to its tokens."""
+    choice, weight = _choices(p)
+    off = choice @ size - p @ size
+    miss = np.maximum(np.maximum(off - others * rest, -off - (1 - others) * rest), 0.0)
+    if miss.any():
+        taken = _drawn(choice, np.where(miss <= miss.min() + EDGE, weight, 0.0), rng)
+    else:
+        taken = (rng.random(len(p)) < fly(p, size, 2, rng)).astype(float)
+    shift = (taken @ size - p @ size) / rest if rest else 0.0
+    return taken, float(min(max(others - shift, 0.0), 1.0))
 
-def _settled(pdf: pd.DataFrame) -> pd.DataFrame:
-    p, taken = settle_large(zip(pdf["size"].tolist(), pdf["units"].tolist()), float(pdf["p"].iloc[0]), float(pdf["source_size"].iloc[0]))
-    return pd.DataFrame({"source": [pdf["source"].iloc[0]], "p": [p], "sizes": [[z for z, _ in taken]], "units": [[n for _, n in taken]]})
 
+def _generator(*names) -> np.random.Generator:
+    return np.random.default_rng(zlib.crc32(repr(names).encode()))
 
-def _move(leave: int, final: bool):
+
+def _move(leave: int, final: bool, *names):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        rng = _generator(*names, pdf["source"].iloc[0], int(pdf["block"].iloc[0]))
         pdf = pdf.sort_values(["size", "doc_id", "copy"], ascending=[False, True, True], kind="stable")
         size, p = pdf["size"].to_numpy(float), pdf["p"].to_numpy(float)
-        p = fly(p, size, leave)
+        p = fly(p, size, leave, rng)
         if final:
             open_ = np.flatnonzero((p > 0) & (p < 1))
             if len(open_):
-                p[open_] = land(p[open_], size[open_])
+                p[open_] = land(p[open_], size[open_], rng)
         return pdf.assign(p=p)
 
     return run
 
 
+def _flown(now: DataFrame, count: int, block: int, name: str, seed: int, final: bool) -> tuple[list[DataFrame], DataFrame]:
+    """Decided units and, unless ``final``, a dozen open ones a source at most; ``count`` is
+    the number of units of the largest source."""
+    decided, level = [], 0
+    shape = "doc_id long, copy int, source string, size long, p double, block long"
+    while True:
+        blocks = max(1, -(-count // block))
+        spread = F.pmod(F.xxhash64(_null_id("doc_id"), "copy", F.lit(level)), F.lit(blocks))
+        last = blocks == 1
+        move = _move(LANDING if last else 2, last and final, seed, name, level)
+        moved = written(now.withColumn("block", spread).groupBy("source", "block").applyInPandas(move, shape).drop("block"), f"{name}{level}")
+        decided.append(moved.where("p = 0 or p = 1"))
+        now = moved.where("p > 0 and p < 1")
+        if last:
+            return decided, now
+        # two undecided units a block and source at most
+        count, level = 2 * blocks, level + 1
+
+
 def _null_id(c: str):
     return F.coalesce(F.col(c), F.lit(-(1 << 63)))
 
@@ -141,19 +169,20 @@ def _key() -> list:
     return [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words.cast("long").alias("size")]
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, block: int = BLOCK) -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, block: int = BLOCK, seed: int = 0) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` and ``copies`` of every document.
 
     ``size`` is the number of words (null text: 0), ``taken`` the words the mix takes of
     the document, repeats counted.  The table of sources, one row each, is the
     specification of the mix and goes through the driver.  Repeated rows are documents of
-    their own.  Documents without words are taken 0 times; an empty table gives none.
+    their own.  Documents without words are taken 0 times; an empty table gives none.  Equal
+    ``seed``, equal mix; over the seeds each document is taken as often as its source asks.
     """
     sized = written(docs.select(*_key()), "sizes")
-    return _mix_sized(sized, weights, share, most, block)
+    return _mix_sized(sized, weights, share, most, block, seed)
 
 
-def _mix_sized(sized: DataFrame, weights, share: float, most: float, block: int) -> DataFrame:
+def _mix_sized(sized: DataFrame, weights, share: float, most: float, block: int, seed: int) -> DataFrame:
     spark = sized.sparkSession
     per = {r["source"]: r["size"] for r in sized.groupBy("source").agg(F.sum("size").alias("size")).collect()}
     target = source_targets(per, weights, share, most)
@@ -168,33 +197,26 @@ def _mix_sized(sized: DataFrame, weights, share: float, most: float, block: int)
     units = groups.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     open_ = (F.col("size") > 0) & (F.col("p") > EDGE)
     large = F.col("size") > PART * (F.col("p") * F.col("source_size"))
-    # one row a source that has large documents, with the few of them that are taken
-    found = base.where(open_ & large).groupBy("source", "size", "p", "source_size").agg(F.count("*").alias("units"))
-    settled = found.groupBy("source").applyInPandas(_settled, "source string, p double, sizes array<long>, units array<long>").collect()
-    others = spark.createDataFrame([(r["source"], r["p"]) for r in settled], "_s string, _p double")
-    ones = spark.createDataFrame([(r["source"], z, n) for r in settled for z, n in zip(r["sizes"], r["units"])], "_s string, _z long, _n long")
+    counts = units.where(open_).groupBy("source").agg(
+        F.max("p").alias("p"), F.count_if(large).alias("large"), F.count_if(~large).alias("small"), F.sum(F.when(~large, F.col("size"))).alias("rest")
+    ).collect()
+    key, ones, shifts, decided = ["doc_id", "copy", "source", "size"], [], [], []
+    if any(r["large"] for r in counts):
+        decided, left = _flown(units.where(open_ & large).select(*key, "p"), max(r["large"] for r in counts), block, "large", seed, False)
+        heads: dict = {}
+        for r in left.orderBy(F.desc("size"), "doc_id", "copy").collect():  # a dozen a source at most
+            heads.setdefault(r["source"], []).append(r)
+        source = {r["source"]: r for r in counts}
+        for s, rows in heads.items():
+            p, size = (np.array([r[c] for r in rows], float) for c in ("p", "size"))
+            taken, others = settle(p, size, source[s]["p"], float(source[s]["rest"] or 0), _generator(seed, "settle", s))
+            ones += [(*(r[c] for c in key), float(t)) for r, t in zip(rows, taken)]
+            shifts.append((s, others))
+    decided.append(spark.createDataFrame(ones, "doc_id long, copy int, source string, size long, p double"))
+    others = spark.createDataFrame(shifts, "_s string, _p double")
     shifted = units.where(open_ & ~large).join(F.broadcast(others), F.col("source").eqNullSafe(F.col("_s")), "left")
-    flying = shifted.select("doc_id", "copy", "source", "size", F.coalesce("_p", "p").alias("p"))
-    heads = units.where(open_ & large).join(F.broadcast(ones), F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")))
-    place = F.row_number().over(Window.partitionBy("source", "size").orderBy("doc_id", "copy"))
-    # the constant bound lets each task leave all but its first rows of a size
-    heads = heads.withColumn("_r", place).where(F.col("_r") <= MOST_TAKEN).where(F.col("_r") <= F.col("_n"))
-    heads = heads.select("doc_id", "copy", "source", "size", F.lit(1.0).alias("p"))
-    count = flying.groupBy("source").count().agg(F.max("count")).first()[0] or 0
-    now, decided, level = flying, [heads], 0
-    shape = "doc_id long, copy int, source string, size long, p double, block long"
-    while True:
-        blocks = max(1, -(-count // block))
-        spread = F.pmod(F.xxhash64(_null_id("doc_id"), "copy", F.lit(level)), F.lit(blocks))
-        last = blocks == 1
-        moved = now.withColumn("block", spread).groupBy("source", "block").applyInPandas(_move(LANDING if last else 2, last), shape)
-        moved = written(moved.drop("block"), f"flight{level}")
-        decided.append(moved.where("p = 0 or p = 1"))
-        now = moved.where("p > 0 and p < 1")
-        if last:
-            break
-        # two undecided units a block and source at most
-        count, level = 2 * blocks, level + 1
+    flying = shifted.select(*key, F.coalesce("_p", "p").alias("p"))
+    decided += _flown(flying, max((r["small"] for r in counts), default=0), block, "flight", seed, True)[0]
     chosen = decided[0]
     for part in decided[1:]:
         chosen = chosen.union(part)

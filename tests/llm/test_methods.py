@@ -93,7 +93,7 @@ def test_flight_keeps_both_balances():
     rng = np.random.default_rng(4)
     for n in (3, 10, 500):
         p, size = rng.random(n), rng.integers(1, 900, n).astype(float)
-        out = mixing.fly(p, size, 2)
+        out = mixing.fly(p, size, 2, rng)
         assert ((out > 0) & (out < 1)).sum() <= 2
         assert abs(out.sum() - p.sum()) < 1e-6 and abs(out @ size - p @ size) < 1e-3
 
@@ -123,17 +123,39 @@ def test_large_documents_are_settled_beside_a_hot_source(spark):
             assert abs(r["sum(taken)"] / r["max(target)"] - 1) < 0.01, (block, r)
 
 
-def test_settling_keeps_the_expected_tokens():
+def test_each_document_is_taken_as_often_as_expected():
+    """Flight and landing over many seeds: both balances hold in each, probabilities on average."""
     rng = np.random.default_rng(12)
-    for p in (0.0004, 0.03, 0.4, 0.5, 0.7, 0.98):
-        size = np.sort(np.round(rng.lognormal(4, 2, 5000)) + 1)[::-1]
-        least = 0.02 * p * size.sum()
-        z, n = np.unique(size[size > least], return_counts=True)
-        rest, taken = mixing.settle_large(zip(z, n), p, size.sum())
-        got = sum(a * b for a, b in taken) + rest * size[size <= least].sum()
-        assert sum(b for _, b in taken) <= 100 and all(b <= n[z == a] for a, b in taken)
-        assert rest in (0, 1) or abs(got / (p * size.sum()) - 1) < 1e-9
-    assert mixing.settle_large([(7, 10**12)], 49e-12, 7e12) == (0.0, [(7, 49)])
+    for p in (np.full(12, 0.5), np.full(60, 0.3), rng.uniform(0.05, 0.95, 60)):
+        size = np.sort(rng.integers(10, 400, len(p)).astype(float))[::-1]
+        mean, n = np.zeros(len(p)), 3000
+        for _ in range(n):
+            x = mixing.fly(p, size, mixing.LANDING, rng)
+            still = np.flatnonzero((x > 0) & (x < 1))
+            x[still] = mixing.land(x[still], size[still], rng)
+            assert set(x) <= {0.0, 1.0}
+            assert abs(x @ size - p @ size) <= max(size[still], default=0) and abs(x.sum() - p.sum()) < 3
+            mean += x / n
+        assert np.abs(mean - p).max() < 0.06
+
+
+def test_others_make_up_for_large_documents():
+    rng = np.random.default_rng(13)
+    p, size = np.array([0.3, 0.3, 0.8]), np.array([900.0, 700.0, 500.0])
+    drawn = [mixing.settle(p, size, 0.4, 9000.0, rng) for _ in range(4000)]
+    assert all(abs(x @ size + others * 9000 - (p @ size + 3600)) < 1e-6 for x, others in drawn)
+    assert np.abs(np.mean([x for x, _ in drawn], axis=0) - p).max() < 0.04
+    assert abs(np.mean([others for _, others in drawn]) - 0.4) < 0.01
+    # what the others cannot make up for is not drawn: of 1000 tokens wanted one document has 3000
+    assert all(mixing.settle(np.array([0.25]), np.array([3000.0]), 0.25, 1000.0, rng)[0].tolist() == [0.0] for _ in range(50))
+    assert mixing.settle(np.array([0.6, 0.2]), np.array([10.0, 4.0]), 0.0, 0.0, rng)[0].tolist() == [0.0, 1.0]
+
+
+def test_a_mix_follows_its_seed(spark):
+    rows = [(i, f"s{i % 2}", "w " * (20 + i * 7 % 90)) for i in range(400)] + [(900 + i, "s1", "w " * 4000) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    taken = lambda seed, n: sorted(map(tuple, mixing.mix(docs.repartition(n), seed=seed, block=128).collect()))
+    assert taken(0, 2) == taken(0, 5) != taken(1, 2)
 
 
 def test_rules_find_a_conjunction():
