@@ -6,7 +6,7 @@ phase moves the probabilities of three documents at a time along the direction t
 both balances, tokens and documents, until one of them is 0 or 1.  It goes either way, by
 a seeded draw that keeps what is expected of each document.  It runs in blocks of a
 source, and what is undecided moves on to blocks of the next level, until one block a
-source is left with a dozen documents: the landing, drawn among the choices nearest to the
+source is left with a dozen documents: the landing, drawn among the choices near to the
 tokens.  Documents over 2 % of a source's expected tokens fly first, among themselves; the
 few of them that stay open are drawn, and the probability of the source's others shifts by
 what that draw put in or left out, so that the landing is one of small documents.
@@ -92,15 +92,28 @@ def _drawn(choice: np.ndarray, weight: np.ndarray, rng: np.random.Generator) ->
     return choice[min(int(np.searchsorted(total, rng.random() * total[-1], side="right")), len(choice) - 1)]
 
 
+def _fitted(choice: np.ndarray, weight: np.ndarray, p: np.ndarray, rounds: int = 60) -> np.ndarray:
+    """Weights of the choices, unit by unit made to give each unit its probability."""
+    for _ in range(rounds):
+        if np.abs(weight @ choice / weight.sum() - p).max() < 1e-3:
+            break
+        for x, want in zip(choice.T, p):
+            got = weight @ x / weight.sum()
+            if EDGE < got < 1 - EDGE:
+                weight = weight * np.where(x, want / got, (1 - want) / (1 - got))
+    return weight
+
+
 def land(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """A 0/1 choice for at most ``LANDING`` units, drawn by its probability among those that
-    miss the tokens by no more than the smallest unit holds, and the count by no more than
-    one unit; where there is none, among the nearest."""
+    """A 0/1 choice for at most ``LANDING`` units, drawn so that each unit keeps its
+    probability.  No choice misses the tokens by more than the largest unit holds (or as
+    little as can be); the nearer to the tokens and the count, the likelier."""
     choice, weight = _choices(p)
-    for off, slack in ((np.abs(choice @ size - p @ size), size.min()), (np.abs(choice.sum(axis=1) - p.sum()), 1.0)):
-        near = off[weight > 0].min()
-        weight = np.where(off <= max(near, slack), weight, 0.0)
-    return _drawn(choice, weight, rng)
+    tokens, count = np.abs(choice @ size - p @ size), np.abs(choice.sum(axis=1) - p.sum())
+    near = tokens <= max(tokens.min(), size.max())
+    choice, tokens, count = choice[near], tokens[near], count[near]
+    weight = weight[near] * np.exp(-(tokens - tokens.min()) / size.mean() - count)
+    return _drawn(choice, _fitted(choice, weight, p), rng)
 
 
 def settle(p: np.ndarray, size: np.ndarray, others: float, rest: float, rng: np.random.Generator) -> tuple[np.ndarray, float]:
