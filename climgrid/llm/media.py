@@ -1,7 +1,8 @@
 """Bytes as grey PNG images in a binary column, with perceptual hashes.
 
 The PNG container is written and read here: chunks with their CRC-32 tests, zlib data, and
-the five line filters undone with numpy.  The hash keeps the signs of the low frequencies
+the five line filters undone with numpy.  Each line is stored under the filter that leaves
+the least sum of absolute differences.  The hash keeps the signs of the low frequencies
 of a cosine transform of the image, scaled to 32 x 32.
 """
 
@@ -22,6 +23,8 @@ SIGNATURE = b"\x89PNG\r\n\x1a\n"
 WIDTH = 64
 SIDE, LOW = 32, 8
 CHUNK = 1 << 20
+#: Filters that a stored line is tried under; the first of equals.
+FILTERS = (0, 1, 2)
 
 
 def _chunk(kind: bytes, data: bytes) -> bytes:
@@ -44,39 +47,60 @@ def _paeth(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.where((pa_ <= pb) & (pa_ <= pc), a, np.where(pb <= pc, b, c))
 
 
-def encode_png(data: bytes | np.ndarray, width: int = WIDTH, filter_kind: int = 0, level: int = 6) -> bytes:
+def filtered(rows: np.ndarray, filters: tuple[int, ...] = FILTERS) -> np.ndarray:
+    """Lines with their filter in front: that of the least sum of absolute differences."""
+    tried = [_predicted(kind, rows) for kind in filters]
+    # differences are bytes around 0: 255 is one below it
+    sums = np.stack([np.minimum(x, -x).sum(axis=1, dtype=np.int64) for x in tried])
+    best = sums.argmin(axis=0)
+    lines = np.empty((len(rows), rows.shape[1] + 1), np.uint8)
+    lines[:, 0] = np.array(filters, np.uint8)[best]
+    for i, x in enumerate(tried):
+        lines[best == i, 1:] = x[best == i]
+    return lines
+
+
+def encode_png(data: bytes | np.ndarray, width: int = WIDTH, filters: tuple[int, ...] = FILTERS, level: int = 6) -> bytes:
     """A grey 8-bit PNG whose pixels are ``data``, a multiple of ``width`` bytes."""
-    rows = np.frombuffer(data, np.uint8).reshape(-1, width)
-    lines = np.empty((len(rows), width + 1), np.uint8)
-    lines[:, 0], lines[:, 1:] = filter_kind, _predicted(filter_kind, rows) if filter_kind else rows
+    lines = filtered(np.frombuffer(data, np.uint8).reshape(-1, width), filters)
     body = zlib.compress(lines.tobytes(), level)
     parts = [_chunk(b"IDAT", body[i : i + CHUNK]) for i in range(0, len(body), CHUNK)]
-    return b"".join([SIGNATURE, _chunk(b"IHDR", struct.pack(">IIBBBBB", width, len(rows), 8, 0, 0, 0, 0)), *parts, _chunk(b"IEND", b"")])
+    return b"".join([SIGNATURE, _chunk(b"IHDR", struct.pack(">IIBBBBB", width, len(lines), 8, 0, 0, 0, 0)), *parts, _chunk(b"IEND", b"")])
+
+
+def _undo_diagonals(kinds: np.ndarray, rows: np.ndarray, above: np.ndarray) -> None:
+    """Undo lines of the filters 3 and 4 in place.  A pixel needs those to its left, above
+    and between, so that all pixels of one anti-diagonal are undone together."""
+    height, width = rows.shape
+    full = np.zeros((height + 1, width + 1), np.uint8)  # a line above, a column to the left
+    full[0, 1:] = above
+    for d in range(height + width - 1):
+        r = np.arange(max(0, d - width + 1), min(height, d + 1))
+        c = d - r
+        left, up, corner = full[r + 1, c], full[r, c + 1], full[r, c]
+        mean = ((left.astype(np.uint16) + up) >> 1).astype(np.uint8)
+        full[r + 1, c + 1] = rows[r, c] + np.where(kinds[r] == 3, mean, _paeth(left, up, corner))
+    rows[:] = full[1:, 1:]
 
 
 def unfilter(lines: np.ndarray) -> np.ndarray:
-    """Pixels of filtered lines whose first byte names the filter; runs of one filter that
-    does not look left are undone together."""
+    """Pixels of filtered lines whose first byte names the filter.  Lines that only look left
+    are undone all at once, then runs of those that look up together."""
     kinds, rows = lines[:, 0], lines[:, 1:].copy()
-    edges = np.flatnonzero(np.diff(kinds.astype(np.int16), prepend=-1, append=-1))
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        kind = int(kinds[a])
-        if kind == 1:
-            np.add.accumulate(rows[a:b], axis=1, dtype=np.uint8, out=rows[a:b])
-        elif kind == 2:
+    if len(kinds) and kinds.max() > 4:
+        raise ValueError(f"unknown filter {kinds.max()}")
+    sub = kinds == 1
+    rows[sub] = np.add.accumulate(rows[sub], axis=1, dtype=np.uint8)
+    group = np.minimum(kinds, 3)  # averages and Paeth lines go together
+    edges = np.flatnonzero(np.diff(group.astype(np.int16), prepend=-1, append=-1))
+    none = np.zeros(rows.shape[1], np.uint8)
+    for a, b, kind in zip(edges[:-1].tolist(), edges[1:].tolist(), group[edges[:-1]].tolist()):
+        if kind == 2:
             if a:
                 rows[a] += rows[a - 1]
             np.add.accumulate(rows[a:b], axis=0, dtype=np.uint8, out=rows[a:b])
-        elif kind > 4:
-            raise ValueError(f"unknown filter {kind}")
-        elif kind:
-            for r in range(a, b):
-                up = rows[r - 1] if r else np.zeros(rows.shape[1], np.uint8)
-                left = corner = np.uint8(0)
-                for c in range(rows.shape[1]):
-                    guess = (int(left) + int(up[c])) >> 1 if kind == 3 else int(_paeth(*map(np.asarray, (left, up[c], corner))))
-                    left, corner = np.uint8(int(rows[r, c]) + guess & 255), up[c]
-                    rows[r, c] = left
+        elif kind == 3:
+            _undo_diagonals(kinds[a:b], rows[a:b], rows[a - 1] if a else none)
     return rows
 
 

@@ -176,15 +176,28 @@ def test_discriminant_separates_a_ring_from_its_middle():
     assert ((score > 0.5) == y).mean() > 0.95
 
 
-@pytest.mark.parametrize("kind", range(5))
-def test_png_filters(kind):
+@pytest.mark.parametrize("kinds", [(0,), (1,), (2,), (3,), (4,), (0, 1, 2), (0, 1, 2, 3, 4), (4, 3, 1)])
+def test_png_filters(kinds):
     rng = np.random.default_rng(9)
-    for height in (1, 2, 70):
-        x = rng.integers(0, 256, (height, 64), dtype=np.uint8)
-        png = media.encode_png(x.tobytes(), filter_kind=kind)
-        assert (media.decode_png(png) == x).all()
-        with pytest.raises(ValueError):
-            media.decode_png(png[:60] + bytes([png[60] ^ 1]) + png[61:])
+    for height in (1, 2, 70, 300):
+        noise = rng.integers(0, 256, (height, 64), dtype=np.uint8)
+        across, down = (np.add.accumulate(rng.integers(0, 7, (height, 64), dtype=np.uint8), axis=i, dtype=np.uint8) for i in (1, 0))
+        mixed = np.where(rng.random((height, 1)) < 0.5, np.where(rng.random((height, 1)) < 0.5, across, noise), down)
+        for x in (noise, across, down, mixed):
+            lines = media.filtered(x, kinds)
+            assert set(lines[:, 0]) <= set(kinds)
+            each = [media._predicted(k, x).view(np.int8).astype(int) for k in kinds]
+            least = np.min([np.abs(e).sum(axis=1) for e in each], axis=0)
+            assert (np.abs(lines[:, 1:].view(np.int8).astype(int)).sum(axis=1) == least).all()
+            png = media.encode_png(x.tobytes(), filters=kinds)
+            assert (media.decode_png(png) == x).all()
+            with pytest.raises(ValueError):
+                media.decode_png(png[:60] + bytes([png[60] ^ 1]) + png[61:])
+
+
+def test_stored_texts_are_filtered():
+    lines = media.filtered(np.frombuffer(media.padded(b"words of a text, and others of it " * 40), np.uint8).reshape(-1, 64))
+    assert (lines[:, 0] > 0).mean() > 0.9
 
 
 def test_archives_and_token_files_are_read_a_task_a_file(spark, tmp_path):
