@@ -1,8 +1,8 @@
 """Language identification: nearest of several centroids a language, by cosine.
 
 A text is a vector of hashed letter n-grams, square roots of counts weighted by inverse
-document frequency and normalised.  The learned texts of a language are clustered
-(spherical k-means) into a few centroids; a text gets the language of the nearest one and
+document frequency and normalised; document frequencies count all learned documents.  A
+bounded sample of the texts of each language is clustered (spherical k-means) into a few centroids; a text gets the language of the nearest one and
 is rejected when that is farther than nearly all learned texts of the language were.
 """
 
@@ -89,10 +89,16 @@ def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c
 
 
-def train(x: np.ndarray, labels: list[str], k: int, quantile: float = 0.999) -> Model:
+def inverse_frequency(holding: np.ndarray, texts: int) -> np.ndarray:
+    """Weight of each n-gram that ``holding`` of ``texts`` documents hold."""
+    return (np.log((1 + texts) / (1 + holding)) + 1).astype(np.float32)
+
+
+def train(x: np.ndarray, labels: list[str], k: int, idf: np.ndarray | None = None, quantile: float = 0.999) -> Model:
+    """Centroids of the rows ``x``; ``idf`` from these alone where it is not given."""
     languages = sorted(set(labels))
     mark = np.array([languages.index(v) for v in labels])
-    idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1).astype(np.float32)
+    idf = inverse_frequency((x > 0).sum(axis=0), len(x)) if idf is None else idf
     unit = Model(languages, idf, x[:0], mark[:0], mark[:0]).weigh(x)
     parts = [cluster(unit[mark == i], k) for i in range(len(languages))]
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
@@ -108,23 +114,50 @@ def _count_rows(batches):
         yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), flat, pa.array(has)], names=["doc_id", "lang", "x", "has"])
 
 
+def _holding(batches):
+    """How many texts of the task hold each n-gram; at the last place, how many there are."""
+    total = np.zeros(DIMENSIONS + 1, np.int64)
+    for part in slices(batches, most=1 << 19):
+        for at in range(0, part.num_rows, 256):
+            x, has = counts(part.column("text").slice(at, 256))
+            total[:-1] += np.count_nonzero(x if has.all() else x[has], axis=0)
+            total[-1] += has.sum()
+    held = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["gram", "texts"])
+
+
+def document_frequencies(docs: DataFrame) -> np.ndarray:
+    """Of all texts with a letter: how many hold each hashed n-gram, and how many there are.
+    Tasks count; their sums, one row an n-gram at most, come to the driver."""
+    rows = docs.select("text").mapInArrow(_holding, "gram long, texts long").groupBy("gram").agg(F.sum("texts").alias("texts")).toArrow()
+    out = np.zeros(DIMENSIONS + 1, np.int64)
+    out[rows.column("gram").to_numpy()] = rows.column("texts").to_numpy()
+    return out
+
+
 def fit(docs: DataFrame, fit_rows: int = 1200, k: int = 4) -> Model | None:
-    """Learn from at most ``fit_rows`` texts, as many of every language, those of smallest
-    hashed doc_id.  Null languages, texts and ids are left out; nothing left: no model."""
+    """Learn document frequencies from all texts and centroids from at most ``fit_rows`` of
+    them, as many of every language (of more languages, one each of the ``fit_rows`` most
+    frequent), those of smallest hashed doc_id.  Null languages, texts and ids are left out;
+    nothing left: no model."""
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     known = docs.where("lang is not null and doc_id is not null and text is not null")
-    counts_ = known.groupBy("lang").agg(F.count("*").alias("rows"))
-    each = max(1, fit_rows // max(1, counts_.count()))
-    light = known.select("doc_id", "lang").join(counts_, "lang")
-    few = light.where(under_share(F.col("doc_id"), F.col("rows"), F.lit(each))).drop("rows")
+    sizes = known.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(fit_rows).collect()
+    if not sizes:
+        return None
+    each = max(1, fit_rows // len(sizes))
+    # a bounded map of languages: rows are left out before anything is dealt by language
+    rows_of = F.create_map(*[F.lit(v) for r in sizes for v in (r["lang"], r["rows"])])[F.col("lang")]
+    few = known.select("doc_id", "lang").where(rows_of.isNotNull() & under_share(F.col("doc_id"), rows_of, F.lit(each)))
     chosen = few.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= each)
     sample = known.select("doc_id", "lang", "text").join(F.broadcast(chosen.drop("_n")), ["doc_id", "lang"])
     rows = sample.mapInArrow(_count_rows, "doc_id long, lang string, x array<float>, has boolean").where("has").toArrow()
     if not rows.num_rows:
         return None
+    held = document_frequencies(known)
     rows = rows.sort_by([("lang", "ascending"), ("doc_id", "ascending")]).combine_chunks()
     x = rows.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, DIMENSIONS)
-    return train(x, rows.column("lang").to_pylist(), k)
+    return train(x, rows.column("lang").to_pylist(), k, inverse_frequency(held[:-1], int(held[-1])))
 
 
 def _predict(model: Model | None, reject: bool):

@@ -6,6 +6,8 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from climgrid.llm import (
@@ -153,6 +155,19 @@ def test_language(docs, empty):
     assert language.identify(empty, model).count() == 0
 
 
+def test_language_counts_all_documents(spark):
+    rows = [(i, f"l{i % 5}", f"{'abcde'[i % 5] * 3} word {i}") for i in range(400)] + [(None, "l0", "no id"), (1, None, "no language"), (2, "l1", "12")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(7)
+    held = language.document_frequencies(docs)
+    x, has = language.counts(pa.array([t for _, _, t in rows]))
+    assert held[-1] == has.sum() == len(rows) - 1 and (held[:-1] == (x[has] > 0).sum(axis=0)).all()
+    known = np.array([i is not None and v is not None for i, v, _ in rows]) & has
+    want = language.inverse_frequency((x[known] > 0).sum(axis=0), int(known.sum()))
+    for most in (20, 3):  # fewer rows than documents, and than languages
+        model = language.fit(docs, fit_rows=most)
+        assert (model.idf == want).all() and len(model.languages) == min(5, most) and len(model.centroids) <= most
+
+
 def test_quality_score(docs, labels, empty):
     model = quality_score.fit(docs, labels)
     out = quality_score.score(docs, model).collect()
