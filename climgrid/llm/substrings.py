@@ -8,6 +8,9 @@ Stretches agree by one key of their words; of each kind, those of its first docu
 extended window by window as well, since parts of a stretch may repeat too.  Extensions
 agree by key, not pair by pair: an anchor of thousands of documents costs a row each.
 Overlapping repeats join into maximal spans.
+
+Texts are dealt by doc_id, and places in them carry the hash ``row`` of their text: rows of
+one doc_id with different texts are told apart, while only the ids decide which is smaller.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from climgrid.llm.store import meet, written
 from climgrid.llm.text import gram_hashes, mix, slices, text_buffer, word_hashes, word_spans
@@ -67,10 +70,11 @@ def _stretches(window: int, k: int):
     def run(batches):
         for part in slices(batches):
             none = np.empty(0, np.int64)
-            ids, at, size, key = [none], [none], [none], [np.empty(0, np.uint64)]
-            doc, seeds = part.column("doc_id").to_pylist(), part.column("seeds")
+            ids, rows, at, size, key = [none], [none], [none], [none], [np.empty(0, np.uint64)]
+            doc, own, seeds = part.column("doc_id").to_pylist(), part.column("row").to_numpy(), part.column("seeds")
             for row, _, _, _, words in _each(part):
-                if not seeds[row].is_valid:
+                # the seeds are those of all texts of the doc_id
+                if not seeds[row].is_valid or len(words) < window:
                     continue
                 grams = gram_hashes(words, k)
                 chosen = choices(grams, span)
@@ -84,8 +88,9 @@ def _stretches(window: int, k: int):
                 at.append(begin)
                 size.append(ends - begin + 1)
                 ids.append(np.full(len(begin), doc[row]))
+                rows.append(np.full(len(begin), own[row]))
             yield pa.RecordBatch.from_arrays(
-                [np.concatenate(key).view(np.int64), *(np.concatenate(x) for x in (ids, at, size))], names=["key", "doc_id", "at", "n"]
+                [np.concatenate(key).view(np.int64), *(np.concatenate(x) for x in (ids, rows, at, size))], names=["key", "doc_id", "row", "at", "n"]
             )
 
     return run
@@ -96,24 +101,30 @@ def _windows(window: int):
 
     def run(batches):
         for part in slices(batches):
-            ids, at, key = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
-            doc, leads = part.column("doc_id").to_pylist(), part.column("leads")
+            none = np.empty(0, np.int64)
+            ids, rows, at, key = [none], [none], [none], [np.empty(0, np.uint64)]
+            doc, own, leads = part.column("doc_id").to_pylist(), part.column("row").to_numpy(), part.column("leads")
             for row, _, _, _, words in _each(part):
-                if leads[row].is_valid and len(leads[row]):
-                    begin, n = _fields(leads[row])
+                begin, n = _fields(leads[row], own[row])
+                if len(begin):
                     at.append(np.repeat(begin - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()))
                     key.append(gram_hashes(words, window, 1)[at[-1]])
                     ids.append(np.full(len(at[-1]), doc[row]))
+                    rows.append(np.full(len(at[-1]), own[row]))
             yield pa.RecordBatch.from_arrays(
-                [np.concatenate(key).view(np.int64), np.concatenate(ids), np.concatenate(at)], names=["key", "doc_id", "at"]
+                [np.concatenate(key).view(np.int64), *(np.concatenate(x) for x in (ids, rows, at))], names=["key", "doc_id", "row", "at"]
             )
 
     return run
 
 
-def _fields(pairs) -> tuple[np.ndarray, np.ndarray]:
-    """First window and number of windows of a list of ``(at, n)``."""
-    return pairs.values.field("at").to_numpy(), pairs.values.field("n").to_numpy()
+def _fields(places, row: int) -> tuple[np.ndarray, np.ndarray]:
+    """First window and number of windows of those ``(row, at, n)`` of a list that lie in the
+    text ``row``."""
+    if not places.is_valid:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    own = places.values.field("row").to_numpy() == row
+    return places.values.field("at").to_numpy()[own], places.values.field("n").to_numpy()[own]
 
 
 def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -134,19 +145,27 @@ def spans(starts: np.ndarray, window: int, sizes: np.ndarray | None = None) -> n
     return np.stack([starts[lead], reach[np.append(np.flatnonzero(lead)[1:] - 1, len(starts) - 1)]], axis=1)
 
 
+def _row(text) -> Column:
+    return F.xxhash64(text).alias("row")
+
+
+def _source(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _row("text"))
+
+
 def repeated_windows(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> DataFrame:
     """``(doc_id, repeats)``: windows of each document that also begin in a smaller doc_id,
-    as ``(at, n)`` of n windows in a row."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    as ``(row, at, n)`` of n windows in a row of the text whose hash is ``row``."""
+    source = _source(docs)
     anchors = source.mapInArrow(_anchors(window, k), "anchor long, doc_id long")
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    found = anchors.join(shared.select("anchor"), "anchor", "left_semi")
+    found = meet(anchors, shared.select("anchor"), "anchor")
     seeds = written(found.groupBy("doc_id").agg(F.collect_list("anchor").alias("seeds")), "seeds")
     # what follows, and the join of the repeats to the texts, reads one shuffle of the texts:
     # for that, all ask for the same rows, also those without seeds
-    runs = source.join(seeds, "doc_id", "left").mapInArrow(_stretches(window, k), "key long, doc_id long, at long, n long")
+    runs = source.join(seeds, "doc_id", "left").mapInArrow(_stretches(window, k), "key long, doc_id long, row long, at long, n long")
     first = runs.groupBy("key").agg(F.min("doc_id").alias("lo"))
-    place = F.struct("at", "n")
+    place = F.struct("row", "at", "n")
     marks = meet(runs, first, "key").groupBy("doc_id").agg(
         F.collect_list(F.when(F.col("lo") < F.col("doc_id"), place)).alias("again"),
         F.collect_list(F.when(F.col("lo") == F.col("doc_id"), place)).alias("leads"),
@@ -154,17 +173,17 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) ->
     # a stretch that repeats one of a smaller document is decided, and so are its windows; of
     # each kind of stretch only those of the first document are compared window by window
     led = source.join(marks.select("doc_id", "leads"), "doc_id", "left")
-    keys = led.mapInArrow(_windows(window), "key long, doc_id long, at long")
+    keys = led.mapInArrow(_windows(window), "key long, doc_id long, row long, at long")
     least = keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    single = F.struct("at", F.lit(1).cast("long").alias("n"))
+    single = F.struct("row", "at", F.lit(1).cast("long").alias("n"))
     more = meet(keys, least, "key").where("lo < doc_id").groupBy("doc_id").agg(F.collect_list(single).alias("more"))
     both = marks.join(more, "doc_id", "left")
-    whole = F.concat("again", F.coalesce("more", F.array().cast("array<struct<at: bigint, n: bigint>>")))
+    whole = F.concat("again", F.coalesce("more", F.array().cast("array<struct<row: bigint, at: bigint, n: bigint>>")))
     return both.select("doc_id", whole.alias("repeats")).where(F.size("repeats") > 0)
 
 
-def _spans_of(repeats, window: int) -> np.ndarray:
-    at, n = _fields(repeats) if repeats.is_valid else ((), ())
+def _spans_of(repeats, row: int, window: int) -> np.ndarray:
+    at, n = _fields(repeats, row)
     return spans(at, window, n)
 
 
@@ -174,11 +193,11 @@ def _reduced(window: int):
     def run(batches):
         for part in slices(batches):
             n, removed, digest, kept = [], [], [], []
-            repeats = part.column("repeats")
+            own, repeats = part.column("row").to_numpy(), part.column("repeats")
             for row, raw, begin, end, words in _each(part):
                 data, at = raw.data, 0
                 pieces = []
-                gone = _spans_of(repeats[row], window)
+                gone = _spans_of(repeats[row], own[row], window)
                 lost = 0
                 for i, j in [*gone, (len(begin), len(begin))]:
                     pieces += [bytes(data[a:b]) for a, b in zip(begin[at:i].tolist(), end[at:i].tolist())]
@@ -201,10 +220,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> D
 
     Words covered by a repeated window are removed; ``kept_text`` is the others, joined by
     one space.  A null or short text has no window and loses nothing.  Rows of one doc_id
-    never repeat each other; a row without doc_id neither loses words nor makes others
+    are judged each for itself and never repeat each other; a row without doc_id neither loses words nor makes others
     lose any.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = _source(docs)
     joined = source.join(repeated_windows(docs, window, k), "doc_id", "left")
     return joined.mapInArrow(
         _reduced(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
@@ -212,17 +231,19 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> D
 
 
 def _cut(window: int, text: str, length: str | None):
-    """Texts without their repeated spans; the last column has the repeats, others stay."""
+    """Texts without their repeated spans; the last columns have the hash of the text and the
+    repeats, others stay."""
 
     def run(batches):
         for part in slices(batches, text):
-            names = part.schema.names[:-1]
-            texts, repeats = part.column(text).to_pylist(), part.columns[-1]
+            names = part.schema.names[:-2]
+            texts, own, repeats = part.column(text).to_pylist(), part.columns[-2].to_numpy(), part.columns[-1]
             for row, raw, begin, end, _ in _each(part, text):
-                if repeats[row].is_valid:
+                gone = _spans_of(repeats[row], own[row], window).tolist()
+                if gone:
                     first, last, data = int(begin[0]), int(end[-1]), raw.data
                     edges = [first]
-                    for i, j in _spans_of(repeats[row], window).tolist():
+                    for i, j in gone:
                         edges += [int(begin[i]), int(begin[j]) if j < len(begin) else last]
                     edges.append(last)
                     texts[row] = b"".join(bytes(data[a:b]) for a, b in zip(edges[::2], edges[1::2])).decode().rstrip()
@@ -247,5 +268,5 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR, length:
     place = dict(zip(names, plain))
     rows = docs.toDF(*plain)
     found = repeated_windows(docs, window, k).toDF("found_id", "repeats")
-    joined = rows.join(found, F.col(place["doc_id"]).cast("long") == F.col("found_id"), "left").drop("found_id")
+    joined = rows.withColumn("row", _row(place["text"])).join(found, F.col(place["doc_id"]).cast("long") == F.col("found_id"), "left").drop("found_id")
     return joined.mapInArrow(_cut(window, place["text"], place.get(length)), rows.schema).toDF(*names)

@@ -83,6 +83,22 @@ def test_near_duplicates(docs, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_substrings_tell_texts_of_one_id_apart(spark):
+    """Repeated ids with other texts: short, empty, null, repeating, and repeating nothing."""
+    w = [f"w{i}" for i in range(400)]
+    rows = [
+        (1, " ".join(w[:60])), (2, " ".join(["x", *w[10:50], "y"])), (2, "three short words"), (2, ""), (2, None), (2, " ".join(w[200:260])),
+        (2, " ".join(w[:30])), (3, " ".join(w[205:240])), (3, " ".join(w[300:330])), (4, " ".join(w[:60])), (4, " ".join(w[:60])), (4, "a " * 30),
+        (None, " ".join(w[300:330])), (5, " ".join(w[295:340])), (5, " ".join(w[200:212])),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = substrings.without_repeats(docs).drop("kept_text").collect()
+    assert sorted(map(repr, map(tuple, out))) == sorted(map(repr, plain.without_repeats(rows)))
+    want = Counter((d, x) for d, _, _, x in plain.without_repeats(rows))
+    cut = Counter((d, hashlib.sha256(" ".join(plain.words(t)).encode()).hexdigest()) for d, t in substrings.cut_repeats(docs).collect())
+    assert cut == want
+
+
 def test_substrings(docs, empty):
     out = substrings.without_repeats(docs)
     assert rows_of(out, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(plain.without_repeats(TEXTS), key=repr)
