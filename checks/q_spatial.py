@@ -182,7 +182,7 @@ def point_profile_projected(spark, sf):
     """Places given in degrees, at the centres of cells of a projected grid."""
     grid = cube.projected(spark, sf)
     lon, lat = lonlat(grid.crs, grid.x(), grid.y())
-    name = (F.col("row") * 10000000 + F.col("col")).alias("name")
+    name = (F.col("row").cast("long") * 10000000 + F.col("col")).alias("name")  # beyond 32 bits from row 215 on
     places = cube.fine_mask(spark, sf).where(F.col("inside") == 1).select(name, lon.alias("lon"), lat.alias("lat"))
     series = cube.baseline(spark, sf).withColumn("model", F.lit("obs"))
     return spatial.point_profile(series, places, grid, ["obs"]).select("name", "month", "obs")
