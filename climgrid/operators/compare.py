@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from climgrid.operators.zonal import aoi_mean_series
 from climgrid.schema import SERIES, TIME, key_cols, month_index, present, series_cols
+from climgrid.storage import join_dealt
 
 
 def join_versions(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -115,8 +116,8 @@ def tabular_diff(left: DataFrame, right: DataFrame, keys: list[str], metrics: li
 def roundtrip_residual(output: DataFrame, anomalies: DataFrame, baseline: DataFrame) -> DataFrame:
     """Greatest |output - anomaly - baseline| per timestep: 0 when the refinement added up."""
     keys = [c for c in key_cols(output) if c in anomalies.columns]
-    a = output.join(anomalies.select(*keys, F.col("value").alias("_a")), keys)
+    a = join_dealt(output, anomalies.select(*keys, F.col("value").alias("_a")), keys)
     base_keys = [c for c in ("grid_id", "row", "col", "month") if c in a.columns and c in baseline.columns]
-    b = a.join(baseline.select(*base_keys, F.col("value").alias("_b")), base_keys)
+    b = join_dealt(a, baseline.select(*base_keys, F.col("value").alias("_b")), base_keys)
     r = F.abs(F.col("value") - F.col("_a") - F.col("_b"))
     return b.groupBy(*present(b, SERIES + TIME)).agg(F.max(r).alias("residual"))
