@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from checks import q_spatial
+from checks import cube, q_spatial
 from climgrid.grid import Grid
 from climgrid.operators import climate, compare, gaps, regrid
 from climgrid.plans import delta
@@ -78,3 +78,8 @@ def test_place_names_beyond_32_bits(spark, tmp_path):
     parts.write.parquet(f"{tmp_path}/part.parquet")
     names = {r["name"] for r in q_spatial.point_profile_projected(spark, str(tmp_path)).collect()}
     assert names == {2190000003}
+
+
+def test_months_of_a_baseline_are_dealt_over_tasks(spark, sf):
+    held = cube.baseline(spark, sf).groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) > 1 and sum(r["count"] for r in held) == 12 * cube.fine_cells(spark, sf).count()
