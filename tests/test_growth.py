@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import cube, q_spatial
+from climgrid import storage
 from climgrid.grid import Grid
 from climgrid.operators import climate, compare, gaps, regrid
 from climgrid.plans import delta
@@ -83,3 +84,58 @@ def test_place_names_beyond_32_bits(spark, tmp_path):
 def test_months_of_a_baseline_are_dealt_over_tasks(spark, sf):
     held = cube.baseline(spark, sf).groupBy(F.spark_partition_id()).count().collect()
     assert len(held) > 1 and sum(r["count"] for r in held) == 12 * cube.fine_cells(spark, sf).count()
+
+
+def test_a_larger_grid_is_dealt_over_more_tasks(spark):
+    """What a task sorts stays the same: also the windows and the join of a refinement."""
+    grid, fine = Grid(3, 2, 0.0, 2.0, 1.0, 1.0), Grid(900, 600, 0.0, 2.0, 1 / 300, 1 / 300)
+    src = spark.createDataFrame([(1, r, c, 1.0) for r in range(2) for c in range(3)], "month int, row int, col int, value double")
+    at = spark.createDataFrame([(0, 0), (599, 899)], "row int, col int")
+    for method in ("nearest", "bilinear", "average", "mode"):
+        assert f", {900 * 600 // storage.CELLS_A_TASK})" in plan(regrid.regrid(src, at, grid, fine, method))
+
+
+@pytest.mark.parametrize("method", ["average", "mode"])
+def test_cells_of_a_finer_grid_within_one_source_cell_are_not_added_up(spark, method):
+    """At an exact ratio no source cell is spread over its targets; the rows are those of the
+    sums, with repeated cells, missing ones, and targets beyond either grid."""
+    src = Grid(3, 2, 0.0, 2.0, 1.0, 1.0)
+    rows = [(1, 0, 0, 1.0), (1, 0, 0, 4.0), (1, 0, 1, 2.0), (1, 0, 2, None), (1, 1, 1, 7.0), (2, 1, 1, 3.0), (2, None, 1, 9.0)]
+    df = spark.createDataFrame(rows, "month int, row int, col int, value double")
+    exact, shifted = Grid(8, 6, -0.5, 2.5, 0.5, 0.5), Grid(9, 7, -0.6, 2.7, 0.4, 0.4)
+    for dst in (exact, shifted):
+        at = spark.createDataFrame([(r, c) for r in [*range(-1, dst.ny + 1), None] for c in range(dst.nx)], "row int, col int")
+        got = regrid.regrid(df, at, src, dst, method)
+        if dst is exact:
+            assert "sequence(greatest" not in plan(got)
+        want = {(m, r, c): None for m in (1, 2) for r in range(dst.ny) for c in range(dst.nx)}
+        for m, r, c in want:
+            top, left, met = 2.0 - dst.y0 + r * dst.dy, dst.x0 + c * dst.dx, {}
+            for sm, sr, sc, v in rows:
+                if sm == m and sr is not None and v is not None:
+                    high = min(top + dst.dy, sr + 1) - max(top, sr)
+                    wide = min(left + dst.dx, sc + 1) - max(left, sc)
+                    if high > 1e-9 and wide > 1e-9:
+                        met[v] = met.get(v, 0.0) + high * wide
+            if met and method == "average":
+                want[m, r, c] = round(sum(v * w for v, w in met.items()) / sum(met.values()), 9)
+            elif met:
+                want[m, r, c] = max(met, key=lambda v: (round(met[v], 9), -v))
+        found = [((x["month"], x["row"], x["col"]), None if x["value"] is None else round(x["value"], 9)) for x in got.collect()]
+        assert len(found) == len(want) and dict(found) == want
+
+
+def test_a_series_is_made_once_for_a_refinement(spark, tmp_path):
+    """Its timesteps and its values come from storage, not from two runs of what makes them."""
+    runs = spark.sparkContext.accumulator(0)
+    made = spark.createDataFrame([(1, r, c, 1.0) for r in range(2) for c in range(3)], "month int, row int, col int, value double").coalesce(1)
+
+    def counted(batches):
+        runs.add(1)
+        yield from batches
+
+    series = made.mapInArrow(counted, made.schema)
+    at = spark.createDataFrame([(0, 0), (3, 5)], "row int, col int")
+    for i, method in enumerate(("nearest", "bilinear", "average"), 1):
+        assert regrid.regrid(series, at, SRC, DST, method).count() == 2
+        assert runs.value == i
