@@ -34,10 +34,10 @@ from climgrid.llm.text import slices, text_buffer
 NO_LANGUAGE = "und"
 BITS = 20  # of a word id; a task with more different words spills and starts anew
 BURST = 4096  # leaves of a container that bursts
-MOST_LEAVES = 800_000  # leaves of a trie, beyond which subtrees are spilled
+MOST_LEAVES = 500_000  # leaves of a trie, beyond which subtrees are spilled
 MOST_LETTERS = 24 << 20  # letters of words of a trie
 AT_ONCE = 1_000_000  # words that a trie takes in at once
-SLICE = 4 << 20  # bytes of texts that are taken together
+SLICE = 2 << 20  # bytes of texts that are taken together
 RANGE_PLACES = 3_000_000  # places of the texts that a prefix partition is meant to hold
 SAMPLE_DOCS, SAMPLE_PLACES = 2_000, 64  # at most about twice as many documents, and places of each
 
@@ -312,19 +312,28 @@ def merged(blocks: pa.Table, least: int) -> pa.Table:
         rank = np.empty(len(words), np.int64)
         rank[order] = np.arange(1, len(words) + 1)
         place, begin = rank[every.indices.to_numpy()], 0
-        parts: list[list[np.ndarray]] = [[], [], [], []]
+        small = len(words) < _REST
+        # a leaf is held as one number where it fits: three words apart take several times the room
+        keys, times = [], []
         for some, raw in zip(names, own.column("leaves").to_pylist()):
             table = _loaded(raw)
             at = np.append(0, place[begin : begin + len(some)])
             begin += len(some)
-            for i, c in enumerate(("w1", "w2", "w3")):
-                parts[i].append(at[table.column(c).to_numpy()])
-            parts[3].append(table.column("n").to_numpy())
-        w1, w2, w3, n = map(np.concatenate, parts)
+            w1, w2, w3 = (at[table.column(c).to_numpy()] for c in ("w1", "w2", "w3"))
+            keys.append(w1 << 2 * _SHIFT | w2 << _SHIFT | w3 if small else np.stack((w3, w2, w1)))
+            times.append(table.column("n").to_numpy())
+        del table, w1, w2, w3
+        leaf, n = np.concatenate(keys, axis=-1), np.concatenate(times)
+        del keys, times
         # runs are sorted already, which a stable sort makes use of
-        small = len(words) < _REST
-        order = np.argsort(w1 << 2 * _SHIFT | w2 << _SHIFT | w3, kind="stable") if small else np.lexsort((w3, w2, w1))
-        w1, w2, w3, n = w1[order], w2[order], w3[order], n[order]
+        order = np.argsort(leaf, kind="stable") if small else np.lexsort(leaf)
+        leaf, n = leaf[..., order], n[order]
+        del order
+        if small:
+            w1, w2, w3 = ((leaf >> shift & _REST).astype(np.int32) for shift in (2 * _SHIFT, _SHIFT, 0))
+        else:
+            w3, w2, w1 = leaf
+        del leaf
         name = np.append(None, words.to_numpy(zero_copy_only=False))
 
         def fold(*by):

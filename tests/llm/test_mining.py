@@ -359,3 +359,34 @@ def test_phrases_over_several_partitions(spark, monkeypatch):
     monkeypatch.setattr(phrases, "range_borders", lambda d: borders)
     rows = [(["en", None][i % 3 == 0], t) for i, t in enumerate(spoken(1, 200, 12))]
     assert counted(spark, rows) == sorted(plain_phrases(rows))
+
+
+def test_merging_runs_holds_a_leaf_as_one_number():
+    """Room that a partition takes while its runs are merged, by leaf."""
+    import tracemalloc
+
+    rng, runs, places = np.random.default_rng(5), 4, 50_000
+    blocks = []
+    for _ in range(runs):
+        text = " ".join(f"w{i:06d}" for i in rng.integers(0, 2000, places).tolist())
+        blocks += phrases.packed_runs([pa.record_batch([pa.array(["en"]), pa.array([text])], names=["lang", "text"])], [])
+    table = pa.Table.from_batches(blocks, phrases._BLOCK)
+    tracemalloc.start()
+    try:
+        got = phrases.merged(table, 10)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(f for p, f in zip(got["phrase"].to_pylist(), got["f"].to_pylist()) if " " not in p) == runs * places
+    assert peak < 60 * runs * places
+
+
+def test_merging_more_words_than_a_number_holds(monkeypatch):
+    """Leaves of three numbers give the same counts."""
+    texts = ["a b a b c", "b c a", "c a b a b"]
+    blocks = list(phrases.packed_runs([pa.record_batch([pa.array(["x"] * 3), pa.array(texts)], names=["lang", "text"])], []))
+    table = pa.Table.from_batches(blocks * 2, phrases._BLOCK)
+    one = phrases.merged(table, 1).to_pylist()
+    monkeypatch.setattr(phrases, "_REST", 0)
+    assert phrases.merged(table, 1).to_pylist() == one
+    assert {"lang": "x", "phrase": "a b", "f": 8} in one
