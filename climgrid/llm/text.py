@@ -253,18 +253,15 @@ class UnitEncoder:
         fresh = self._encode(new)
         if new:
             ids = [fresh[u] if x is None else x for u, x in zip(distinct, ids)]
-        for u in new:
+        for u in new if self.held < self.keep else ():
             if len(u) < 40 and self.held < self.keep:
                 known[u] = fresh[u]
                 self.held += len(u)
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), np.uint32)
-        place = np.cumsum(size) - size
-        code = units.indices.to_numpy(zero_copy_only=False)
-        count = size[code]
-        begin = np.concatenate([[0], np.cumsum(count)])
-        index = np.repeat(place[code] - begin[:-1], count) + np.arange(begin[-1])
-        return flat[index], begin[first]
+        # the ids of each unit in its place: Arrow copies them, so that no index of ids is made
+        flat = pa.array(ids, pa.large_binary()).take(units.indices)
+        _, ends, data = flat.buffers()
+        begin = np.frombuffer(ends, np.int64)[flat.offset : flat.offset + len(flat) + 1] // 4
+        return np.frombuffer(data, np.uint32)[begin[0] : begin[-1]], begin[first] - begin[0]
 
 
 @lru_cache(maxsize=2)
