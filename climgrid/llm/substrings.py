@@ -19,6 +19,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from climgrid.llm.store import meet, written
@@ -29,12 +30,19 @@ WINDOW, ANCHOR = 13, 5
 
 def choices(grams: np.ndarray, span: int) -> np.ndarray:
     """For each stretch of ``span`` k-grams the place of its least hash, the last of equals."""
+
+    def least(a, b):
+        """Of two stretches the least of both: the later one's place where they are equal."""
+        later = b[0] <= a[0]
+        return np.where(later, b[0], a[0]), np.where(later, b[1], a[1])
+
     n = len(grams) - span + 1
-    place = np.arange(n)
-    for i in range(1, span):
-        other = np.arange(i, n + i)
-        place = np.where(grams[other] <= grams[place], other, place)
-    return place
+    part, wide = (grams, np.arange(len(grams))), 1
+    while wide < span:  # stretches twice as wide are of two that meet or overlap
+        step = min(wide, span - wide)
+        part = least(tuple(x[:-step] for x in part), tuple(x[step:] for x in part))
+        wide += step
+    return part[1][: max(n, 0)]
 
 
 def _each(part: pa.RecordBatch, column: str = "text"):
@@ -46,51 +54,66 @@ def _each(part: pa.RecordBatch, column: str = "text"):
         yield row, raw, starts[i:j], ends[i:j], words[i:j]
 
 
-def _anchors(window: int, k: int):
-    span = window - k + 1
+def _words(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of all texts of a slice, and the index of each text's first word."""
+    raw, bounds = text_buffer(part.column("text"))
+    starts, ends, first = word_spans(raw, bounds)
+    return word_hashes(raw, starts, ends), first
+
+
+def _chosen(words: np.ndarray, first: np.ndarray, takes: np.ndarray, window: int, k: int):
+    """The stretches of windows that choose one anchor, over a whole slice: text, first window,
+    last window, hash of the anchor.  ``takes``: the texts that take part.  No window reaches
+    from one text into the next."""
+    none = np.empty(0, np.int64)
+    if len(words) < window:
+        return none, none, none, np.empty(0, np.uint64)
+    grams = gram_hashes(words, k)
+    place = choices(grams, window - k + 1)
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))[: len(place)]
+    whole = np.flatnonzero(takes[text] & (np.arange(len(place)) + window <= first[text + 1]))
+    place, text = place[whole], text[whole]
+    lead = np.ones(len(whole), bool)
+    lead[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1])
+    begin = np.flatnonzero(lead)
+    last = np.append(begin[1:], len(whole))[: len(begin)] - 1
+    return text[begin], whole[begin], whole[last], grams[place[begin]]
+
 
+def _anchors(window: int, k: int):
     def run(batches):
         for part in slices(batches):
-            ids, found = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
-            doc = part.column("doc_id").cast(pa.int64()).to_pylist()
-            for row, _, _, _, words in _each(part):
-                if len(words) >= window and doc[row] is not None:
-                    grams = gram_hashes(words, k)
-                    found.append(np.unique(grams[np.unique(choices(grams, span))]))
-                    ids.append(np.full(len(found[-1]), doc[row]))
-            yield pa.RecordBatch.from_arrays([np.concatenate(found).view(np.int64), np.concatenate(ids)], names=["anchor", "doc_id"])
+            ids = part.column("doc_id").cast(pa.int64())
+            takes = ids.is_valid().to_numpy(zero_copy_only=False)
+            text, _, _, anchor = _chosen(*_words(part), takes, window, k)
+            order = np.lexsort((anchor, text))
+            text, anchor = text[order], anchor[order]
+            new = np.ones(len(text), bool)
+            new[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(anchor[new].view(np.int64)), ids.take(pa.array(text[new]))], names=["anchor", "doc_id"])
 
     return run
 
 
 def _stretches(window: int, k: int):
     """The stretch of windows that chose each seed: key of its words, first window, windows."""
-    span = window - k + 1
 
     def run(batches):
         for part in slices(batches):
-            none = np.empty(0, np.int64)
-            ids, rows, at, size, key = [none], [none], [none], [none], [np.empty(0, np.uint64)]
-            doc, own, seeds = part.column("doc_id").to_pylist(), part.column("row").to_numpy(), part.column("seeds")
-            for row, _, _, _, words in _each(part):
-                # the seeds are those of all texts of the doc_id
-                if not seeds[row].is_valid or len(words) < window:
-                    continue
-                grams = gram_hashes(words, k)
-                chosen = choices(grams, span)
-                ends = np.flatnonzero(np.diff(chosen, append=-1))
-                begin = np.concatenate([[0], ends[:-1] + 1])
-                hit = _among(grams[chosen[begin]], np.sort(seeds[row].values.to_numpy().view(np.uint64)))
-                begin, ends = begin[hit], ends[hit]
-                # first and last window together hold all words of a stretch: it has at most span windows
-                whole = gram_hashes(words, window, 1)
-                key.append(mix(whole[begin] * np.uint64(0x9E3779B97F4A7C15) + whole[ends] + (ends - begin).astype(np.uint64)))
-                at.append(begin)
-                size.append(ends - begin + 1)
-                ids.append(np.full(len(begin), doc[row]))
-                rows.append(np.full(len(begin), own[row]))
+            seeds = part.column("seeds")
+            words, first = _words(part)
+            text, begin, last, anchor = _chosen(words, first, seeds.is_valid().to_numpy(zero_copy_only=False), window, k)
+            # an anchor that several documents share is a seed of each that chose it: those of
+            # the slice are looked up together
+            hit = _among(anchor, np.unique(seeds.flatten().to_numpy().view(np.uint64)))
+            text, begin, last = text[hit], begin[hit], last[hit]
+            # first and last window together hold all words of a stretch: it has at most span windows
+            key = gram_hashes(words, window, 1, begin) * np.uint64(0x9E3779B97F4A7C15) + gram_hashes(words, window, 1, last)
+            key = mix(key + (last - begin).astype(np.uint64))
+            at = pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [np.concatenate(key).view(np.int64), *(np.concatenate(x) for x in (ids, rows, at, size))], names=["key", "doc_id", "row", "at", "n"]
+                [pa.array(key.view(np.int64)), part.column("doc_id").take(at), part.column("row").take(at), pa.array(begin - first[text]), pa.array(last - begin + 1)],
+                names=["key", "doc_id", "row", "at", "n"],
             )
 
     return run
@@ -101,23 +124,29 @@ def _windows(window: int):
 
     def run(batches):
         for part in slices(batches):
-            none = np.empty(0, np.int64)
-            ids, rows, at, key = [none], [none], [none], [np.empty(0, np.uint64)]
-            doc, own, leads = part.column("doc_id").to_pylist(), part.column("row").to_numpy(), part.column("leads")
-            for row, _, _, _, words in _each(part):
-                begin, n = _fields(leads[row], own[row])
-                if len(begin):
-                    at.append(np.repeat(begin - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()))
-                    key.append(gram_hashes(words, window, 1)[at[-1]])
-                    ids.append(np.full(len(at[-1]), doc[row]))
-                    rows.append(np.full(len(at[-1]), own[row]))
+            words, first = _words(part)
+            text, begin, n = _places(part.column("leads"), part.column("row"))
+            at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            text = np.repeat(text, n)
+            key, own = gram_hashes(words, window, 1, first[text] + at), pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [np.concatenate(key).view(np.int64), *(np.concatenate(x) for x in (ids, rows, at))], names=["key", "doc_id", "row", "at"]
+                [pa.array(key.view(np.int64)), part.column("doc_id").take(own), part.column("row").take(own), pa.array(at)],
+                names=["key", "doc_id", "row", "at"],
             )
 
     return run
 
 
+def _places(lists: pa.ListArray, rows: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of lists of ``(row, at, n)``, one a text: text, first window and number of windows of those
+    that lie in the text itself, whose hash is in ``rows``."""
+    size = pc.fill_null(lists.value_lengths(), 0).to_numpy()
+    text, flat = np.repeat(np.arange(len(lists)), size), lists.flatten()
+    row, at, n = (flat.field(c).to_numpy() for c in ("row", "at", "n"))
+    own = row == rows.to_numpy()[text]
+    return text[own], at[own], n[own]
+
+
 def _fields(places, row: int) -> tuple[np.ndarray, np.ndarray]:
     """First window and number of windows of those ``(row, at, n)`` of a list that lie in the
     text ``row``."""
@@ -128,6 +157,8 @@ def _fields(places, row: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(values), bool)
     place = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
     return ordered[place] == values
 
@@ -192,25 +223,35 @@ def _reduced(window: int):
 
     def run(batches):
         for part in slices(batches):
-            n, removed, digest, kept = [], [], [], []
-            own, repeats = part.column("row").to_numpy(), part.column("repeats")
-            for row, raw, begin, end, words in _each(part):
-                data, at = raw.data, 0
-                pieces = []
-                gone = _spans_of(repeats[row], own[row], window)
-                lost = 0
-                for i, j in [*gone, (len(begin), len(begin))]:
-                    pieces += [bytes(data[a:b]) for a, b in zip(begin[at:i].tolist(), end[at:i].tolist())]
-                    lost, at = lost + int(j) - int(i), int(j)
-                n.append(len(begin))
-                removed.append(lost)
-                text = b" ".join(pieces)
-                digest.append(hashlib.sha256(text).hexdigest())
-                kept.append(text.decode())
+            raw, bounds = text_buffer(part.column("text"))
+            starts, ends, first = word_spans(raw, bounds)
+            text, at, n = _places(part.column("repeats"), part.column("row"))
+            # a word is removed that more repeated windows begin at or before than end before
+            change = np.zeros(len(starts) + 1, np.int64)
+            np.add.at(change, first[text] + at, 1)
+            np.add.at(change, np.minimum(first[text] + at + n - 1 + window, first[text + 1]), -1)
+            kept = np.flatnonzero(np.cumsum(change[:-1]) == 0)
+            doc = np.repeat(np.arange(part.num_rows), np.diff(first))[kept]
+            # bytes of kept words, each followed by a space where the text has another kept one
+            joined = np.zeros(len(kept), bool)
+            joined[:-1] = doc[1:] == doc[:-1]
+            raw, begin, end = raw.copy(), starts[kept], ends[kept]
+            raw[end[joined]] = 0x20
+            edges = np.zeros(len(raw) + 1, np.int8)
+            np.add.at(edges, begin, 1)
+            np.add.at(edges, end + joined, -1)
+            data = raw[np.cumsum(edges[:-1], dtype=np.int8).view(bool)].tobytes()
+            size = np.bincount(doc, end + joined - begin, part.num_rows).astype(np.int64)
+            cuts = np.concatenate([[0], np.cumsum(size)])
+            digest = [hashlib.sha256(data[i:j]).hexdigest() for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+            words = np.diff(first)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest), pa.array(kept)],
+                [
+                    part.column("doc_id"), pa.array(words), pa.array(words - np.bincount(doc, minlength=part.num_rows)), pa.array(digest),
+                    pa.StringArray.from_buffers(part.num_rows, pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(data)),
+                ],
                 names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
-            )
+            )
 
     return run
 

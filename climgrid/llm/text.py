@@ -119,14 +119,15 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
     return mix(out ^ (ends - starts).astype(np.uint64))
 
 
-def gram_hashes(words: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
-    """Hash of each run of ``k`` word hashes, in order of its first word."""
-    n = len(words) - k + 1
+def gram_hashes(words: np.ndarray, k: int, seed: int = 0, at: np.ndarray | None = None) -> np.ndarray:
+    """Hash of each run of ``k`` word hashes, in order of its first word; ``at``: of those that
+    begin at these words."""
+    n = len(words) - k + 1 if at is None else len(at)
     if n <= 0:
         return np.empty(0, np.uint64)
     out = np.full(n, U64((seed * 2 + 1) * 0x9E3779B97F4A7C15 & _MASK))
     for i in range(k):
-        out += words[i : i + n] * _PLACE[i]
+        out += (words[i : i + n] if at is None else words[at + i]) * _PLACE[i]
     return mix(out)
 
 

@@ -80,6 +80,21 @@ def test_hilbert_key_visits_neighbours():
         assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
 
 
+def test_passages_are_sought_over_whole_slices(monkeypatch):
+    """Many short texts are one run of anchors; no window reaches from one text into the next,
+    and texts without an id or of fewer words than a window have no anchor."""
+    rng, calls = np.random.default_rng(3), []
+    plain = substrings.choices
+    monkeypatch.setattr(substrings, "choices", lambda grams, span: calls.append(1) or plain(grams, span))
+    texts = [" ".join(map(str, rng.integers(0, 3, n))) for n in (40, 12, 13, 0, 30, 25)] + [None]
+    ids = [5, 4, 4, 3, None, 1, 0]
+    rows = lambda texts, ids: pa.record_batch({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string())})
+    found = [r for b in substrings._anchors(13, 5)([rows(texts, ids)]) for r in b.to_pylist()]
+    assert len(calls) == 1
+    alone = [r for t, i in zip(texts, ids) for b in substrings._anchors(13, 5)([rows([t], [i])]) for r in b.to_pylist()]
+    assert found == alone and {r["doc_id"] for r in found} == {5, 4, 1}
+
+
 def test_equal_windows_choose_equal_anchors():
     rng = np.random.default_rng(3)
     shared = rng.integers(0, 1 << 62, 40, dtype=np.uint64)
