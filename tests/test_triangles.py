@@ -204,3 +204,25 @@ def test_holes_are_triangulated_by_several_tasks(spark):
     )
     assert found.select(F.spark_partition_id().alias("p")).distinct().count() > 1
     assert gaps.fill_gaps(df, Grid(40, 40, 0.0, 40.0, 1.0, 1.0), "triangles").where("value = 1").count() == 1600
+
+
+def test_many_holes_are_triangulated_together(spark):
+    """No data frame is made for each hole, and holes of one shape, at any place, are solved once."""
+    rows = [(1, r, c, 1.0 * r) for r in range(24) for c in range(24) if (r % 4, c % 4) not in ((2, 2), (2, 1))]
+    rims = [sorted((r + dr, c + dc) for r, c in ((1, 1), (1, 2), (3, 1), (3, 2), (2, 0), (2, 3))) for dr in (0, 8) for dc in (0, 12)]
+    lists = [(rims[k], f"p{k % 2}", k) for k in range(4)]
+    part = spark.createDataFrame(
+        [([r for r, _ in rim], [c for _, c in rim], p, h) for rim, p, h in lists], "rows array<int>, cols array<int>, pattern string, hole long"
+    )
+    triangles._small.cache_clear()
+    batch = part.toArrow().combine_chunks().to_batches()
+    found = [r for b in triangles._triangulate_rims(batch) for r in b.to_pylist()]
+    assert triangles._small.cache_info().misses == 1
+    for rim, pattern, hole in lists:
+        own = {tuple((r[f"row{i}"], r[f"col{i}"]) for i in (1, 2, 3)) for r in found if r["hole"] == hole}
+        points = sorted((c, -r) for r, c in rim)
+        assert own == {tuple((-points[i][1], points[i][0]) for i in t) for t in delaunay(points)} and len(own) > 1
+        assert {r["pattern"] for r in found if r["hole"] == hole} == {pattern}
+    df = spark.createDataFrame(rows, "month int, row int, col int, value double")
+    filled = gaps.fill_gaps(df, Grid(24, 24, 0.0, 24.0, 1.0, 1.0), "triangles")
+    assert filled.where("abs(value - row) < 1e-9").count() == 576
