@@ -10,7 +10,7 @@ from climgrid.functions import calendar, values
 from climgrid.operators import aggregate, select
 from climgrid.schema import CELLS_DDL
 from climgrid.sources import catalog, netcdf, series, sinks, text
-from climgrid.storage import work_folder
+from climgrid.storage import dealt_by, work_folder
 
 V = ("scenario", "year", "month", "row", "col", "value")
 CELLS = "SELECT scenario, year, month, row, col, value FROM cells_tas"
@@ -88,6 +88,7 @@ def scan_ascii_grid(spark, sf):
     _, fine = cube.grids(spark, sf)
     b = cube.baseline(spark, sf).join(cube.fine_mask(spark, sf).where("inside = 1").drop("inside"), ["row", "col"])
     cell = F.max(F.struct(F.col("col"), F.col("value").cast("string").alias("v")))
+    b = dealt_by(b, "month", "row", cells=fine.nx * fine.ny)  # one shuffle for both groupings
     one = b.groupBy("month", "row", "col").agg(cell.alias("c")).groupBy("month", "row").agg(
         F.map_from_entries(F.collect_list(F.struct(F.col("c.col"), F.col("c.v")))).alias("m")
     )

@@ -85,10 +85,11 @@ def parse_ascii_lines(lines: DataFrame) -> DataFrame:
     that are constant in a raster are kept.
 
     A cell's place is the number of values before it: those of earlier parts, by one running
-    sum over the parts of a file, and those of earlier lines of its part.  So a raster of any
-    size is parsed by as many tasks as it has parts, however its lines are broken, and no task
-    holds more than a part.  Every header field stands on a line of its own.  The lines are
-    read several times and must come alike each time (a stored table does).
+    sum over the parts of a file, and those of earlier lines of its part.  These sums hold
+    numbers of values, no texts; a line's place then joins its text by path, block and line (no
+    two lines share them), so a raster of any size is parsed by many tasks, however its lines
+    are broken.  Every header field stands on a line of its own.  The lines are read several
+    times and must come alike each time (a stored table does).
     """
     keep = [c for c in lines.columns if c not in ("value", "path", "block", "line")]
     field = F.lower(F.regexp_extract("value", _HEADER, 1))
@@ -101,14 +102,18 @@ def parse_ascii_lines(lines: DataFrame) -> DataFrame:
         "path", F.col("_ncols").alias("_nc"), F.col("_nrows").alias("_nr"), size.alias("_d"), F.col("_nodata_value").alias("_nd"),
         F.coalesce("_xllcorner", F.col("_xllcenter") - half).alias("_x"), F.coalesce("_yllcorner", F.col("_yllcenter") - half).alias("_y"),
     )
-    text = _strip("value")
-    body = lines.where((field == "") & (text != "")).select("path", "block", "line", *keep, F.split(text, r"\s+").alias("_v"))
-    parts = body.groupBy("path", "block").agg(F.sum(F.size("_v")).alias("_n"))
+    text, id_ = _strip("value"), ["path", "block", "line"]
+    body = lines.where((field == "") & (text != ""))
+    counts = body.select(*id_, F.size(F.split(text, r"\s+")).alias("_n"))
+    parts = counts.groupBy("path", "block").agg(F.sum("_n").alias("_n"))
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("path", "block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     above = Window.partitionBy("path", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    placed = body.withColumn("_before", F.coalesce(F.sum(F.size("_v")).over(above), F.lit(0)))
-    cells = placed.join(parts, ["path", "block"]).join(heads, "path").select("*", F.posexplode("_v").alias("_i", "_s"))
+    counts = counts.select(*id_, F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_before"))
+    # windows and joins of a whole part see a few numbers a line; texts only meet their line's
+    placed = counts.join(parts, ["path", "block"]).join(heads, "path")
+    cells = body.select(*id_, *keep, text.alias("_text")).join(placed, id_)
+    cells = cells.select("*", F.posexplode(F.split("_text", r"\s+")).alias("_i", "_s"))
     v, at = F.col("_s").try_cast("double"), F.col("_start") + F.col("_before") + F.col("_i")
     cells = cells.withColumns({"row": F.floor(at / F.col("_nc")).cast("int"), "col": (at % F.col("_nc")).cast("int")})
     return cells.select(

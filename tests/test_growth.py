@@ -8,6 +8,7 @@ from climgrid import storage
 from climgrid.grid import Grid
 from climgrid.operators import climate, compare, gaps, regrid
 from climgrid.plans import delta
+from climgrid.sources import text
 
 CELLS = "year int, month int, row int, col int, value double"
 SRC, DST = Grid(3, 2, 0.0, 2.0, 1.0, 1.0), Grid(6, 4, 0.0, 2.0, 0.5, 0.5)
@@ -139,3 +140,21 @@ def test_a_series_is_made_once_for_a_refinement(spark, tmp_path):
     for i, method in enumerate(("nearest", "bilinear", "average"), 1):
         assert regrid.regrid(series, at, SRC, DST, method).count() == 2
         assert runs.value == i
+
+
+def test_running_sums_over_a_raster_hold_no_texts(spark, tmp_path):
+    """A window holds a whole part of a raster: numbers of values, not the values of its lines."""
+    head = "ncols 3\nnrows 2\nxllcorner 10\nyllcorner 50\ncellsize 2\nNODATA_value -9999\n"
+    (tmp_path / "tas_01.asc").write_text(head + "1 2\n\n 3 4 5\t-9999 \n")
+    cells = text.scan_ascii_grid(spark, str(tmp_path / "*.asc"))
+
+    def windows(node):
+        if node.nodeName() == "Window":
+            yield {node.output().apply(i).dataType().simpleString() for i in range(node.output().size()) if node.output().apply(i).name() != "path"}
+        for i in range(node.children().size()):
+            yield from windows(node.children().apply(i))
+
+    held = list(windows(cells._jdf.queryExecution().optimizedPlan()))
+    assert len(held) == 2 and set().union(*held) <= {"bigint", "int"}
+    got = {(r["row"], r["col"]): r["value"] for r in cells.collect()}
+    assert got == {(0, 0): 1.0, (0, 1): 2.0, (0, 2): 3.0, (1, 0): 4.0, (1, 1): 5.0, (1, 2): None}
