@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from climgrid.llm.graph import components
+from climgrid.llm.graph import stars
 from climgrid.llm.store import meet, written
 from climgrid.llm.text import gram_hashes, mix, sequence_hash, slices, text_buffer, word_hashes, word_spans
 
@@ -110,28 +110,28 @@ def _sets(k: int):
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` whose full sets are similar enough."""
+    """Pairs ``(a, b)`` whose full sets are similar enough; twice if a node has two sets."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_x"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_y"))
     both = F.size(F.array_intersect("_x", "_y"))
     joined = pairs.join(right, "b").join(left, "a")
-    return joined.where(100 * both >= percent * (F.size("_x") + F.size("_y") - both)).select("a", "b").distinct()
+    return joined.where(100 * both >= percent * (F.size("_x") + F.size("_y") - both)).select("a", "b")
 
 
 def _in_open_buckets(members: DataFrame) -> DataFrame:
-    """Members of the buckets that still hold more than one component."""
-    mixed = members.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
-    return members.join(mixed.select("bucket"), "bucket", "left_semi")
+    """Members of the buckets that still hold more than one component, with the bucket's
+    least node, ``first``."""
+    ends = members.groupBy("bucket").agg(F.min("part").alias("_lo"), F.max("part").alias("_hi"), F.min("node").alias("first"))
+    return meet(members, ends.where("_lo < _hi").select("bucket", "first"), "bucket")
 
 
 def _shared_counts(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """``(node, n, common)``: size of each node's set, and how many of its shingles another
     of the nodes has too."""
     own = sets.join(nodes, "node", "left_semi")
-    spread = own.select("node", F.explode("shingles").alias("shingle"))
+    spread = own.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     often = spread.groupBy("shingle").agg(F.count("*").alias("_k")).where("_k > 1")
-    common = spread.join(often, "shingle", "left_semi").groupBy("node").agg(F.count("*").alias("common"))
-    return own.select("node", F.size("shingles").alias("n")).distinct().join(common, "node")
+    return spread.join(often, "shingle", "left_semi").groupBy("node", "n").agg(F.count("*").alias("common"))
 
 
 def _block_links(percent: int, columns: int = 4096):
@@ -166,16 +166,15 @@ def _block_links(percent: int, columns: int = 4096):
 
 
 def _linked_parts(open_: DataFrame, sets: DataFrame, percent: int, most: int = 256, mass: int = 500_000) -> DataFrame:
-    """Pairs of components among the documents left, ``open_(bucket, node, part, n)``, that
-    a link between documents of shared buckets connects.
+    """Pairs of components among the documents left, ``open_(bucket, node, part, n, first)``,
+    that a link between documents of shared buckets connects.
 
     Documents that buckets tie together are one lot, dealt by hash over blocks of about
     ``most`` documents or ``mass`` shingles; each pair of blocks is a group of bounded size.
     """
-    first = open_.groupBy("bucket").agg(F.min("node").alias("a"))
-    ties = open_.join(first, "bucket").where("a < node").select("a", F.col("node").alias("b")).distinct()
-    lots = components(ties).withColumnRenamed("component", "lot")
-    nodes = written(open_.select("node", "part", "n").distinct().join(lots, "node"), "lots")
+    lots = stars(open_.select(F.col("first").alias("a"), F.col("node").alias("b")))
+    nodes = open_.select("node", "part", "n").distinct().join(lots, "node", "left")
+    nodes = written(nodes.select("node", "part", "n", F.coalesce("component", "node").alias("lot")), "lots")
     blocks = F.greatest(F.ceil(F.count("*") / most), F.ceil(F.sum("n") / mass)).cast("int")
     dealt = nodes.join(nodes.groupBy("lot").agg(blocks.alias("blocks")), "lot")
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -186,28 +185,26 @@ def _linked_parts(open_: DataFrame, sets: DataFrame, percent: int, most: int = 2
 
 
 def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Components of the nodes that are linked, from ``members(bucket, node)`` of shared buckets.
+    """``(node, component)`` of the nodes linked with a smaller one, from ``members(bucket,
+    node, hub)`` of shared buckets.
 
     After the stars only documents in buckets of several components are left.  Two
     sets of sizes x and y are similar enough only with percent (x + y) / (100 + percent)
     shingles in common, so each must share percent of its own with others of those left:
     most drop out by that count.  The rest are compared block by block.
     """
-    hubs = members.groupBy("bucket").agg(F.min("node").alias("hub"))
-    stars = meet(members, hubs, "bucket").where("hub < node")
-    pairs = written(stars.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    part = written(components(written(confirm(pairs, sets, percent), "links")), "part")
-    placed = stars.select("bucket", "node").join(part, "node", "left")
+    spokes = members.where("hub < node")
+    pairs = spokes.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    part = stars(confirm(pairs, sets, percent))
+    placed = spokes.select("bucket", "node").join(part, "node", "left")
     placed = placed.select("bucket", "node", F.coalesce("component", "node").alias("part"))
-    open_ = written(_in_open_buckets(placed), "open")
+    open_ = written(_in_open_buckets(placed).drop("first"), "open")
     counts = _shared_counts(open_.select("node").distinct(), sets).where(f"100 * common >= {percent} * n")
-    open_ = written(_in_open_buckets(open_.join(counts, "node")), "open")
-    joined = written(_linked_parts(open_, sets, percent).distinct(), "links")
+    open_ = written(_in_open_buckets(open_.join(counts.drop("common"), "node")), "open")
     # components of components: what was known keeps its name or takes that of a smaller one
-    over = components(joined).select(F.col("node").alias("component"), F.col("component").alias("over"))
-    known = part.union(joined.select("a", "a").union(joined.select("b", "b"))).distinct()
-    named = known.join(over, "component", "left").select("node", F.coalesce("over", "component").alias("component"))
-    return named.groupBy("node").agg(F.min("component").alias("component"))
+    over = stars(_linked_parts(open_, sets, percent)).select(F.col("node").alias("component"), F.col("component").alias("over"))
+    known = part.join(over, "component", "left").select("node", F.coalesce("over", "component").alias("component"))
+    return known.union(over.select(F.col("component").alias("node"), F.col("over").alias("component")))
 
 
 def near_duplicates(
@@ -233,7 +230,7 @@ def near_duplicates(
     named = real.join(classes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     spread = named.select(F.explode("buckets").alias("bucket"), F.col("doc_id").alias("node"))
     shared = spread.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    members = written(meet(spread, shared.select("bucket"), "bucket"), "members")
+    members = written(meet(spread, shared.select("bucket", F.col("lo").alias("hub")), "bucket"), "members")
     nodes = members.select(F.col("node").alias("doc_id")).distinct()
     sets = written(source.join(nodes, "doc_id", "left_semi").mapInArrow(_sets(k), "node long, shingles array<long>"), "sets")
     part = _links(members, sets, percent)

@@ -71,6 +71,39 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("most", [1, 7, 60, 1 << 16])
+def test_components_whatever_a_task_contracts(spark, most):
+    rng = np.random.default_rng(6)
+    ends = rng.permutation(300)[rng.integers(0, 300, (230, 2))].tolist()
+    root = list(range(300))
+    for _ in root:
+        for a, b in ends:
+            root[a] = root[b] = min(root[a], root[b])
+    edges = spark.createDataFrame(ends + ends[:40], "a long, b long").repartition(5)
+    got = components(edges, most).collect()
+    assert sorted((r.node, r.component) for r in got) == [(i, root[i]) for i in sorted({x for e in ends if e[0] != e[1] for x in e})]
+
+
+def test_few_links_need_few_jobs(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(500)], "a long, b long").repartition(8)
+    spark.sparkContext.setJobGroup("few links", "")
+    try:
+        assert {r.component for r in components(edges).collect()} == {0}
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few links")) <= 10
+
+
+def test_near_duplicates_when_no_bucket_shares_its_hub(spark):
+    """Near copies of a text that differ from the hub by too much, but not from each other."""
+    base = [f"w{i}" for i in range(100)]
+    texts = [base[:], *([*base[:13 + k], *(f"x{i}" for i in range(13 + k, 100))] for k in range(4)), base[:80] + ["y"] * 20, base[:79] + ["y"] * 21]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    rows += [(50 + i, t) for i, t in rows]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain.near_components(rows)
+
+
 def test_hilbert_key_visits_neighbours():
     for n, bits in ((2, 4), (3, 3), (4, 2)):
         grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * n), axis=-1).reshape(-1, n)
