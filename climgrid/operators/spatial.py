@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from climgrid.functions.projection import project
 from climgrid.grid import Grid
 from climgrid.schema import CELL, SERIES, TIME, present, shared
+from climgrid.storage import cut_lineage, join_dealt
+
+FEW_CELLS = 100_000  # cells with points; Spark may collect so many for a broadcast (a few MB)
 
 
 def ring_edges(polygons: DataFrame) -> DataFrame:
@@ -144,21 +147,33 @@ def point_profile(df: DataFrame, points: DataFrame, grid: Grid, columns: list[st
     """Time series at points, one column per model_scenario_variable.
 
     Only cells that hold a point go on; they are made wide first, so a cell with very
-    many points is widened once and each point then takes its finished row.
+    many points is widened once and each point then takes its finished row.  Both sides are
+    dealt by cells; only a few cells (not their values) may pass through the driver.
     ``columns`` names the wanted columns: only those series are read on, and Spark needs
     no pass to find them.  A point beyond the grid, or on a cell without data, keeps one
     row with NULL for the time and all columns.
     """
-    at = point_cells(points, grid).select("name", "row", "col")
+    # points beyond the grid get rows beyond it: as NULL all of them would be dealt to one task
+    beyond = (-1 - F.pmod(F.xxhash64("name", "lat", "lon"), F.lit(10_000))).cast("int")
+    placed = point_cells(points, grid).select(
+        "name", F.coalesce("row", beyond).alias("row"), F.coalesce("col", F.lit(-1)).alias("col")
+    )
+    # stored: each condition on row and col would repeat the long expression of a projection
+    at = cut_lineage(placed)
+    held = cut_lineage(at.where(grid.holds()).select("row", "col").distinct())
     name = F.concat_ws("_", *[F.col(c) for c in ("model", "scenario", "variable") if c in df.columns])
     series = df if columns is None else df.where(name.isin(*columns))
-    hit = series.join(at.select("row", "col").distinct(), ["row", "col"], "left_semi").withColumn("_series", name)
+    if held.count() <= FEW_CELLS:
+        hit = series.join(held, ["row", "col"], "left_semi")
+    else:
+        hit = join_dealt(series, held, ["row", "col"], "left_semi", cells=grid.nx * grid.ny)
+    hit = hit.withColumn("_series", name)
     by = hit.groupBy("row", "col", *present(df, TIME))
     if columns is None:
         wide = by.pivot("_series").agg(F.avg("value"))
     else:
         wide = by.agg(*[F.avg(F.when(F.col("_series") == c, F.col("value"))).alias(c) for c in columns])
-    return at.join(wide, ["row", "col"], "left").drop("row", "col")
+    return join_dealt(at, wide, ["row", "col"], "left").drop("row", "col")
 
 
 def resample_to_template(df, template: DataFrame, src_grid: Grid, dst_grid: Grid, variable) -> DataFrame:

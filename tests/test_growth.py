@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from checks import cube, q_spatial
 from climgrid import storage
 from climgrid.grid import Grid
-from climgrid.operators import climate, compare, gaps, regrid
+from climgrid.operators import climate, compare, gaps, regrid, spatial
 from climgrid.plans import delta
 from climgrid.sources import text
 
@@ -158,3 +158,46 @@ def test_running_sums_over_a_raster_hold_no_texts(spark, tmp_path):
     assert len(held) == 2 and set().union(*held) <= {"bigint", "int"}
     got = {(r["row"], r["col"]): r["value"] for r in cells.collect()}
     assert got == {(0, 0): 1.0, (0, 1): 2.0, (0, 2): 3.0, (1, 0): 4.0, (1, 1): 5.0, (1, 2): None}
+
+
+PLACES = [("a", 1.5, 0.5), ("b", 1.5, 0.5), ("c", 0.5, 2.5), (None, 0.5, 2.5), ("off", 50.0, 0.5), ("nowhere", None, 0.5)]
+
+
+@pytest.mark.parametrize("few", [0, spatial.FEW_CELLS])
+def test_values_of_a_profile_never_pass_through_the_driver(spark, monkeypatch, tmp_path, few):
+    """Spark's guess of the size of a series spread over months is that of its cells; of the cells
+    with points so many may be broadcast as a constant says."""
+    monkeypatch.setattr(spatial, "FEW_CELLS", few)
+    spark.createDataFrame([(r, c) for r in range(2) for c in range(3)], "row int, col int").write.parquet(f"{tmp_path}/cells")
+    spark.createDataFrame(PLACES, "name string, lat double, lon double").write.parquet(f"{tmp_path}/points")
+    series = spark.read.parquet(f"{tmp_path}/cells").withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12))))
+    series = series.withColumns({"model": F.lit("M"), "value": F.col("month") + 0.5})
+    got = spatial.point_profile(series, spark.read.parquet(f"{tmp_path}/points"), SRC, ["M"])
+    joins = [line.split("[")[0].strip(" :+-") for line in plan(got).splitlines() if "Join" in line]
+    assert joins == ["SortMergeJoin", "BroadcastHashJoin" if few else "SortMergeJoin"]
+    want = [(n, m, m + 0.5) for n in ("a", "b", "c", None) for m in range(1, 13)] + [("off", None, None), ("nowhere", None, None)]
+    assert sorted(map(tuple, got.select("name", "month", "M").collect()), key=str) == sorted(want, key=str)
+
+
+def test_a_profile_repeats_no_projection_in_its_conditions(spark, baseline):
+    """A filter of the plan was over 200,000 characters long."""
+    grid = Grid(6, 4, -2000000.0, 2400000.0, 500000.0, 500000.0, crs="EPSG:3338")
+    points = spark.createDataFrame([("in", 65.0, -154.0), ("out", -65.0, 20.0)], "name string, lat double, lon double")
+    got = spatial.point_profile(baseline.withColumn("model", F.lit("M")), points, grid, ["M"])
+    assert "SIN(" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["name"]: (r["n"], r["s"]) for r in got.groupBy("name").agg(F.count("month").alias("n"), F.sum("M").alias("s")).collect()} == {"in": (12, 84.0), "out": (0, None)}
+
+
+def test_points_beyond_the_grid_are_dealt_over_tasks(spark, baseline):
+    lat = F.when(F.col("id") == 0, 0.5).otherwise(-50.0)
+    points = spark.range(4000).select(F.col("id").alias("name"), lat.alias("lat"), F.lit(0.5).alias("lon"))
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        got = spatial.point_profile(baseline.withColumn("model", F.lit("M")), points, SRC, ["M"])
+        held = got.select(F.spark_partition_id().alias("task"), "M").collect()
+    finally:
+        spark.conf.unset(coalesce)
+    tasks = [r["task"] for r in held if r["M"] is None]
+    assert len(tasks) == 3999 and len(held) == 3999 + 12
+    assert max(map(tasks.count, set(tasks))) < 1500
